@@ -15,9 +15,9 @@ LINK_PATTERN = r"""(?is)<[a-z][^<>]*?\s(?:href|src)\s*=\s*["']([^"']+)["']"""
 REMOTE_PREFIXES = ("#", "http:", "https:", "data:")
 
 
-def asset_group(relative_path: Column, root_name) -> Column:
-    """First folder of the path, else the root's own name."""
-    root_name = root_name if isinstance(root_name, Column) else F.lit(root_name)
+def asset_group(relative_path: Column, root_name=None) -> Column:
+    """First folder of the path, else the root's own name (NULL when none is given)."""
+    root_name = root_name if isinstance(root_name, Column) else F.lit(root_name).cast("string")
     parts = F.split(relative_path, "/")
     return F.when(F.size(parts) > 1, parts[0]).otherwise(root_name)
 
@@ -61,7 +61,8 @@ def first_listed_url(url: Column, pattern: str) -> Column:
 
 def redact_path(value: Column) -> Column:
     """Absolute or path-like values keep only their last component."""
-    return F.when(value.rlike(r"[/\\]"), F.regexp_replace(value, r"^.*[/\\](?=[^/\\])", "")).otherwise(value)
+    bare = F.regexp_replace(value, r"[/\\]+$", "")
+    return F.when(value.rlike(r"[/\\]"), F.regexp_extract(bare, r"([^/\\]*)$", 1)).otherwise(value)
 
 
 def local_link_values(html: Column) -> Column:

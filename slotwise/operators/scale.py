@@ -176,26 +176,29 @@ def interval_lookup(
     point: str,
     low: str,
     high: str,
+    span: str,
     bins: str,
 ) -> DataFrame:
-    """Join points in [0, 1) to the interval that holds them, as an equi-join.
+    """Join each point to the interval [low, high) that holds it, as an equi-join.
 
-    ``bins`` (a column of both sides, one value per key) is the number of cells the
-    unit range is cut into, about one per interval. An interval is repeated for every
-    cell it touches, at most intervals + cells rows in all; a point has one cell.
+    Points and bounds count the same units on [0, span). ``span`` and ``bins`` (columns
+    of both sides, constant per key) cut the range into about as many cells as there are
+    intervals. An interval is repeated for every cell it touches, at most intervals +
+    cells rows in all; a point has one cell, so a wide interval spreads over many cells.
     """
     keys = list(keys)
 
     def cell(value: Column) -> Column:
-        return F.least(F.col(bins) - 1, F.floor(value * F.col(bins)))
+        part = value.cast("double") / F.col(span).cast("double")
+        return F.least(F.col(bins) - 1, F.floor(part * F.col(bins)))
 
     spread = intervals.where(F.col(low) < F.col(high)).withColumn(
         "__cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
     )
-    spread = spread.drop(bins)
+    shared = [c for c in (span, bins) if c in points.columns]
     placed = points.withColumn("__cell", cell(F.col(point)))
     return (
-        join_null_safe(placed, spread, [*keys, "__cell"])
+        join_null_safe(placed, spread.drop(*shared), [*keys, "__cell"])
         .where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high)))
         .drop("__cell")
     )
