@@ -202,14 +202,13 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "near_duplicate_hashes",
-    """with h as (select distinct p_partkey % 256 + ((p_size % 4) * 65536)::bigint as bits from part),
-       c as (select p_partkey % 256 + ((p_size % 4) * 65536)::bigint as bits, count(*) as n from part group by 1)
+    """with c as (select p_partkey + (p_size % 4)::bigint * 1048576 as bits, count(*) as n from part group by 1)
        select a.bits as left_bits, b.bits as right_bits, a.n as left_n, b.n as right_n,
          1.0::double - bit_count(xor(a.bits, b.bits)) / 64.0 as similarity
        from c a join c b on a.bits < b.bits and bit_count(xor(a.bits, b.bits)) <= 1""",
 )
 def _(t: Tables) -> DataFrame:
-    bits = F.col("p_partkey") % 256 + (F.col("p_size") % 4).cast("bigint") * 65536
+    bits = F.col("p_partkey") + (F.col("p_size") % 4).cast("bigint") * 1048576
     return O.near_duplicate_hashes(t.part.select(bits.alias("bits")), "bits")
 
 
