@@ -38,14 +38,13 @@ def project_bbox(m: Column, b: Column) -> Column:
 
 
 def compose_matrix(a: Column, b: Column) -> Column:
-    """3x3 product, row major."""
-    return F.array(
-        *[
-            reduce(lambda s, t: s + t, [a[3 * r + k] * b[3 * k + c] for k in range(3)])
-            for r in range(3)
-            for c in range(3)
-        ]
-    )
+    """3x3 product, row major; written as one lambda so that the plan stays small."""
+
+    def entry(i: Column) -> Column:
+        row, column = (i - i % 3).cast("int"), (i % 3).cast("int")
+        return reduce(lambda s, t: s + t, [a[row + k] * b[column + 3 * k] for k in range(3)])
+
+    return F.transform(F.sequence(F.lit(0), F.lit(8)), entry)
 
 
 def crop_matrix(camera_x, camera_y, camera_w, camera_h, out_w, out_h) -> Column:

@@ -59,7 +59,7 @@ def _(t: Tables) -> DataFrame:
     with_sql(
         "select sample_id, instance_pos, "
         + ", ".join(
-            f"round({' + '.join(f'a[{3 * r + k + 1}] * b[{3 * k + c + 1}]' for k in range(3))}, 6) as m{3 * r + c}"
+            f"round({' + '.join(f'a[{3 * r + k + 1}] * b[{3 * k + c + 1}]' for k in range(3))}, 10) as m{3 * r + c}"
             for r in range(3)
             for c in range(3)
         )
@@ -74,7 +74,7 @@ def _(t: Tables) -> DataFrame:
     )
     rows = B.annotations(t).select("sample_id", "instance_pos", crop.alias("a"), matrix().alias("b"))
     rows = rows.select("sample_id", "instance_pos", G.compose_matrix(F.col("a"), F.col("b")).alias("m"))
-    return rows.select("sample_id", "instance_pos", *[F.round(F.col("m")[i], 6).alias(f"m{i}") for i in range(9)])
+    return rows.select("sample_id", "instance_pos", *[F.round(F.col("m")[i], 10).alias(f"m{i}") for i in range(9)])
 
 
 @query(

@@ -73,8 +73,9 @@ def compare(spark, name, build, sql, folder, con) -> tuple[bool, str]:
     if wrong:
         text += f" TYPES {wrong}"
     if got != want:
-        only = [r for r in got if r not in set(want)][:3]
-        other = [r for r in want if r not in set(got)][:3]
+        got_set, want_set = set(got), set(want)
+        only = [r for r in got if r not in want_set][:3]
+        other = [r for r in want if r not in got_set][:3]
         return False, f"{text} MISMATCH {len(got)} vs {len(want)} {columns}\n   spark {only}\n   sql   {other}"
     if not got:
         text += " EMPTY"
