@@ -288,11 +288,13 @@ v_masks as (
 v_mask_px as (
   select sample, ord, vec_id, unnest(range(64)) as px, unnest("full") as f from v_masks),
 v_visible_px as (
-  select a.sample, a.ord, a.vec_id, a.px, a.f,
-    cast(round_even(greatest(0.0, least(1.0, list_reduce(list_concat([a.f / 255.0::double],
-      coalesce(list(1.0::double - b.f / 255.0::double order by b.ord) filter (b.ord is not null), [])), lambda x, y: x * y))) * 255.0, 0) as integer) as vis
-  from v_mask_px a left join v_mask_px b on a.sample = b.sample and a.px = b.px and b.ord > a.ord
-  group by all),
+  select sample, ord, vec_id, px, f,
+    cast(round_even(greatest(0.0::double, least(1.0::double,
+      list_reduce(list_concat([f / 255.0::double], later), lambda x, y: x * y))) * 255.0::double, 0) as integer) as vis
+  from (select a.sample, a.ord, a.vec_id, a.px, a.f,
+      coalesce(list(1.0::double - b.f / 255.0::double order by b.ord) filter (b.ord is not null), []) as later
+    from v_mask_px a left join v_mask_px b on a.sample = b.sample and a.px = b.px and b.ord > a.ord
+    group by a.sample, a.ord, a.vec_id, a.px, a.f)),
 v_visible as (
   select sample, ord, vec_id, list(f order by px) as "full", list(vis order by px) as visible
   from v_visible_px group by sample, ord, vec_id)"""
