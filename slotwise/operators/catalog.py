@@ -224,11 +224,11 @@ def flatten_overrides(documents: DataFrame, json: str, depth: int = 8) -> DataFr
     level = documents.select(*keep, F.lit("").alias("path"), F.parse_json(json).alias("v"))
     leaves = None
     for _ in range(depth):
-        level.createOrReplaceTempView("__override_level")
-        names = ", ".join(f"d.`{c}`" for c in keep)
-        exploded = documents.sparkSession.sql(
-            f"""select {names}{',' if keep else ''} if(d.path = '', e.key, concat(d.path, '.', e.key)) as path, e.value as v
-                from __override_level d, lateral variant_explode(d.v) e"""
+        entries = documents.sparkSession.tvf.variant_explode(F.col("v").outer())
+        exploded = level.withColumnRenamed("path", "prefix").lateralJoin(entries).select(
+            *keep,
+            F.when(F.col("prefix") == "", F.col("key")).otherwise(F.concat_ws(".", "prefix", "key")).alias("path"),
+            F.col("value").alias("v"),
         )
         nested = F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
         done = exploded.where(~nested).select(*keep, "path", F.col("v").cast("string").alias("value"))
