@@ -15,12 +15,13 @@ from slotwise.session import settle
 EXACT_KEY_MEMBERS = 10_000
 
 
-def _state(links: DataFrame) -> tuple[int, int]:
-    """Size and order-free digest of a set of links."""
-    row = links.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("d")
-    ).first()
-    return row["n"], int(row["d"] or 0)
+def _count_and_done(links: DataFrame) -> tuple[int, bool]:
+    """Number of links, and whether they form plain stars: one parent each, no parent has one."""
+    parents = links.select(F.col("lo").alias("hi")).distinct()
+    row = links.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("hi").alias("children")).first()
+    if row["n"] != row["children"]:
+        return row["n"], False
+    return row["n"], not links.join(parents, "hi", "left_semi").take(1)
 
 
 def _star(around: DataFrame, total: int, only_larger: bool) -> DataFrame:
@@ -35,7 +36,7 @@ def _star(around: DataFrame, total: int, only_larger: bool) -> DataFrame:
     moved = heavy_lookup(facts, lowest, "u", "degree", total).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     if not only_larger:
         moved = moved.unionByName(lowest.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
-    return moved.where("hi <> lo").distinct()
+    return moved.where("hi <> lo")
 
 
 def asset_components(samples: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -52,20 +53,18 @@ def asset_components(samples: DataFrame, edges: DataFrame, max_rounds: int = 60)
     owners = edges.groupBy("asset").agg(F.min("sample").alias("owner"), F.count(F.lit(1)).alias("uses"))
     links = heavy_lookup(edges, owners, "asset", "uses", total).where("sample <> owner")
     links = settle(links.select(F.col("sample").alias("hi"), F.col("owner").alias("lo")).distinct())
-    state = _state(links)
-    for _ in range(max_rounds):
-        if state[0] == 0:
-            break
+    size, done = _count_and_done(links)
+    rounds = 0
+    while not done:
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         down = links.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
         both = down.unionByName(links.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        large = _star(both, 2 * state[0], only_larger=True)
-        small = _star(large.select(F.col("hi").alias("u"), F.col("lo").alias("v")), state[0], only_larger=False)
-        links = settle(small)
-        previous, state = state, _state(links)
-        if state == previous:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        large = _star(both, 2 * size, only_larger=True)
+        small = _star(large.select(F.col("hi").alias("u"), F.col("lo").alias("v")), size, only_larger=False)
+        links = settle(small.distinct())
+        size, done = _count_and_done(links)
+        rounds += 1
     roots = links.select(F.col("hi").alias("sample"), F.col("lo").alias("component"))
     return samples.select("sample").distinct().join(roots, "sample", "left").select(
         "sample", F.coalesce("component", "sample").alias("component")

@@ -158,7 +158,8 @@ def exact_quantiles(
             part = (F.col("__count") - 1) * F.lit(p)
             part = part - F.floor(part)
             low, high = F.col(f"__lo_{name}").cast("double"), F.col(f"__hi_{name}").cast("double")
-            outputs.append((low + (high - low) * part).alias(name))
+            middle = F.when(part == 0.5, (low + high) / 2).otherwise(low + (high - low) * part)
+            outputs.append(middle.alias(name))
         else:
             raise ValueError(f"unknown quantile method {method}")
     result = steps.groupBy(*by).agg(
