@@ -89,7 +89,7 @@ def prior(profile: Column, family: Column) -> tuple[Column, Column]:
     return confidence, seconds
 
 
-def runtime_estimate(matched: DataFrame) -> DataFrame:
+def runtime_estimate(matched: DataFrame, digits: tuple[int, int] = (3, 6)) -> DataFrame:
     """Expected run time with bounds: production median, probe mean, prior, then image size.
 
     matched = match_observations(jobs) with jobs[profile, family, width, height,
@@ -121,11 +121,11 @@ def runtime_estimate(matched: DataFrame) -> DataFrame:
     count = F.when(F.col("production") > 0, F.col("production")).otherwise(F.col("probes"))
     return rows.select(
         "job",
-        F.round(F.col("__expected") * low, 3).alias("lower_seconds"),
-        F.round("__expected", 3).alias("expected_seconds"),
-        F.round(F.col("__expected") * high, 3).alias("upper_seconds"),
+        F.round(F.col("__expected") * low, digits[0]).alias("lower_seconds"),
+        F.round("__expected", digits[0]).alias("expected_seconds"),
+        F.round(F.col("__expected") * high, digits[0]).alias("upper_seconds"),
         "confidence",
-        F.round("seconds_per_candidate", 6).alias("seconds_per_candidate"),
+        F.round("seconds_per_candidate", digits[1]).alias("seconds_per_candidate"),
         count.alias("observation_count"),
     )
 

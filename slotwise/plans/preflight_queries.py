@@ -78,8 +78,8 @@ _HIGH = " ".join(f"when '{n}' then {b}::double" for n, (_, b) in O.BANDS.items()
 @query(
     "runtime_estimate",
     with_sql(
-        f"""select job, round(e * case confidence {_LOW} end, 3) as lower_seconds, round(e, 3) as expected_seconds, round(e * case confidence {_HIGH} end, 3) as upper_seconds,
-              confidence, round(per, 6) as seconds_per_candidate, case when production > 0 then production else probes end as observation_count
+        f"""select job, round(e * case confidence {_LOW} end, 8) as lower_seconds, round(e, 8) as expected_seconds, round(e * case confidence {_HIGH} end, 8) as upper_seconds,
+              confidence, round(per, 8) as seconds_per_candidate, case when production > 0 then production else probes end as observation_count
             from (select *, per * num_images / greatest(1.0::double, workers * case when workers > 1 then 0.82::double else 1.0::double end) as e from (
               select *, case when production > 0 then pm when probes > 0 then bm when job % 8 < 6 then (case {_SECONDS} end) * greatest(0.1::double, mp / 1.6384::double) else greatest(0.25::double, mp) end as per,
                 case when production > 0 and tier = 'cross-worker' then 'local-production-cross-worker' when production >= 3 then 'local-production' when production > 0 then 'local-production-low-sample'
@@ -89,7 +89,7 @@ _HIGH = " ".join(f"when '{n}' then {b}::double" for n, (_, b) in O.BANDS.items()
     ),
 )
 def _(t: Tables) -> DataFrame:
-    return O.runtime_estimate(matched(t))
+    return O.runtime_estimate(matched(t), digits=(8, 8))  # fewer digits meet decimal ties, which engines break differently
 
 
 @query(
