@@ -175,11 +175,9 @@ def _(t: Tables) -> DataFrame:
     text = lines.groupBy("s_name").agg(F.array_join(F.sort_array(F.collect_list(F.concat("c_name", F.lit("\n")))), "").alias("text"))
     rows = split_random(text, "s_name", SPLITS, SEED).select("split", F.concat("s_name", F.lit(".png")).alias("filename"), "text")
     root = scratch_path(t.spark, "labels")
-    sinks.write_label_files(rows, root, f"{root}-index")
-    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/labels")
-    split = F.element_at(F.split("path", "/"), -2)
-    return files.groupBy(split.alias("split")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sum((F.col("length") == 0).cast("bigint")).alias("empty_files")
+    written = sinks.write_label_files(rows, root, f"{root}-index")
+    return written.groupBy(F.split("path", "/")[1].alias("split")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum((F.col("bytes") == 0).cast("bigint")).alias("empty_files")
     )
 
 
