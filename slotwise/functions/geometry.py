@@ -160,13 +160,29 @@ def histogram_bin(x: Column, y: Column, bins: int) -> Column:
     return (cell(y) * bins + cell(x)).cast("int")
 
 
+def scale_step(value: Column) -> Column:
+    """Number of the 0.1 wide band of a scale, never below 0."""
+    return F.greatest(F.lit(0).cast("bigint"), F.floor(value * 10))
+
+
+def rotation_step(value: Column) -> Column:
+    """Number of the 15 degree band of the absolute angle modulo 180."""
+    return F.floor(F.abs(value) % 180 / 15).cast("bigint")
+
+
+def scale_band_text(step: Column) -> Column:
+    return F.format_string("%.2f-%.2f", step / 10, step / 10 + 0.1)
+
+
+def rotation_band_text(step: Column) -> Column:
+    return F.format_string("%d-%d", step * 15, step * 15 + 15)
+
+
 def scale_band(value: Column) -> Column:
     """Text band of width 0.1, for example ``0.20-0.30``."""
-    low = F.greatest(F.lit(0).cast("bigint"), F.floor(value * 10)) / 10
-    return F.format_string("%.2f-%.2f", low, low + 0.1)
+    return scale_band_text(scale_step(value))
 
 
 def rotation_band(value: Column) -> Column:
     """Text band of 15 degrees of the absolute angle modulo 180, for example ``30-45``."""
-    low = (F.floor(F.abs(value) % 180 / 15) * 15).cast("bigint")
-    return F.format_string("%d-%d", low, low + 15)
+    return rotation_band_text(rotation_step(value))

@@ -62,39 +62,59 @@ def pool_audit(
     whole = runs.join(gone.select("pool").distinct(), "pool", "left_anti")
     base = whole.select("pool", "schema_version", "target", "contract_hash", "width", "height")
 
+    def coded(frame: DataFrame, checks: list[tuple[Column, str, Column]]) -> DataFrame:
+        """All findings of one level in one pass over its rows."""
+        items = [
+            F.when(test, F.struct(F.lit(code).alias("code"), artifact.cast("string").alias("artifact")))
+            for test, code, artifact in checks
+        ]
+        return frame.withColumn("__f", F.explode(F.array_compact(F.array(*items)))).withColumns(
+            {"code": F.col("__f.code"), "artifact": F.col("__f.artifact")}
+        )
+
     counted = samples.groupBy("pool").agg(F.count(F.lit(1)).alias("n"))
     state = (
         base.join(summary.withColumnRenamed("contract_hash", "summary_hash"), "pool")
         .join(counted, "pool", "left").join(control, "pool", "left").na.fill(0, ["n"])
     )
-    drift = state.where("accepted <> n or (status = 'complete' and target <> n)")
-    hashes = state.where("not (summary_hash <=> contract_hash)")
-    terminal = state.where("not (actual_state <=> status)")
-
-    shot = samples.join(base.select("pool", "schema_version", "width", "height"), "pool")
-    undecoded = shot.where("image_width is null")
-    decoded = shot.where("image_width is not null")
-    resized = decoded.where("image_width <> width or image_height <> height")
-    no_evidence = decoded.where(F.col("schema_version") == POOL_SCHEMA).where("evidence_path is null")
-    bad_evidence = decoded.where(F.col("schema_version") == POOL_SCHEMA).where("evidence_path is not null and not evidence_ok")
+    none = F.lit("")
+    drift = (F.col("accepted") != F.col("n")) | ((F.col("status") == "complete") & (F.col("target") != F.col("n")))
+    of_pools = coded(
+        state,
+        [
+            (drift, "SAMPLE_COUNT_DRIFT", none),
+            (~F.col("summary_hash").eqNullSafe(F.col("contract_hash")), "CONTRACT_HASH_DRIFT", none),
+            (~F.col("actual_state").eqNullSafe(F.col("status")), "TERMINAL_STATE_DRIFT", none),
+        ],
+    )
 
     keys = ["pool", "sample_id"]
-    boxed = annotations.join(decoded.select(*keys, "schema_version", "width", "height", "evidence_ok", "evidence_path"), keys)
-    inside = "0 <= x1 and x1 < x2 and x2 <= width and 0 <= y1 and y1 < y2 and y2 <= height"
-    normal = "cx between 0 and 1 and cy between 0 and 1 and w > 0 and w <= 1 and h > 0 and h <= 1"
-    outside = boxed.where(f"not coalesce({inside}, false)")
-    denormal = boxed.where(f"not coalesce({normal}, false)")
+    shot = samples.join(base.select("pool", "schema_version", "width", "height"), "pool")
+    decoded = F.col("image_width").isNotNull()
+    with_masks = decoded & (F.col("schema_version") == POOL_SCHEMA)
+    has_path, evidence = F.col("evidence_path").isNotNull(), F.coalesce("evidence_ok", F.lit(False))
+    of_samples = coded(
+        shot,
+        [
+            (~decoded, "IMAGE_DECODE_FAILED", F.col("sample_id")),
+            (
+                decoded & ((F.col("image_width") != F.col("width")) | (F.col("image_height") != F.col("height"))),
+                "IMAGE_DIMENSION_MISMATCH", F.col("sample_id"),
+            ),
+            (with_masks & ~has_path, "MASK_EVIDENCE_MISSING", F.col("sample_id")),
+            (with_masks & has_path & ~evidence, "MASK_EVIDENCE_INVALID", F.col("evidence_path")),
+        ],
+    )
 
-    masked_samples = decoded.where(F.col("schema_version") == POOL_SCHEMA).where("evidence_path is not null and evidence_ok")
+    frames = shot.where(decoded).select(*keys, "width", "height", (with_masks & has_path & evidence).alias("masked_sample"))
+    boxed = annotations.withColumn("annotated", F.lit(True))
+    stored_masks = masks.withColumn("masked", F.lit(True))
+    # Annotations and masks of an instance meet first, then the sample decides which checks apply.
+    both = boxed.join(stored_masks, [*keys, "instance_id"], "full_outer").join(frames, keys)
+    annotated, masked = F.col("annotated").isNotNull(), F.col("masked").isNotNull()
+    inside = F.expr("0 <= x1 and x1 < x2 and x2 <= width and 0 <= y1 and y1 < y2 and y2 <= height")
+    normal = F.expr("cx between 0 and 1 and cy between 0 and 1 and w > 0 and w <= 1 and h > 0 and h <= 1")
     box_type = "struct<x1:int,y1:int,x2:int,y2:int>"
-    stored = F.struct("x1", "y1", "x2", "y2").cast(box_type)
-    expected = annotations.select(*keys, "instance_id", stored.alias("stored"), F.lit(True).alias("annotated")).join(
-        masked_samples.select(*keys), keys, "left_semi"
-    )
-    found = masks.withColumn("masked", F.lit(True)).join(masked_samples.select(*keys), keys, "left_semi")
-    both = expected.join(found, [*keys, "instance_id"], "full_outer")
-    drifted = both.where("annotated is null or masked is null").select(*keys).distinct()
-    pairs = both.where("annotated and masked")
     exceeds = F.exists(F.arrays_zip(F.col("visible").alias("v"), F.col("full").alias("f")), lambda p: p["v"] > p["f"])
     hits = F.filter(
         F.transform("visible", lambda v, i: F.when(v > F.col("threshold"), i)), lambda i: i.isNotNull()
@@ -103,29 +123,40 @@ def pool_audit(
     derived = F.struct(
         F.array_min(xs).alias("x1"), F.floor(F.array_min("__hits") / F.col("mask_width")).cast("int").alias("y1"),
         (F.array_max(xs) + 1).alias("x2"), (F.floor(F.array_max("__hits") / F.col("mask_width")) + 1).cast("int").alias("y2"),
+    ).cast(box_type)
+    pair = F.col("masked_sample") & annotated & masked
+    empty = F.size("__hits") == 0
+    of_instances = coded(
+        both.withColumn("__hits", hits),
+        [
+            (annotated & ~F.coalesce(inside, F.lit(False)), "ANNOTATION_OUT_OF_BOUNDS", F.col("sample_id")),
+            (annotated & ~F.coalesce(normal, F.lit(False)), "NORMALIZED_ANNOTATION_INVALID", F.col("sample_id")),
+            (F.col("masked_sample") & ~(annotated & masked), "MASK_INSTANCE_DRIFT", F.col("sample_id")),
+            (pair & exceeds, "MASK_SEMANTICS_INVALID", F.col("instance_id")),
+            (pair & empty, "MASK_EMPTY", F.col("instance_id")),
+            (
+                pair & ~empty & ~derived.eqNullSafe(F.struct("x1", "y1", "x2", "y2").cast(box_type)),
+                "MASK_BBOX_MISMATCH", F.col("instance_id"),
+            ),
+        ],
+    )
+    # A sample with several drifting instances is one finding; all others keep their number.
+    drift_row = F.col("code") == "MASK_INSTANCE_DRIFT"
+    merged = of_instances.groupBy(*keys, F.when(~drift_row, F.col("instance_id")).alias("__i"), "code", "artifact").agg(
+        F.count(F.lit(1)).alias("__n")
     )
-    pairs = pairs.withColumn("__hits", hits)
-    empty = pairs.where(F.size("__hits") == 0)
-    moved = pairs.where(F.size("__hits") > 0).where(~derived.cast(box_type).eqNullSafe(F.col("stored")))
+    times = F.when(drift_row, F.lit(1).cast("bigint")).otherwise(F.col("__n"))
+    of_instances = merged.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
 
     broken = links.join(base.select("pool"), "pool", "left_semi").join(
         files.withColumnRenamed("name", "link"), ["pool", "link"], "left_anti"
     )
+    columns = ["pool", "code", "artifact"]
     parts = [
         gone,
-        finding(drift, "SAMPLE_COUNT_DRIFT", ""),
-        finding(hashes, "CONTRACT_HASH_DRIFT", ""),
-        finding(terminal, "TERMINAL_STATE_DRIFT", ""),
-        finding(undecoded, "IMAGE_DECODE_FAILED", F.col("sample_id")),
-        finding(resized, "IMAGE_DIMENSION_MISMATCH", F.col("sample_id")),
-        finding(outside, "ANNOTATION_OUT_OF_BOUNDS", F.col("sample_id")),
-        finding(denormal, "NORMALIZED_ANNOTATION_INVALID", F.col("sample_id")),
-        finding(no_evidence, "MASK_EVIDENCE_MISSING", F.col("sample_id")),
-        finding(bad_evidence, "MASK_EVIDENCE_INVALID", F.col("evidence_path")),
-        finding(drifted, "MASK_INSTANCE_DRIFT", F.col("sample_id")),
-        finding(pairs.where(exceeds), "MASK_SEMANTICS_INVALID", F.col("instance_id")),
-        finding(empty, "MASK_EMPTY", F.col("instance_id")),
-        finding(moved, "MASK_BBOX_MISMATCH", F.col("instance_id")),
+        of_pools.select(*columns),
+        of_samples.select(*columns),
+        of_instances.select(*columns),
         finding(broken, "BROKEN_QA_LINK", F.col("link")),
     ]
     if read_findings is not None:

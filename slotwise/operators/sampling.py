@@ -227,13 +227,14 @@ def constrained_pick(
             .when(F.col("__room") <= 0, "zero_weight")
             .otherwise("ok"),
         ).withColumn("__point", point)
-        names = {"asset_id": f"{role.name}_asset", "group": f"{role.name}_group", "content_hash": f"{role.name}_hash"}
-        ready = current.where(F.col(f"{role.name}_outcome") == "ok")
-        hits = interval_lookup(
-            ready.select(plan, "scope", "span", "bins", "__point"), intervals, ["scope"], "__point", "lo", "hi", "span", "bins"
-        ).select(plan, *[F.col(a).alias(b) for a, b in names.items()])
+        # A failed rule leaves no point to look up; the left join keeps such plans.
+        current = current.withColumn("__point", F.when(F.col(f"{role.name}_outcome") == "ok", F.col("__point")))
+        choices = intervals.select(
+            "scope", "lo", "hi", "span", "bins", F.col("asset_id").alias(f"{role.name}_asset"),
+            F.col("group").alias(f"{role.name}_group"), F.col("content_hash").alias(f"{role.name}_hash"),
+        )
+        state = interval_lookup(current, choices, ["scope"], "__point", "lo", "hi", "span", "bins", "left").drop("lo", "hi")
         earlier_hashes = [F.col(f"{p}_hash") for p in picked]
-        state = current.join(hits, plan, "left")
         reused = F.lit(False)
         for h in earlier_hashes:
             reused = reused | F.coalesce(h == F.col(f"{role.name}_hash"), F.lit(False))

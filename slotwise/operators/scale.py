@@ -179,6 +179,7 @@ def interval_lookup(
     high: str,
     span: str,
     bins: str,
+    how: str = "inner",
 ) -> DataFrame:
     """Join each point to the interval [low, high) that holds it, as an equi-join.
 
@@ -197,12 +198,12 @@ def interval_lookup(
         "__cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
     )
     shared = [c for c in (span, bins) if c in points.columns]
+    spread = spread.drop(*shared).withColumnsRenamed({name: f"__r_{name}" for name in [*keys, "__cell"]})
     placed = points.withColumn("__cell", cell(F.col(point)))
-    return (
-        join_null_safe(placed, spread.drop(*shared), [*keys, "__cell"])
-        .where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high)))
-        .drop("__cell")
-    )
+    condition = (F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))
+    for name in [*keys, "__cell"]:
+        condition = condition & F.col(name).eqNullSafe(F.col(f"__r_{name}"))
+    return placed.join(spread, condition, how).drop("__cell", *[f"__r_{name}" for name in [*keys, "__cell"]])
 
 
 def global_position(frame: DataFrame, order: Sequence[str], partitions: int | None = None, out: str = "position") -> DataFrame:

@@ -157,9 +157,9 @@ def conditional_rates(attempts: DataFrame) -> DataFrame:
     named = attempts.select(
         F.coalesce("source_asset", F.lit("unknown")).alias("asset"),
         F.coalesce("class_name", F.lit("unknown")).alias("class"),
-        G.scale_band(F.coalesce("scale", F.lit(0.0))).alias("scale_band"),
-        G.rotation_band(F.coalesce("rotation", F.lit(0.0))).alias("rotation_band"),
-        F.coalesce("requested_objects", F.lit(0)).cast("string").alias("object_count"),
+        G.scale_step(F.coalesce("scale", F.lit(0.0))).alias("scale_band"),
+        G.rotation_step(F.coalesce("rotation", F.lit(0.0))).alias("rotation_band"),
+        F.coalesce("requested_objects", F.lit(0)).alias("object_count"),
         F.coalesce("region", F.lit("unknown")).alias("region"),
         F.col("rejected").cast("bigint").alias("rejected"),
     )
@@ -169,9 +169,16 @@ def conditional_rates(attempts: DataFrame) -> DataFrame:
         *[F.grouping(d).alias(f"g_{d}") for d in RATE_DIMENSIONS],
     )
     dimension = F.coalesce(*[F.when(F.col(f"g_{d}") == 0, F.lit(d)) for d in RATE_DIMENSIONS])
+    # Bands are numbers while grouping; their text is written once per group.
+    texts = {
+        "scale_band": G.scale_band_text(F.col("scale_band")),
+        "rotation_band": G.rotation_band_text(F.col("rotation_band")),
+        "object_count": F.col("object_count").cast("string"),
+    }
+    value = F.coalesce(*[F.when(F.col(f"g_{d}") == 0, texts.get(d, F.col(d))) for d in RATE_DIMENSIONS])
     return grouped.select(
         dimension.alias("dimension"),
-        F.coalesce(*RATE_DIMENSIONS).alias("value"),
+        value.alias("value"),
         "rejections",
         "attempts",
         F.try_divide("rejections", "attempts").alias("rate"),
