@@ -81,22 +81,30 @@ def mask_iou(left: Column, right: Column, threshold: int = 0) -> Column:
     )
 
 
-def coverage_bbox(values: Column, width, threshold: int) -> Column:
-    """Box of the values above the threshold in a row-major array; maxima exclusive."""
-    hits = F.filter(
-        F.transform(values, lambda v, i: F.when(v > threshold, i)), lambda i: i.isNotNull()
-    )
-    xs = F.transform(hits, lambda i: (i % width).cast("int"))
-    return F.when(
-        F.size(hits) > 0,
-        F.struct(
-            F.array_min(xs).alias("x1"),
-            F.floor(F.array_min(hits) / width).cast("int").alias("y1"),
-            (F.array_max(xs) + 1).alias("x2"),
-            (F.floor(F.array_max(hits) / width) + 1).cast("int").alias("y2"),
+def coverage_bbox(values: Column, width: Column, threshold) -> Column:
+    """Box of the values above the threshold in a row-major array; maxima exclusive.
+
+    One fold over the array; NULL when no value is above the threshold.
+    """
+    kind = "struct<x1:int,y1:int,x2:int,y2:int>"
+    none = F.lit(None).cast("int")
+    start = F.struct(none.alias("x1"), none.alias("y1"), none.alias("x2"), none.alias("y2")).cast(kind)
+    cells = F.transform(
+        values,
+        lambda v, i: F.struct(
+            (v > threshold).alias("hit"), (i % width).cast("int").alias("x"), F.floor(i / width).cast("int").alias("y")
         ),
     )
 
+    def grow(b: Column, c: Column) -> Column:
+        wider = F.struct(
+            F.least(b["x1"], c["x"]).alias("x1"), F.least(b["y1"], c["y"]).alias("y1"),
+            F.greatest(b["x2"], c["x"] + 1).alias("x2"), F.greatest(b["y2"], c["y"] + 1).alias("y2"),
+        )
+        return F.when(c["hit"], wider.cast(kind)).otherwise(b)
+
+    return F.aggregate(cells, start, grow, lambda b: F.when(b["x1"].isNotNull(), b))
+
 
 def array_digest(values: Column) -> Column:
     """SHA-256 of the values written as comma separated text."""

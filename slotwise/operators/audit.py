@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.functions.arrays import coverage_bbox
 from slotwise.operators.scale import neighbour
 
 # Artifacts every pool must have, control states and their legal successors.
@@ -107,35 +108,30 @@ def pool_audit(
     )
 
     frames = shot.where(decoded).select(*keys, "width", "height", (with_masks & has_path & evidence).alias("masked_sample"))
-    boxed = annotations.withColumn("annotated", F.lit(True))
-    stored_masks = masks.withColumn("masked", F.lit(True))
-    # Annotations and masks of an instance meet first, then the sample decides which checks apply.
-    both = boxed.join(stored_masks, [*keys, "instance_id"], "full_outer").join(frames, keys)
-    annotated, masked = F.col("annotated").isNotNull(), F.col("masked").isNotNull()
-    inside = F.expr("0 <= x1 and x1 < x2 and x2 <= width and 0 <= y1 and y1 < y2 and y2 <= height")
-    normal = F.expr("cx between 0 and 1 and cy between 0 and 1 and w > 0 and w <= 1 and h > 0 and h <= 1")
     box_type = "struct<x1:int,y1:int,x2:int,y2:int>"
     exceeds = F.exists(F.arrays_zip(F.col("visible").alias("v"), F.col("full").alias("f")), lambda p: p["v"] > p["f"])
-    hits = F.filter(
-        F.transform("visible", lambda v, i: F.when(v > F.col("threshold"), i)), lambda i: i.isNotNull()
+    # The arrays are reduced to two facts where they are read, so that no mask is shuffled.
+    facts = masks.select(
+        *keys, "instance_id", exceeds.alias("exceeds"), F.lit(True).alias("masked"),
+        coverage_bbox(F.col("visible"), F.col("mask_width"), F.col("threshold")).alias("box"),
     )
-    xs = F.transform("__hits", lambda i: (i % F.col("mask_width")).cast("int"))
-    derived = F.struct(
-        F.array_min(xs).alias("x1"), F.floor(F.array_min("__hits") / F.col("mask_width")).cast("int").alias("y1"),
-        (F.array_max(xs) + 1).alias("x2"), (F.floor(F.array_max("__hits") / F.col("mask_width")) + 1).cast("int").alias("y2"),
-    ).cast(box_type)
+    inside = F.expr("0 <= x1 and x1 < x2 and x2 <= width and 0 <= y1 and y1 < y2 and y2 <= height")
+    normal = F.expr("cx between 0 and 1 and cy between 0 and 1 and w > 0 and w <= 1 and h > 0 and h <= 1")
+    # Annotations and masks of an instance meet first, then the sample decides which checks apply.
+    both = annotations.withColumn("annotated", F.lit(True)).join(facts, [*keys, "instance_id"], "full_outer").join(frames, keys)
+    annotated, masked = F.col("annotated").isNotNull(), F.col("masked").isNotNull()
     pair = F.col("masked_sample") & annotated & masked
-    empty = F.size("__hits") == 0
+    empty = F.col("box").isNull()
     of_instances = coded(
-        both.withColumn("__hits", hits),
+        both,
         [
             (annotated & ~F.coalesce(inside, F.lit(False)), "ANNOTATION_OUT_OF_BOUNDS", F.col("sample_id")),
             (annotated & ~F.coalesce(normal, F.lit(False)), "NORMALIZED_ANNOTATION_INVALID", F.col("sample_id")),
             (F.col("masked_sample") & ~(annotated & masked), "MASK_INSTANCE_DRIFT", F.col("sample_id")),
-            (pair & exceeds, "MASK_SEMANTICS_INVALID", F.col("instance_id")),
+            (pair & F.col("exceeds"), "MASK_SEMANTICS_INVALID", F.col("instance_id")),
             (pair & empty, "MASK_EMPTY", F.col("instance_id")),
             (
-                pair & ~empty & ~derived.eqNullSafe(F.struct("x1", "y1", "x2", "y2").cast(box_type)),
+                pair & ~empty & ~F.col("box").eqNullSafe(F.struct("x1", "y1", "x2", "y2").cast(box_type)),
                 "MASK_BBOX_MISMATCH", F.col("instance_id"),
             ),
         ],

@@ -36,9 +36,8 @@ def audit_inputs(t: Tables) -> dict[str, DataFrame]:
         (i % 103 != 0).alias("evidence_ok"),
     )
     lines = B.annotations(t).join(t.orders.select(F.col("o_orderkey").alias("sample_id"), "o_custkey"), "sample_id")
-    part = F.split("source_asset", "/")
     q = F.round("quantity").cast("int")
-    x1, y1 = (part[0].cast("int") % 5), (part[1].cast("int") % 5)
+    x1, y1 = (F.col("x1") % 5).cast("int"), (F.col("y1") % 5).cast("int")
     items = lines.select(
         (F.col("o_custkey") % POOLS).cast("int").alias("pool"), F.col("sample_id").cast("string").alias("sample_id"),
         F.concat(F.lit("instance-"), F.col("instance_pos").cast("string")).alias("instance_id"), q.alias("q"),
@@ -81,8 +80,8 @@ SQL_AUDIT = (
 o as (select cast(o_custkey % 25 as integer) as pool, o_orderkey as id from orders where o_custkey % 25 <> 13),
 dec as (select *, pool % 5 <> 0 and id % 101 <> 0 and id % 103 <> 0 as masked from o where id % 501 <> 0),
 a as (select dec.pool, dec.masked, cast(sample_id as varchar) as sample_id, 'instance-' || instance_pos as instance_id, cast(round(quantity) as integer) as q, cast(round(discount * 100) as integer) as d,
-    cast(string_split(source_asset, '/')[1] as integer) % 5 as x1, cast(string_split(source_asset, '/')[2] as integer) % 5 as y1,
-    cast(string_split(source_asset, '/')[1] as integer) % 5 + 1 + cast(round(quantity) as integer) % 4 as x2, cast(string_split(source_asset, '/')[2] as integer) % 5 + 1 + instance_pos % 3 as y2
+    cast(x1 % 5 as integer) as x1, cast(y1 % 5 as integer) as y1,
+    cast(x1 % 5 as integer) + 1 + cast(round(quantity) as integer) % 4 as x2, cast(y1 % 5 as integer) + 1 + instance_pos % 3 as y2
   from v_annotations join dec on dec.id = sample_id)"""
 )
 
