@@ -110,8 +110,24 @@ def with_weights(
     return frame.withColumn("units", units).drop("__gw", "__aw")
 
 
-def weighted_intervals(assets: DataFrame, keys: Sequence[str], digest: str, order: Sequence[str]) -> DataFrame:
-    """Lay the assets of each key end to end: [lo, hi) in weight units.
+@dataclass(frozen=True)
+class Intervals:
+    """Assets laid end to end per key: rows with [lo, hi), and span and count of every key."""
+
+    rows: DataFrame
+    totals: DataFrame
+    keys: tuple[str, ...]
+
+    def sized(self, frame: DataFrame, how: str = "inner") -> DataFrame:
+        """Attach ``span`` and ``bins`` of the frame's key; one scalar when there is no key."""
+        if self.keys:
+            return join_null_safe(frame, self.totals, list(self.keys), how)
+        total = self.totals.select(F.struct("span", "bins")).scalar()
+        return frame.withColumn("__t", total).select("*", "__t.span", "__t.bins").drop("__t")
+
+
+def weighted_intervals(assets: DataFrame, keys: Sequence[str], digest: str, order: Sequence[str]) -> Intervals:
+    """Lay the assets of each key end to end in weight units.
 
     ``digest`` is a hex hash column that leads the order; its prefix cuts large keys.
     """
@@ -121,21 +137,15 @@ def weighted_intervals(assets: DataFrame, keys: Sequence[str], digest: str, orde
     totals = assets.groupBy(*keys).agg(
         F.sum("units").cast("bigint").alias("span"), F.count(F.lit(1)).alias("bins")
     )
-    if keys:
-        return join_null_safe(laid, totals, keys)
-    return laid.withColumn("span", totals.select("span").scalar()).withColumn("bins", totals.select("bins").scalar())
+    return Intervals(laid, totals, tuple(keys))
 
 
-def weighted_pick(plans: DataFrame, intervals: DataFrame, u: Column, keys: Sequence[str] = ()) -> DataFrame:
+def weighted_pick(plans: DataFrame, intervals: Intervals, u: Column) -> DataFrame:
     """One asset per plan, by weight."""
-    keys = list(keys)
-    spans = intervals.groupBy(*keys).agg(F.max("span").alias("span"), F.max("bins").alias("bins"))
-    if keys:
-        placed = join_null_safe(plans, spans, keys)
-    else:
-        placed = plans.withColumn("span", spans.select("span").scalar()).withColumn("bins", spans.select("bins").scalar())
-    placed = placed.withColumn("__point", F.least(F.floor(u * F.col("span")), F.col("span") - 1)).where("span > 0")
-    found = interval_lookup(placed, intervals, keys, "__point", "lo", "hi", "span", "bins")
+    placed = intervals.sized(plans).where("span > 0")
+    placed = placed.withColumn("__point", F.least(F.floor(u * F.col("span")), F.col("span") - 1))
+    rows = intervals.sized(intervals.rows)
+    found = interval_lookup(placed, rows, intervals.keys, "__point", "lo", "hi", "span", "bins")
     return found.drop("__point", "lo", "hi", "span", "bins", "units")
 
 
@@ -176,34 +186,30 @@ def constrained_pick(
         else:
             wanted = F.col("anchor")
         approved = assets.where((F.size("approved_roles") == 0) | F.array_contains("approved_roles", role.name))
-        scoped = approved.select("asset_id", "group", "content_hash", "units", F.col("group").alias("scope"))
-        if not picked and role.group is None:
-            everything = approved.select(
-                "asset_id", "group", "content_hash", "units", F.lit(None).cast("string").alias("scope")
-            )
-            scoped = everything
-        intervals = weighted_intervals(scoped, ["scope"], "content_hash", ["asset_id"])
-        hashes = intervals.groupBy("scope", "content_hash").agg(
+        columns = ["asset_id", "group", "content_hash", "units"]
+        anywhere = not picked and role.group is None
+        if anywhere:
+            scoped, keys = approved.select(*columns), []
+        else:
+            scoped, keys = approved.select(*columns, F.col("group").alias("scope")), ["scope"]
+        intervals = weighted_intervals(scoped, keys, "content_hash", ["asset_id"])
+        hashes = intervals.rows.groupBy(*keys, "content_hash").agg(
             F.min("lo").alias("h_lo"), F.max("hi").alias("h_hi"), F.count(F.lit(1)).alias("h_n")
         )
-        spans = scoped.groupBy("scope").agg(
-            F.sum("units").cast("bigint").alias("span"), F.count(F.lit(1)).alias("bins")
-        )
         current = state.withColumn("scope", wanted)
-        blocked = F.lit(False)
         crossing = F.col("anchor").isNotNull() & F.col("scope").isNotNull() & (F.col("scope") != F.col("anchor"))
         permitted = F.lit(False)
         for a, b in pairs:
             permitted = permitted | ((F.col("anchor") == a) & (F.col("scope") == b))
         blocked = crossing & ~permitted
-        current = join_null_safe(current, spans, ["scope"], "left")
+        current = intervals.sized(current, "left")
         gaps = []
         for earlier in role.distinct_from:
             renamed = hashes.select(
-                "scope", F.col("content_hash").alias(f"{earlier}_hash"),
+                *keys, F.col("content_hash").alias(f"{earlier}_hash"),
                 F.struct("h_lo", "h_hi", "h_n").alias(f"__gap_{earlier}"),
             )
-            current = join_null_safe(current, renamed, ["scope", f"{earlier}_hash"], "left")
+            current = join_null_safe(current, renamed, [*keys, f"{earlier}_hash"], "left")
             gaps.append(f"__gap_{earlier}")
         gap_list = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.col(g) for g in gaps])))) if gaps else F.array().cast(
             "array<struct<h_lo:bigint,h_hi:bigint,h_n:bigint>>"
@@ -223,17 +229,17 @@ def constrained_pick(
         current = current.withColumn(
             f"{role.name}_outcome",
             F.when(blocked, "cross_group_not_allowed")
-            .when(F.col("bins").isNull(), "no_candidates")
+            .when(F.coalesce("bins", F.lit(0)) == 0, "no_candidates")
             .when(F.col("__room") <= 0, "zero_weight")
             .otherwise("ok"),
         ).withColumn("__point", point)
         # A failed rule leaves no point to look up; the left join keeps such plans.
         current = current.withColumn("__point", F.when(F.col(f"{role.name}_outcome") == "ok", F.col("__point")))
-        choices = intervals.select(
-            "scope", "lo", "hi", "span", "bins", F.col("asset_id").alias(f"{role.name}_asset"),
+        choices = intervals.sized(intervals.rows).select(
+            *keys, "lo", "hi", "span", "bins", F.col("asset_id").alias(f"{role.name}_asset"),
             F.col("group").alias(f"{role.name}_group"), F.col("content_hash").alias(f"{role.name}_hash"),
         )
-        state = interval_lookup(current, choices, ["scope"], "__point", "lo", "hi", "span", "bins", "left").drop("lo", "hi")
+        state = interval_lookup(current, choices, keys, "__point", "lo", "hi", "span", "bins", "left").drop("lo", "hi")
         earlier_hashes = [F.col(f"{p}_hash") for p in picked]
         reused = F.lit(False)
         for h in earlier_hashes:
