@@ -176,11 +176,17 @@ def journal_reconcile(log: DataFrame, journal: DataFrame, pool: str, keys: Seque
     return log.join(pools, pool, "left_anti").unionByName(journal).dropDuplicates([pool, *keys])
 
 
-def pending_slots(runs: DataFrame, committed: DataFrame) -> DataFrame:
-    """Slots below each run's target that are not committed. runs[pool, target], committed[pool, slot]."""
-    wanted = runs.where("target > 0").select(
-        "pool", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("target").cast("bigint") - 1)).alias("slot")
-    )
+def pending_slots(runs: DataFrame, committed: DataFrame, chunk: int = 65_536) -> DataFrame:
+    """Slots below each run's target that are not committed. runs[pool, target], committed[pool, slot].
+
+    A run is expanded to chunks first; these are spread over the tasks before their slots
+    are listed, so one very large run is no single task.
+    """
+    target = F.col("target").cast("bigint")
+    starts = F.sequence(F.lit(0).cast("bigint"), target - 1, F.lit(chunk).cast("bigint"))
+    chunks = runs.where("target > 0").select("pool", target.alias("target"), F.explode(starts).alias("start"))
+    slots = F.sequence(F.col("start"), F.least(F.col("start") + chunk, F.col("target")) - 1)
+    wanted = chunks.repartition("pool", "start").select("pool", F.explode(slots).alias("slot"))
     return wanted.join(committed.select("pool", "slot"), ["pool", "slot"], "left_anti")
 
 

@@ -208,7 +208,9 @@ def resource_rollup(metrics: DataFrame, by: tuple[str, ...], counters: tuple[str
     """
     is_sample = F.col("code").isNull()
     order = F.struct("ingested_at", "sequence")
+    sessions = [] if "session_id" in by else [F.countDistinct("session_id").alias("sessions")]
     return metrics.groupBy(*by).agg(
+        *sessions,
         *[F.max(F.when(is_sample, F.col(c))).alias(f"peak_{c}") for c in counters],
         *[F.max_by(F.when(is_sample, F.col(c)), F.when(is_sample, order)).alias(f"latest_{c}") for c in counters],
         F.sum(is_sample.cast("bigint")).alias("samples"),

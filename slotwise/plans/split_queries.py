@@ -195,7 +195,38 @@ def _(t: Tables) -> DataFrame:
     return O.split_greedy_sample(table, SPLITS).select("component_id", "split")
 
 
-@query("split_greedy_class")
+def sql_greedy_class() -> str:
+    """The walk with one count per split and class; classes are added in name order."""
+    f = [f"{x!r}::double" for x in FRACTIONS]
+    names = ["train", "val", "test"]
+
+    def error(i: int) -> str:
+        part = f"case when o.v[k] > 0 then abs(w.m{i}[k] + o.v[k] - t.tv[k] * {f[i]}) / greatest(t.tv[k], 1) else 0.0::double end"
+        listed = f"list_transform(range(1, len(t.tv) + 1), lambda k: {part})"
+        return f"abs(c{i} + o.size - t.total * {f[i]}) / greatest(t.total, 1) + list_reduce({listed}, lambda a, b: a + b)"
+
+    rows = ", ".join(f"{{'e': {error(i)}, 'f': c{i} / {f[i]}, 'n': '{names[i]}'}}" for i in range(3))
+    grown = ", ".join(
+        f"case when n = '{names[i]}' then list_transform(range(1, len(v) + 1), lambda k: m{i}[k] + v[k]) else m{i} end" for i in range(3)
+    )
+    return f"""
+cls as (select class_name, row_number() over (order by class_name) as k, count(*)::double as tot from doc_labels join members using (sample) group by class_name),
+per as (select component, class_name, count(*)::double as n from doc_labels join members using (sample) group by all),
+vec as (select component, list(coalesce(n, 0.0::double) order by k) as v from comp cross join cls left join per using (component, class_name) group by component),
+ordered as (select *, row_number() over (order by size desc, u, component_id) as rn from comp join vec using (component)),
+tot as (select (select sum(size)::double from comp) as total, (select list(tot order by k) from cls) as tv),
+walk as (
+  select 0::bigint as rn, ''::varchar as component_id, ''::varchar as split, 0::double as c0, 0::double as c1, 0::double as c2,
+    list_transform(tv, lambda x: 0::double) as m0, list_transform(tv, lambda x: 0::double) as m1, list_transform(tv, lambda x: 0::double) as m2 from tot
+  union all
+  select rn, component_id, n, c0 + case when n = 'train' then size else 0 end, c1 + case when n = 'val' then size else 0 end, c2 + case when n = 'test' then size else 0 end, {grown}
+  from (select o.rn, o.component_id, o.size, o.v, c0, c1, c2, m0, m1, m2, list_sort([{rows}])[1].n as n from walk w join ordered o on o.rn = w.rn + 1, tot t))"""
+
+
+@query(
+    "split_greedy_class",
+    with_sql("select component_id, split from walk where rn > 0", SQL_DOC, sql_greedy_class(), recursive=True),
+)
 def _(t: Tables) -> DataFrame:
     members, edges = doc_members(t)
     table = K.settle(K.component_table(members, SEED))
