@@ -143,7 +143,52 @@ def role_assets(t: Tables) -> DataFrame:
     )
 
 
-@query("constrained_pick")
+def _sql_role(name: str, source: str, test: str, gone: str) -> str:
+    """Candidates of one role listed per plan, without the hashes picked before unless nothing else is left."""
+    u = sql_u("'42'", "slot", "'role'", f"'{name}'")
+    return f"""
+{name}_c as (select s.slot, r.asset_id, r.grp, r.content_hash, r.units, {gone} as gone from {source} s join ra r on {test}),
+{name}_s as (select slot, count(*) as n, count(*) filter (not gone) as n_left, cast(coalesce(sum(units) filter (not gone), 0) as bigint) as t_left, cast(sum(units) as bigint) as t_all from {name}_c group by slot),
+{name}_o as (select s.slot, n, n_left = 0 as reuse, case when n_left = 0 then t_all else t_left end as room from {source} s left join {name}_s using (slot)),
+{name}_x as (select c.*, cast(least(floor({u} * room), room - 1) as bigint) as x, sum(units) over (partition by slot order by content_hash, asset_id) as hi
+  from {name}_c c join {name}_o o using (slot) where room > 0 and (reuse or not gone)),
+{name}_p as (select slot, asset_id, grp, content_hash from {name}_x where x >= hi - units and x < hi)"""
+
+
+SQL_ROLES = (
+    B.SQL_ASSETS
+    + ","
+    + SQL_PLANS
+    + """,
+ra as (select asset_id, "group" as grp, content_hash, (size % 3) * 1000000 as units, size % 4 <> 1 as base_ok, size % 4 <> 0 as detail_ok from v_assets),
+iv as (select *, sum(units) over (order by content_hash, asset_id) as hi, sum(units) over () as span from ra where base_ok),
+base_p as (select p.slot, iv.asset_id, iv.grp, iv.content_hash from (select slot, cast(least(floor("""
+    + sql_u("'42'", "slot", "'role'", "'base'")
+    + """ * (select max(span) from iv)), (select max(span) from iv) - 1) as bigint) as x from v_plans) p join iv on p.x >= iv.hi - iv.units and p.x < iv.hi),"""
+    + _sql_role("detail", "base_p", "r.grp = s.grp and r.detail_ok", "r.content_hash = s.content_hash")
+    + """,
+both_p as (select b.slot, b.grp, b.content_hash as h1, d.content_hash as h2 from base_p b left join detail_p d using (slot)),
+open_p as (select * from both_p where grp in ("""
+    + ", ".join(f"'Brand#{i}'" for i in range(10))
+    + ")),"
+    + _sql_role("accent", "open_p", "r.grp = 'Brand#3' and r.base_ok", "(r.content_hash = s.h1 or r.content_hash is not distinct from s.h2)")
+)
+
+
+@query(
+    "constrained_pick",
+    with_sql(
+        """select slot, 'base' as role, asset_id, grp as "group", false as reused, 'ok' as outcome from base_p
+           union all select o.slot, 'detail', p.asset_id, p.grp, coalesce(p.content_hash = b.content_hash, false),
+             case when n is null then 'no_candidates' when room <= 0 then 'zero_weight' else 'ok' end
+             from detail_o o join base_p b using (slot) left join detail_p p on p.slot = o.slot
+           union all select b.slot, 'accent', p.asset_id, p.grp, coalesce(p.content_hash = b.h1 or p.content_hash = b.h2, false),
+             case when b.grp not in ('Brand#0', 'Brand#1', 'Brand#2', 'Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#7', 'Brand#8', 'Brand#9') then 'cross_group_not_allowed'
+               when n is null then 'no_candidates' when room <= 0 then 'zero_weight' else 'ok' end
+             from both_p b left join accent_o o on o.slot = b.slot left join accent_p p on p.slot = b.slot""",
+        SQL_ROLES,
+    ),
+)
 def _(t: Tables) -> DataFrame:
     picks = O.constrained_pick(plans(t).select("slot"), "slot", role_assets(t), ROLES, ALLOWED_PAIRS, SEED)
     return picks.select("slot", "role", "asset_id", "group", "reused", "outcome")
