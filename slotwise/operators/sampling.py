@@ -187,8 +187,10 @@ def constrained_pick(
             wanted = F.col("anchor")
         approved = assets.where((F.size("approved_roles") == 0) | F.array_contains("approved_roles", role.name))
         columns = ["asset_id", "group", "content_hash", "units"]
-        anywhere = not picked and role.group is None
-        if anywhere:
+        named = role.group is not None and not role.same_group_as
+        if named:
+            scoped, keys = approved.where(F.col("group") == role.group).select(*columns), []
+        elif not picked:
             scoped, keys = approved.select(*columns), []
         else:
             scoped, keys = approved.select(*columns, F.col("group").alias("scope")), ["scope"]
