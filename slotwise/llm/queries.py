@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import license_scan, media_columns, quality_bands
+from slotwise.llm import fit_packing, language_mixture, license_scan, media_columns, quality_bands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """A vocabulary file of the public tokenizers; it lies at the same place on every worker."""
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.identify(table(spark, sf_dir))
+
+
+@query
+def op3_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fit_packing.pack_documents(table(spark, sf_dir), tokenizer("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir))
