@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import fit_packing, language_mixture, license_scan, media_columns, quality_bands
+from slotwise.llm import bloom_lm, fit_packing, language_mixture, license_scan, media_columns, quality_bands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir))
 
 
+@query
+def op7_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir))
+
+
 @query
 def op8_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality(table(spark, sf_dir))
