@@ -176,8 +176,11 @@ class LogBloom:
         return level
 
 
-def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS) -> LogBloom:
-    """Fill the segments in Spark; ``ngrams`` has key and n. What comes to the driver is at most ``most_bits``."""
+def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS, whole: bool = False) -> LogBloom:
+    """Fill the segments in Spark; ``ngrams`` has key and n. What comes to the driver is at most ``most_bits``.
+
+    With ``whole`` every key goes in, whatever share of keys then passes by mistake.
+    """
     level = F.lit(0)
     for least in LEVELS.tolist():
         level = level + (F.col("n") >= least).cast("int")
@@ -185,7 +188,7 @@ def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS) -> LogBloom:
     by_level = sorted(((r.level, r.n) for r in sized.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
     entries, least = 0, LEVELS.size + 1
     for own, n in by_level:
-        if (entries + own * n) * BITS_PER_ENTRY > most_bits:
+        if (entries + own * n) * BITS_PER_ENTRY > most_bits and not whole:
             break
         entries, least = entries + own * n, own
     segments = max(1, min(-(-entries * BITS_PER_ENTRY // SEGMENT_BITS), most_bits // SEGMENT_BITS))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import bloom_lm, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands
+from slotwise.llm import bloom_lm, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands, signature_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,3 +60,8 @@ def op8_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns.text_media(table(spark, sf_dir))
+
+
+@query
+def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.similar_components(table(spark, sf_dir))
