@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import bloom_lm, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands, signature_join
+from slotwise.llm import bloom_lm, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands, signature_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir))
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir), keep="none")
+
+
 @query
 def op6_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_consensus.main_text(table(spark, sf_dir, "pages"))
