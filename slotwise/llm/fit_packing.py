@@ -17,6 +17,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,6 +37,11 @@ CACHED_WORDS = 400_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long"
 
+# Byte-level vocabularies spell a byte by its Latin-1 letter if that is visible, the others by letters from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+BYTE_LETTERS = {b: b for b in _VISIBLE} | {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
 Run = tuple[tuple[int, ...], int]
 
 
@@ -186,8 +192,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # One pre-token at a time needs no splitting and no special tokens, only the tokenizer's merges.
+        self.merge = Tokenizer.from_file(path).model.tokenize
         self.split = regex.compile(pattern).findall
         self.held: dict[str, bytes] = {}
 
@@ -195,11 +201,10 @@ class Encoder:
         split = [self.split(t) for t in texts]
         if len(self.held) > CACHED_WORDS:
             self.held.clear()
-        fresh = list({w for ws in split for w in ws}.difference(self.held))
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.held[word] = np.array(found.ids, "<u4").tobytes()
+        fresh = {w for ws in split for w in ws}.difference(self.held)
+        for word in fresh:
+            spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            self.held[word] = array("I", [t.id for t in self.merge(spelled)]).tobytes()
         get = self.held.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
