@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import bloom_lm, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands, signature_join, suffix_dedup
+from slotwise.llm import bloom_lm, byte_bpe, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands, signature_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(tokenizer("byte_bpe_50k.tiktoken"))
+    return byte_bpe.round_trip(table(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 @query
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mixture.identify(table(spark, sf_dir))
