@@ -5,8 +5,8 @@ shingle among the first |x| - ceil(t |x|) + 1 of each in one global order, so ca
 prefix key. The order puts shingles that stand out in a table of 65,536 hashed counts last, which keeps boilerplate out
 of the prefixes; any order is right.
 
-1. Leaders: every key points at its smallest class; a class that shares two keys with a leader is compared with it. Groups
-   of near copies, however large, become stars in linear work.
+1. Leaders: every key points at its smallest class; a class is compared with the leader that shares most keys with it, two
+   at least. Groups of near copies, however large, become stars in linear work.
 2. Signature trees: for keys that still join different components, the members' sets form a tree whose nodes hold the
    OR of the members' bitmaps, their size range and component range. A dual traversal drops pairs of nodes whose largest
    possible overlap is too small, or which lie in one component already, and yields pairs to compare. Groups above 512
@@ -331,7 +331,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     classes = own.where("n_shingles > 0").groupBy("cid").agg(first).select("cid", "f.*")
 
     near = rows.where("cid <> lead").groupBy(F.col("cid").alias("a"), F.col("lead").alias("b")).count()
-    links = _links(docs, classes, near.where(F.col("count") >= SHARED_WITH_LEADER).select("a", "b"))
+    near = near.where(F.col("count") >= SHARED_WITH_LEADER).groupBy("a").agg(F.max(F.struct("count", "b")).getField("b").alias("b"))
+    links = _links(docs, classes, near)
     comps = stored(_components(links), "components")
 
     located = rows.select("key", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
