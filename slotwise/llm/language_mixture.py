@@ -150,22 +150,29 @@ def _has_letter(part: Slice) -> np.ndarray:
     return out
 
 
+def label(part: Slice, names: list[str], model: np.ndarray) -> tuple[list[str], list[float], list[str]]:
+    """Prediction, score and language set of every text of a slice."""
+    rows, grams = trigrams(part)
+    languages, shares = mixtures(rows, grams, model, len(part))
+    letters = _has_letter(part)
+    prediction, score, sets = [], [], []
+    for row in range(len(part)):
+        if not names or not letters[row]:
+            own, held = (UNKNOWN, 0.0), []
+        elif languages[row, 0] < 0:
+            own, held = (names[0], 1 / len(names)), []
+        else:
+            held = [(names[i], s) for i, s in zip(languages[row].tolist(), shares[row].tolist(), strict=True) if s > 0]
+            own = (held[0][0], min(1.0, held[0][1]))
+        prediction.append(own[0])
+        score.append(own[1])
+        sets.append(",".join(f"{name}:{share:.3f}" for name, share in held))
+    return prediction, score, sets
+
+
 def predict(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
     def work(part: Slice) -> pa.RecordBatch:
-        rows, grams = trigrams(part)
-        languages, shares = mixtures(rows, grams, model, len(part))
-        letters = _has_letter(part)
-        prediction, score, sets = [], [], []
-        for row in range(len(part)):
-            if not names or not letters[row]:
-                prediction.append(UNKNOWN), score.append(0.0), sets.append("")
-                continue
-            if languages[row, 0] < 0:
-                prediction.append(names[0]), score.append(1 / len(names)), sets.append("")
-                continue
-            held = [(names[i], s) for i, s in zip(languages[row].tolist(), shares[row].tolist(), strict=True) if s > 0]
-            prediction.append(held[0][0]), score.append(min(1.0, held[0][1]))
-            sets.append(",".join(f"{name}:{share:.3f}" for name, share in held))
+        prediction, score, sets = label(part, names, model)
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": part.column("doc_id"),
@@ -182,3 +189,14 @@ def predict(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the rows outside the held-out third and predict every row."""
     return predict(docs, *train(docs))
+
+
+def keep_known(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
+    """The documents whose language is known with at least this score, with all their columns."""
+    names, model = train(docs)
+
+    def work(part: Slice) -> pa.RecordBatch:
+        prediction, score, _ = label(part, names, model)
+        return part.batch.filter(pa.array([p != UNKNOWN and s >= least_score for p, s in zip(prediction, score, strict=True)]))
+
+    return map_slices(docs, work, docs.schema)

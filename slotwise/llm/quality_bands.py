@@ -110,28 +110,31 @@ def compression(raw: bytes, squeeze: zstandard.ZstdCompressor) -> tuple[float, i
     return ratio, bad_low + bad_high, count, verdict
 
 
+def judge(part: Slice) -> dict[str, pa.Array]:
+    """Everything but the id, for every text of a slice."""
+    squeeze = zstandard.ZstdCompressor(level=LEVEL)
+    base = base_counts(part)
+    failed = (base["n_words"] < LEAST_WORDS) | (
+        MOST_REPEATED[1] * base["n_repeat_words"] > MOST_REPEATED[0] * base["n_words"]
+    )
+    ratio, bad, count, verdict = zip(*[compression(part.raw(i), squeeze) for i in range(len(part))], strict=True)
+    return {
+        **{k: pa.array(v, pa.int64()) for k, v in base.items()},
+        "base_failed": pa.array(failed),
+        "kept": pa.array(~failed & (np.array(verdict) == "pass")),
+        "zstd_ratio": pa.array(ratio, pa.float64()),
+        "bad_chunks": pa.array(bad, pa.int64()),
+        "n_chunks": pa.array(count, pa.int64()),
+        "verdict": pa.array(verdict, pa.string()),
+    }
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """Base counts, compression figures and the verdict of every document."""
+    work = lambda part: pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), **judge(part)})
+    return map_slices(documents(docs, "doc_id", "text"), work, SCHEMA)
 
-    def work(part: Slice) -> pa.RecordBatch:
-        squeeze = zstandard.ZstdCompressor(level=LEVEL)
-        base = base_counts(part)
-        failed = (base["n_words"] < LEAST_WORDS) | (
-            MOST_REPEATED[1] * base["n_repeat_words"] > MOST_REPEATED[0] * base["n_words"]
-        )
-        ratio, bad, count, verdict = zip(*[compression(part.raw(i), squeeze) for i in range(len(part))], strict=True)
-        kept = ~failed & (np.array(verdict) == "pass")
-        return pa.RecordBatch.from_pydict(
-            {
-                "doc_id": part.column("doc_id"),
-                **{k: pa.array(v, pa.int64()) for k, v in base.items()},
-                "base_failed": pa.array(failed),
-                "kept": pa.array(kept),
-                "zstd_ratio": pa.array(ratio, pa.float64()),
-                "bad_chunks": pa.array(bad, pa.int64()),
-                "n_chunks": pa.array(count, pa.int64()),
-                "verdict": pa.array(verdict, pa.string()),
-            }
-        )
 
-    return map_slices(documents(docs, "doc_id", "text"), work, SCHEMA)
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The documents that are kept, with all their columns."""
+    return map_slices(docs, lambda part: part.batch.filter(judge(part)["kept"]), docs.schema)

@@ -25,13 +25,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.llm.bloom_lm import LogBloom, build_filter
+from slotwise.llm.frames import stored, text_tag, touching
 from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, sequence_hash, slices, words
 from slotwise.operators.components import asset_components
-from slotwise.session import scratch_path
 
 WIDTH = 4
 #: Similarity as a fraction in hundredths.
@@ -43,7 +42,7 @@ BLOCK = 512
 SHARED_WITH_LEADER = 2
 
 
-def shingle_sets(part: Slice, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and values of the distinct shingles of every text, ordered by row and value."""
     data = LOWER[part.data]
     starts, ends = words(Slice(part.batch, data, part.bounds), SPACE ^ True)
@@ -77,7 +76,7 @@ def signatures(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(bits, axis=1)
 
 
-def _described(docs: DataFrame) -> DataFrame:
+def _described(docs: DataFrame, width: int) -> DataFrame:
     """Scratch table: a row per document, and per task the counts of hashed shingles (where ``bucket`` is set)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,44 +84,44 @@ def _described(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 n = len(part)
-                rows, values = shingle_sets(part)
+                rows, values = shingle_sets(part, width)
                 total += np.bincount((values >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(total))
                 begin = np.searchsorted(rows, np.arange(n + 1))
                 nothing = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.diff(begin), pa.int64()), pa.array(class_ids(rows, values, begin)),
+                    [part.column("doc_id"), part.column("tag"), pa.array(np.diff(begin), pa.int64()), pa.array(class_ids(rows, values, begin)),
                      pa.array([s.tobytes() for s in signatures(rows, values, n)], pa.binary()), nothing, nothing],
-                    ["doc_id", "n_shingles", "cid", "signature", "bucket", "n"],
+                    ["doc_id", "tag", "n_shingles", "cid", "signature", "bucket", "n"],
                 )
         some = np.flatnonzero(total)
         nothing = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [nothing, nothing, nothing, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int64()), pa.array(total[some])],
-            ["doc_id", "n_shingles", "cid", "signature", "bucket", "n"],
+            [nothing, pa.nulls(len(some), pa.int32()), nothing, nothing, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int64()), pa.array(total[some])],
+            ["doc_id", "tag", "n_shingles", "cid", "signature", "bucket", "n"],
         )
 
-    return documents(docs, "doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, cid long, signature binary, bucket long, n long"
+    return documents(docs, "doc_id", "text").withColumn("tag", text_tag()).mapInArrow(
+        run, "doc_id long, tag int, n_shingles long, cid long, signature binary, bucket long, n long"
     )
 
 
-def _prefixes(docs: DataFrame, level: np.ndarray) -> DataFrame:
+def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int) -> DataFrame:
     """Prefix keys of every set."""
 
     def work(part: Slice) -> pa.RecordBatch:
-        rows, values = shingle_sets(part)
+        rows, values = shingle_sets(part, width)
         begin = np.searchsorted(rows, np.arange(len(part) + 1))
         cid, size = class_ids(rows, values, begin), np.diff(begin)
         order = np.lexsort((values, level[(values >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], rows))
         place = np.arange(len(rows)) - begin[rows]
-        length = size - -(-THRESHOLD * size // 100) + 1
+        length = size - -(-threshold * size // 100) + 1
         taken = place < length[rows]
         return pa.RecordBatch.from_arrays([pa.array(values[order][taken].view(np.int64)), pa.array(cid[rows[taken]])], ["key", "cid"])
 
     return map_slices(documents(docs, "text"), work, "key long, cid long")
 
 
-def _possible(frame: DataFrame) -> DataFrame:
+def _possible(frame: DataFrame, threshold: int) -> DataFrame:
     """Keep pairs whose sizes and bitmaps allow a link; columns a_* and b_* hold size and signature."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,39 +131,32 @@ def _possible(frame: DataFrame) -> DataFrame:
             x, y = (v.view(np.uint8).reshape(-1, SIGNATURE_BITS // 8).view(np.uint64) for v in (x, y))
             both = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
             extra = np.minimum(a - np.bitwise_count(x).sum(axis=1, dtype=np.int64), b - np.bitwise_count(y).sum(axis=1, dtype=np.int64))
-            good = (100 * np.minimum(a, b) >= THRESHOLD * np.maximum(a, b)) & ((100 + THRESHOLD) * (both + extra) >= THRESHOLD * (a + b))
+            good = (100 * np.minimum(a, b) >= threshold * np.maximum(a, b)) & ((100 + threshold) * (both + extra) >= threshold * (a + b))
             yield batch.select(["a", "b", "a_doc", "b_doc"]).filter(pa.array(good))
 
     return frame.mapInArrow(run, "a long, b long, a_doc long, b_doc long")
 
 
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b) whose sets link, compared exactly on the texts of one document of each class."""
-    spark = docs.sparkSession
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("doc_id").alias(f"{x}_doc"), F.col("n_shingles").alias(f"{x}_size"), F.col("signature").alias(f"{x}_sig"))
-    path = scratch_path(spark, "pairs")
-    _possible(pairs.join(side("a"), "a").join(side("b"), "b")).write.parquet(path)
-    pairs = spark.read.parquet(path)
+    pairs = stored(_possible(pairs.join(side("a"), "a").join(side("b"), "b"), threshold), "pairs")
     needed = pairs.select(F.col("a").alias("cid"), F.col("a_doc").alias("doc_id"))
     needed = needed.unionByName(pairs.select(F.col("b").alias("cid"), F.col("b_doc").alias("doc_id"))).distinct()
-    bloom = build_filter(needed.select(F.col("doc_id").alias("key"), F.lit(1).alias("n")).distinct(), whole=True)
-    shared, segments = spark.sparkContext.broadcast(bloom.filled), int(bloom.segments)
+    wanted, _ = touching(needed)
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze, held = zstandard.ZstdCompressor(level=1), LogBloom(shared.value, segments)
-        for batch in batches:
-            batch = batch.filter(pa.array(held.level(batch.column("doc_id").to_numpy().view(np.uint64)) > 0))
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in wanted(batches):
             for part in slices(batch):
-                rows, values = shingle_sets(part)
+                rows, values = shingle_sets(part, width)
                 cid = class_ids(rows, values, np.searchsorted(rows, np.arange(len(part) + 1)))
                 packed = [squeeze.compress(part.raw(i)) for i in range(len(part))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cid), pa.array(packed, pa.binary())], ["doc_id", "cid", "packed"])
 
-    texts = documents(docs, "doc_id", "text").where("doc_id is not null and text is not null")
-    texts = texts.mapInArrow(fetch, "doc_id long, cid long, packed binary").join(needed, ["doc_id", "cid"], "left_semi")
-    path = scratch_path(spark, "texts")
-    texts.groupBy("cid").agg(F.first("packed").alias("packed")).write.parquet(path)
-    texts = spark.read.parquet(path)
+    texts = documents(docs, "doc_id", "text").where("text is not null").mapInArrow(fetch, "doc_id long, cid long, packed binary")
+    texts = texts.alias("t").join(needed.alias("w"), F.expr("t.cid = w.cid and t.doc_id <=> w.doc_id"), "left_semi")
+    texts = stored(texts.groupBy("cid").agg(F.first("packed").alias("packed")), "texts")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, held = zstandard.ZstdDecompressor(), {}
@@ -174,7 +166,7 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
                 if len(held) > 64:
                     held.clear()
                 raw = np.frombuffer(plain.decompress(packed.as_py()), np.uint8)
-                held[cid] = shingle_sets(Slice(None, raw, np.array([0, len(raw)])))[1]
+                held[cid] = shingle_sets(Slice(None, raw, np.array([0, len(raw)])), width)[1]
             return held[cid]
 
         for batch in batches:
@@ -184,14 +176,12 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
             for i in range(len(a)):
                 one, two = sets(a[i], x[i]), sets(b[i], y[i])
                 common = len(np.intersect1d(one, two, assume_unique=True))
-                good[i] = 100 * common >= THRESHOLD * (len(one) + len(two) - common)
+                good[i] = 100 * common >= threshold * (len(one) + len(two) - common)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     joined = pairs.select("a", "b").join(texts.select(F.col("cid").alias("a"), F.col("packed").alias("a_text")), "a")
     joined = joined.join(texts.select(F.col("cid").alias("b"), F.col("packed").alias("b_text")), "b")
-    path = scratch_path(spark, "links")
-    joined.select("a", "b", "a_text", "b_text").mapInArrow(compare, "a long, b long").write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(joined.select("a", "b", "a_text", "b_text").mapInArrow(compare, "a long, b long"), "links")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -205,7 +195,8 @@ def _components(links: DataFrame) -> DataFrame:
 class Tree:
     """Signature trees of many groups at once, level by level; nodes of a level are ordered by group."""
 
-    def __init__(self, group: np.ndarray, size: np.ndarray, bits: np.ndarray, marks: np.ndarray):
+    def __init__(self, group: np.ndarray, size: np.ndarray, bits: np.ndarray, marks: np.ndarray, threshold: int):
+        self.threshold = threshold
         extra = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.levels = [{"low": size, "high": size, "extra": extra, "bits": bits, "mark_low": marks, "mark_high": marks}]
         self.first: list[np.ndarray] = []
@@ -229,16 +220,16 @@ class Tree:
 
     def possible(self, depth: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether any pair below two nodes may be a link that is not yet implied."""
-        at = self.levels[depth]
+        at, threshold = self.levels[depth], self.threshold
         low = at["low"]
-        good = (100 * at["high"][a] >= THRESHOLD * low[b]) & (100 * at["high"][b] >= THRESHOLD * low[a])
+        good = (100 * at["high"][a] >= threshold * low[b]) & (100 * at["high"][b] >= threshold * low[a])
         for k in range(at["mark_low"].shape[1]):
             left, right = at["mark_low"][:, k], at["mark_high"][:, k]
             good &= ~((left[a] == right[a]) & (left[b] == right[b]) & (left[a] == left[b]))
         some = np.flatnonzero(good)
         x, y = a[some], b[some]
         both = np.bitwise_count(at["bits"][x] & at["bits"][y]).sum(axis=1, dtype=np.int64) + np.minimum(at["extra"][x], at["extra"][y])
-        good[some] = (100 + THRESHOLD) * both >= THRESHOLD * (low[x] + low[y])
+        good[some] = (100 + threshold) * both >= threshold * (low[x] + low[y])
         return good
 
     def pairs(self, limit: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -266,7 +257,7 @@ class Tree:
             stack.append((depth - 1, i[there], j[there]))
 
 
-def _tree_pairs(members: DataFrame) -> DataFrame:
+def _tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
     """Pairs of classes by signature trees; members[key, left, right, side, cid, comp, n_shingles, signature]."""
 
     def search(batch: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -280,7 +271,7 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
             change[1:] |= columns[c][1:] != columns[c][:-1]
         # In a task of two different blocks, pairs of one block are left to that block's own task.
         side = np.where(columns["left"] == columns["right"], np.arange(len(order)) + 2, columns["side"])
-        tree = Tree(np.cumsum(change), columns["n_shingles"], bits, np.stack([columns["comp"], side], axis=1))
+        tree = Tree(np.cumsum(change), columns["n_shingles"], bits, np.stack([columns["comp"], side], axis=1), threshold)
         for a, b in tree.pairs():
             x, y = columns["cid"][a], columns["cid"][b]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
@@ -307,24 +298,17 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    spark = docs.sparkSession
-
-    def stored(frame: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
-
-    described = stored(_described(docs), "described")
-    own = described.where("bucket is null").select("doc_id", "n_shingles", "cid", "signature")
+def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
+    """doc_id, tag, n_shingles and comp (a class id; null for empty sets) of every row."""
+    described = stored(_described(docs, width), "described")
+    own = described.where("bucket is null").select("doc_id", "tag", "n_shingles", "cid", "signature")
     counted = described.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(1 << RARITY_BITS)
     total[[r.bucket for r in counted]] = [r.n for r in counted]
     usual = max(float(np.median(total)), 1.0)
     level = np.maximum(np.floor(np.log2(np.maximum(total, 1) / usual)), 0).astype(np.int64)
 
-    keys = stored(_prefixes(docs, level), "prefixes")
+    keys = stored(_prefixes(docs, level, width, threshold), "prefixes")
     shared = keys.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("most")).where("lead < most")
     rows = stored(keys.join(shared.select("key", "lead"), "key").distinct(), "candidates")
     first = F.min(F.struct("doc_id", "n_shingles", "signature")).alias("f")
@@ -332,7 +316,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     near = rows.where("cid <> lead").groupBy(F.col("cid").alias("a"), F.col("lead").alias("b")).count()
     near = near.where(F.col("count") >= SHARED_WITH_LEADER).groupBy("a").agg(F.max(F.struct("count", "b")).getField("b").alias("b"))
-    links = _links(docs, classes, near)
+    links = _links(docs, classes, near, width, threshold)
     comps = stored(_components(links), "components")
 
     located = rows.select("key", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
@@ -345,11 +329,31 @@ def similar_components(docs: DataFrame) -> DataFrame:
         (F.col("block") > F.col("other")).cast("int").alias("side"),
     )
     members = members.join(classes.select("cid", "n_shingles", "signature"), "cid")
-    more = _links(docs, classes, _tree_pairs(members))
+    more = _links(docs, classes, _tree_pairs(members, threshold), width, threshold)
     if not more.isEmpty():
         comps = stored(_components(links.unionByName(more)), "components")
 
-    placed = own.select("doc_id", "n_shingles", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    placed = placed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).alias("comp"))
+    placed = own.select("doc_id", "tag", "n_shingles", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    return placed.select("doc_id", "tag", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).alias("comp"))
+
+
+def similar_components(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    placed = _classes(docs, width, threshold)
     smallest = placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("smallest"))
     return placed.join(smallest, "comp", "left").select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """The documents without all but the first (by id) of every component; empty texts all stay."""
+    placed = _classes(docs, width, threshold).where("comp is not null")
+    best = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "tag")).alias("best")).where("m > 1")
+    groups = placed.join(best, "comp").groupBy("doc_id", "tag").agg(F.first("best").alias("best"))
+    groups = stored(groups.select("doc_id", "tag", F.expr("best.doc_id <=> doc_id and best.tag = tag").alias("stays")), "groups")
+    yes, no = touching(groups)
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    tagged = docs.mapInArrow(yes, docs.schema).withColumn("_tag", text_tag())
+    hit = tagged.alias("d").join(groups.alias("g"), F.expr("d.doc_id <=> g.doc_id and d._tag = g.tag"), "left").where("stays or stays is null")
+    order = Window.partitionBy(F.col("d.doc_id"), F.col("d._tag")).orderBy(F.lit(1))
+    hit = hit.withColumn("_copy", F.row_number().over(order)).where("stays is null or _copy = 1").select(*columns)
+    return hit.unionByName(docs.mapInArrow(no, docs.schema))

@@ -24,12 +24,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.bloom_lm import LogBloom, build_filter
+from slotwise.llm.frames import stored, text_tag, touching
 from slotwise.llm.textops import PrefixHash, Slice, documents, map_slices, mix, slices
-from slotwise.session import scratch_path
 
 MIN_BYTES = 200
 GRAM = 50
@@ -41,11 +40,6 @@ PLACE_BITS = np.uint64(31)
 RUN = "doc_id long, tag int, a long, n int"
 
 
-def text_tag() -> Column:
-    """Tells texts with one doc_id apart."""
-    return F.hash("text")
-
-
 def anchored_runs(part: Slice) -> tuple[np.ndarray, ...]:
     """Rows, first windows, numbers of windows, anchor hashes and content hashes of all runs."""
     data, bounds = part.data, part.bounds
@@ -158,38 +152,15 @@ def _search(table: pa.Table, keep: str) -> pa.RecordBatch:
     )
 
 
-def _touching(docs: DataFrame, rows: DataFrame) -> tuple[Callable, Callable]:
-    """Two readers of docs, with and without the documents that ``rows`` names, by a filter of bounded size."""
-    bloom = build_filter(rows.select(F.col("doc_id").alias("key"), F.lit(1).alias("n")).distinct(), whole=True)
-    shared, segments = docs.sparkSession.sparkContext.broadcast(bloom.filled), int(bloom.segments)
-
-    def reader(wanted: bool) -> Callable:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = LogBloom(shared.value, segments)
-            for batch in batches:
-                there = held.level(batch.column("doc_id").fill_null(0).to_numpy().view(np.uint64)) > 0
-                yield batch.filter(pa.array(there == wanted))
-
-        return run
-
-    return reader(True), reader(False)
-
-
-def _stored(frame: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
     """Runs of windows to remove: doc_id, tag, a (first start), n (starts). ``docs`` has doc_id, text and tag."""
     runs = _runs(docs)
     anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), (F.min("content") < F.max("content")).alias("mixed"))
-    runs = _stored(runs.join(anchors.where("m > 1").select("anchor", "mixed"), "anchor"), "runs")
+    runs = stored(runs.join(anchors.where("m > 1").select("anchor", "mixed"), "anchor"), "runs")
 
     place = F.struct("doc_id", "tag", "a", "n")
     contents = runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("rep"), F.first("mixed").alias("mixed"))
-    contents = _stored(contents.where("mixed or copies > 1"), "contents")
+    contents = stored(contents.where("mixed or copies > 1"), "contents")
     copied = runs.join(contents.where("copies > 1").select("anchor", "content", "rep"), ["anchor", "content"])
     if keep == "first":
         copied = copied.where((F.col("doc_id") != F.col("rep.doc_id")) | (F.col("a") != F.col("rep.a")))
@@ -199,9 +170,9 @@ def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
     sizes = mixed.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("buckets"))
     mixed = mixed.join(sizes, "anchor").withColumn("bucket", F.pmod(F.hash("content"), "buckets"))
     packed = mixed.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("anchor", "bucket", "buckets", "copies", "a", "n")).alias("runs"))
-    touching, _ = _touching(docs, mixed)
+    wanted, _ = touching(mixed)
     source = documents(docs, "doc_id", "text", "tag").where("doc_id is not null")
-    source = source.mapInArrow(touching, "doc_id long, text string, tag int").join(packed, ["doc_id", "tag"])
+    source = source.mapInArrow(wanted, "doc_id long, text string, tag int").join(packed, ["doc_id", "tag"])
 
     def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "bucket", "buckets", "copies", "a", "n"]
@@ -244,7 +215,7 @@ def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
             yield _search(pa.Table.from_batches(held), keep)
 
     dealt = source.repartition("anchor", "bucket").sortWithinPartitions("anchor", "bucket")
-    found = _stored(dealt.mapInArrow(search, f"{RUN}, copies long, h1 long, h2 long"), "windows")
+    found = stored(dealt.mapInArrow(search, f"{RUN}, copies long, h1 long, h2 long"), "windows")
     local = found.where("h1 is null").select("doc_id", "tag", "a", "n")
     open_ = found.where("h1 is not null")
     spread = F.min(F.struct("doc_id", "tag", "a")).alias("rep")
@@ -267,8 +238,8 @@ def _with_windows(docs: DataFrame, keep: str, finish: Callable[[pa.RecordBatch,
     """Apply ``finish`` to every document with a function that gives the covered bytes of a row."""
     columns = docs.columns
     docs = docs.withColumn("tag", text_tag())
-    windows = _stored(repeated_windows(docs, keep), "repeats")
-    yes, no = _touching(docs, windows)
+    windows = stored(repeated_windows(docs, keep), "repeats")
+    yes, no = touching(windows)
     kind = docs.schema
     listed = windows.distinct().groupBy("doc_id", "tag").agg(F.collect_list("a").alias("_starts"), F.collect_list("n").alias("_counts"))
     hit = docs.mapInArrow(yes, kind).join(listed, ["doc_id", "tag"], "left")

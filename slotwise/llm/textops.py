@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20
 
@@ -112,7 +113,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         first = last
 
 
-def map_slices(frame: DataFrame, work: Callable[[Slice], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_slices(frame: DataFrame, work: Callable[[Slice], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """Apply ``work`` to the slices of the ``text`` column in every task; rows come out as ``schema`` says."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
