@@ -13,6 +13,10 @@ from slotwise.llm.bloom_lm import LogBloom, build_filter
 from slotwise.session import scratch_path
 
 
+#: Stands for a null doc_id where ids are compared.
+NULL_ID = -(2**63)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """A frame written to the shared scratch folder and read again: its lineage ends there."""
     path = scratch_path(frame.sparkSession, name)
@@ -25,13 +29,17 @@ def text_tag() -> Column:
     return F.hash("text")
 
 
+def known_id(name: str) -> Column:
+    return F.coalesce(name, F.lit(NULL_ID))
+
+
 def touching(rows: DataFrame) -> tuple[Callable, Callable]:
     """Two filters of Arrow batches: documents whose doc_id ``rows`` has, and the others.
 
     The filter that the workers hold is of bounded size and may take some others for wanted ones, never the reverse.
-    A null id counts as 0.
+    Null ids are wanted together.
     """
-    keys = rows.select(F.coalesce("doc_id", F.lit(0)).alias("key"), F.lit(1).alias("n")).distinct()
+    keys = rows.select(known_id("doc_id").alias("key"), F.lit(1).alias("n")).distinct()
     bloom = build_filter(keys, whole=True)
     shared, segments = rows.sparkSession.sparkContext.broadcast(bloom.filled), int(bloom.segments)
 
@@ -39,7 +47,7 @@ def touching(rows: DataFrame) -> tuple[Callable, Callable]:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = LogBloom(shared.value, segments)
             for batch in batches:
-                there = held.level(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) > 0
+                there = held.level(batch.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False).view(np.uint64)) > 0
                 yield batch.filter(pa.array(there == wanted))
 
         return run

@@ -349,11 +349,12 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD)
     placed = _classes(docs, width, threshold).where("comp is not null")
     best = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("doc_id", "tag")).alias("best")).where("m > 1")
     groups = placed.join(best, "comp").groupBy("doc_id", "tag").agg(F.first("best").alias("best"))
-    groups = stored(groups.select("doc_id", "tag", F.expr("best.doc_id <=> doc_id and best.tag = tag").alias("stays")), "groups")
+    stays = F.expr("best.doc_id <=> doc_id and best.tag = tag").alias("__stays")
+    groups = stored(groups.select("doc_id", F.col("tag").alias("__tag"), stays), "groups")
     yes, no = touching(groups)
-    columns = [F.col(f"d.`{c}`") for c in docs.columns]
-    tagged = docs.mapInArrow(yes, docs.schema).withColumn("_tag", text_tag())
-    hit = tagged.alias("d").join(groups.alias("g"), F.expr("d.doc_id <=> g.doc_id and d._tag = g.tag"), "left").where("stays or stays is null")
-    order = Window.partitionBy(F.col("d.doc_id"), F.col("d._tag")).orderBy(F.lit(1))
-    hit = hit.withColumn("_copy", F.row_number().over(order)).where("stays is null or _copy = 1").select(*columns)
+    groups = groups.withColumnRenamed("doc_id", "__id")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_tag() == F.col("__tag"))
+    hit = docs.mapInArrow(yes, docs.schema).join(groups, same, "left").where("__stays or __stays is null")
+    order = Window.partitionBy("doc_id", text_tag()).orderBy(F.lit(1))
+    hit = hit.withColumn("__copy", F.row_number().over(order)).where("__stays is null or __copy = 1").select(docs.columns)
     return hit.unionByName(docs.mapInArrow(no, docs.schema))

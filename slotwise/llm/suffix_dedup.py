@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.frames import stored, text_tag, touching
+from slotwise.llm.frames import known_id, stored, text_tag, touching
 from slotwise.llm.textops import PrefixHash, Slice, documents, map_slices, mix, slices
 
 MIN_BYTES = 200
@@ -153,7 +153,8 @@ def _search(table: pa.Table, keep: str) -> pa.RecordBatch:
 
 
 def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
-    """Runs of windows to remove: doc_id, tag, a (first start), n (starts). ``docs`` has doc_id, text and tag."""
+    """Runs of windows to remove: doc_id (``NULL_ID`` for null), tag (hash of the text), a (first start), n (starts)."""
+    docs = docs.select(known_id("doc_id").alias("doc_id"), F.col("text"), text_tag().alias("tag"))
     runs = _runs(docs)
     anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), (F.min("content") < F.max("content")).alias("mixed"))
     runs = stored(runs.join(anchors.where("m > 1").select("anchor", "mixed"), "anchor"), "runs")
@@ -171,8 +172,7 @@ def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
     mixed = mixed.join(sizes, "anchor").withColumn("bucket", F.pmod(F.hash("content"), "buckets"))
     packed = mixed.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("anchor", "bucket", "buckets", "copies", "a", "n")).alias("runs"))
     wanted, _ = touching(mixed)
-    source = documents(docs, "doc_id", "text", "tag").where("doc_id is not null")
-    source = source.mapInArrow(wanted, "doc_id long, text string, tag int").join(packed, ["doc_id", "tag"])
+    source = docs.mapInArrow(wanted, "doc_id long, text string, tag int").join(packed, ["doc_id", "tag"])
 
     def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "bucket", "buckets", "copies", "a", "n"]
@@ -236,20 +236,19 @@ def covered(size: int, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _with_windows(docs: DataFrame, keep: str, finish: Callable[[pa.RecordBatch, Slice, Callable[[int], np.ndarray]], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``finish`` to every document with a function that gives the covered bytes of a row."""
-    columns = docs.columns
-    docs = docs.withColumn("tag", text_tag())
     windows = stored(repeated_windows(docs, keep), "repeats")
     yes, no = touching(windows)
-    kind = docs.schema
-    listed = windows.distinct().groupBy("doc_id", "tag").agg(F.collect_list("a").alias("_starts"), F.collect_list("n").alias("_counts"))
-    hit = docs.mapInArrow(yes, kind).join(listed, ["doc_id", "tag"], "left")
-    missed = docs.mapInArrow(no, kind).withColumn("_starts", F.lit(None).cast("array<bigint>")).withColumn("_counts", F.lit(None).cast("array<int>"))
-    order = [F.col(f"`{c}`") for c in [*columns, "_starts", "_counts"]]
+    listed = windows.distinct().groupBy(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"))
+    listed = listed.agg(F.collect_list("a").alias("__starts"), F.collect_list("n").alias("__counts"))
+    same = (known_id("doc_id") == F.col("__id")) & (text_tag() == F.col("__tag"))
+    hit = docs.mapInArrow(yes, docs.schema).join(listed, same, "left").drop("__id", "__tag")
+    nothing = {"__starts": F.lit(None).cast("array<bigint>"), "__counts": F.lit(None).cast("array<int>")}
+    missed = docs.mapInArrow(no, docs.schema).withColumns(nothing)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                starts, counts, sizes = part.column("_starts"), part.column("_counts"), part.sizes
+                starts, counts, sizes = part.column("__starts"), part.column("__counts"), part.sizes
 
                 def cover(i: int) -> np.ndarray:
                     if not starts[i].is_valid:
@@ -258,7 +257,7 @@ def _with_windows(docs: DataFrame, keep: str, finish: Callable[[pa.RecordBatch,
 
                 yield finish(part.batch, part, cover)
 
-    return hit.select(*order).unionByName(missed.select(*order)).mapInArrow(run, schema)
+    return hit.unionByName(missed).mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, keep: str = "none") -> DataFrame:
@@ -286,7 +285,7 @@ def without_repeats(docs: DataFrame, keep: str = "first") -> DataFrame:
         for i, known in enumerate(batch.column("text").is_valid().to_pylist()):
             own = part.data[part.bounds[i] : part.bounds[i + 1]]
             texts.append(own[~cover(i)].tobytes().decode("utf-8", "ignore") if known else None)
-        names = [c for c in batch.schema.names if c not in ("_starts", "_counts")]
+        names = [c for c in batch.schema.names if c not in ("__starts", "__counts")]
         return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
     return _with_windows(docs, keep, finish, docs.schema)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes that separate words: space and \x09-\x0D.
 SPACE = np.zeros(256, bool)
