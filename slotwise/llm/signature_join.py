@@ -37,6 +37,7 @@ WIDTH = 4
 THRESHOLD = 85
 RARITY_BITS = 16
 SIGNATURE_BITS = 512
+COUNT_BUCKETS = 256
 FANOUT = 4
 BLOCK = 512
 SHARED_WITH_LEADER = 2
@@ -76,6 +77,13 @@ def signatures(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(bits, axis=1)
 
 
+def bucket_counts(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
+    """How many members of each set fall in each of ``COUNT_BUCKETS`` buckets, 255 for more, (count, buckets)."""
+    at = rows * COUNT_BUCKETS + (values >> np.uint64(20)).astype(np.int64) % COUNT_BUCKETS
+    held = np.bincount(at, minlength=count * COUNT_BUCKETS).reshape(count, COUNT_BUCKETS)
+    return np.minimum(held, 255).astype(np.uint8)
+
+
 def _described(docs: DataFrame, width: int) -> DataFrame:
     """Scratch table: a row per document, and per task the counts of hashed shingles (where ``bucket`` is set)."""
 
@@ -90,18 +98,19 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
                 nothing = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tag"), pa.array(np.diff(begin), pa.int64()), pa.array(class_ids(rows, values, begin)),
-                     pa.array([s.tobytes() for s in signatures(rows, values, n)], pa.binary()), nothing, nothing],
-                    ["doc_id", "tag", "n_shingles", "cid", "signature", "bucket", "n"],
+                     pa.array([s.tobytes() for s in signatures(rows, values, n)], pa.binary()),
+                     pa.array([c.tobytes() for c in bucket_counts(rows, values, n)], pa.binary()), nothing, nothing],
+                    ["doc_id", "tag", "n_shingles", "cid", "signature", "counts", "bucket", "n"],
                 )
         some = np.flatnonzero(total)
         nothing = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [nothing, pa.nulls(len(some), pa.int32()), nothing, nothing, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int64()), pa.array(total[some])],
-            ["doc_id", "tag", "n_shingles", "cid", "signature", "bucket", "n"],
+            [nothing, pa.nulls(len(some), pa.int32()), nothing, nothing, pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.binary()), pa.array(some, pa.int64()), pa.array(total[some])],
+            ["doc_id", "tag", "n_shingles", "cid", "signature", "counts", "bucket", "n"],
         )
 
     return documents(docs, "doc_id", "text").withColumn("tag", text_tag()).mapInArrow(
-        run, "doc_id long, tag int, n_shingles long, cid long, signature binary, bucket long, n long"
+        run, "doc_id long, tag int, n_shingles long, cid long, signature binary, counts binary, bucket long, n long"
     )
 
 
@@ -122,16 +131,16 @@ def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int) ->
 
 
 def _possible(frame: DataFrame, threshold: int) -> DataFrame:
-    """Keep pairs whose sizes and bitmaps allow a link; columns a_* and b_* hold size and signature."""
+    """Keep pairs whose sizes and bucket counts allow a link: the overlap is at most the sum of the lesser counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(c).to_numpy() for c in ("a_size", "b_size"))
-            x, y = (np.array(batch.column(c).to_pylist(), f"S{SIGNATURE_BITS // 8}") for c in ("a_sig", "b_sig"))
-            x, y = (v.view(np.uint8).reshape(-1, SIGNATURE_BITS // 8).view(np.uint64) for v in (x, y))
-            both = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
-            extra = np.minimum(a - np.bitwise_count(x).sum(axis=1, dtype=np.int64), b - np.bitwise_count(y).sum(axis=1, dtype=np.int64))
-            good = (100 * np.minimum(a, b) >= threshold * np.maximum(a, b)) & ((100 + threshold) * (both + extra) >= threshold * (a + b))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COUNT_BUCKETS) for c in ("a_counts", "b_counts"))
+            least = np.minimum(x, y)
+            open_ = (least == 255).any(axis=1)
+            good = open_ | ((100 + threshold) * least.sum(axis=1, dtype=np.int64) >= threshold * (a + b))
+            good &= 100 * np.minimum(a, b) >= threshold * np.maximum(a, b)
             yield batch.select(["a", "b", "a_doc", "b_doc"]).filter(pa.array(good))
 
     return frame.mapInArrow(run, "a long, b long, a_doc long, b_doc long")
@@ -139,7 +148,7 @@ def _possible(frame: DataFrame, threshold: int) -> DataFrame:
 
 def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b) whose sets link, compared exactly on the texts of one document of each class."""
-    side = lambda x: classes.select(F.col("cid").alias(x), F.col("doc_id").alias(f"{x}_doc"), F.col("n_shingles").alias(f"{x}_size"), F.col("signature").alias(f"{x}_sig"))
+    side = lambda x: classes.select(F.col("cid").alias(x), F.col("doc_id").alias(f"{x}_doc"), F.col("n_shingles").alias(f"{x}_size"), F.col("counts").alias(f"{x}_counts"))
     pairs = stored(_possible(pairs.join(side("a"), "a").join(side("b"), "b"), threshold), "pairs")
     needed = pairs.select(F.col("a").alias("cid"), F.col("a_doc").alias("doc_id"))
     needed = needed.unionByName(pairs.select(F.col("b").alias("cid"), F.col("b_doc").alias("doc_id"))).distinct()
@@ -301,7 +310,7 @@ def _tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
 def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     """doc_id, tag, n_shingles and comp (a class id; null for empty sets) of every row."""
     described = stored(_described(docs, width), "described")
-    own = described.where("bucket is null").select("doc_id", "tag", "n_shingles", "cid", "signature")
+    own = described.where("bucket is null").select("doc_id", "tag", "n_shingles", "cid", "signature", "counts")
     counted = described.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(1 << RARITY_BITS)
     total[[r.bucket for r in counted]] = [r.n for r in counted]
@@ -311,7 +320,7 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     keys = stored(_prefixes(docs, level, width, threshold), "prefixes")
     shared = keys.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("most")).where("lead < most")
     rows = stored(keys.join(shared.select("key", "lead"), "key").distinct(), "candidates")
-    first = F.min(F.struct("doc_id", "n_shingles", "signature")).alias("f")
+    first = F.min(F.struct("doc_id", "n_shingles", "signature", "counts")).alias("f")
     classes = own.where("n_shingles > 0").groupBy("cid").agg(first).select("cid", "f.*")
 
     near = rows.where("cid <> lead").groupBy(F.col("cid").alias("a"), F.col("lead").alias("b")).count()
