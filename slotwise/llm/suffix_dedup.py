@@ -10,7 +10,8 @@ and offset) and removes later copies only; ``keep="none"`` removes all of them.
 3. What is left, runs that share an anchor but differ, meets in buckets of at most about a thousand runs. Each task builds
    a suffix array of its buckets by prefix doubling, down to the window length. In suffix order, previous and next smaller
    text positions inside a stretch of common prefixes of window length tell whether the longest previous factor reaches it.
-   An anchor with more runs than a bucket is dealt over several; its windows are then also matched by their hashes.
+   An anchor with more runs than a bucket is dealt over several; one of each equal windows of a bucket is then also
+   matched by its hashes with those of the others.
 
 Cases: null and short texts lose nothing; rows with one doc_id and one text are one document for ``keep="first"`` and
 two for ``keep="none"``; rows with one doc_id and different texts are told apart by a hash of the text; an empty table
@@ -122,7 +123,10 @@ def smaller_positions(rank: np.ndarray, position: np.ndarray) -> tuple[np.ndarra
 
 
 def _search(table: pa.Table, keep: str) -> pa.RecordBatch:
-    """Repeated windows of the runs of whole buckets; for dealt buckets every window with its hashes instead."""
+    """Repeated windows of the runs of whole buckets; for dealt ones also the first of each equal windows, with its hashes.
+
+    ``open``: nothing in the bucket settles that window.
+    """
     data = np.frombuffer(b"".join(table.column("context").to_pylist()), np.uint8)
     column = {c: table.column(c).to_numpy() for c in ("doc_id", "tag", "a", "n", "copies", "buckets")}
     count = column["n"].astype(np.int64)
@@ -137,18 +141,20 @@ def _search(table: pa.Table, keep: str) -> pa.RecordBatch:
     position = (text[run] << 32) + column["a"][run] + offset
     earlier, later = smaller_positions(suffix_classes(data, ends, starts), position)
     dealt = (column["buckets"] > 1)[run]
-    found = ~dealt & (earlier | later & (keep == "none")) & ~((column["copies"][run] > 1) & (keep == "none"))
+    settled = (column["copies"][run] > 1) & (keep == "none")
+    found = (earlier | later & (keep == "none")) & ~settled
     begins = found & ~np.concatenate([[False], found[:-1] & (run[1:] == run[:-1])])
     which = np.cumsum(begins) - 1
     first = np.flatnonzero(begins)
     length = np.bincount(which[found], minlength=len(first)).astype(np.int64)
-    some = np.flatnonzero(dealt)
+    some = np.flatnonzero(dealt & ~earlier)
+    still_open = np.concatenate([np.zeros(len(first), bool), (keep == "first") | ~(later | settled)[some]])
     at, size = np.concatenate([first, some]), np.concatenate([length, np.ones(len(some), np.int64)])
     hashes = [PrefixHash(data, k)(starts[some], starts[some] + MIN_BYTES).view(np.int64) for k in (0, 1)]
     hashes = [pa.concat_arrays([pa.nulls(len(first), pa.int64()), pa.array(h)]) for h in hashes]
     return pa.RecordBatch.from_arrays(
-        [pa.array(column["doc_id"][run[at]]), pa.array(column["tag"][run[at]]), pa.array(column["a"][run[at]] + offset[at]), pa.array(size, pa.int32()), pa.array(column["copies"][run[at]]), *hashes],
-        ["doc_id", "tag", "a", "n", "copies", "h1", "h2"],
+        [pa.array(column["doc_id"][run[at]]), pa.array(column["tag"][run[at]]), pa.array(column["a"][run[at]] + offset[at]), pa.array(size, pa.int32()), pa.array(still_open), *hashes],
+        ["doc_id", "tag", "a", "n", "open", "h1", "h2"],
     )
 
 
@@ -215,12 +221,12 @@ def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
             yield _search(pa.Table.from_batches(held), keep)
 
     dealt = source.repartition("anchor", "bucket").sortWithinPartitions("anchor", "bucket")
-    found = stored(dealt.mapInArrow(search, f"{RUN}, copies long, h1 long, h2 long"), "windows")
+    found = stored(dealt.mapInArrow(search, f"{RUN}, open boolean, h1 long, h2 long"), "windows")
     local = found.where("h1 is null").select("doc_id", "tag", "a", "n")
     open_ = found.where("h1 is not null")
     spread = F.min(F.struct("doc_id", "tag", "a")).alias("rep")
     classes = open_.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("m"), spread).where("m > 1").select("h1", "h2", "rep")
-    spread_out = open_.join(classes, ["h1", "h2"])
+    spread_out = open_.where("open").join(classes, ["h1", "h2"])
     if keep == "first":
         spread_out = spread_out.where((F.col("doc_id") != F.col("rep.doc_id")) | (F.col("tag") != F.col("rep.tag")) | (F.col("a") != F.col("rep.a")))
     return copied.unionByName(local).unionByName(spread_out.select("doc_id", "tag", "a", "n"))
