@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.arrays import hamming_similarity
 from slotwise.functions.text import local_link_values
+from slotwise.session import settle
 
 # Similarity from which an output counts as a copy of its source; risk levels, worst last.
 NEAR_DUPLICATE_SIMILARITY = 0.98
@@ -147,15 +148,25 @@ def catalog_findings(
     return result
 
 
+LANES = 8
+
+
 def fingerprint_parts(columns: Sequence[Column]) -> tuple[Column, list[Column]]:
-    """Row digest and its four 64-bit lanes as exact decimals."""
+    """Row digest and its eight 32-bit lanes as exact decimals; sums of them hold for 10^16 rows."""
     digest = F.sha2(F.concat_ws("\x1f", *columns), 256)
-    lanes = [
-        F.conv(F.substring(digest, 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)
-    ]
+    lanes = [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("decimal(16,0)") for i in range(LANES)]
     return digest, lanes
 
 
+def multiset_text(rows: str) -> Column:
+    """Number of rows and the lane sums ``s0`` ... as one text."""
+    return F.concat_ws(":", F.col(rows).cast("string"), *[F.col(f"s{i}").cast("string") for i in range(LANES)])
+
+
+def lane_sums(lanes: Sequence[Column]) -> list[Column]:
+    return [F.sum(lane).alias(f"s{i}") for i, lane in enumerate(lanes)]
+
+
 def catalog_fingerprint(assets: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Order-free fingerprint of a set of rows.
 
@@ -164,11 +175,8 @@ def catalog_fingerprint(assets: DataFrame, columns: Sequence[str], by: Sequence[
     """
     filled = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     _, lanes = fingerprint_parts(filled)
-    sums = assets.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"), *[F.sum(lane).alias(f"s{i}") for i, lane in enumerate(lanes)]
-    )
-    text = F.concat_ws(":", F.col("rows").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(4)])
-    return sums.select(*by, "rows", F.sha2(text, 256).alias("fingerprint"))
+    sums = assets.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *lane_sums(lanes))
+    return sums.select(*by, "rows", F.sha2(multiset_text("rows"), 256).alias("fingerprint"))
 
 
 def local_links(pages: DataFrame, page: str, html: str, known: DataFrame) -> DataFrame:
@@ -218,23 +226,29 @@ def layered_overrides(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, Dat
     return good, findings
 
 
-def flatten_overrides(documents: DataFrame, json: str, depth: int = 8) -> DataFrame:
-    """Dotted path and value of every leaf of nested JSON documents."""
+def flatten_overrides(documents: DataFrame, json: str) -> DataFrame:
+    """Dotted path and value of every leaf of nested JSON documents, however deep.
+
+    One round per level; each is checkpointed, and the rounds end when no object is left.
+    """
     keep = [c for c in documents.columns if c != json]
     level = documents.select(*keep, F.lit("").alias("path"), F.parse_json(json).alias("v"))
     leaves = None
-    for _ in range(depth):
+    while True:
         entries = documents.sparkSession.tvf.variant_explode(F.col("v").outer())
-        exploded = level.withColumnRenamed("path", "prefix").lateralJoin(entries).select(
-            *keep,
-            F.when(F.col("prefix") == "", F.col("key")).otherwise(F.concat_ws(".", "prefix", "key")).alias("path"),
-            F.col("value").alias("v"),
+        exploded = settle(
+            level.withColumnRenamed("path", "prefix").lateralJoin(entries).select(
+                *keep,
+                F.when(F.col("prefix") == "", F.col("key")).otherwise(F.concat_ws(".", "prefix", "key")).alias("path"),
+                F.col("value").alias("v"),
+            )
         )
         nested = F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
         done = exploded.where(~nested).select(*keep, "path", F.col("v").cast("string").alias("value"))
         leaves = done if leaves is None else leaves.unionByName(done)
         level = exploded.where(nested)
-    return leaves
+        if level.isEmpty():
+            return leaves
 
 
 def catalog_summary(assets: DataFrame, by: str) -> DataFrame:

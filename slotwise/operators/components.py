@@ -8,12 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.hashing import hash_uniform
-from slotwise.operators.catalog import fingerprint_parts
+from slotwise.operators.catalog import fingerprint_parts, lane_sums, multiset_text
 from slotwise.operators.scale import heavy_lookup
 from slotwise.session import settle
 
-EXACT_KEY_MEMBERS = 10_000
-
 
 def _count_and_done(links: DataFrame) -> tuple[int, bool]:
     """Number of links, and whether they form plain stars: one parent each, no parent has one."""
@@ -71,27 +69,16 @@ def asset_components(samples: DataFrame, edges: DataFrame, max_rounds: int = 60)
     )
 
 
-def component_table(members: DataFrame, seed: int, exact_members: int = EXACT_KEY_MEMBERS) -> DataFrame:
+def component_table(members: DataFrame, seed: int) -> DataFrame:
     """One row per component: id, size and the uniform draw that decides its split.
 
-    The key of a component is its sorted member list joined by a bar. A list of more than
-    ``exact_members`` members is replaced by its size and an order-free digest, so that
-    no row grows with the data; id and draw are hashes of the key either way.
+    The key of a component is its size and an order-free digest of its members, so that no
+    row grows with the data and one rule holds for every size; id and draw are hashes of the
+    key. The short id is a label; frames are joined on ``component``.
     """
     _, lanes = fingerprint_parts([F.col("sample")])
-    sizes = members.groupBy("component").agg(
-        F.count(F.lit(1)).alias("size"), *[F.sum(lane).alias(f"s{i}") for i, lane in enumerate(lanes)]
-    )
-    large = sizes.where(F.col("size") > exact_members)
-    digest = F.concat_ws(":", F.col("size").cast("string"), *[F.col(f"s{i}").cast("string") for i in range(4)])
-    large_keys = large.select("component", "size", digest.alias("key"))
-    oversized = large.select("component")
-    listed = (
-        members.join(oversized, "component", "left_anti")
-        .groupBy("component")
-        .agg(F.count(F.lit(1)).alias("size"), F.array_join(F.sort_array(F.collect_list("sample")), "|").alias("key"))
-    )
-    keys = listed.unionByName(large_keys)
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"), *lane_sums(lanes))
+    keys = sizes.select("component", "size", multiset_text("size").alias("key"))
     return keys.select(
         "component",
         F.substring(F.sha2("key", 256), 1, 12).alias("component_id"),
@@ -122,8 +109,7 @@ def component_stats(
         .join(assets, "component", "left").join(negatives, "component", "left")
         .na.fill(0, ["asset_count", "negative_samples"])
     )
-    named = classes.join(components.select("component", "component_id"), "component")
-    return stats, named.select("component_id", "class_name", "n")
+    return stats, classes.select("component", "class_name", "n")
 
 
 def samples_of(members: DataFrame, components: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -261,10 +261,10 @@ def _(t: Tables) -> DataFrame:
 
 def sql_fingerprint(columns: list[str], source: str, by: str | None = None) -> str:
     row = "sha256(" + " || chr(31) || ".join(f"coalesce(cast({c} as varchar), '')" for c in columns) + ")"
-    lanes = ", ".join(f"sum(('0x' || substr(d, {1 + 16 * i}, 16))::ubigint::hugeint) as s{i}" for i in range(4))
+    lanes = ", ".join(f"sum(('0x' || substr(d, {1 + 8 * i}, 8))::ubigint::hugeint) as s{i}" for i in range(8))
     key = f"{by}, " if by else ""
     tail = f" group by {by}" if by else ""
-    return f"""select {key}rows, sha256(rows || ':' || s0 || ':' || s1 || ':' || s2 || ':' || s3) as fingerprint
+    return f"""select {key}rows, sha256(concat_ws(':', rows, s0, s1, s2, s3, s4, s5, s6, s7)) as fingerprint
       from (select {key}count(*) as rows, {lanes} from (select *, {row} as d from {source}){tail})"""
 
 
@@ -318,7 +318,7 @@ def _(t: Tables) -> DataFrame:
     "profile_risk_rollup",
     """with m as (select user_id as config, event_id as pos, case when event_type = 'view' then 'appearance' else 'appearance.' || event_type end as subject,
          event_type, props, case event_type when 'error' then 'confirmation' when 'click' then 'informational' else 'none' end as risk
-       from events where event_id % 11 <> 0),
+       from events),
     f as (select config, event_type as v, min(pos) as p from m group by all),
     e as (select config, props as v, min(pos) as p from m group by all),
     r as (select config, case max(case risk when 'confirmation' then 2 when 'informational' then 1 else 0 end) when 2 then 'confirmation' when 1 then 'informational' else 'none' end as risk,
@@ -329,7 +329,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     kind = F.col("event_type")
-    rows = t.events.where("event_id % 11 <> 0").select(
+    rows = t.events.select(
         F.col("user_id").alias("config"), F.col("event_id").alias("pos"), F.col("event_id").alias("id"),
         F.when(kind == "view", "appearance").otherwise(F.concat(F.lit("appearance."), kind)).alias("subject"),
         F.when(kind == "error", "confirmation").when(kind == "click", "informational").otherwise("none").alias("risk"),

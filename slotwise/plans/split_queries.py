@@ -84,7 +84,7 @@ def line_members(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def doc_labels(t: Tables) -> DataFrame:
-    """Classes of a document: its language and, where labelled, its quality; documents without a long line are negatives."""
+    """Classes of a document: its language and, where labelled, its quality; documents without a line are negatives."""
     quality = t.documents.join(t.labels.select("doc_id", "quality"), "doc_id").select(
         F.col("doc_id").cast("string").alias("sample"), F.concat(F.lit("quality"), F.col("quality").cast("string")).alias("class_name")
     )
@@ -99,7 +99,8 @@ star as (select distinct e.sample as a, m.sample as b from {edges} e join (selec
 nb as (select a, b from star union select b, a from star),
 reach as (select a, b from nb union select r.a, n.b from reach r join nb n on r.b = n.a),
 members as (select s.sample, coalesce(least(s.sample, min(r.b)), s.sample) as component from {samples} s left join reach r on r.a = s.sample group by s.sample),
-comps as (select component, count(*) as size, string_agg(sample, '|' order by sample) as key from members group by component),
+lanes as (select component, count(*) as size, {", ".join(f"sum(('0x' || substr(d, {1 + 8 * i}, 8))::ubigint::hugeint) as s{i}" for i in range(8))} from (select component, sha256(sample) as d from members) group by component),
+comps as (select component, size, concat_ws(':', size, {", ".join(f"s{i}" for i in range(8))}) as key from lanes),
 comp as (select component, size, key, substr(sha256(key), 1, 12) as component_id, {sql_u("'7'", 'key')} as u from comps)"""
 
 
@@ -146,10 +147,10 @@ def _(t: Tables) -> DataFrame:
     members, edges = doc_members(t)
     table = K.component_table(members, SEED)
     stats, classes = K.component_stats(members, edges, doc_labels(t), table)
-    text = classes.groupBy("component_id").agg(
+    text = classes.groupBy("component").agg(
         F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "class_name", F.col("n").cast("string")))), ",").alias("classes")
     )
-    return stats.join(text, "component_id", "left").na.fill("", ["classes"]).drop("component")
+    return stats.join(text, "component", "left").na.fill("", ["classes"]).drop("component")
 
 
 @query(
@@ -171,7 +172,7 @@ def sql_greedy(extra: str = "") -> str:
     fill = [f"c{i} / {f[i]}" for i in range(3)]
     rows = ", ".join(f"{{'e': {err[i]}, 'f': {fill[i]}, 'n': '{names[i]}'}}" for i in range(3))
     return f"""
-ordered as (select *, row_number() over (order by size desc, u, component_id) as rn from comp),
+ordered as (select *, row_number() over (order by size desc, u, component) as rn from comp),
 tot as (select sum(size)::double as total from comp),
 walk as (
   select 0::bigint as rn, ''::varchar as component_id, ''::varchar as split, 0::double as c0, 0::double as c1, 0::double as c2
@@ -212,8 +213,8 @@ def sql_greedy_class() -> str:
     return f"""
 cls as (select class_name, row_number() over (order by class_name) as k, count(*)::double as tot from doc_labels join members using (sample) group by class_name),
 per as (select component, class_name, count(*)::double as n from doc_labels join members using (sample) group by all),
-vec as (select component, list(coalesce(n, 0.0::double) order by k) as v from comp cross join cls left join per using (component, class_name) group by component),
-ordered as (select *, row_number() over (order by size desc, u, component_id) as rn from comp join vec using (component)),
+vec as (select component, list(coalesce(n, 0.0::double) order by k) as v, coalesce(string_agg(class_name || '=' || n::bigint, ',' order by class_name) filter (n > 0), '') as kind from comp cross join cls left join per using (component, class_name) group by component),
+ordered as (select *, row_number() over (order by size desc, kind, u, component) as rn from comp join vec using (component)),
 tot as (select (select sum(size)::double from comp) as total, (select list(tot order by k) from cls) as tv),
 walk as (
   select 0::bigint as rn, ''::varchar as component_id, ''::varchar as split, 0::double as c0, 0::double as c1, 0::double as c2,

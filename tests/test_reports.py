@@ -128,10 +128,16 @@ def test_fingerprint_ignores_order_but_not_copies(spark):
 
 def test_nested_overrides_are_flattened(spark):
     docs = spark.createDataFrame([(1, '{"a":{"b":1,"c":{"d":"x"}},"e":true}')], "config int, doc string")
-    got = {r["path"]: r["value"] for r in catalog.flatten_overrides(docs, "doc", 4).collect()}
+    got = {r["path"]: r["value"] for r in catalog.flatten_overrides(docs, "doc").collect()}
     assert got == {"a.b": "1", "a.c.d": "x", "e": "true"}
 
 
+def test_overrides_of_any_depth_are_flattened(spark):
+    deep = [(n, "".join(f'{{"k{i}":' for i in range(n)) + "1" + "}" * n) for n in (7, 9, 12)]
+    got = catalog.flatten_overrides(spark.createDataFrame(deep, "config int, doc string"), "doc").collect()
+    assert {r["config"]: r["path"].count(".") + 1 for r in got} == {7: 7, 9: 9, 12: 12}
+
+
 def test_masks_square_and_ring(spark):
     square = [255 if 2 <= i % 8 < 6 and 2 <= i // 8 < 6 else 0 for i in range(64)]
     wide = [255 if 1 <= i % 8 < 7 and 1 <= i // 8 < 7 else 0 for i in range(64)]
