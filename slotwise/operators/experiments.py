@@ -72,7 +72,7 @@ def effect_summary(rows: DataFrame) -> DataFrame:
     stats = exact_quantiles(effects, ["treatment", "effect"], "duration_ns", {"p": (0.95, "linear")}, keep_stats=True)
     return stats.select(
         "treatment", "effect", F.col("count").alias("calls"), F.col("total").alias("total_ns"),
-        F.expr("total div count").alias("mean_ns"), F.col("p").cast("bigint").alias("p95_ns"),
+        F.expr("total div count").alias("mean_ns"), F.round("p", 6).cast("bigint").alias("p95_ns"),
     )
 
 
@@ -123,7 +123,7 @@ def study_findings(rows: DataFrame, treatments: DataFrame, declared: DataFrame)
         few.unionByName(listed(names.join(seen, "treatment", "left_anti"), "TREATMENT_MISSING"))
         .unionByName(listed(seen.join(names, "treatment", "left_anti"), "TREATMENT_UNDECLARED"))
         .unionByName(listed(names.where("n > 1"), "TREATMENT_DUPLICATE"))
-        .unionByName(listed(declared.join(seen, "treatment").where("calls <> n"), "SAMPLE_COUNT_MISMATCH"))
+        .unionByName(listed(declared.join(seen, "treatment", "left").where("calls <> coalesce(n, 0)"), "SAMPLE_COUNT_MISMATCH"))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.functions import geometry as G
-from slotwise.operators.scale import global_position, ranked
+from slotwise.operators.scale import global_position, key_ranges, ranked
 
 
 def merge_class_catalog(runs: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def merge_class_catalog(runs: DataFrame) -> DataFrame:
     return first.select("class_name", (F.row_number().over(Window.orderBy("at")) - 1).alias("class_id"))
 
 
-def allocate_filenames(samples: DataFrame, preserve: bool, prefix: int = 6) -> DataFrame:
+def allocate_filenames(samples: DataFrame, preserve: bool) -> DataFrame:
     """File name of every exported sample.
 
     samples[key, pool_index, name]. Without ``preserve`` names count up in key order over
@@ -31,15 +31,15 @@ def allocate_filenames(samples: DataFrame, preserve: bool, prefix: int = 6) -> D
     if not preserve:
         numbered = global_position(samples, ["key"], out="position")
         return numbered.withColumn("filename", F.concat(F.format_string("image_%08d", "position"), extension)).drop("position")
-    bucket = F.substring("key", 1, prefix)
-    placed = ranked(samples, ["name"], bucket, ["key"], "__nth")
+    bucket = F.col("__range")
+    placed = ranked(key_ranges(samples, ["key"]), ["name"], bucket, ["key"], "__nth")
     repeats = ranked(placed.where("__nth > 1"), ["name", "pool_index"], bucket, ["key"], "__repeat")
     again = F.when(F.col("__repeat") > 1, F.concat(F.lit("_"), F.col("__repeat").cast("string"))).otherwise("")
     renamed = repeats.withColumn(
         "filename", F.concat(stem, F.lit("_pool"), F.col("pool_index").cast("string"), again, extension)
     ).drop("__nth", "__repeat")
     kept = placed.where("__nth = 1").withColumn("filename", F.col("name")).drop("__nth")
-    return kept.unionByName(renamed)
+    return kept.unionByName(renamed).drop("__range")
 
 
 def six_decimals(value: Column) -> Column:

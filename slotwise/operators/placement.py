@@ -65,47 +65,35 @@ def placement_rejections(placed: DataFrame) -> DataFrame:
     )
 
 
-def overlap_pairs(
-    boxes: DataFrame, slot: str, ident: Sequence[str], row_limit: int = 4096, cell: int = 128
-) -> DataFrame:
-    """Blockers of every box within its slot.
-
-    A usual slot is compared inside one row. A slot with more than ``row_limit`` boxes is
-    cut into grid cells and joined cell by cell; each meeting pair is counted only in the
-    cell that holds the lower corner of its intersection, so the count stays exact and
-    the work follows the real overlaps.
+def overlap_pairs(boxes: DataFrame, slot: str, ident: Sequence[str], cell: int = 128) -> DataFrame:
+    """Blockers of every box within its slot: the other boxes that it meets.
+
+    Slots are cut into grid cells and joined cell by cell; each meeting pair is counted
+    only in the cell that holds the lower corner of its intersection, so the count stays
+    exact and the work follows the real overlaps. A box without area meets nothing.
     """
     ident = list(ident)
-    sizes = boxes.groupBy(slot).agg(F.count(F.lit(1)).alias("__n"))
-    sized = boxes.join(sizes, slot)
-    box = F.struct("x1", "y1", "x2", "y2")
-    small = sized.where(F.col("__n") <= row_limit)
-    listed = small.groupBy(slot).agg(F.collect_list(F.struct(*ident, box.alias("box"))).alias("items"))
-    in_row = listed.select(
-        slot, "items", F.explode("items").alias("i")
-    ).select(
-        slot, *[F.col(f"i.{c}").alias(c) for c in ident],
-        (F.size(F.filter("items", lambda o: G.intersects(o["box"], F.col("i.box")))) - 1).cast("bigint").alias("blockers"),
-    )
-    large = sized.where(F.col("__n") > row_limit).select(slot, *ident, "x1", "y1", "x2", "y2")
+    names = [*ident, "x1", "y1", "x2", "y2"]
 
     def cells(low: str, high: str) -> Column:
         return F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor((F.col(high) - 1e-9) / cell)))
 
-    tiled = large.withColumn("__cx", cells("x1", "x2")).withColumn("__cy", cells("y1", "y2"))
-    names = [*ident, "x1", "y1", "x2", "y2"]
+    solid = boxes.select(slot, *names).where((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")))
+    tiled = solid.withColumn("__cx", cells("x1", "x2")).withColumn("__cy", cells("y1", "y2"))
     other = tiled.select(slot, "__cx", "__cy", *[F.col(c).alias(f"o_{c}") for c in names])
+    same = F.lit(True)
+    for c in ident:
+        same = same & F.col(c).eqNullSafe(F.col(f"o_{c}"))
     met = tiled.join(other, [slot, "__cx", "__cy"]).where(
         (F.col("x2") > F.col("o_x1")) & (F.col("o_x2") > F.col("x1"))
         & (F.col("y2") > F.col("o_y1")) & (F.col("o_y2") > F.col("y1"))
         & (F.floor(F.greatest("x1", "o_x1") / cell) == F.col("__cx"))
         & (F.floor(F.greatest("y1", "o_y1") / cell) == F.col("__cy"))
+        & ~same
     )
-    same = F.lit(True)
-    for c in ident:
-        same = same & F.col(c).eqNullSafe(F.col(f"o_{c}"))
-    tiled_counts = met.groupBy(slot, *ident).agg(F.sum((~same).cast("bigint")).alias("blockers"))
-    return in_row.unionByName(tiled_counts)
+    every = boxes.select(slot, *ident, F.lit(0).cast("bigint").alias("n"))
+    counted = met.groupBy(slot, *ident).agg(F.count(F.lit(1)).alias("n"))
+    return every.unionByName(counted).groupBy(slot, *ident).agg(F.sum("n").alias("blockers"))
 
 
 def spatial_histogram(points: DataFrame, x: Column, y: Column, bins: int, by: Sequence[str] = ()) -> DataFrame:

@@ -96,10 +96,22 @@ def neighbour(
     return joined.select(*frame.columns, F.coalesce("__near", "__far")["v"].alias(out))
 
 
-def magnitude_bucket(value: Column, per_octave: int = 64) -> Column:
-    """Logarithmic bucket of a number; never decreases with the value."""
-    number = value.cast("double")
-    return F.floor(F.signum(number) * F.log1p(F.abs(number)) * per_octave)
+CUTS = 256
+
+
+def value_buckets(counts: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
+    """Bucket of each value within its group, at approximate quantiles of the group's values.
+
+    The cut points only say where a group is divided, wherever its values lie; whatever is
+    computed from the buckets stays exact.
+    """
+    by = list(by) or ["__all"]
+    counts = counts if "__all" not in by else counts.withColumn("__all", F.lit(1))
+    points = F.percentile_approx(value, F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)]), F.lit(4 * CUTS))
+    cuts = counts.groupBy(*by).agg(points.alias("__cuts"))
+    joined = join_null_safe(counts, cuts, by)
+    place = F.aggregate("__cuts", F.lit(0), lambda n, cut: n + (cut <= F.col(value)).cast("int"))
+    return joined.withColumn(out, place).drop("__cuts", "__all")
 
 
 def exact_quantiles(
@@ -111,9 +123,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles per group without a task that holds a whole group.
 
-    Equal values are counted first, so repeated values cost one row. Logarithmic
-    buckets then split each group; only bucket totals (a few thousand per group) are
-    ordered together. ``nearest`` takes the value at round-half-even((n-1)*p),
+    Equal values are counted first, so repeated values cost one row. Each group is then
+    divided at approximate quantiles of its own values; only the totals of these buckets
+    are ordered together. ``nearest`` takes the value at round-half-even((n-1)*p),
     ``upper`` the value at floor(n*p), ``linear`` interpolates. With ``keep_stats`` the
     columns ``count`` and ``total`` come from the same pass.
     """
@@ -122,8 +134,8 @@ def exact_quantiles(
         frame.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).alias("__x"))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__bucket", magnitude_bucket(F.col("__x")))
     )
+    counts = value_buckets(counts, by, "__x", "__bucket")
     cells = counts.groupBy(*by, "__bucket").agg(F.sum("__n").alias("__cell"))
     ordered = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -206,18 +218,23 @@ def interval_lookup(
     return placed.join(spread, condition, how).drop("__cell", *[f"__r_{name}" for name in [*keys, "__cell"]])
 
 
-def global_position(frame: DataFrame, order: Sequence[str], partitions: int | None = None, out: str = "position") -> DataFrame:
+def key_ranges(frame: DataFrame, order: Sequence[str], rows: int = 100_000) -> DataFrame:
+    """The frame with ``__range``: a bucket that follows the order, of about ``rows`` rows.
+
+    Rows are range partitioned once and written to the checkpoint folder, so that later
+    steps see the same ranges, also after a lost executor.
+    """
+    least = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-frame.count() // rows))
+    return settle(frame.repartitionByRange(parts, *order).withColumn("__range", F.spark_partition_id()))
+
+
+def global_position(frame: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
     """0-based position of each row in a total order over the whole frame.
 
-    Rows are range partitioned once and written to the checkpoint folder, so that both
-    the per-range counts and the numbering see the same ranges, also after a lost
-    executor. Only one count per range is ordered together.
+    Only one count per range of rows is ordered together.
     """
-    spark = frame.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = settle(
-        frame.repartitionByRange(partitions, *order).withColumn("__range", F.spark_partition_id())
-    )
+    ranged = key_ranges(frame, order)
     result = running(ranged, [], F.col("__range"), list(order), {out: F.lit(1).cast("bigint")})
     return result.withColumn(out, (F.col(out) - 1).cast("bigint")).drop("__range")
 

@@ -188,12 +188,12 @@ v_control as (
 
 
 def doc_lines(t: Tables) -> DataFrame:
-    """Distinct (document, line of at least 20 characters)."""
+    """Distinct (document, line) without blank lines."""
     line = F.explode(F.split(F.col("text"), "\n"))
     return (
         t.documents.select(F.col("doc_id"), line.alias("raw"))
         .select("doc_id", F.trim("raw").alias("line"))
-        .where(F.length("line") >= 20)
+        .where(F.length("line") > 0)
         .distinct()
     )
 
@@ -201,7 +201,7 @@ def doc_lines(t: Tables) -> DataFrame:
 def doc_edges(t: Tables) -> DataFrame:
     """Sample-asset edges: a document and the digest of each of its lines."""
     return doc_lines(t).select(
-        F.col("doc_id").cast("string").alias("sample"), F.substring(F.sha2("line", 256), 1, 16).alias("asset")
+        F.col("doc_id").cast("string").alias("sample"), F.sha2("line", 256).alias("asset")
     )
 
 
@@ -209,9 +209,9 @@ SQL_DOC_EDGES = """
 v_doc_lines as (
   select distinct doc_id, line from (
     select doc_id, trim(unnest(string_split(text, chr(10)))) as line from documents)
-  where length(line) >= 20),
+  where length(line) > 0),
 v_doc_edges as (
-  select cast(doc_id as varchar) as sample, substr(sha256(line), 1, 16) as asset from v_doc_lines)"""
+  select cast(doc_id as varchar) as sample, sha256(line) as asset from v_doc_lines)"""
 
 
 def line_edges(t: Tables) -> DataFrame:
@@ -312,8 +312,8 @@ v_slots as (select conv_id as slot, turn as attempt, role = 'assistant' as ok fr
 
 
 def measurements(t: Tables) -> DataFrame:
-    """Fixture x treatment rows; a fixture has at most four treatments."""
-    a = annotations(t).where(F.col("instance_pos") <= 4)
+    """Fixture x treatment rows."""
+    a = annotations(t)
     return a.select(
         F.col("sample_id").alias("fixture"),
         F.col("instance_pos").alias("treatment"),
@@ -338,7 +338,7 @@ v_measurements as (
     cast(round(discount * 1000000) as bigint) as write_ns, requested_objects as object_count,
     cast(round(quantity) as integer) / 10.0::double as megapixels, class_name as recipe_id, source_asset,
     x1, y1, x2, y2, tax, discount
-  from v_annotations where instance_pos <= 4)"""
+  from v_annotations)"""
 )
 
 
@@ -368,10 +368,10 @@ v_jobs as (
 
 
 def observations(t: Tables) -> DataFrame:
-    """Finished orders as observations; one segment has none, one only probes."""
+    """Finished orders as observations; one segment has another name than its jobs, one only probes."""
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return o.where(F.col("c_mktsegment") != "BUILDING").select(
-        F.col("c_mktsegment").alias("fingerprint"),
+    return o.select(
+        F.when(F.col("c_mktsegment") == "BUILDING", "BUILDING-2").otherwise(F.col("c_mktsegment")).alias("fingerprint"),
         (F.col("o_custkey") % 4 + 1).cast("int").alias("workers"),
         F.when((F.col("o_orderstatus") == "F") & (F.col("c_mktsegment") != "MACHINERY"), "production")
         .otherwise("probe").alias("kind"),
@@ -381,10 +381,10 @@ def observations(t: Tables) -> DataFrame:
 
 SQL_OBSERVATIONS = """
 v_observations as (
-  select c_mktsegment as fingerprint, cast(o_custkey % 4 + 1 as integer) as workers,
+  select case c_mktsegment when 'BUILDING' then 'BUILDING-2' else c_mktsegment end as fingerprint, cast(o_custkey % 4 + 1 as integer) as workers,
     case when o_orderstatus = 'F' and c_mktsegment <> 'MACHINERY' then 'production' else 'probe' end as kind,
     o_totalprice / 100000 as seconds
-  from orders join customer on o_custkey = c_custkey where c_mktsegment <> 'BUILDING')"""
+  from orders join customer on o_custkey = c_custkey)"""
 
 
 def overrides(t: Tables) -> DataFrame:

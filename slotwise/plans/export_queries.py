@@ -13,12 +13,12 @@ from slotwise.plans.registry import query
 
 @query(
     "merge_class_catalog",
-    """with c as (select cast(substr(p_brand, 7) as integer) as pool, p_name as name, row_number() over (partition by p_brand order by p_name) as pos from (select distinct p_brand, p_name from part where p_size > 20)),
+    """with c as (select cast(substr(p_brand, 7) as integer) as pool, p_name as name, row_number() over (partition by p_brand order by p_name) as pos from (select distinct p_brand, p_name from part)),
        f as (select name, min(pool * 100000 + pos) as k from c group by name)
        select name as class_name, cast(row_number() over (order by k) - 1 as integer) as class_id from f""",
 )
 def _(t: Tables) -> DataFrame:
-    runs = t.part.where("p_size > 20").groupBy(F.substring("p_brand", 7, 9).cast("int").alias("pool_index")).agg(
+    runs = t.part.groupBy(F.substring("p_brand", 7, 9).cast("int").alias("pool_index")).agg(
         F.array_sort(F.collect_set("p_name")).alias("classes")
     )
     return O.merge_class_catalog(runs)

@@ -94,15 +94,15 @@ def _(t: Tables) -> DataFrame:
           round(coalesce(s.n, 0) / (select sum(n) from seen), 9) as observed_fraction,
           cast(coalesce(s.n, 0) as bigint) as observed_count
         from seen s full outer join conf c on s.recipe = c.recipe""",
-        """seen as (select n_name as recipe, count(*) as n from customer join nation on c_nationkey = n_nationkey
-                 where n_nationkey < 20 group by 1)""",
-        """conf as (select n_name as recipe, n_regionkey * 1.0::double as weight from nation where n_nationkey >= 3)""",
+        """seen as (select n_name as recipe, count(*) as n from customer join nation on c_nationkey = n_nationkey group by 1)""",
+        """conf as (select case when n_nationkey < 20 then n_name else n_name || '-old' end as recipe, n_regionkey * 1.0::double as weight from nation where n_nationkey >= 3)""",
     ),
 )
 def _(t: Tables) -> DataFrame:
-    seen = t.customer.join(t.nation.where("n_nationkey < 20"), F.col("c_nationkey") == F.col("n_nationkey"))
+    seen = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     weights = t.nation.where("n_nationkey >= 3").select(
-        F.col("n_name").alias("recipe"), F.col("n_regionkey").cast("double").alias("weight")
+        F.when(F.col("n_nationkey") < 20, F.col("n_name")).otherwise(F.concat("n_name", F.lit("-old"))).alias("recipe"),
+        F.col("n_regionkey").cast("double").alias("weight"),
     )
     mix = O.mix_configured_observed(seen.select(F.col("n_name").alias("recipe")), "recipe", weights, 0.0)
     return mix.select(

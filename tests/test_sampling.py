@@ -99,16 +99,18 @@ def test_picks_do_not_depend_on_partitions(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b.select("slot", "asset_id").collect())) and len(a) == 1000
 
 
-def test_overlap_counts_agree_between_small_and_large_slots(spark):
+def test_overlap_counts_do_not_depend_on_the_grid(spark):
     rows = [(s, i, (i * 37 + s) % 300, (i * 53) % 300, (i * 37 + s) % 300 + 10 + i % 90, (i * 53) % 300 + 5 + i % 70) for s in range(3) for i in range(60)]
     frame = spark.createDataFrame(rows, "slot int, id int, x1 bigint, y1 bigint, x2 bigint, y2 bigint")
-    small = sorted(map(tuple, P.overlap_pairs(frame, "slot", ["id"]).collect()))
-    large = sorted(map(tuple, P.overlap_pairs(frame, "slot", ["id"], row_limit=1, cell=32).collect()))
+    small = sorted(map(tuple, P.overlap_pairs(frame, "slot", ["id"], cell=1000).collect()))
+    large = sorted(map(tuple, P.overlap_pairs(frame, "slot", ["id"], cell=32).collect()))
     want = sorted(
         (a[0], a[1], sum(1 for b in rows if b[0] == a[0] and b[1] != a[1] and a[4] > b[2] and b[4] > a[2] and a[5] > b[3] and b[5] > a[3]))
         for a in rows
     )
     assert small == want and large == want
+    flat = spark.createDataFrame([(1, 1, 0, 0, 10, 10), (1, 2, 5, 5, 20, 20), (1, 3, 5, 5, 5, 9)], "slot int, id int, x1 bigint, y1 bigint, x2 bigint, y2 bigint")
+    assert sorted(map(tuple, P.overlap_pairs(flat, "slot", ["id"]).collect())) == [(1, 1, 1), (1, 2, 1), (1, 3, 0)]
 
 
 def test_first_accepted_keeps_failures_and_exhausted_slots(spark):
