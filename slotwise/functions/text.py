@@ -11,7 +11,11 @@ READING_NAME_PATTERN = r"manometer_(\d+)_(\d+)"
 RANGE_NAME_PATTERN = r"^(\d+(?:\.\d+)?)-(\d+(?:\.\d+)?)$"
 TEMPLATE_GROUP_MARK = "gabarito"
 UNSORTABLE_NAME_KEY = 1e9
-LINK_PATTERN = r"""(?is)<[a-z][^<>]*?\s(?:href|src)\s*=\s*["']([^"']+)["']"""
+COMMENT_PATTERN = r"(?s)<!--.*?-->"
+RAW_TEXT_PATTERN = r"(?is)(<script\b[^>]*>|<style\b[^>]*>).*?(</script|</style)"
+TAG_PATTERN = r"""(?s)<[a-zA-Z](?:[^<>"']|"[^"]*"|'[^']*')*>"""
+ATTRIBUTE_PATTERN = r"""(?s)\s[^\s=<>"'/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)"""
+LINK_ATTRIBUTE_PATTERN = r"""(?is)^\s(?:href|src)\s*=\s*["']?([^"']*)"""
 REMOTE_PREFIXES = ("#", "http:", "https:", "data:")
 
 
@@ -66,8 +70,14 @@ def redact_path(value: Column) -> Column:
 
 
 def local_link_values(html: Column) -> Column:
-    """Distinct href and src values that point inside the site."""
-    found = F.regexp_extract_all(html, F.lit(LINK_PATTERN), 1)
+    """Values of all href and src attributes, quoted or not, that point inside the site.
+
+    Comments and the content of scripts and styles hold no tags.
+    """
+    plain = F.regexp_replace(F.regexp_replace(html, COMMENT_PATTERN, ""), RAW_TEXT_PATTERN, "$1$2")
+    tags = F.regexp_extract_all(plain, F.lit(TAG_PATTERN), 0)
+    attributes = F.flatten(F.transform(tags, lambda tag: F.regexp_extract_all(tag, F.lit(ATTRIBUTE_PATTERN), 0)))
+    found = F.transform(attributes, lambda a: F.regexp_extract(a, LINK_ATTRIBUTE_PATTERN, 1))
 
     def is_local(value: Column) -> Column:
         keep = F.length(value) > 0

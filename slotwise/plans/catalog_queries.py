@@ -299,12 +299,18 @@ def _(t: Tables) -> DataFrame:
     return O.catalog_summary(docs, "source")
 
 
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 @query(
     "local_links",
     with_sql(
         """select page_id as page, link from l where link not in (
              select link from l where regexp_full_match(link, '/[^/?#]+') group by link having count(*) >= 5)""",
-        f"""l as (select distinct page_id, link from (select page_id, unnest(regexp_extract_all(html, {"'" + X.LINK_PATTERN.replace("'", "''") + "'"}, 1)) as link from pages)
+        f"""tags as (select page_id, unnest(regexp_extract_all(regexp_replace(regexp_replace(html, {quoted(X.COMMENT_PATTERN)}, '', 'g'), {quoted(X.RAW_TEXT_PATTERN)}, '\\1\\2', 'g'), {quoted(X.TAG_PATTERN)})) as tag from pages),
+           attributes as (select page_id, unnest(regexp_extract_all(tag, {quoted(X.ATTRIBUTE_PATTERN)})) as a from tags),
+           l as (select distinct page_id, link from (select page_id, regexp_extract(a, {quoted(X.LINK_ATTRIBUTE_PATTERN)}, 1) as link from attributes)
              where link <> '' and not (starts_with(link, '#') or starts_with(link, 'http:') or starts_with(link, 'https:') or starts_with(link, 'data:')))""",
     ),
 )

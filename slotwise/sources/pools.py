@@ -17,18 +17,26 @@ OBSERVATION_SCHEMA = 2
 def read_pool(spark: SparkSession, paths: Sequence[str], schema: str = SAMPLE, name: str = "samples.jsonl") -> DataFrame:
     """Rows of one log of several pools, with the pool's place in ``paths`` and a global key.
 
-    Each path may hold one file or a folder of part files under ``name``.
+    Each path may hold one file or a folder of part files under ``name``. Torn lines are no
+    rows; ``pool_findings`` lists them.
     """
     parts = [
-        spark.read.schema(schema).json(f"{path.rstrip('/')}/{name}").withColumn("pool_index", F.lit(i))
+        spark.read.schema(f"{schema}, {BAD_LINE} string").option("columnNameOfCorruptRecord", BAD_LINE)
+        .json(f"{path.rstrip('/')}/{name}").withColumn("pool_index", F.lit(i))
         for i, path in enumerate(paths)
     ]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
+    rows = rows.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
     return rows.withColumn("key", F.concat_ws(":", F.col("pool_index").cast("string"), F.col("sample_id")))
 
 
+def pool_findings(spark: SparkSession, paths: Sequence[str], schema: str = SAMPLE, name: str = "samples.jsonl") -> DataFrame:
+    """The lines of the pools' logs that are no JSON records."""
+    return read_jsonl_permissive(spark, [f"{path.rstrip('/')}/{name}" for path in paths], schema)[1]
+
+
 def read_jsonl_permissive(
     spark: SparkSession, paths: Sequence[str], schema: str, code: str = "INVALID_JSONL", wanted_schema: int | None = None,
     required: Sequence[str] = (), stale_code: str = "IGNORED_STALE_OBSERVATION",

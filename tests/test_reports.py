@@ -296,3 +296,19 @@ def test_stream_session_windows_match_the_split(spark, tmp_path):
     assert closed.where("events > 2").count() == 0
     windows = frame.groupBy(F.session_window("ts", "10 seconds"), "k").count()
     assert windows.count() == batch.select("k", "session").distinct().count()
+
+
+def test_links_of_every_attribute_outside_comments(spark):
+    html = (
+        '<a href="x.html" src="y.png" title="a href=no.html"> <img src=z.png> <!-- <a href="c.html"> --> '
+        "<script src='s.js'>var a = '<a href=\"n.html\">'</script><a HREF = 'q.html'><a href='#top'><a href=http://far/>"
+    )
+    row = spark.createDataFrame([(html,)], "html string").select(X.local_link_values(F.col("html")).alias("v")).first()
+    assert row.v == ["x.html", "y.png", "z.png", "s.js", "q.html"]
+
+
+def test_torn_lines_are_findings_not_rows(spark, tmp_path):
+    (tmp_path / "samples.jsonl").write_text('{"slot": 1, "sample_id": "a"}\n{"slot": 2, "sam\n\n{"slot": 3, "sample_id": "b"}\n')
+    rows = pools.read_pool(spark, [str(tmp_path)])
+    assert sorted((r.slot, r.key) for r in rows.collect()) == [(1, "0:a"), (3, "0:b")]
+    assert [r.raw for r in pools.pool_findings(spark, [str(tmp_path)]).collect()] == ['{"slot": 2, "sam']
