@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, per_row, slices, words
+from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, most_frequent, per_row, slices, words
 from slotwise.session import scratch_path
 
 #: Tokens looked up without a join (16 bytes each on every worker).
@@ -230,7 +230,7 @@ def score(docs: DataFrame) -> DataFrame:
     unigrams = spark.read.parquet(path)
     whole = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     end = unigrams.where(F.col("key") == int(END.view(np.int64))).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    common = unigrams.orderBy(F.desc("n"), "key").limit(COMMON_TOKENS).toPandas()
+    common = most_frequent(unigrams, "n", COMMON_TOKENS).toPandas()
     vocabulary = Vocabulary(common, whole.total, whole.distinct, end.n)
 
     def ngrams_of(part: Slice) -> np.ndarray:

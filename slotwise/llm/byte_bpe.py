@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.textops import documents
+from slotwise.llm.frames import stored
+from slotwise.llm.textops import documents, most_frequent
 
 RANK_BUCKETS = 1 << 15
 WORD_BUCKETS = 1 << 16
@@ -123,8 +124,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id and ids of every document."""
     docs = documents(docs, "doc_id", "text")
     table = _rank_array(ranks)
-    common = word_counts(docs, pattern).where(F.octet_length("word") <= DICTIONARY_WORD_BYTES)
-    common = common.orderBy(F.desc("count"), "word").limit(DICTIONARY_WORDS)
+    common = stored(word_counts(docs, pattern).where(F.octet_length("word") <= DICTIONARY_WORD_BYTES), "words")
+    common = most_frequent(common, "count", DICTIONARY_WORDS)
     fold = lambda t: _bind(F.col("word").cast("binary"), lambda raw: _fold(t["ranks"], raw))
     folded = _with_constant(common.select("word"), "ids", fold, ranks=table)
     pairs = [(r.word.encode(), r.word, r.ids) for r in folded.collect()]

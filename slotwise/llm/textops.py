@@ -156,6 +156,21 @@ def sequence_hash(values: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def most_frequent(frame: DataFrame, count: str, limit: int) -> DataFrame:
+    """The rows of the highest counts: all that reach a level which at most ``limit`` rows reach.
+
+    Only a histogram of count levels (64 an octave) comes to the driver; nothing is sorted.
+    """
+    level = F.floor(F.log2(count) * 64)
+    sizes = frame.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    taken, least = 0, None
+    for own in sorted(sizes, key=lambda r: -r.level):
+        if taken + own.n > limit:
+            break
+        taken, least = taken + own.n, own.level
+    return frame.where(level >= least) if least is not None else frame.limit(0)
+
+
 def documents(frame: DataFrame, *columns: str) -> DataFrame:
     """Just the named columns of a documents table, whatever else it carries."""
     return frame.select(*[F.col(f"`{c}`") for c in columns])
