@@ -1,8 +1,8 @@
 """Exact n-gram Jaccard join with signature trees; the result is components, not pairs.
 
-A text's set holds the 64-bit hashes of its distinct 4-word shingles; equal sets are one class. Linked classes share a
-shingle among the first |x| - ceil(t |x|) + 1 of each in one global order, so candidates are the classes below a shared
-prefix key. The order puts shingles that stand out in a table of 65,536 hashed counts last, which keeps boilerplate out
+A text's set holds the 64-bit hashes of its distinct 4-word shingles; equal sets are one class. Linked classes share k
+shingles among the first |x| - ceil(t |x|) + k of each in one global order (different sets that link have t / (1 - t)
+shingles in common at least, which bounds k), so candidates are the classes below k shared prefix keys. The order puts shingles that stand out in a table of 65,536 hashed counts last, which keeps boilerplate out
 of the prefixes; any order is right.
 
 1. Leaders: every key points at its smallest class; a class is compared with the leader that shares most keys with it, two
@@ -41,6 +41,8 @@ COUNT_BUCKETS = 256
 FANOUT = 4
 BLOCK = 512
 SHARED_WITH_LEADER = 2
+#: Keys that a linked pair shares at least, where the threshold allows it; prefixes are that much longer.
+SHARED_KEYS = 4
 
 
 def shingle_sets(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +116,7 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int) -> DataFrame:
+def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int, shared: int) -> DataFrame:
     """Prefix keys of every set."""
 
     def work(part: Slice) -> pa.RecordBatch:
@@ -123,7 +125,7 @@ def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int) ->
         cid, size = class_ids(rows, values, begin), np.diff(begin)
         order = np.lexsort((values, level[(values >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], rows))
         place = np.arange(len(rows)) - begin[rows]
-        length = size - -(-threshold * size // 100) + 1
+        length = size - -(-threshold * size // 100) + shared
         taken = place < length[rows]
         return pa.RecordBatch.from_arrays([pa.array(values[order][taken].view(np.int64)), pa.array(cid[rows[taken]])], ["key", "cid"])
 
@@ -266,7 +268,7 @@ class Tree:
             stack.append((depth - 1, i[there], j[there]))
 
 
-def _tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
+def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
     """Pairs of classes by signature trees; members[key, left, right, side, cid, comp, n_shingles, signature]."""
 
     def search(batch: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -304,7 +306,8 @@ def _tree_pairs(members: DataFrame, threshold: int) -> DataFrame:
             yield from search(pa.Table.from_batches(held))
 
     dealt = members.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    found = dealt.mapInArrow(run, "a long, b long").groupBy("a", "b").count()
+    return found.where(F.col("count") >= shared).select("a", "b")
 
 
 def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -317,9 +320,10 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     usual = max(float(np.median(total)), 1.0)
     level = np.maximum(np.floor(np.log2(np.maximum(total, 1) / usual)), 0).astype(np.int64)
 
-    keys = stored(_prefixes(docs, level, width, threshold), "prefixes")
-    shared = keys.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("most")).where("lead < most")
-    rows = stored(keys.join(shared.select("key", "lead"), "key").distinct(), "candidates")
+    shared = max(1, min(SHARED_KEYS, threshold // max(100 - threshold, 1)))
+    keys = stored(_prefixes(docs, level, width, threshold, shared), "prefixes")
+    held = keys.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("most")).where("lead < most")
+    rows = stored(keys.join(held.select("key", "lead"), "key").distinct(), "candidates")
     first = F.min(F.struct("doc_id", "n_shingles", "signature", "counts")).alias("f")
     classes = own.where("n_shingles > 0").groupBy("cid").agg(first).select("cid", "f.*")
 
@@ -338,7 +342,7 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
         (F.col("block") > F.col("other")).cast("int").alias("side"),
     )
     members = members.join(classes.select("cid", "n_shingles", "signature"), "cid")
-    more = _links(docs, classes, _tree_pairs(members, threshold), width, threshold)
+    more = _links(docs, classes, _tree_pairs(members, threshold, shared), width, threshold)
     if not more.isEmpty():
         comps = stored(_components(links.unionByName(more)), "components")
 
