@@ -182,6 +182,10 @@ def exact_quantiles(
     return result.select(*by, *outputs)
 
 
+#: Cells of an interval that one row lists.
+CELL_BLOCK = 4096
+
+
 def interval_lookup(
     points: DataFrame,
     intervals: DataFrame,
@@ -199,6 +203,7 @@ def interval_lookup(
     of both sides, constant per key) cut the range into about as many cells as there are
     intervals. An interval is repeated for every cell it touches, at most intervals +
     cells rows in all; a point has one cell, so a wide interval spreads over many cells.
+    Cells are listed in blocks, so no row lists all cells of a wide interval.
     """
     keys = list(keys)
 
@@ -206,9 +211,13 @@ def interval_lookup(
         part = value.cast("double") / F.col(span).cast("double")
         return F.least(F.col(bins) - 1, F.floor(part * F.col(bins)))
 
-    spread = intervals.where(F.col(low) < F.col(high)).withColumn(
-        "__cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
-    )
+    spread = intervals.where(F.col(low) < F.col(high))
+    spread = spread.withColumns({"__first": cell(F.col(low)), "__last": cell(F.col(high))})
+    block = lambda c: F.floor(F.col(c) / CELL_BLOCK)
+    spread = spread.withColumn("__block", F.explode(F.sequence(block("__first"), block("__last"))))
+    start = F.col("__block") * CELL_BLOCK
+    cells = F.sequence(F.greatest("__first", start), F.least("__last", start + (CELL_BLOCK - 1)))
+    spread = spread.withColumn("__cell", F.explode(cells)).drop("__first", "__last", "__block")
     shared = [c for c in (span, bins) if c in points.columns]
     spread = spread.drop(*shared).withColumnsRenamed({name: f"__r_{name}" for name in [*keys, "__cell"]})
     placed = points.withColumn("__cell", cell(F.col(point)))

@@ -92,3 +92,11 @@ def test_interval_lookup_wide_and_narrow(spark):
     got = S.interval_lookup(points, intervals, [], "p", "lo", "hi", "span", "bins").select("p", "id").collect()
     want = {p: i for i, lo, hi in bounds for p in range(lo, hi)}
     assert len(got) == at and {r["p"]: r["id"] for r in got} == want
+
+
+def test_a_wide_interval_is_listed_in_blocks(spark):
+    n = 3 * S.CELL_BLOCK
+    intervals = spark.createDataFrame([(1, 0, n - 2, n, n), (2, n - 2, n, n, n)], "asset int, low bigint, high bigint, span bigint, bins bigint")
+    points = spark.range(0, n, 37).select(F.col("id").alias("at"), F.lit(n).cast("bigint").alias("span"), F.lit(n).cast("bigint").alias("bins"))
+    got = S.interval_lookup(points, intervals, [], "at", "low", "high", "span", "bins").select("at", "asset").collect()
+    assert len(got) == points.count() and all(r.asset == (1 if r.at < n - 2 else 2) for r in got)
