@@ -1,10 +1,10 @@
 """Licence scan with a positional index of rare licence words.
 
 Templates are short licence notices. Their words are weighted by the inverse document frequency that the whole scanned
-corpus gives them. The index holds the positions of the rarest words of every template. A file looks up its own
-highest-IDF indexed words; each posting proposes a place of the template in the file (file position minus template
-position), proposals are intersected by that relative place, and a proposal holds if enough of the template's words
-stand there and one of its mandatory key phrases stands inside it. The base phrases are templates of their own: their rarest
+corpus gives them. The index holds the positions of the rarest words of every template. A file looks up all of its
+indexed words, so several notices in one file do not displace each other; each posting proposes a place of the template
+in the file (file position minus template position), proposals are intersected by that relative place, and a proposal
+holds if enough of the template's words stand there and one of its mandatory key phrases stands inside it. The base phrases are templates of their own: their rarest
 word is always looked up, so that every place is found, and all their words are mandatory.
 
 Words: A-Z lower-cased, runs of ASCII letters, digits and non-ASCII characters. A null text is an empty one and gets
@@ -68,7 +68,6 @@ TEMPLATES = (
 )
 
 INDEXED_WORDS = 8
-LOOKED_UP = 16
 LEAST_SHARE = 0.6
 
 SCHEMA = (
@@ -102,6 +101,8 @@ class Index:
         number = {w: i for i, w in enumerate(self.names)}
         ids = lambda t: np.array([number[w] for w in split_words(t)], np.int32)
         self.templates = [Template(label, ids(text), [ids(k) for k in keys]) for label, keys, text in templates]
+        self.longest = max((len(t.ids) for t in self.templates), default=0)
+        self.least = np.array([min(3, len(t.ids)) for t in self.templates], np.int64)
         self.base = [(ids(p), label) for p, label in phrases]
         hashes = hash_words(self.names)
         self.order = np.argsort(hashes)
@@ -145,18 +146,17 @@ def _contains(window: np.ndarray, phrase: np.ndarray) -> bool:
 
 def file_labels(ids: np.ndarray, index: Index) -> dict[str, float]:
     """Labels of one file from its template matches, with the share of the template that stands there."""
-    present = [i for i in np.unique(ids[ids >= 0]).tolist() if i in index.postings]
-    present.sort(key=lambda i: (-index.weights[i], i))
-    votes: dict[tuple[int, int], int] = {}
-    for i in present[:LOOKED_UP]:
-        for at in np.flatnonzero(ids == i).tolist():
-            for t, own in index.postings[i]:
-                votes[t, at - own] = votes.get((t, at - own), 0) + 1
+    votes: list[np.ndarray] = []
+    width = len(ids) + 2 * index.longest
+    for i in np.unique(ids[ids >= 0]).tolist():
+        if i in index.postings:
+            at = np.flatnonzero(ids == i)
+            votes += [t * width + at - own + index.longest for t, own in index.postings[i]]
+    places, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *votes]), return_counts=True)
+    enough = counts >= index.least[places // width]
     found: dict[str, float] = {}
-    for (t, start), count in votes.items():
+    for t, start in zip((places[enough] // width).tolist(), (places[enough] % width - index.longest).tolist(), strict=True):
         template = index.templates[t]
-        if count < min(3, len(template.ids)):
-            continue
         first, last = max(start, 0), min(start + len(template.ids), len(ids))
         share = float(np.mean(np.isin(np.arange(first, last), first + np.flatnonzero(ids[first:last] == template.ids[first - start : last - start])))) if last > first else 0.0
         share *= (last - first) / len(template.ids)

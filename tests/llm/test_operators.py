@@ -205,6 +205,17 @@ def test_license_scan(docs, none, rows):
     assert sum(map(len, got.values())) == len(rows) and license_scan.scan(none).count() == 0
 
 
+def test_license_scan_of_many_notices(spark):
+    """Every notice of a file counts, however many others stand beside it."""
+    notices = {label: text for label, _, text in license_scan.TEMPLATES}
+    sets = [list(notices), ["mit", "apache", "bsd", "mpl", "zlib"], ["bsd", "isc", "zlib", "boost"]]
+    files = [(k, " filler words between\n".join(notices[x] for x in own)) for k, own in enumerate(sets)]
+    files += [(10 + k, f"some prose number {k} of the corpus") for k in range(50)]
+    got = {r.doc_id: set(r.labels.split(",")) for r in license_scan.scan(spark.createDataFrame(files, "doc_id long, text string")).collect()}
+    for k, own in enumerate(sets):
+        assert got[k] == set(own)
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 @pytest.mark.parametrize("bucket", [2, 1024])
 def test_suffix_dedup(docs, none, rows, keep, bucket, monkeypatch):
