@@ -7,7 +7,9 @@ A page that lacks the path falls back to its own best container.
 
 Text: character references decoded, white space inside a block as one blank, trimmed, blocks joined by an empty line.
 Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out by tag, role and
-class words.
+class words. Class and id words are judged when the whole page is read: words behind with-, no-, has- and the like say
+nothing; a container that holds the page's main part, or most of the page's text while no main part stands elsewhere,
+stays; inside an article a word of a compound name counts only where most of the text is links.
 
 Cases: null or empty html, and a page without text, give an empty text; a null url is a host of its own; unclosed tags
 end where their parent ends; unclosed comments, scripts and styles run to the end; ties of votes go to the smaller path;
@@ -48,6 +50,9 @@ DROPPED_WORDS = set(
 )
 HEADER_WORDS = set("header topbar".split())
 MAIN_WORDS = set("article body content entry main post story text".split())
+MODIFIERS = set("with without no not has have hide hidden is".split())
+#: A container holds most of a page's or of its own text beyond this share.
+LARGER_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
@@ -67,7 +72,11 @@ class Node:
     dropped: bool
     article: bool
     favoured: bool
+    suspect: bool = False
+    compound: bool = False
     score: float = 0.0
+    chars: int = 0
+    linked: int = 0
     blocks: list[int] = field(default_factory=list)
 
 
@@ -75,24 +84,76 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(text)} if "=" in text else {}
 
 
+def _names(names: list[str]) -> tuple[set[str], set[str]]:
+    """Words of class and id names up to a modifier, and the names that are one word."""
+    words, single = set(), set()
+    for name in names:
+        parts = [w for w in _WORD.split(name) if w]
+        if len(parts) == 1:
+            single.add(parts[0])
+        for word in parts:
+            if word in MODIFIERS and len(parts) > 1:
+                break
+            words.add(word)
+    return words, single
+
+
 def _node(tag: str, attributes: str, parent: Node | None) -> Node:
     held = _attributes(attributes)
     classes = sorted(held.get("class", "").split())
-    words = set(_WORD.split(" ".join([*classes, held.get("id", "")])))
-    article = tag in ("article", "main") or bool(parent and parent.article)
+    words, single = _names([*classes, *held.get("id", "").split()])
+    inside = bool(parent and parent.article)
+    article = tag in ("article", "main") or inside
     dropped = bool(parent and parent.dropped) or tag in DROPPED_TAGS or held.get("role", "") in DROPPED_ROLES
     if tag not in ("html", "body", "main", "article"):
-        dropped |= bool(words & DROPPED_WORDS)
-        dropped |= not article and (tag == "header" or bool(words & HEADER_WORDS))
+        dropped |= not article and tag == "header"
+    judged = DROPPED_WORDS if article else DROPPED_WORDS | HEADER_WORDS
+    suspect = tag not in ("html", "body") and bool(words & judged)
     step = _DIGITS.sub("#", ".".join([tag, *classes]))
     favoured = tag in ("article", "main") or bool(words & MAIN_WORDS)
-    return Node(tag, f"{parent.path}/{step}" if parent else step, parent, dropped, article, favoured)
+    path = f"{parent.path}/{step}" if parent else step
+    return Node(tag, path, parent, dropped, article, favoured, suspect, inside and not single & judged)
+
+
+def _drop_suspects(nodes: list[Node], owners: list[Node], sizes: list[tuple[int, int]]) -> None:
+    """Settle the containers that class words name, by what they hold; ``nodes`` has parents before their children."""
+    for node, (chars, linked) in zip(owners, sizes, strict=True):
+        while node is not None:
+            node.chars, node.linked = node.chars + chars, node.linked + linked
+            node = node.parent
+    # Suspects that hold a main part by tag; text of outermost main parts, by nearest suspect around them.
+    tagged, held = set(), {}
+    for node in nodes:
+        if node.dropped or node.suspect or not node.favoured or not node.chars:
+            continue
+        by_tag, outer, nearest, outermost = node.tag in ("article", "main"), node.parent, None, True
+        while outer is not None:
+            if outer.suspect:
+                nearest = nearest or outer
+                if by_tag:
+                    tagged.add(id(outer))
+            elif nearest is None:
+                outermost &= not outer.favoured
+            outer = outer.parent
+        if outermost:
+            held[id(nearest) if nearest else None] = held.get(id(nearest) if nearest else None, 0) + node.chars
+    clean, whole = held.get(None, 0), nodes[0].chars
+    for node in nodes:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        if node.dropped or not node.suspect or node.tag in ("article", "main"):
+            continue
+        main = id(node) in tagged or held.get(id(node), 0) > clean
+        larger = node.chars > LARGER_SHARE * whole and not clean
+        prose = node.compound and node.linked <= LARGER_SHARE * node.chars
+        node.dropped = not (main or larger or prose)
 
 
 def parse(page: str) -> tuple[list[str], list[Node], list[Node]]:
     """Blocks of text in page order, the node each lies in, and all container nodes."""
     root = Node("html", "html", None, False, False, False)
-    stack, nodes, blocks, owners = [root], [root], [], []
+    stack, nodes, every, blocks, owners = [root], [root], [root], [], []
+    sizes: list[tuple[int, int]] = []
     parts: list[str] = []
     links = linked = 0
 
@@ -104,6 +165,7 @@ def parse(page: str) -> tuple[list[str], list[Node], list[Node]]:
             owner = next((n for n in reversed(stack) if n.tag in CONTAINERS), root)
             blocks.append(text)
             owners.append(stack[-1])
+            sizes.append((len(text), min(linked, len(text))))
             owner.score += max(0, len(text) - LINK_PENALTY * linked)
         linked = 0
 
@@ -140,12 +202,17 @@ def parse(page: str) -> tuple[list[str], list[Node], list[Node]]:
             stack.pop()
         if tag != "html":
             stack.append(_node(tag, m[4] or "", stack[-1]))
+            every.append(stack[-1])
             if tag in CONTAINERS:
                 nodes.append(stack[-1])
     if at < len(page):
         parts.append(page[at:].split("<", 1)[0] if re.match(r"[^<]*<[a-zA-Z/!]", page[at:]) else page[at:])
     close()
-    return blocks, owners, nodes
+    _drop_suspects(every, owners, sizes)
+    held = [k for k, n in enumerate(owners) if not n.dropped]
+    for n in nodes:
+        n.score *= not n.dropped
+    return [blocks[k] for k in held], [owners[k] for k in held], nodes
 
 
 def best_container(nodes: list[Node]) -> Node | None:

@@ -277,6 +277,30 @@ def test_host_consensus(spark):
     assert host_consensus.main_text(empty).count() == 0
 
 
+ARTICLE = "<article><h1>Title</h1><p>The article itself, with some text.</p>{}</article>"
+
+
+@pytest.mark.parametrize("wrapper", ["layout with-sidebar", "no-sidebar", "has-navbar", "post share", "page-header", "social"])
+def test_wrappers_keep_the_article(wrapper):
+    menu = "<div class=sidebar><p>Side text</p></div><div class='ad'><p>Buy</p></div>"
+    for page in (f"<body><div class='{wrapper}'>{menu}{ARTICLE}</div></body>", f"<body><div id='{wrapper}'><div class=content>{ARTICLE}</div>{menu}</div></body>"):
+        assert host_consensus.extract(page.replace("{}", ""), None) == "Title\n\nThe article itself, with some text."
+    page = f"<body><div class=menu><p>Menu</p></div><div class='{wrapper}'><p>Only text of this page, in no article.</p></div></body>"
+    assert host_consensus.extract(page, None) == "Only text of this page, in no article."
+
+
+def test_class_words_inside_an_article():
+    work = "<section class='related-work'><p>Others did this before.</p></section>"
+    links = "<div class='related-posts'><p><a href=x>Another post</a></p></div><div class=share><p>Share it</p></div>"
+    assert host_consensus.extract(f"<body>{ARTICLE.replace('{}', work + links)}</body>", None).endswith("some text.\n\nOthers did this before.")
+
+
+def test_long_comments_stay_out():
+    reply = "<article class='comment'><div class='comment-body'><div class=text><p>A reply that is much longer than the page that it is about.</p></div></div></article>"
+    for page in (ARTICLE.replace("{}", ""), "<div class=content><h1>Title</h1><p>The article itself, with some text.</p></div>"):
+        assert host_consensus.extract(f"<body>{page}<div class=comments>{reply * 5}</div></body>", None) == "Title\n\nThe article itself, with some text."
+
+
 def test_bloom_lm(docs, none, rows):
     held = [(i, zlib.crc32(str(i if i is not None else "").encode()) % 5 == 1, [*re.findall(WORD, lower(t)), "\0end"]) for i, t, _ in rows]
     count = Counter(w for _, out, ws in held if not out for w in ws)
