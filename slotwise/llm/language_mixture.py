@@ -2,7 +2,8 @@
 
 Byte trigrams of the labelled training texts are counted per language. A text is then a mixture: each of its trigrams
 comes from language l with proportion w[l]. Expectation-maximisation estimates the proportions; the set of languages is
-the one with the best penalised likelihood (half a log of the trigram count for every language beyond the first). The
+the one with the best penalised likelihood (a log of the trigram count for every language beyond the first), found by
+backward elimination from all trained languages: the smallest proportion goes, the rest is estimated again. The
 prediction is the language with the largest proportion, the score that proportion.
 
 The model holds languages x 32,768 counts, whatever the size of the corpus. All training rows are counted.
@@ -27,9 +28,9 @@ from slotwise.llm.textops import Slice, documents, map_slices, slices
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 0.1
-CANDIDATES = 4
-LARGEST_SET = 3
-FULL_ROUNDS, SET_ROUNDS = 6, 4
+FULL_ROUNDS, SET_ROUNDS = 10, 4
+#: Trigrams x languages that are estimated at once (more for a single text; that has at most BUCKETS trigrams).
+BLOCK_CELLS = 1 << 22
 UNKNOWN = "und"
 
 _LETTER = np.full(256, 32, np.uint8)
@@ -97,20 +98,34 @@ def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 def mixtures(rows: np.ndarray, grams: np.ndarray, model: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """Languages (count, k) by falling proportion and their proportions, 0 outside the selected set; -1 without trigrams."""
-    k = min(CANDIDATES, len(model))
+    k = len(model)
     languages, shares = np.full((count, k), -1), np.zeros((count, k))
     keys, times = np.unique(rows * BUCKETS + grams, return_counts=True)
     if not len(keys) or not k:
         return languages, shares
     row, gram, times = keys >> BUCKET_BITS, keys & (BUCKETS - 1), times.astype(np.float32)
     begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    some = row[begin]
-    at = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(row))))
-    total = _sums(times, begin)
+    some, begin = row[begin], np.append(begin, len(row))
+    first = 0
+    while first < len(some):
+        last = int(np.searchsorted(begin, begin[first] + BLOCK_CELLS // k, "right")) - 1
+        last = min(max(last, first + 1), len(some))
+        own = slice(begin[first], begin[last])
+        chosen = _language_sets(gram[own], times[own], begin[first:last] - begin[first], model)
+        order = np.argsort(-chosen, axis=1, kind="stable")
+        languages[some[first:last]] = order
+        shares[some[first:last]] = np.take_along_axis(chosen, order, axis=1)
+        first = last
+    return languages, shares
+
 
+def _language_sets(gram: np.ndarray, times: np.ndarray, begin: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Proportions (texts, languages) of the best penalised set of each text, 0 outside it."""
+    k = len(model)
+    at = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(gram))))
+    total = _sums(times, begin)
     single = np.stack([_sums(times * own[gram], begin) for own in model], axis=1)
-    best = np.argsort(-single, axis=1, kind="stable")[:, :k]
-    log_p = np.stack([model[best[at, j], gram] for j in range(k)], axis=1)
+    log_p = model[:, gram].T
     top = log_p.max(axis=1)
     p = np.exp(log_p - top[:, None])
     floor = _sums(times * top, begin)
@@ -122,24 +137,23 @@ def mixtures(rows: np.ndarray, grams: np.ndarray, model: np.ndarray, count: int)
             w = _sums(part, begin) / total[:, None]
         return w
 
-    full = fit(np.full((len(begin), k), 1 / k, np.float32), FULL_ROUNDS)
-    order = np.argsort(-full, axis=1, kind="stable")
-    rank = np.argsort(order, axis=1, kind="stable")
-    chosen, reached = np.zeros_like(full), np.full(len(begin), -np.inf)
-    for size in range(1, min(k, LARGEST_SET) + 1):
+    each = np.arange(len(begin))
+    w = fit(np.full((len(begin), k), 1 / k, np.float32), FULL_ROUNDS)
+    active = np.ones(w.shape, bool)
+    chosen, reached = np.zeros_like(w), np.full(len(begin), -np.inf)
+    for size in range(k, 0, -1):
+        if size < k:
+            active[each, np.argmin(np.where(active, w, np.inf), axis=1)] = False
+            w = np.where(active, w, 0)
+            w /= w.sum(axis=1, keepdims=True)
+            w = fit(w, SET_ROUNDS) if size > 1 else w
         if size == 1:
-            w = np.zeros_like(full)
-            w[np.arange(len(w)), np.argmax(np.take_along_axis(single, best, axis=1), axis=1)] = 1
-        else:
-            w = np.where(rank < size, full, 0)
-            w = fit(w / w.sum(axis=1, keepdims=True), SET_ROUNDS)
+            w = np.zeros_like(w)
+            w[each, np.argmax(single, axis=1)] = 1
         value = _sums(times * np.log(np.maximum((p * w[at]).sum(axis=1), 1e-30)), begin) + floor - (size - 1) * np.log(total + 1)
-        better = value > reached
+        better = value >= reached
         chosen[better], reached[better] = w[better], value[better]
-    order = np.argsort(-chosen, axis=1, kind="stable")
-    languages[some] = np.take_along_axis(best, order, axis=1)
-    shares[some] = np.take_along_axis(chosen, order, axis=1)
-    return languages, shares
+    return chosen
 
 
 def _has_letter(part: Slice) -> np.ndarray:

@@ -114,6 +114,26 @@ def test_mixture_finds_both_languages(spark, rows):
     assert 0.6 < float(shares["aa"]) < 0.9 and set(shares) == {"aa", "bb"}
 
 
+def test_equal_parts_of_many_languages(spark, tmp_path, monkeypatch):
+    """Every language of a text is found, and no clean text goes for having several."""
+    rng = random.Random(8)
+    kinds = {"aa": ["the", "ing", "wh"], "bb": ["éz", "ño", "qu"], "cc": ["sch", "ürg", "zk"], "dd": ["oui", "aux", "lj"], "ee": ["pyk", "øvb", "fim"], "ff": ["gom", "dax", "žir"]}
+    tongues = {x: ["".join(rng.choice(s) for _ in range(rng.randint(1, 4))) for _ in range(300)] for x, s in kinds.items()}
+    train = [(i, prose(rng, 150, tongues[x]), x) for i, x in enumerate([*kinds] * 10)]
+    sets = [tuple(kinds)[:n] for n in (1, 2, 3, 4, 5, 6)]
+    mixed = [(1000 + n, "\n".join(prose(rng, 400, tongues[x]) for x in own), None) for n, own in enumerate(sets)]
+    frame = spark.createDataFrame(train + mixed, "doc_id long, text string, lang string")
+    for cells in (language_mixture.BLOCK_CELLS, 1):
+        monkeypatch.setattr(language_mixture, "BLOCK_CELLS", cells)
+        got = {r.doc_id: dict(x.split(":") for x in r.languages.split(",")) for r in language_mixture.identify(frame).collect()}
+        for n, own in enumerate(sets):
+            assert set(got[1000 + n]) == set(own)
+            assert all(abs(float(share) - 1 / len(own)) < 0.1 for share in got[1000 + n].values())
+    import corpus_pipeline
+
+    assert corpus_pipeline.language(spark, frame, str(tmp_path)).count() == len(train) + len(mixed)
+
+
 def test_packing_plans():
     rng = random.Random(1)
     for _ in range(200):
