@@ -375,6 +375,26 @@ def test_quality(docs, none, rows):
     assert quality_bands.keep_good(docs).columns == docs.columns and quality_bands.quality(none).count() == 0
 
 
+def test_mixed_texts_by_chunks():
+    rng = random.Random(9)
+    kinds = ["the ing wh ea ro st li om und ak", "éz ño qua ió la de ra ci on tu", "ди ро ска ж ли на во сте ом ук"]
+    tongues = [["".join(rng.choice(s.split()) for _ in range(rng.randint(1, 4))) for _ in range(1500)] for s in kinds]
+    squeeze = zstandard.ZstdCompressor(level=quality_bands.LEVEL)
+
+    def mixed(clean, encoded, words):
+        text = prose(rng, clean, words).encode()[:clean]
+        return quality_bands.compression(text + base64.b64encode(rng.randbytes(encoded))[:encoded], squeeze)
+
+    for words in tongues:
+        for size in (300, 1000, 3000, 5000, 40_000):
+            assert mixed(size, 0, words)[1::2] == (0, "pass")
+        assert mixed(16_384, 24_576, words)[1:] == (6, 10, "incompressible chunks")
+        assert mixed(20_480, 69_632, words)[3] in ("incompressible chunks", "incompressible")
+        assert mixed(24_576, 16_384, words)[1:] == (4, 10, "pass")
+        assert mixed(4096, 4000, words)[1:] == (1, 2, "pass")
+        assert mixed(4096, 7000, words)[1:] == (2, 3, "incompressible chunks")
+
+
 def test_media(docs, none, rows):
     want = Counter()
     for i, t, _ in rows:
