@@ -2,14 +2,14 @@
 
 Counts of n-grams are quantised to levels and the filter holds (n-gram, 1) ... (n-gram, level), so that a lookup probes
 level after level until one is missing. The filter is cut into segments of 64 Kbit; Spark groups the n-grams by segment,
-each task fills its own, and the finished filter, whose size is a parameter, goes to every worker. When the n-grams of
-the corpus need more room than that, the rarest counts stay out, down to the largest set that fits.
+each task fills its own. The number of segments follows the counted entries. A filter of at most FILTER_BITS goes to
+every worker; a larger one stays a table, and what a text asks for is joined with it by segment. Both give the same
+answers. The most frequent n-grams are looked up in a bounded table, so that no segment is asked for one n-gram by all texts.
 
-The model: every token has its smoothed unigram probability, which is exact. The most frequent words are symbols of
-their own, all others share one, and the bigrams of symbols pull the probability towards what the filter remembers of
-the left neighbour: p(w | v) = p(w) * (c(v, s) + m * p(s)) / ((c(v) + m) * p(s)), s the symbol of w. So the score is the
-unigram sum plus one gain a token. Unigrams: the most frequent tokens are looked up in a bounded table, all others are
-joined with the full table of counts, so each document's sum is exact.
+The model: every token has its smoothed unigram probability, which is exact, and the bigrams of all tokens pull it towards
+what the filter remembers of the left neighbour: p(w | v) = (c(v, w) + m * p(w)) / (c(v) + m). So the score is the unigram
+sum plus one gain a token, log10(1 + c(v, w) / (m * p(w))) + log10(m) - log10(c(v) + m). Unigrams: the most frequent tokens
+are looked up in a bounded table, all others are joined with the full table of counts, so each document's sum is exact.
 
 Tokens are words between \\x20 and \\x09-\\x0D with A-Z lower-cased, then one end. Tokens and texts are compared by 64-bit
 hashes. Cases: a null text is an empty one (just its end); no training rows: all counts are 0 and N = 0, where the base
@@ -31,9 +31,9 @@ from slotwise.session import scratch_path
 
 #: Tokens looked up without a join (16 bytes each on every worker).
 COMMON_TOKENS = 1 << 17
-#: Words with a symbol of their own.
-SYMBOLS = 4096
-#: Largest filter, in bits (32 MB); room for an entry; probes of an entry.
+#: N-grams looked up without the filter (9 bytes each on every worker).
+COMMON_NGRAMS = 1 << 17
+#: Largest filter that goes to every worker, in bits (32 MB); room for an entry; probes of an entry.
 FILTER_BITS = 1 << 28
 BITS_PER_ENTRY = 12
 PROBES = 4
@@ -42,7 +42,7 @@ SEGMENT_BITS = 1 << 16
 PRIOR = 2000.0
 
 END = np.uint64(0x5851F42D4C957F2D)
-BEGIN_SYMBOL, OTHER_SYMBOL = SYMBOLS, SYMBOLS + 1
+BEGIN = np.uint64(0x9FB21C651E98DF25)
 
 # Counts up to LEVELS[i] share level i + 1: every step is at least 1 and about 30 %.
 LEVELS = [1]
@@ -106,22 +106,15 @@ def counts(texts: DataFrame, keys_of, merge_at: int = 1 << 21) -> DataFrame:
 
 
 class Vocabulary:
-    """The most frequent tokens with their counts; the first of them are symbols."""
+    """The most frequent tokens with their counts."""
 
     def __init__(self, common: pd.DataFrame, total: int, distinct: int, texts: int):
         common = common[common["key"] != END.view(np.int64)]
-        keys = common["key"].to_numpy(np.int64).view(np.uint64)
-        n = common["n"].to_numpy(np.int64)
-        order = np.lexsort((keys, -n))
-        keys, n = np.append(END, keys[order]), np.append(texts, n[order])
-        symbol = np.where(np.arange(len(keys)) < SYMBOLS, np.arange(len(keys)), OTHER_SYMBOL)
-        self.total, self.distinct = total, distinct
-        own = np.zeros(OTHER_SYMBOL + 1)
-        own[: min(SYMBOLS, len(n))] = n[:SYMBOLS]
-        own[OTHER_SYMBOL] = max(total - own.sum(), 1)
-        self.symbol_share = np.maximum(own, 0.5) / max(total, 1)
+        keys = np.append(END, common["key"].to_numpy(np.int64).view(np.uint64))
+        n = np.append(texts, common["n"].to_numpy(np.int64))
+        self.total, self.distinct, self.texts = total, distinct, texts
         by_key = np.argsort(keys)
-        self.keys, self.n, self.symbol = keys[by_key], n[by_key], symbol[by_key].astype(np.int64)
+        self.keys, self.n = keys[by_key], n[by_key]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each key and whether it is there."""
@@ -131,23 +124,21 @@ class Vocabulary:
     def log_p(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
-    def symbols(self, keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol of every token and of its left neighbour."""
-        at, there = self.find(keys)
-        own = np.where(there, self.symbol[at], OTHER_SYMBOL)
-        left = np.full(len(own), BEGIN_SYMBOL)
-        same = rows[1:] == rows[:-1]
-        left[1:][same] = own[:-1][same]
-        return left, own
+    def pull(self, level: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """What a remembered bigram adds to the gain of its token, which occurs n times."""
+        return np.log10(1 + MEANS[level] / (PRIOR * 10.0 ** self.log_p(n)))
 
 
-def _bigram(left: np.ndarray, own: np.ndarray) -> np.ndarray:
-    return (left << 20 | own).view(np.uint64)
+def _bigrams(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Hash of every token with its left neighbour."""
+    left = np.full(len(keys), BEGIN)
+    same = rows[1:] == rows[:-1]
+    left[1:][same] = keys[:-1][same]
+    return mix(left * np.uint64(0xC6A4A7935BD1E995) + keys)
 
 
-def _context(left: np.ndarray) -> np.ndarray:
-    """N-gram of a left neighbour alone."""
-    return (left << 20 | (1 << 19)).view(np.uint64)
+def _segment(hashes: np.ndarray, segments: int) -> np.ndarray:
+    return ((hashes >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
 
 
 def _bits(hashes: np.ndarray, level: np.ndarray) -> Iterator[np.ndarray]:
@@ -176,29 +167,24 @@ class LogBloom:
         return level
 
 
-def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS, whole: bool = False) -> LogBloom:
-    """Fill the segments in Spark; ``ngrams`` has key and n. What comes to the driver is at most ``most_bits``.
-
-    With ``whole`` every key goes in, whatever share of keys then passes by mistake.
-    """
+def _sized(ngrams: DataFrame) -> DataFrame:
     level = F.lit(0)
     for least in LEVELS.tolist():
         level = level + (F.col("n") >= least).cast("int")
-    sized = ngrams.withColumn("level", level)
-    by_level = sorted(((r.level, r.n) for r in sized.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    entries, least = 0, LEVELS.size + 1
-    for own, n in by_level:
-        if (entries + own * n) * BITS_PER_ENTRY > most_bits and not whole:
-            break
-        entries, least = entries + own * n, own
-    segments = max(1, min(-(-entries * BITS_PER_ENTRY // SEGMENT_BITS), most_bits // SEGMENT_BITS))
-    if not entries:
-        return LogBloom(np.zeros(SEGMENT_BITS // 8, np.uint8), 1)
+    return ngrams.withColumn("level", level)
+
+
+def _by_level(sized: DataFrame) -> list[tuple[int, int]]:
+    return sorted(((r.level, r.n) for r in sized.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+
+
+def fill_segments(sized: DataFrame, segments: int) -> DataFrame:
+    """segment and bits of the filter of all rows of ``sized`` (key, level)."""
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = mix(batch.column("key").to_numpy().view(np.uint64))
-            segment = ((hashes >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
+            segment = _segment(hashes, segments)
             yield pa.RecordBatch.from_arrays([pa.array(segment), pa.array(hashes.view(np.int64)), batch.column("level")], ["segment", "hash", "level"])
 
     def fill(own: pa.Table) -> pa.Table:
@@ -211,8 +197,27 @@ def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS, whole: bool =
         packed = np.packbits(filled, bitorder="little").tobytes()
         return pa.table({"segment": pa.array([own.column("segment")[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
 
-    placed = sized.where(F.col("level") >= least).select("key", "level").mapInArrow(place, "segment long, hash long, level int")
-    parts = placed.groupBy("segment").applyInArrow(fill, "segment long, bits binary").toPandas()
+    placed = sized.select("key", "level").mapInArrow(place, "segment long, hash long, level int")
+    return placed.groupBy("segment").applyInArrow(fill, "segment long, bits binary")
+
+
+def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS, whole: bool = False) -> LogBloom:
+    """Fill the segments in Spark; ``ngrams`` has key and n. What comes to the driver is at most ``most_bits``.
+
+    With ``whole`` every key goes in, whatever share of keys then passes by mistake.
+    """
+    sized = _sized(ngrams)
+    by_level = _by_level(sized)
+    entries, least = 0, LEVELS.size + 1
+    for own, n in by_level:
+        if (entries + own * n) * BITS_PER_ENTRY > most_bits and not whole:
+            break
+        entries, least = entries + own * n, own
+    segments = max(1, min(-(-entries * BITS_PER_ENTRY // SEGMENT_BITS), most_bits // SEGMENT_BITS))
+    if not entries:
+        return LogBloom(np.zeros(SEGMENT_BITS // 8, np.uint8), 1)
+
+    parts = fill_segments(sized.where(F.col("level") >= least), segments).toPandas()
     filled = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
     for segment, bits in zip(parts["segment"], parts["bits"], strict=True):
         filled[segment] = np.frombuffer(bits, np.uint8)
@@ -233,61 +238,104 @@ def score(docs: DataFrame) -> DataFrame:
     common = most_frequent(unigrams, "n", COMMON_TOKENS).toPandas()
     vocabulary = Vocabulary(common, whole.total, whole.distinct, end.n)
 
-    def ngrams_of(part: Slice) -> np.ndarray:
-        left, own = vocabulary.symbols(*tokens(part))
-        return np.concatenate([_bigram(left, own), _context(left)])
-
-    bloom = build_filter(counts(training, ngrams_of))
-    shared, segments = spark.sparkContext.broadcast(bloom.filled), int(bloom.segments)
+    path = scratch_path(spark, "ngrams")
+    _sized(counts(training, lambda part: _bigrams(*tokens(part)))).write.parquet(path)
+    ngrams = spark.read.parquet(path)
+    frequent = most_frequent(ngrams, "n", COMMON_NGRAMS).select("key", "level").toPandas().sort_values("key")
+    often, often_level = frequent["key"].to_numpy(np.int64), frequent["level"].to_numpy(np.int64)
+    entries = sum(own * n for own, n in _by_level(ngrams))
+    segments = max(1, -(-entries * BITS_PER_ENTRY // SEGMENT_BITS))
+    path = scratch_path(spark, "segments")
+    fill_segments(ngrams, segments).write.parquet(path)
+    filled = spark.read.parquet(path)
+    shared = None
+    if segments * SEGMENT_BITS <= FILTER_BITS:
+        whole_filter = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
+        for one in filled.collect():
+            whole_filter[one.segment] = np.frombuffer(one.bits, np.uint8)
+        shared = spark.sparkContext.broadcast(whole_filter.ravel())
 
     def work(part: Slice) -> pa.RecordBatch:
         n = len(part)
         keys, rows = tokens(part)
         at, there = vocabulary.find(keys)
-        left, own = vocabulary.symbols(keys, rows)
-        pairs, which = np.unique(_bigram(left, own), return_inverse=True)
-        heads, head = np.unique(left, return_inverse=True)
-        held = LogBloom(shared.value, segments)
-        pair_counts = MEANS[held.level(pairs)]
-        head_counts = MEANS[held.level(_context(heads))]
-        share = vocabulary.symbol_share[own]
-        gain = np.log10((pair_counts[which] + PRIOR * share) / ((head_counts[head] + PRIOR) * share))
-        if not vocabulary.total:
-            gain[:] = 0
-        known = there & (vocabulary.n[at] > 0)
-        rest = np.flatnonzero(~there)
+        own = vocabulary.n[at]
+        pairs = _bigrams(keys, rows)
+        gain = np.full(len(keys), np.log10(PRIOR))
+        context = there & (keys != END)
+        gain[context] -= np.log10(own[context] + PRIOR)
+        ask = there.copy()
+        if len(often):
+            place = np.minimum(np.searchsorted(often, pairs.view(np.int64)), len(often) - 1)
+            known = there & (often[place] == pairs.view(np.int64))
+            gain[known] += vocabulary.pull(often_level[place[known]], own[known])
+            ask &= ~known
+        if shared is not None:
+            gain[ask] += vocabulary.pull(LogBloom(shared.value, segments).level(pairs[ask]), own[ask])
+            ask[:] = False
+        known = there & (own > 0)
+        # Tokens without a count here, and n-grams that only the table of segments can answer.
+        rest = np.flatnonzero(~there | ask)
         edges = np.searchsorted(rows[rest], np.arange(n + 1))
+        asked = [pa.array(keys[rest].view(np.int64)), pa.array(pairs[rest].view(np.int64)), pa.array(np.where(there, own, 0)[rest], mask=~there[rest])]
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": part.column("doc_id"),
                 "held_out": part.column("held_out"),
                 "n_tokens": pa.array(per_row(rows, n)),
                 "n_known": pa.array(per_row(rows[known], n)),
-                "base": pa.array(np.bincount(rows[there], vocabulary.log_p(vocabulary.n[at[there]]), n)),
-                "gain": pa.array(np.bincount(rows, gain, n)),
-                "rest": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(keys[rest].view(np.int64))),
+                "base": pa.array(np.bincount(rows[there], vocabulary.log_p(own[there]), n)),
+                "gain": pa.array(np.bincount(rows, gain, n) - np.log10(vocabulary.texts + PRIOR)),
+                "rest": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(asked, ["key", "pair", "n"])),
             }
         )
 
     path = scratch_path(spark, "scores")
-    held = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, rest array<long>"
+    held = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, rest array<struct<key:long,pair:long,n:long>>"
     map_slices(docs, work, held).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     scored = spark.read.parquet(path)
 
-    seen = scored.select("row", F.explode("rest").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
-    seen = seen.join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    asked = scored.select("row", F.explode("rest").alias("r")).select("row", "r.key", "r.pair", "r.n")
+    seen = asked.where("n is null").drop("n").join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     floor = float(whole.total + 0.5 * (whole.distinct + 1))
     rare = seen.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.col("n") + 0.5) / F.lit(floor))).alias("rare"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+        F.sum(F.log10((F.col("n") + 0.5) / F.lit(floor))).alias("rare"),
+        F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("rare_known"),
+        F.sum(-F.log10(F.col("n") + F.lit(PRIOR))).alias("rare_gain"),
     )
+    probes = asked.where("n is not null").select("row", "pair", "n").unionByName(seen.select("row", "pair", "n"))
+
+    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs, own = batch.column("pair").to_numpy().view(np.uint64), batch.column("n").to_numpy()
+            added = vocabulary.pull(LogBloom(shared.value, segments).level(pairs), own)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(added)], ["row", "added"])
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segment = _segment(mix(batch.column("pair").to_numpy().view(np.uint64)), segments)
+            yield pa.RecordBatch.from_arrays([pa.array(segment), *batch.columns], ["segment", "row", "pair", "n"])
+
+    def answer_segment(own: pa.Table, asking: pa.Table) -> pa.Table:
+        if not own.num_rows or not asking.num_rows:
+            return pa.table({"row": pa.array([], pa.int64()), "added": pa.array([], pa.float64())})
+        pairs = asking.column("pair").to_numpy().view(np.uint64)
+        level = LogBloom(np.frombuffer(own.column("bits")[0].as_py(), np.uint8), 1).level(pairs)
+        return pa.table({"row": asking.column("row"), "added": pa.array(vocabulary.pull(level, asking.column("n").to_numpy()))})
+
+    if shared is not None:
+        added = probes.mapInArrow(answer, "row long, added double")
+    else:
+        placed = probes.mapInArrow(place, "segment long, row long, pair long, n long")
+        added = filled.groupBy("segment").cogroup(placed.groupBy("segment")).applyInArrow(answer_segment, "row long, added double")
+    added = added.groupBy("row").agg(F.sum("added").alias("added"))
     base = F.col("base") + F.coalesce("rare", F.lit(0.0))
-    return scored.drop("rest").join(rare, "row", "left").select(
+    return scored.drop("rest").join(rare, "row", "left").join(added, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(whole.total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("gain")).alias("score"),
+        (base + F.col("gain") + F.coalesce("rare_gain", F.lit(0.0)) + F.coalesce("added", F.lit(0.0))).alias("score"),
     )

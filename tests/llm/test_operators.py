@@ -341,6 +341,30 @@ def test_rare_tokens_are_joined(docs, monkeypatch):
     assert {(r.doc_id, round(r.base_score, 6)) for r in bloom_lm.score(docs).collect()} == want
 
 
+def test_bigrams_of_all_tokens(docs, rows, monkeypatch):
+    """Scores follow the counts of all bigrams, and a filter that outgrows a broadcast gives the same ones."""
+    held = [(i, zlib.crc32(str(i if i is not None else "").encode()) % 5 == 1, [*re.findall(WORD, lower(t)), "\0end"]) for i, t, _ in rows]
+    count = Counter(w for _, out, ws in held if not out for w in ws)
+    pairs = Counter(p for _, out, ws in held if not out for p in zip([None, *ws], ws))
+    count[None] = sum(not out for _, out, _ in held)
+    floor, prior = sum(n for w, n in count.items() if w is not None) + 0.5 * len(count), bloom_lm.PRIOR
+    want = []
+    for i, _, ws in held:
+        score = 0.0
+        for v, w in zip([None, *ws], ws):
+            seen = bloom_lm.MEANS[int(bloom_lm.level_of(np.array([pairs[v, w]]))[0])]
+            score += math.log10((seen + prior * (count[w] + 0.5) / floor) / (count[v] + prior))
+        want.append((i is not None, i or 0, score))
+    monkeypatch.setattr(bloom_lm, "COMMON_TOKENS", 100)
+    monkeypatch.setattr(bloom_lm, "COMMON_NGRAMS", 50)
+    scores = []
+    for bits in (bloom_lm.FILTER_BITS, 1):
+        monkeypatch.setattr(bloom_lm, "FILTER_BITS", bits)
+        scores.append(sorted((r.doc_id is not None, r.doc_id or 0, r.score) for r in bloom_lm.score(docs).collect()))
+    for (*a, x), (*b, y), (*c, z) in zip(*scores, sorted(want), strict=True):
+        assert a == b == c and math.isclose(x, y, rel_tol=1e-9) and math.isclose(x, z, rel_tol=0.01)
+
+
 def test_log_bloom(spark):
     rng = random.Random(4)
     counts = {rng.getrandbits(62): rng.choice([1, 1, 2, 7, 300, 10**6]) for _ in range(3000)}
