@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import bloom_lm, byte_bpe, fit_packing, host_consensus, language_mixture, license_scan, media_columns, quality_bands, signature_join, suffix_dedup
+from slotwise.llm import bloom_lm, byte_bpe, fit_packing, host_consensus, language_mixture, license_scan, media_columns, merkle_manifest, quality_bands, signature_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,11 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_join.similar_components(table(spark, sf_dir))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir))
+
+
+SQL["op13_merkle_manifest"] = merkle_manifest.manifest_sql()
