@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slotwise.llm import bloom_lm, byte_bpe, fit_packing, host_consensus, language_mixture, license_scan, media_columns, merkle_manifest, metric_codes, quality_bands, signature_join, suffix_dedup
+from slotwise.llm import bloom_lm, boosted_quality, byte_bpe, fit_packing, host_consensus, language_mixture, license_scan, media_columns, merkle_manifest, metric_codes, quality_bands, signature_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -78,6 +78,11 @@ def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_join.similar_components(table(spark, sf_dir))
 
 
+@query
+def op11_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boosted_quality.score(table(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query
 def op12_metric_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_codes.compress(table(spark, sf_dir, "embeddings"))
