@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.operators.scale import exact_quantiles
+from slotwise.session import written
 
 MIN_FIXTURES = 20
 STAGES = ("background", "foreground", "final")
@@ -44,23 +45,29 @@ def modeled_cost(rows: DataFrame) -> DataFrame:
 
 def treatment_summary(rows: DataFrame, warmups: int) -> DataFrame:
     """Calls, totals, truncated means and linear p95 per treatment, warm-up fixtures left out."""
-    measured = modeled_cost(rows.where(F.col("fixture") >= warmups))
-    render = exact_quantiles(measured, ["treatment"], "render_ns", {"p": (0.95, "linear")}, keep_stats=True)
-    modeled = exact_quantiles(measured, ["treatment"], "modeled_ns", {"q": (0.95, "linear")}, keep_stats=True)
+    columns = ["treatment", "render_ns", "modeled_ns", "object_count", "megapixels"]
+    measured = written(modeled_cost(rows.where(F.col("fixture") >= warmups)).select(*columns), "measured")
+    costs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("ns")) for c in ("render_ns", "modeled_ns")])
+    stats = exact_quantiles(
+        measured.select("treatment", F.inline(costs)), ["treatment", "metric"], "ns", {"p": (0.95, "whole")}, keep_stats=True
+    )
+    of = lambda metric, c: F.max(F.when(F.col("metric") == metric, F.col(c)))
+    wide = stats.groupBy("treatment").agg(
+        *[of(m, c).alias(f"{m}_{c}") for m in ("render_ns", "modeled_ns") for c in ("count", "total", "p")]
+    )
     sizes = measured.groupBy("treatment").agg(
         F.sum("object_count").alias("objects"), F.sum(F.round(F.col("megapixels") * 1e6).cast("bigint")).alias("pixels")
     )
-    joined = render.join(modeled.withColumnsRenamed({"count": "mcount", "total": "mtotal"}), "treatment").join(sizes, "treatment")
-    return joined.select(
+    return wide.join(sizes, "treatment").select(
         "treatment",
-        F.col("count").alias("calls"),
-        F.col("total").alias("render_total_ns"),
-        F.expr("total div count").alias("render_mean_ns"),
-        F.col("p").cast("bigint").alias("render_p95_ns"),
-        F.expr("mtotal div mcount").alias("modeled_mean_ns"),
-        F.col("q").cast("bigint").alias("modeled_p95_ns"),
-        F.expr("total div greatest(1, objects)").alias("per_object_mean_ns"),
-        (F.col("total") / F.greatest(F.lit(1e-9), F.col("pixels") / 1e6)).cast("bigint").alias("per_megapixel_mean_ns"),
+        F.col("render_ns_count").alias("calls"),
+        F.col("render_ns_total").alias("render_total_ns"),
+        F.expr("render_ns_total div render_ns_count").alias("render_mean_ns"),
+        F.col("render_ns_p").alias("render_p95_ns"),
+        F.expr("modeled_ns_total div modeled_ns_count").alias("modeled_mean_ns"),
+        F.col("modeled_ns_p").alias("modeled_p95_ns"),
+        F.expr("render_ns_total div greatest(1, objects)").alias("per_object_mean_ns"),
+        (F.col("render_ns_total") / F.greatest(F.lit(1e-9), F.col("pixels") / 1e6)).cast("bigint").alias("per_megapixel_mean_ns"),
     )
 
 
@@ -69,10 +76,10 @@ def effect_summary(rows: DataFrame) -> DataFrame:
     effects = rows.select("treatment", F.explode("effects").alias("e")).where("e.applied").select(
         "treatment", F.col("e.id").alias("effect"), F.col("e.duration_ns").alias("duration_ns")
     )
-    stats = exact_quantiles(effects, ["treatment", "effect"], "duration_ns", {"p": (0.95, "linear")}, keep_stats=True)
+    stats = exact_quantiles(effects, ["treatment", "effect"], "duration_ns", {"p": (0.95, "whole")}, keep_stats=True)
     return stats.select(
         "treatment", "effect", F.col("count").alias("calls"), F.col("total").alias("total_ns"),
-        F.expr("total div count").alias("mean_ns"), F.round("p", 6).cast("bigint").alias("p95_ns"),
+        F.expr("total div count").alias("mean_ns"), F.col("p").alias("p95_ns"),
     )
 
 
@@ -80,10 +87,10 @@ def paired_delta(rows: DataFrame, baseline: Column, value: str = "render_ns") ->
     """Difference to the baseline of the same fixture; fixtures without one drop out."""
     base = rows.where(baseline).select("fixture", F.col(value).alias("__base"))
     deltas = rows.where(~baseline).join(base, "fixture").withColumn("delta", F.col(value) - F.col("__base"))
-    stats = exact_quantiles(deltas, ["treatment"], "delta", {"p": (0.95, "linear")}, keep_stats=True)
+    stats = exact_quantiles(deltas, ["treatment"], "delta", {"p": (0.95, "whole")}, keep_stats=True)
     return stats.select(
         "treatment", F.col("count").alias("pairs"), F.expr("total div count").alias("mean_delta_ns"),
-        F.col("p").cast("bigint").alias("p95_delta_ns"),
+        F.col("p").alias("p95_delta_ns"),
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.session import settle
+from slotwise.session import settle, written
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -96,22 +96,61 @@ def neighbour(
     return joined.select(*frame.columns, F.coalesce("__near", "__far")["v"].alias(out))
 
 
-CUTS = 256
+#: Cells of an octave in the first pass, parts of a cell in later ones, rows of a cell that are ordered together.
+OCTAVE_CELLS = 256
+CELL_PARTS = 4096
+SMALL_CELL = 100_000
+#: Cells of wanted ranks that are sent to all executors; more are joined by shuffle.
+SENT_CELLS = 20_000
 
 
-def value_buckets(counts: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
-    """Bucket of each value within its group, at approximate quantiles of the group's values.
+def octave_cell(value: Column) -> Column:
+    """Whole number that never falls when the value rises: its magnitude in 256ths of an octave."""
+    x = value.cast("double")
+    size = F.least(F.floor(F.log2(F.abs(x) + 1) * OCTAVE_CELLS), F.lit(1 << 20))
+    return F.when(F.isnan(x), F.lit(1 << 21)).when(x < 0, -1 - size).otherwise(size).cast("bigint")
+
+
+def _spots(count: Column, requests: dict[str, tuple[float, str]]) -> dict[str, tuple[Column, Column]]:
+    """0-based places in the sorted group that a request needs: one, or the two it lies between."""
+    last, out = count - 1, {}
+    for name, (p, method) in requests.items():
+        if method == "nearest":
+            low = F.least(last, F.rint(last * F.lit(p)).cast("bigint"))
+            out[name] = (low, low)
+        elif method == "upper":
+            low = F.least(last, F.floor(count * F.lit(p)))
+            out[name] = (low, low)
+        elif method == "linear":
+            out[name] = (F.floor(last * F.lit(p)), F.ceil(last * F.lit(p)))
+        elif method == "whole":
+            at = last.cast("decimal(28,0)") * _hundredths(p)
+            out[name] = (F.floor(at / 100).cast("bigint"), F.ceil(at / 100).cast("bigint"))
+        else:
+            raise ValueError(f"unknown quantile method {method}")
+    return out
+
+
+def _hundredths(p: float) -> int:
+    out = round(p * 100)
+    if abs(out - p * 100) > 1e-9:
+        raise ValueError(f"whole-number quantiles need a whole percentage, not {p}")
+    return out
+
+
+def _with_starts(cells: DataFrame, within: Sequence[str], order: str, before: Column) -> DataFrame:
+    """Cells with ``__start``, the number of rows of the group that precede them."""
+    earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumn("__start", before + F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
 
-    The cut points only say where a group is divided, wherever its values lie; whatever is
-    computed from the buckets stays exact.
-    """
-    by = list(by) or ["__all"]
-    counts = counts if "__all" not in by else counts.withColumn("__all", F.lit(1))
-    points = F.percentile_approx(value, F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)]), F.lit(4 * CUTS))
-    cuts = counts.groupBy(*by).agg(points.alias("__cuts"))
-    joined = join_null_safe(counts, cuts, by)
-    place = F.aggregate("__cuts", F.lit(0), lambda n, cut: n + (cut <= F.col(value)).cast("int"))
-    return joined.withColumn(out, place).drop("__cuts", "__all")
+
+def _wanted(cells: DataFrame, requests: dict[str, tuple[float, str]]) -> DataFrame:
+    """The cells that hold a place some request needs; at most two a request and group."""
+    hit = F.lit(False)
+    for low, high in _spots(F.col("__count"), requests).values():
+        for spot in (low, high):
+            hit = hit | ((F.col("__start") <= spot) & (spot < F.col("__start") + F.col("__n")))
+    return cells.where(hit)
 
 
 def exact_quantiles(
@@ -121,64 +160,74 @@ def exact_quantiles(
     requests: dict[str, tuple[float, str]],
     keep_stats: bool = False,
 ) -> DataFrame:
-    """Exact quantiles per group without a task that holds a whole group.
-
-    Equal values are counted first, so repeated values cost one row. Each group is then
-    divided at approximate quantiles of its own values; only the totals of these buckets
-    are ordered together. ``nearest`` takes the value at round-half-even((n-1)*p),
-    ``upper`` the value at floor(n*p), ``linear`` interpolates. With ``keep_stats`` the
-    columns ``count`` and ``total`` come from the same pass.
+    """Exact quantiles per group by selection: rows are counted by cells of magnitude, and only cells that hold a wanted
+    rank are looked into again.
+
+    The first pass counts every group's rows in cells of 1/256 octave, before any shuffle. A cell of one value is
+    settled, whatever its size. Rows of the other wanted cells are counted by 4,096 parts of their cell, and so on until
+    no open cell has more than ``SMALL_CELL`` rows; only those are put in order. ``nearest`` takes the value at
+    round-half-even((n-1)*p), ``upper`` the value at floor(n*p), ``linear`` interpolates in doubles, ``whole``
+    interpolates whole numbers exactly and truncates toward zero (p in whole hundredths). With ``keep_stats`` the columns
+    ``count`` and ``total`` come from the first pass.
     """
     by = list(by)
-    counts = (
-        frame.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("__x"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    counts = value_buckets(counts, by, "__x", "__bucket")
-    cells = counts.groupBy(*by, "__bucket").agg(F.sum("__n").alias("__cell"))
-    ordered = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    cells = cells.select(
-        *by,
-        "__bucket",
-        F.coalesce(F.sum("__cell").over(ordered), F.lit(0)).alias("__before"),
-        F.sum("__cell").over(whole).alias("__total"),
-    )
-    inside = Window.partitionBy(*by, "__bucket").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
-    steps = join_null_safe(
-        counts.withColumn("__upto", F.sum("__n").over(inside)), cells, [*by, "__bucket"]
-    ).withColumn("__end", F.col("__upto") + F.col("__before"))
-
-    def at(position: Column) -> Column:
-        start = F.col("__end") - F.col("__n")
-        return F.max(F.when((position >= start) & (position < F.col("__end")), F.col("__x")))
+    x = F.col("__x")
+    rows = written(frame.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__x")), "quantile-values")
+    rows = rows.withColumn("__cell", octave_cell(x))
+    sizes = [F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi")]
+    group = Window.partitionBy(*by)
+    total = F.sum("__x") if keep_stats else F.lit(None).cast("long")
+    cells = rows.groupBy(*by, "__cell").agg(*sizes, total.alias("__sum"))
+    cells = cells.withColumns({"__count": F.sum("__n").over(group), "__total": F.sum("__sum").over(group)})
+    wanted = written(_wanted(_with_starts(cells, by, "__cell", F.lit(0)), requests), "quantile-cells")
+
+    shared = [*by, "__count", "__total"]
+    settled = wanted.where("__lo = __hi").select(*shared, "__start", "__n", F.col("__lo").alias("__x"))
+    while True:
+        open_cells = wanted.where("__lo < __hi")
+        size = open_cells.agg(F.count(F.lit(1)).alias("cells"), F.max("__n").alias("most")).first()
+        if not size.cells:
+            break
+        side = open_cells.select(*by, "__cell", "__start", "__lo", "__hi", "__count", "__total")
+        side = F.broadcast(side) if size.cells <= SENT_CELLS else side
+        inside = join_null_safe(rows.select(*by, "__cell", "__x"), side, [*by, "__cell"])
+        if size.most <= SMALL_CELL:
+            values = inside.groupBy(*shared, "__start", "__x").agg(F.count(F.lit(1)).alias("__n"))
+            values = values.withColumnRenamed("__start", "__first")
+            values = _with_starts(values, [*by, "__first"], "__x", F.col("__first"))
+            settled = settled.unionByName(values.drop("__first"))
+            break
+        part = F.floor((x - F.col("__lo")).cast("double") / (F.col("__hi") - F.col("__lo")).cast("double") * CELL_PARTS)
+        part = F.coalesce(F.least(part, F.lit(CELL_PARTS - 1)), F.lit(CELL_PARTS)).cast("bigint")
+        rows = written(inside.select(*shared, F.col("__start").alias("__first"), "__x", (F.col("__start") * (CELL_PARTS + 1) + part).alias("__cell")), "quantile-values")
+        cells = rows.groupBy(*shared, "__first", "__cell").agg(*sizes)
+        cells = _with_starts(cells, [*by, "__first"], "__cell", F.col("__first"))
+        wanted = written(_wanted(cells, requests).drop("__first"), "quantile-cells")
+        settled = settled.unionByName(wanted.where("__lo = __hi").select(*shared, "__start", "__n", F.col("__lo").alias("__x")))
+
+    def at(spot: Column) -> Column:
+        return F.max(F.when((F.col("__start") <= spot) & (spot < F.col("__start") + F.col("__n")), x))
 
-    last = F.col("__total") - 1
     picks, outputs = [], []
-    for name, (p, method) in requests.items():
-        if method == "nearest":
-            picks.append(at(F.least(last, F.rint(last * F.lit(p)).cast("bigint"))).alias(name))
-            outputs.append(F.col(name))
-        elif method == "upper":
-            picks.append(at(F.least(last, F.floor(F.col("__total") * F.lit(p)))).alias(name))
-            outputs.append(F.col(name))
-        elif method == "linear":
-            spot = last * F.lit(p)
-            picks.append(at(F.floor(spot)).alias(f"__lo_{name}"))
-            picks.append(at(F.ceil(spot)).alias(f"__hi_{name}"))
+    for name, (low, high) in _spots(F.col("__count"), requests).items():
+        p, method = requests[name]
+        picks.append(at(low).alias(f"__low_{name}"))
+        if method in ("nearest", "upper"):
+            outputs.append(F.col(f"__low_{name}").alias(name))
+            continue
+        picks.append(at(high).alias(f"__high_{name}"))
+        if method == "linear":
             part = (F.col("__count") - 1) * F.lit(p)
             part = part - F.floor(part)
-            low, high = F.col(f"__lo_{name}").cast("double"), F.col(f"__hi_{name}").cast("double")
-            middle = F.when(part == 0.5, (low + high) / 2).otherwise(low + (high - low) * part)
-            outputs.append(middle.alias(name))
+            a, b = F.col(f"__low_{name}").cast("double"), F.col(f"__high_{name}").cast("double")
+            outputs.append(F.when(part == 0.5, (a + b) / 2).otherwise(a + (b - a) * part).alias(name))
         else:
-            raise ValueError(f"unknown quantile method {method}")
-    result = steps.groupBy(*by).agg(
-        F.max("__total").alias("__count"), F.sum(F.col("__x") * F.col("__n")).alias("__sum"), *picks
-    )
+            rest = F.pmod((F.col("__count") - 1).cast("decimal(28,0)") * _hundredths(p), F.lit(100)).cast("bigint")
+            a, b = F.col(f"__low_{name}").cast("decimal(24,0)"), F.col(f"__high_{name}").cast("decimal(24,0)")
+            outputs.append(F.call_function("div", a * 100 + (b - a) * rest, F.lit(100).cast("decimal(24,0)")).alias(name))
+    result = settled.groupBy(*by).agg(F.max("__count").alias("__count"), F.max("__total").alias("__total"), *picks)
     if keep_stats:
-        outputs += [F.col("__count").alias("count"), F.col("__sum").alias("total")]
+        outputs += [F.col("__count").alias("count"), F.col("__total").alias("total")]
     return result.select(*by, *outputs)
 
 

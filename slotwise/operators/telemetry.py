@@ -35,7 +35,7 @@ def stage_summary(timings: DataFrame, by: tuple[str, ...] = ("stage",), value: s
     """Count, total, truncated mean and median, nearest-rank percentiles per stage."""
     exact = exact_quantiles(
         timings, by, value,
-        {"median": (0.5, "linear"), "p90_ns": (0.90, "nearest"), "p95_ns": (0.95, "nearest"), "p99_ns": (0.99, "nearest")},
+        {"median_ns": (0.5, "whole"), "p90_ns": (0.90, "nearest"), "p95_ns": (0.95, "nearest"), "p99_ns": (0.99, "nearest")},
         keep_stats=True,
     )
     return exact.select(
@@ -43,8 +43,7 @@ def stage_summary(timings: DataFrame, by: tuple[str, ...] = ("stage",), value: s
         "count",
         F.col("total").alias("total_ns"),
         F.expr("total div count").alias("mean_ns"),
-        F.col("median").cast("bigint").alias("median_ns"),
-        "p90_ns", "p95_ns", "p99_ns",
+        "median_ns", "p90_ns", "p95_ns", "p99_ns",
     )
 
 
@@ -313,6 +312,6 @@ def budget_breach(
 def benchmark_summary(records: DataFrame, warmup: int) -> DataFrame:
     """Truncated mean and linear p95 per stage without the warm-up rows."""
     stats = exact_quantiles(
-        records.where(F.col("index") >= warmup), ["stage"], "ns", {"p95": (0.95, "linear")}, keep_stats=True
+        records.where(F.col("index") >= warmup), ["stage"], "ns", {"p95_ns": (0.95, "whole")}, keep_stats=True
     )
-    return stats.select("stage", F.expr("total div count").alias("mean_ns"), F.col("p95").cast("bigint").alias("p95_ns"))
+    return stats.select("stage", F.expr("total div count").alias("mean_ns"), "p95_ns")

@@ -403,6 +403,13 @@ v_overrides as (
   from events)"""
 
 
+def sql_whole(value: str, hundredths: int) -> str:
+    """Interpolated percentile of whole numbers in whole numbers, truncated toward zero."""
+    values, at = f"list({value} order by {value})", f"((count(*) - 1) * {hundredths})"
+    low, high = f"({values})[1 + {at} // 100]", f"({values})[least(count(*), 2 + {at} // 100)]"
+    return f"cast(({low} * 100 + ({high} - {low}) * ({at} % 100)) // 100 as bigint)"
+
+
 def with_sql(body: str, *ctes: str, recursive: bool = False) -> str:
     """A query over the given table expressions."""
     head = "with recursive" if recursive else "with"

@@ -48,9 +48,9 @@ def _(t: Tables) -> DataFrame:
 @query(
     "treatment_summary",
     with_sql(
-        """select treatment, count(*) as calls, cast(sum(render_ns) as bigint) as render_total_ns, cast(sum(render_ns) // count(*) as bigint) as render_mean_ns,
-             cast(trunc(quantile_cont(render_ns::double, 0.95)) as bigint) as render_p95_ns, cast(sum(m) // count(*) as bigint) as modeled_mean_ns,
-             cast(trunc(quantile_cont(m::double, 0.95)) as bigint) as modeled_p95_ns, cast(sum(render_ns) // greatest(1, sum(object_count)) as bigint) as per_object_mean_ns,
+        f"""select treatment, count(*) as calls, cast(sum(render_ns) as bigint) as render_total_ns, cast(sum(render_ns) // count(*) as bigint) as render_mean_ns,
+             {B.sql_whole('render_ns', 95)} as render_p95_ns, cast(sum(m) // count(*) as bigint) as modeled_mean_ns,
+             {B.sql_whole('m', 95)} as modeled_p95_ns, cast(sum(render_ns) // greatest(1, sum(object_count)) as bigint) as per_object_mean_ns,
              cast(trunc(sum(render_ns)::double / greatest(1e-9::double, sum(cast(round(megapixels * 1000000) as bigint)) / 1e6::double)) as bigint) as per_megapixel_mean_ns
            from (select *, render_ns + synthesis_ns + encode_ns + write_ns as m from v_measurements where fixture >= 20) group by treatment""",
         B.SQL_MEASUREMENTS,
@@ -73,7 +73,7 @@ def with_effects(rows: DataFrame) -> DataFrame:
 @query(
     "effect_summary",
     with_sql(
-        """select treatment, effect, count(*) as calls, cast(sum(d) as bigint) as total_ns, cast(sum(d) // count(*) as bigint) as mean_ns, cast(trunc(round(quantile_cont(d::double, 0.95), 6)) as bigint) as p95_ns
+        f"""select treatment, effect, count(*) as calls, cast(sum(d) as bigint) as total_ns, cast(sum(d) // count(*) as bigint) as mean_ns, {B.sql_whole('d', 95)} as p95_ns
            from (select treatment, 'blur' as effect, synthesis_ns as d from v_measurements where discount > 0.05
                  union all select treatment, 'fog', render_ns from v_measurements where tax > 0.045) group by all""",
         B.SQL_MEASUREMENTS,
@@ -86,8 +86,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "paired_delta",
     with_sql(
-        """select m.treatment, count(*) as pairs, cast(trunc(sum(m.render_ns - b.render_ns)::double / count(*)) as bigint) as mean_delta_ns,
-             cast(trunc(quantile_cont((m.render_ns - b.render_ns)::double, 0.95)) as bigint) as p95_delta_ns
+        f"""select m.treatment, count(*) as pairs, cast(trunc(sum(m.render_ns - b.render_ns)::double / count(*)) as bigint) as mean_delta_ns,
+             {B.sql_whole('(m.render_ns - b.render_ns)', 95)} as p95_delta_ns
            from v_measurements m join v_measurements b on m.fixture = b.fixture and b.treatment = 2 where m.treatment <> 2 group by 1""",
         B.SQL_MEASUREMENTS,
     ),

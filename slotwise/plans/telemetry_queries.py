@@ -436,7 +436,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "benchmark_summary",
     with_sql(
-        """select stage, cast(sum(ns) // count(*) as bigint) as mean_ns, cast(floor(quantile_cont(ns::double, 0.95)) as bigint) as p95_ns
+        f"""select stage, cast(sum(ns) // count(*) as bigint) as mean_ns, {B.sql_whole('ns', 95)} as p95_ns
            from v_stages where event_id >= 100 group by stage""",
         B.SQL_STAGES,
     ),

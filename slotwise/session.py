@@ -43,3 +43,10 @@ def settle(frame: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared folder for an intermediate table."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """A frame written once to the shared folder and read again: computed once, its lineage ends there."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)

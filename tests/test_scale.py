@@ -100,3 +100,64 @@ def test_a_wide_interval_is_listed_in_blocks(spark):
     points = spark.range(0, n, 37).select(F.col("id").alias("at"), F.lit(n).cast("bigint").alias("span"), F.lit(n).cast("bigint").alias("bins"))
     got = S.interval_lookup(points, intervals, [], "at", "low", "high", "span", "bins").select("at", "asset").collect()
     assert len(got) == points.count() and all(r.asset == (1 if r.at < n - 2 else 2) for r in got)
+
+
+def test_quantiles_by_selection(spark, monkeypatch):
+    """Every method over hot, repeated, negative, infinite and null values, with cells that are opened again and again."""
+    monkeypatch.setattr(S, "SMALL_CELL", 20)
+    rng = random.Random(9)
+    groups = {
+        "close": [1_000_000_000_000 + rng.randint(0, 400_000) for _ in range(3000)], "repeated": [7] * 2000 + [8] * 3, "signs": [rng.randint(-900, 900) for _ in range(999)],
+        "one": [-5], "two": [-(2**62), 2**62], None: [rng.choice([0, 1, -1]) for _ in range(40)], "far": [3**rng.randint(0, 33) for _ in range(500)],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in [*values, None]]
+    frame = spark.createDataFrame(rows, "k string, v bigint").repartition(6)
+    asked = {"n": (0.9, "nearest"), "u": (0.5, "upper"), "w": (0.95, "whole"), "m": (0.5, "whole"), "lo": (0.0, "whole"), "hi": (1.0, "nearest")}
+    got = {r["k"]: r for r in S.exact_quantiles(frame.where("k is null or k <> 'two'"), ["k"], "v", asked, keep_stats=True).collect()}
+    got |= {r["k"]: r for r in S.exact_quantiles(frame.where("k = 'two'"), ["k"], "v", asked).collect()}
+    assert set(got) == set(groups)
+    for k, values in groups.items():
+        values, n = sorted(values), len(values)
+
+        def whole(a):
+            low, rest = divmod((n - 1) * a, 100)
+            sum_ = values[low] * 100 + (values[min(low + 1, n - 1)] - values[low]) * rest
+            return abs(sum_) // 100 * (1 if sum_ >= 0 else -1)
+
+        r = got[k]
+        assert (r["n"], r["u"], r["lo"], r["hi"]) == (values[min(n - 1, round((n - 1) * 0.9))], values[n // 2], values[0], values[-1])
+        assert (r["w"], r["m"]) == (whole(95), whole(50))
+        assert "count" not in r or (r["count"], r["total"]) == (n, sum(values))
+
+
+def test_quantiles_of_doubles(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_CELL", 10)
+    rng = random.Random(4)
+    groups = {"small": [rng.random() * 1e-9 for _ in range(500)], "mixed": [rng.gauss(0, 10) for _ in range(777)], "odd": [float("inf"), -float("inf"), 0.0, -0.0, 1.5]}
+    frame = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r["k"]: r for r in S.exact_quantiles(frame, ["k"], "v", {"med": (0.5, "linear"), "top": (1.0, "nearest"), "p": (0.9, "nearest")}).collect()}
+    for k, values in groups.items():
+        values = sorted(values)
+        assert got[k]["top"] == values[-1] and got[k]["p"] == values[round((len(values) - 1) * 0.9)]
+        assert abs(got[k]["med"] - np.median(values)) <= 1e-12 * max(1, abs(np.median(values)))
+
+
+def test_a_million_values_in_one_cell(spark):
+    """All values share the first pass's cell, far more than are put in order together."""
+    base = 10**12
+    frame = spark.range(0, 1_000_000, 1, 16).select((F.lit(base) + F.col("id") * 7919 % 1_000_003).alias("v"))
+    assert frame.select(S.octave_cell(F.col("v"))).distinct().count() == 1
+    got = S.exact_quantiles(frame, [], "v", {"p": (0.95, "whole"), "n": (0.5, "nearest")}, keep_stats=True).first()
+    values = np.sort(base + np.arange(1_000_000, dtype=np.int64) * 7919 % 1_000_003)
+    low, rest = divmod(999_999 * 95, 100)
+    assert got["p"] == (int(values[low]) * 100 + int(values[low + 1] - values[low]) * rest) // 100
+    assert got["n"] == values[round(999_999 * 0.5)] and (got["count"], got["total"]) == (10**6, int(values.sum()))
+
+
+def test_whole_quantiles_at_every_count(spark):
+    """The 95th percentile is a whole number where the two values beside it differ by a multiple of 100."""
+    rows = [(n, 100 * i * i + 7) for n in range(2, 401) for i in range(n)]
+    got = {r["k"]: r["p"] for r in S.exact_quantiles(spark.createDataFrame(rows, "k int, v bigint"), ["k"], "v", {"p": (0.95, "whole")}).collect()}
+    for n in range(2, 401):
+        low, rest = divmod((n - 1) * 95, 100)
+        assert got[n] == 100 * low * low + 7 + (2 * low + 1) * rest
