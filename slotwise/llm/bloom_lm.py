@@ -1,10 +1,12 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counts of n-grams are quantised to levels and the filter holds (n-gram, 1) ... (n-gram, level), so that a lookup probes
-level after level until one is missing. The filter is cut into segments of 64 Kbit; Spark groups the n-grams by segment,
-each task fills its own. The number of segments follows the counted entries. A filter of at most FILTER_BITS goes to
-every worker; a larger one stays a table, and what a text asks for is joined with it by segment. Both give the same
-answers. The most frequent n-grams are looked up in a bounded table, so that no segment is asked for one n-gram by all texts.
+level after level until one is missing. The filter is cut into segments, as many as the training tokens need; tasks deal
+their partial counts to the segments in one shuffle, and each segment is counted and filled where it arrives, with as many
+bits as its own entries need. A filter of at most FILTER_BITS goes to every worker; a larger one stays a table, and the
+distinct n-grams that are asked for are joined with it by segment. Both give the same answers. N-grams with more than
+1/COMMON_NGRAMS of all tokens (so at most COMMON_NGRAMS of them) are looked up in a table beside the filter. What many
+texts ask for is counted before any join: frequent keys are joined by broadcast (fewer than 1024), the rest by shuffle.
 
 The model: every token has its smoothed unigram probability, which is exact, and the bigrams of all tokens pull it towards
 what the filter remembers of the left neighbour: p(w | v) = (c(v, w) + m * p(w)) / (c(v) + m). So the score is the unigram
@@ -27,17 +29,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, most_frequent, per_row, slices, words
+from slotwise.operators.scale import heavy_lookup
 from slotwise.session import scratch_path
 
 #: Tokens looked up without a join (16 bytes each on every worker).
 COMMON_TOKENS = 1 << 17
 #: N-grams looked up without the filter (9 bytes each on every worker).
 COMMON_NGRAMS = 1 << 17
-#: Largest filter that goes to every worker, in bits (32 MB); room for an entry; probes of an entry.
-FILTER_BITS = 1 << 28
+#: Largest filter that goes to every worker, in bits (128 MB); room for an entry; probes of an entry; tokens of a segment.
+FILTER_BITS = 1 << 30
 BITS_PER_ENTRY = 12
 PROBES = 4
-SEGMENT_BITS = 1 << 16
+SEGMENT_TOKENS = 1 << 17
 #: Weight of the unigram probability, in observations of the left neighbour.
 PRIOR = 2000.0
 
@@ -80,27 +83,28 @@ def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[begin], np.add.reduceat(counts, begin)
 
 
+def _partial_counts(batches: Iterable[pa.RecordBatch], keys_of, merge_at: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct keys of a task and their counts, handed out whenever ``merge_at`` keys are held."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        for part in slices(batch):
+            held.append(np.unique(keys_of(part), return_counts=True))
+            if len(held) > 16:
+                held[:] = [_counted(held)]
+            if sum(len(k) for k, _ in held) > merge_at:
+                yield _counted(held)
+                held.clear()
+    if held:
+        yield _counted(held)
+
+
 def counts(texts: DataFrame, keys_of, merge_at: int = 1 << 21) -> DataFrame:
     """How often each 64-bit key of ``keys_of(slice)`` occurs; tasks add up before the shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            keys, n = _counted(held)
+        for keys, n in _partial_counts(batches, keys_of, merge_at):
             for at in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_pydict({"key": pa.array(keys[at : at + 100_000].view(np.int64)), "n": pa.array(n[at : at + 100_000])})
-            held.clear()
-
-        for batch in batches:
-            for part in slices(batch):
-                held.append(np.unique(keys_of(part), return_counts=True))
-                if len(held) > 16:
-                    held[:] = [_counted(held)]
-                if sum(len(k) for k, _ in held) > merge_at:
-                    yield from out()
-        if held:
-            yield from out()
 
     return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -141,87 +145,115 @@ def _segment(hashes: np.ndarray, segments: int) -> np.ndarray:
     return ((hashes >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
 
 
-def _bits(hashes: np.ndarray, level: np.ndarray) -> Iterator[np.ndarray]:
+def _bits(hashes: np.ndarray, level: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
     for k in range(PROBES):
-        yield mix(hashes + (level * PROBES + k + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(SEGMENT_BITS)
+        yield (mix(hashes + (level * PROBES + k + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % size).astype(np.int64)
 
 
 class LogBloom:
-    """The filter on a worker."""
+    """The filter on a worker: segment i has the bits from starts[i] to starts[i + 1]."""
 
-    def __init__(self, filled: np.ndarray, segments: int):
-        self.filled, self.segments = filled, np.uint64(segments)
+    def __init__(self, filled: np.ndarray, starts: np.ndarray):
+        self.filled, self.starts, self.sizes = filled, starts, np.diff(starts).astype(np.uint64)
 
     def level(self, ngrams: np.ndarray) -> np.ndarray:
         """Level of each n-gram by probing upwards."""
         hashes = mix(ngrams)
-        base = (hashes >> np.uint64(20)) % self.segments * np.uint64(SEGMENT_BITS)
-        level, active = np.zeros(len(ngrams), np.int64), np.arange(len(ngrams))
+        segment = _segment(hashes, len(self.sizes))
+        base, size = self.starts[segment], self.sizes[segment]
+        level, active = np.zeros(len(ngrams), np.int64), np.flatnonzero(size)
         while len(active):
             there = np.ones(len(active), bool)
-            for bit in _bits(hashes[active], level[active] + 1):
+            for bit in _bits(hashes[active], level[active] + 1, size[active]):
                 at = base[active] + bit
-                there &= (self.filled[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+                there &= (self.filled[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) > 0
             active = active[there]
             level[active] += 1
         return level
 
 
-def _sized(ngrams: DataFrame) -> DataFrame:
-    level = F.lit(0)
-    for least in LEVELS.tolist():
-        level = level + (F.col("n") >= least).cast("int")
-    return ngrams.withColumn("level", level)
+def _filled(keys: np.ndarray, n: np.ndarray, per_entry: float) -> bytes:
+    """The bits of one segment with all levels of its n-grams."""
+    hashes, most = mix(keys), level_of(n)
+    size = max(64, -(-int(most.sum() * per_entry) // 64) * 64)
+    filled = np.zeros(size, bool)
+    for one in range(1, int(most.max()) + 1):
+        some = hashes[most >= one]
+        for bit in _bits(some, np.full(len(some), one), np.uint64(size)):
+            filled[bit] = True
+    return np.packbits(filled, bitorder="little").tobytes()
 
 
-def _by_level(sized: DataFrame) -> list[tuple[int, int]]:
-    return sorted(((r.level, r.n) for r in sized.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+def fill_segments(dealt: DataFrame, least: int, per_entry: float = BITS_PER_ENTRY) -> DataFrame:
+    """Bits of every segment and its n-grams of at least ``least`` occurrences.
 
+    A row of ``dealt`` (segment, keys, counts) holds partial counts as 64-bit numbers.
+    """
 
-def fill_segments(sized: DataFrame, segments: int) -> DataFrame:
-    """segment and bits of the filter of all rows of ``sized`` (key, level)."""
+    def fill(own: pa.Table) -> pa.Table:
+        held = [np.frombuffer(b"".join(own.column(c).to_pylist()), kind) for c, kind in (("keys", np.uint64), ("counts", np.int64))]
+        keys, n = _counted([tuple(held)])
+        often = n >= least
+        values = [[own.column("segment")[0].as_py()], [_filled(keys, n, per_entry)], [keys[often].view(np.int64)], [n[often]]]
+        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.table([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], ["segment", "bits", "often", "often_n"])
 
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = mix(batch.column("key").to_numpy().view(np.uint64))
-            segment = _segment(hashes, segments)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), pa.array(hashes.view(np.int64)), batch.column("level")], ["segment", "hash", "level"])
+    return dealt.groupBy("segment").applyInArrow(fill, "segment long, bits binary, often array<long>, often_n array<long>")
 
-    def fill(own: pa.Table) -> pa.Table:
-        hashes, most = own.column("hash").to_numpy().view(np.uint64), own.column("level").to_numpy()
-        filled = np.zeros(SEGMENT_BITS, bool)
-        for one in range(1, int(most.max()) + 1):
-            some = hashes[most >= one]
-            for bit in _bits(some, np.full(len(some), one)):
-                filled[bit.astype(np.int64)] = True
-        packed = np.packbits(filled, bitorder="little").tobytes()
-        return pa.table({"segment": pa.array([own.column("segment")[0].as_py()], pa.int64()), "bits": pa.array([packed], pa.binary())})
 
-    placed = sized.select("key", "level").mapInArrow(place, "segment long, hash long, level int")
-    return placed.groupBy("segment").applyInArrow(fill, "segment long, bits binary")
+def deal(texts: DataFrame, keys_of, segments: int, merge_at: int = 1 << 21) -> DataFrame:
+    """Partial counts of n-grams, one row for each segment and flush of a task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in _partial_counts(batches, keys_of, merge_at):
+            yield from _by_segment(keys, n, segments)
+
+    return texts.mapInArrow(run, "segment long, keys binary, counts binary")
+
+
+def _by_segment(keys: np.ndarray, n: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
+    segment = _segment(mix(keys), segments)
+    order = np.argsort(segment, kind="stable")
+    segment, keys, n = segment[order], keys[order], n[order].astype(np.int64)
+    firsts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(segment) else np.zeros(0, np.int64)
+    ends = np.append(firsts[1:], len(segment))
+    for at in range(0, len(firsts), 512):
+        spans = list(zip(firsts[at : at + 512], ends[at : at + 512], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(segment[firsts[at : at + 512]]), *[pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for v in (keys, n)]],
+            ["segment", "keys", "counts"],
+        )
+
+
+def load_filter(filled: DataFrame, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits and starts of a filter on the driver, a partition of the table after the other."""
+    sizes = np.zeros(segments, np.int64)
+    for row in filled.select("segment", F.octet_length("bits").alias("n")).collect():
+        sizes[row.segment] = row.n
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.zeros(starts[-1], np.uint8)
+    for row in filled.select("segment", "bits").toLocalIterator():
+        out[starts[row.segment] : starts[row.segment + 1]] = np.frombuffer(row.bits, np.uint8)
+    return out, starts * 8
 
 
-def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS, whole: bool = False) -> LogBloom:
-    """Fill the segments in Spark; ``ngrams`` has key and n. What comes to the driver is at most ``most_bits``.
+def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS) -> LogBloom:
+    """A filter of all rows of ``ngrams`` (key, n), filled in Spark; at most about ``most_bits`` come to the driver.
 
-    With ``whole`` every key goes in, whatever share of keys then passes by mistake.
+    Every key goes in. Where there are more entries than the bits have room for, each gets less room, and more other keys
+    pass by mistake: 0.3 % at 12 bits an entry, 2 % at 8, 15 % at 4, 56 % at 2.
     """
-    sized = _sized(ngrams)
-    by_level = _by_level(sized)
-    entries, least = 0, LEVELS.size + 1
-    for own, n in by_level:
-        if (entries + own * n) * BITS_PER_ENTRY > most_bits and not whole:
-            break
-        entries, least = entries + own * n, own
-    segments = max(1, min(-(-entries * BITS_PER_ENTRY // SEGMENT_BITS), most_bits // SEGMENT_BITS))
-    if not entries:
-        return LogBloom(np.zeros(SEGMENT_BITS // 8, np.uint8), 1)
-
-    parts = fill_segments(sized.where(F.col("level") >= least), segments).toPandas()
-    filled = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for segment, bits in zip(parts["segment"], parts["bits"], strict=True):
-        filled[segment] = np.frombuffer(bits, np.uint8)
-    return LogBloom(filled.ravel(), segments)
+    size = ngrams.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum(F.least(F.col("n"), F.ceil(F.log2("n") * 3) + 2)), F.lit(0)).alias("entries")).first()
+    segments = max(1, -(-size["keys"] // SEGMENT_TOKENS))
+    per_entry = min(float(BITS_PER_ENTRY), most_bits / max(size.entries, 1))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _by_segment(batch.column("key").to_numpy().view(np.uint64), batch.column("n").cast(pa.int64()).to_numpy(), segments)
+
+    path = scratch_path(ngrams.sparkSession, "filter")
+    fill_segments(ngrams.select("key", "n").mapInArrow(run, "segment long, keys binary, counts binary"), 2**62, per_entry).write.parquet(path)
+    return LogBloom(*load_filter(ngrams.sparkSession.read.parquet(path), segments))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -238,22 +270,15 @@ def score(docs: DataFrame) -> DataFrame:
     common = most_frequent(unigrams, "n", COMMON_TOKENS).toPandas()
     vocabulary = Vocabulary(common, whole.total, whole.distinct, end.n)
 
-    path = scratch_path(spark, "ngrams")
-    _sized(counts(training, lambda part: _bigrams(*tokens(part)))).write.parquet(path)
-    ngrams = spark.read.parquet(path)
-    frequent = most_frequent(ngrams, "n", COMMON_NGRAMS).select("key", "level").toPandas().sort_values("key")
-    often, often_level = frequent["key"].to_numpy(np.int64), frequent["level"].to_numpy(np.int64)
-    entries = sum(own * n for own, n in _by_level(ngrams))
-    segments = max(1, -(-entries * BITS_PER_ENTRY // SEGMENT_BITS))
+    segments = max(1, -(-whole.total // SEGMENT_TOKENS))
+    least = max(2, -(-whole.total // COMMON_NGRAMS))
     path = scratch_path(spark, "segments")
-    fill_segments(ngrams, segments).write.parquet(path)
+    fill_segments(deal(training, lambda part: _bigrams(*tokens(part)), segments), least).write.parquet(path)
     filled = spark.read.parquet(path)
-    shared = None
-    if segments * SEGMENT_BITS <= FILTER_BITS:
-        whole_filter = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-        for one in filled.collect():
-            whole_filter[one.segment] = np.frombuffer(one.bits, np.uint8)
-        shared = spark.sparkContext.broadcast(whole_filter.ravel())
+    frequent = filled.select(F.explode(F.arrays_zip("often", "often_n")).alias("f")).select("f.*").toPandas().sort_values("often")
+    often, often_level = frequent["often"].to_numpy(np.int64), level_of(frequent["often_n"].to_numpy(np.int64))
+    bits = filled.agg(F.coalesce(F.sum(F.octet_length("bits").cast("long") * 8), F.lit(0)).alias("n")).first().n
+    shared = spark.sparkContext.broadcast(load_filter(filled, segments)) if bits <= FILTER_BITS else None
 
     def work(part: Slice) -> pa.RecordBatch:
         n = len(part)
@@ -271,7 +296,7 @@ def score(docs: DataFrame) -> DataFrame:
             gain[known] += vocabulary.pull(often_level[place[known]], own[known])
             ask &= ~known
         if shared is not None:
-            gain[ask] += vocabulary.pull(LogBloom(shared.value, segments).level(pairs[ask]), own[ask])
+            gain[ask] += vocabulary.pull(LogBloom(*shared.value).level(pairs[ask]), own[ask])
             ask[:] = False
         known = there & (own > 0)
         # Tokens without a count here, and n-grams that only the table of segments can answer.
@@ -296,7 +321,11 @@ def score(docs: DataFrame) -> DataFrame:
     scored = spark.read.parquet(path)
 
     asked = scored.select("row", F.explode("rest").alias("r")).select("row", "r.key", "r.pair", "r.n")
-    seen = asked.where("n is null").drop("n").join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    asks = scored.agg(F.coalesce(F.sum(F.size("rest").cast("long")), F.lit(0)).alias("n")).first().n
+    unknown = asked.where("n is null").drop("n")
+    wanted = unknown.groupBy("key").agg(F.count(F.lit(1)).alias("weight"))
+    wanted = wanted.join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    seen = heavy_lookup(unknown, wanted, "key", "weight", asks)
     floor = float(whole.total + 0.5 * (whole.distinct + 1))
     rare = seen.groupBy("row").agg(
         F.sum(F.log10((F.col("n") + 0.5) / F.lit(floor))).alias("rare"),
@@ -308,26 +337,31 @@ def score(docs: DataFrame) -> DataFrame:
     def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs, own = batch.column("pair").to_numpy().view(np.uint64), batch.column("n").to_numpy()
-            added = vocabulary.pull(LogBloom(shared.value, segments).level(pairs), own)
+            added = vocabulary.pull(LogBloom(*shared.value).level(pairs), own)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(added)], ["row", "added"])
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             segment = _segment(mix(batch.column("pair").to_numpy().view(np.uint64)), segments)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), *batch.columns], ["segment", "row", "pair", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(segment), *batch.columns], ["segment", "pair", "weight"])
 
     def answer_segment(own: pa.Table, asking: pa.Table) -> pa.Table:
-        if not own.num_rows or not asking.num_rows:
-            return pa.table({"row": pa.array([], pa.int64()), "added": pa.array([], pa.float64())})
-        pairs = asking.column("pair").to_numpy().view(np.uint64)
-        level = LogBloom(np.frombuffer(own.column("bits")[0].as_py(), np.uint8), 1).level(pairs)
-        return pa.table({"row": asking.column("row"), "added": pa.array(vocabulary.pull(level, asking.column("n").to_numpy()))})
+        level = np.zeros(asking.num_rows, np.int64)
+        if own.num_rows:
+            filled = np.frombuffer(own.column("bits")[0].as_py(), np.uint8)
+            level = LogBloom(filled, np.array([0, 8 * len(filled)])).level(asking.column("pair").to_numpy().view(np.uint64))
+        return pa.table([asking.column("pair"), asking.column("weight"), pa.array(level)], ["pair", "weight", "level"])
 
     if shared is not None:
         added = probes.mapInArrow(answer, "row long, added double")
     else:
-        placed = probes.mapInArrow(place, "segment long, row long, pair long, n long")
-        added = filled.groupBy("segment").cogroup(placed.groupBy("segment")).applyInArrow(answer_segment, "row long, added double")
+        distinct = probes.groupBy("pair").agg(F.count(F.lit(1)).alias("weight"))
+        placed = distinct.mapInArrow(place, "segment long, pair long, weight long")
+        levels = filled.select("segment", "bits").groupBy("segment").cogroup(placed.groupBy("segment"))
+        levels = levels.applyInArrow(answer_segment, "pair long, weight long, level long")
+        mean = F.element_at(F.array(*[F.lit(float(m)) for m in MEANS]), (F.col("level") + 1).cast("int"))
+        pull = F.log10(1 + mean / (PRIOR * (F.col("n") + 0.5) / F.lit(floor)))
+        added = heavy_lookup(probes, levels, "pair", "weight", asks).select("row", pull.alias("added"))
     added = added.groupBy("row").agg(F.sum("added").alias("added"))
     base = F.col("base") + F.coalesce("rare", F.lit(0.0))
     return scored.drop("rest").join(rare, "row", "left").join(added, "row", "left").select(

@@ -36,16 +36,17 @@ def known_id(name: str) -> Column:
 def touching(rows: DataFrame) -> tuple[Callable, Callable]:
     """Two filters of Arrow batches: documents whose doc_id ``rows`` has, and the others.
 
-    The filter that the workers hold is of bounded size and may take some others for wanted ones, never the reverse.
+    The filter that the workers hold has at most 128 MB, 12 bits an id up to 89 million ids. It may take some others for
+    wanted ones, never the reverse: 0.3 % there, 2 % at 134 million ids, 15 % at 268 million.
     Null ids are wanted together.
     """
     keys = rows.select(known_id("doc_id").alias("key"), F.lit(1).alias("n")).distinct()
-    bloom = build_filter(keys, whole=True)
-    shared, segments = rows.sparkSession.sparkContext.broadcast(bloom.filled), int(bloom.segments)
+    bloom = build_filter(keys)
+    shared = rows.sparkSession.sparkContext.broadcast((bloom.filled, bloom.starts))
 
     def reader(wanted: bool) -> Callable:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = LogBloom(shared.value, segments)
+            held = LogBloom(*shared.value)
             for batch in batches:
                 there = held.level(batch.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False).view(np.uint64)) > 0
                 yield batch.filter(pa.array(there == wanted))
