@@ -54,20 +54,19 @@ MODIFIERS = set("with without no not has have hide hidden is".split())
 #: A container holds most of a page's or of its own text beyond this share.
 LARGER_SHARE = 0.5
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+_NAME = re.compile(r"(/?)([a-zA-Z][\w:-]*)")
+_RAW = re.compile(r"(script|style)\b", re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
+_SPECIAL = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[^a-z0-9]+")
 _DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
-    path: str
+    step: str
     parent: Node | None
     dropped: bool
     article: bool
@@ -77,7 +76,82 @@ class Node:
     score: float = 0.0
     chars: int = 0
     linked: int = 0
-    blocks: list[int] = field(default_factory=list)
+    #: Nearest container and nearest suspect above; whether something favoured lies between here and that suspect.
+    holder: Node | None = None
+    watcher: Node | None = None
+    shaded: bool = False
+    holds_main: bool = False
+    #: Steps of the winning path that lead here, -1 off the path; inside what is extracted.
+    on_path: int = -1
+    inside: bool = False
+
+    def __post_init__(self):
+        up = self.parent
+        if up is not None:
+            self.holder = up if up.tag in CONTAINERS else up.holder
+            self.watcher = up if up.suspect else up.watcher
+            self.shaded = not up.suspect and (up.favoured or up.shaded)
+
+
+def path_of(node: Node) -> str:
+    """Steps from the page down to a node; a step holds no blank."""
+    steps = []
+    while node is not None:
+        steps.append(node.step)
+        node = node.parent
+    return " ".join(reversed(steps))
+
+
+def _next_special(page: str, here: int) -> int:
+    found = _SPECIAL.search(page, here)
+    return found.start() if found else len(page)
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, slash, lower-case name and attributes of every tag; comments, declarations, scripts and styles have no name.
+
+    One walk over the page: where a tag does not end, the quotes and brackets tried are remembered and not tried again.
+    """
+    dead: set[int] = set()
+    missing: set[str] = set()
+    looked, first = 0, -1
+    at = page.find("<")
+    while at >= 0:
+        end, slash, name, attributes = -1, "", "", ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+        elif (raw := _RAW.match(page, at + 1)) and ">" not in missing:
+            end = page.find(">", raw.end())
+            if end < 0:
+                missing.add(">")
+            else:
+                close = _RAW_END[raw[1].lower()].search(page, end + 1)
+                end = close.end() if close else len(page)
+        elif page[at + 1 : at + 2] in ("!", "?") and ">" not in missing:
+            end = page.find(">", at + 2) + 1 or -1
+            if end < 0:
+                missing.add(">")
+        elif (m := _NAME.match(page, at + 1)) and ">" not in missing:
+            if not looked <= m.end() <= first:
+                looked, first = m.end(), _next_special(page, m.end())
+            special, tried = first, []
+            while special < len(page) and special not in dead:
+                tried.append(special)
+                mark = page[special]
+                if mark == ">":
+                    end, slash, name, attributes = special + 1, m[1], m[2].lower(), page[m.end() : special]
+                    break
+                close = page.find(mark, special + 1) if mark not in missing else -1
+                if close < 0:
+                    missing.add(mark)
+                    break
+                special = _next_special(page, close + 1)
+            if end < 0:
+                dead.update(tried)
+        if end >= 0:
+            yield at, end, slash, name, attributes
+        at = page.find("<", max(end, at + 1))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -111,48 +185,42 @@ def _node(tag: str, attributes: str, parent: Node | None) -> Node:
     suspect = tag not in ("html", "body") and bool(words & judged)
     step = _DIGITS.sub("#", ".".join([tag, *classes]))
     favoured = tag in ("article", "main") or bool(words & MAIN_WORDS)
-    path = f"{parent.path}/{step}" if parent else step
-    return Node(tag, path, parent, dropped, article, favoured, suspect, inside and not single & judged)
+    return Node(tag, step, parent, dropped, article, favoured, suspect, inside and not single & judged)
 
 
 def _drop_suspects(nodes: list[Node], owners: list[Node], sizes: list[tuple[int, int]]) -> None:
     """Settle the containers that class words name, by what they hold; ``nodes`` has parents before their children."""
     for node, (chars, linked) in zip(owners, sizes, strict=True):
-        while node is not None:
-            node.chars, node.linked = node.chars + chars, node.linked + linked
-            node = node.parent
+        node.chars, node.linked = node.chars + chars, node.linked + linked
+    for node in reversed(nodes[1:]):
+        node.parent.chars, node.parent.linked = node.parent.chars + node.chars, node.parent.linked + node.linked
     # Suspects that hold a main part by tag; text of outermost main parts, by nearest suspect around them.
-    tagged, held = set(), {}
-    for node in nodes:
-        if node.dropped or node.suspect or not node.favoured or not node.chars:
-            continue
-        by_tag, outer, nearest, outermost = node.tag in ("article", "main"), node.parent, None, True
-        while outer is not None:
-            if outer.suspect:
-                nearest = nearest or outer
-                if by_tag:
-                    tagged.add(id(outer))
-            elif nearest is None:
-                outermost &= not outer.favoured
-            outer = outer.parent
-        if outermost:
-            held[id(nearest) if nearest else None] = held.get(id(nearest) if nearest else None, 0) + node.chars
+    held: dict[int | None, int] = {}
+    for node in reversed(nodes):
+        main = not (node.dropped or node.suspect) and node.favoured and node.chars > 0
+        if main and not node.shaded:
+            held[id(node.watcher) if node.watcher else None] = held.get(id(node.watcher) if node.watcher else None, 0) + node.chars
+        if node.parent is not None:
+            node.parent.holds_main |= node.holds_main or main and node.tag in ("article", "main")
     clean, whole = held.get(None, 0), nodes[0].chars
     for node in nodes:
         if node.parent is not None and node.parent.dropped:
             node.dropped = True
         if node.dropped or not node.suspect or node.tag in ("article", "main"):
             continue
-        main = id(node) in tagged or held.get(id(node), 0) > clean
+        main = node.holds_main or held.get(id(node), 0) > clean
         larger = node.chars > LARGER_SHARE * whole and not clean
         prose = node.compound and node.linked <= LARGER_SHARE * node.chars
         node.dropped = not (main or larger or prose)
 
 
 def parse(page: str) -> tuple[list[str], list[Node], list[Node]]:
-    """Blocks of text in page order, the node each lies in, and all container nodes."""
+    """Blocks of text in page order, the node each lies in, and all nodes, parents before their children."""
     root = Node("html", "html", None, False, False, False)
-    stack, nodes, every, blocks, owners = [root], [root], [root], [], []
+    stack, every, blocks, owners = [root], [root], [], []
+    #: Places in the stack of every open tag, and of all containers.
+    opened: dict[str, list[int]] = {}
+    containers = [0]
     sizes: list[tuple[int, int]] = []
     parts: list[str] = []
     links = linked = 0
@@ -162,94 +230,97 @@ def parse(page: str) -> tuple[list[str], list[Node], list[Node]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text and not stack[-1].dropped:
-            owner = next((n for n in reversed(stack) if n.tag in CONTAINERS), root)
+            owner = stack[containers[-1]]
             blocks.append(text)
             owners.append(stack[-1])
             sizes.append((len(text), min(linked, len(text))))
             owner.score += max(0, len(text) - LINK_PENALTY * linked)
         linked = 0
 
+    def leave(place: int) -> None:
+        for node in reversed(stack[place:]):
+            opened[node.tag].pop()
+            if node.tag in CONTAINERS:
+                containers.pop()
+        del stack[place:]
+
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-            linked += (m.start() - at) * (links > 0)
-        at = m.end()
-        tag = (m[3] or "").lower()
+    for start, end, slash, tag, attributes in tokens(page):
+        if start > at:
+            parts.append(page[at:start])
+            linked += (start - at) * (links > 0)
+        at = end
         if not tag:
             continue
         if tag == "a":
-            links = max(0, links + (-1 if m[2] else 1))
+            links = max(0, links + (-1 if slash else 1))
         if tag == "br":
             parts.append(" ")
         if tag not in BLOCKS and tag not in DROPPED_TAGS:
             continue
         close()
         links = 0
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in CONTAINERS and tag not in CONTAINERS and tag not in DROPPED_TAGS:
-                    break
+        if slash:
+            place = opened[tag][-1] if opened.get(tag) else 0
+            if place > (0 if tag in CONTAINERS or tag in DROPPED_TAGS else containers[-1]):
+                leave(place)
             continue
-        if tag == "hr" or (m[4] or "").endswith("/"):
+        if tag == "hr" or attributes.endswith("/"):
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack[1:]):
+        if tag in ("html", "body") and opened.get(tag):
             continue
         while len(stack) > 1 and (stack[-1].tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack[-1].tag == tag == "li" or stack[-1].tag == "head" and tag == "body"):
-            stack.pop()
+            leave(len(stack) - 1)
         if tag != "html":
-            stack.append(_node(tag, m[4] or "", stack[-1]))
-            every.append(stack[-1])
+            opened.setdefault(tag, []).append(len(stack))
             if tag in CONTAINERS:
-                nodes.append(stack[-1])
+                containers.append(len(stack))
+            stack.append(_node(tag, attributes, stack[-1]))
+            every.append(stack[-1])
     if at < len(page):
         parts.append(page[at:].split("<", 1)[0] if re.match(r"[^<]*<[a-zA-Z/!]", page[at:]) else page[at:])
     close()
     _drop_suspects(every, owners, sizes)
     held = [k for k, n in enumerate(owners) if not n.dropped]
-    for n in nodes:
+    for n in every:
         n.score *= not n.dropped
-    return [blocks[k] for k in held], [owners[k] for k in held], nodes
+    return [blocks[k] for k in held], [owners[k] for k in held], every
 
 
-def best_container(nodes: list[Node]) -> Node | None:
+def best_container(every: list[Node]) -> Node | None:
     """The container with the highest score after a part of each went up to its parent."""
+    nodes = [n for n in every if n.tag in CONTAINERS]
     total = {id(n): n.score * (1.5 if n.favoured else 1.0) for n in nodes}
     for n in nodes:
-        up = n.parent
-        while up is not None and up.tag not in CONTAINERS:
-            up = up.parent
-        if up is not None and id(up) in total:
-            total[id(up)] += PARENT_SHARE * n.score
+        if n.holder is not None:
+            total[id(n.holder)] += PARENT_SHARE * n.score
     some = [n for n in nodes if not n.dropped and total[id(n)] > 0]
-    return max(some, key=lambda n: (total[id(n)], n.path), default=None)
+    most = max((total[id(n)] for n in some), default=0.0)
+    equal = [n for n in some if total[id(n)] == most]
+    return max(equal, key=path_of) if len(equal) > 1 else equal[0] if equal else None
 
 
 def vote(page: str | None) -> tuple[str | None, float]:
-    _, _, nodes = parse(page or "")
-    best = best_container(nodes)
-    return (best.path, best.score) if best else (None, 0.0)
+    best = best_container(parse(page or "")[2])
+    return (path_of(best), best.score) if best else (None, 0.0)
 
 
 def extract(page: str | None, path: str | None) -> str:
     """Blocks inside the containers at ``path``, or inside the page's own best container."""
     blocks, owners, nodes = parse(page or "")
-    chosen = {id(n) for n in nodes if n.path == path and not n.dropped}
-    if not chosen:
-        best = best_container(nodes)
-        chosen = {id(best)} if best else set()
-
-    def inside(node: Node | None) -> bool:
-        while node is not None:
-            if id(node) in chosen:
-                return True
-            node = node.parent
-        return False
-
-    return "\n\n".join(b for b, n in zip(blocks, owners, strict=True) if inside(n))
+    steps = path.split(" ") if path else []
+    chosen = False
+    for n in nodes:
+        before = n.parent.on_path if n.parent else 0
+        if 0 <= before < len(steps) and steps[before] == n.step:
+            n.on_path = before + 1
+        n.inside = n.on_path == len(steps) > 0 and n.tag in CONTAINERS and not n.dropped
+        chosen |= n.inside
+    if not chosen and (best := best_container(nodes)):
+        best.inside = True
+    for n in nodes[1:]:
+        n.inside |= n.parent.inside
+    return "\n\n".join(b for b, n in zip(blocks, owners, strict=True) if n.inside)
 
 
 def _rows(batches: Iterable[pa.RecordBatch], size: int = 256) -> Iterator[list[dict]]:

@@ -321,6 +321,52 @@ def test_long_comments_stay_out():
         assert host_consensus.extract(f"<body>{page}<div class=comments>{reply * 5}</div></body>", None) == "Title\n\nThe article itself, with some text."
 
 
+def test_tags_of_odd_pages():
+    page = "a<b>x</B ><!-- <p> --><p class='a>b' id=\"c'd\">t<script a='>'>if (a<b) <p></script ><!doctype x><br/><1><a <i>y<p title='open>z<!-- end"
+    got = [(page[a:b], slash, name, attributes) for a, b, slash, name, attributes in host_consensus.tokens(page)]
+    assert got == [
+        ("<b>", "", "b", ""), ("</B >", "/", "b", " "), ("<!-- <p> -->", "", "", ""), ("<p class='a>b' id=\"c'd\">", "", "p", " class='a>b' id=\"c'd\""),
+        ("<script a='>'>if (a<b) <p></script >", "", "", ""), ("<!doctype x>", "", "", ""), ("<br/>", "", "br", "/"), ("<a <i>", "", "a", " <i"), ("<!-- end", "", "", ""),
+    ]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<div>", "<div>x", "<a '", "<a '<b \"", "<p>x</section>", "<div class=main>y", "<script", "<!x", "<li><dd>z</p>", "&amp", "</div><dd>"])
+def test_a_megabyte_of_malformed_html(unit):
+    """Pages that never end their tags take time and memory in proportion to their length."""
+    import time
+    import tracemalloc
+
+    page = "<body><p>Some text of the page.</p>" + unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    text = host_consensus.extract(page, host_consensus.vote(page)[0])
+    assert time.process_time() - start < 20 and text.startswith("Some text of the page.")
+    tracemalloc.start()
+    host_consensus.vote(page[:100_000])
+    assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    tracemalloc.stop()
+
+
+def test_votes_against_a_plain_count(spark):
+    """Winning paths are those of adding up the pages' votes in a loop, and pages come out of them."""
+    rng = random.Random(6)
+    pages = []
+    for k in range(60):
+        body = "".join(f"<p>{prose(rng, rng.randint(5, 30), ['the', 'wh', 'ing', 'ea'])}</p>" for _ in range(rng.randint(1, 4)))
+        side = f"<div class='w{k % 3}'><p>{prose(rng, rng.randint(1, 40), ['re', 'on'])}</p></div>"
+        pages.append((k, f"http://h{k % 4}.example/{k}", f"<html><body><div class='x{k % 2} w/1'>{body}</div>{side}</body></html>", "p"))
+    want = {}
+    for _, url, page, _ in pages:
+        path, score = host_consensus.vote(page)
+        own = want.setdefault(url.split("/")[2], Counter())
+        own[path] += math.log1p(score)
+    winners = {host: min(own, key=lambda p: (-round(own[p], 6), p)) for host, own in want.items()}
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, path string")
+    hosts = frame.selectExpr("html", "split(url, '/')[2] as host")
+    assert {r.host: r.path for r in host_consensus.winning_paths(hosts).collect()} == winners
+    got = {r.page_id: r.text for r in host_consensus.main_text(frame.repartition(3)).collect()}
+    assert got == {k: host_consensus.extract(page, winners[url.split("/")[2]]) for k, url, page, _ in pages}
+
+
 def test_bloom_lm(docs, none, rows):
     held = [(i, zlib.crc32(str(i if i is not None else "").encode()) % 5 == 1, [*re.findall(WORD, lower(t)), "\0end"]) for i, t, _ in rows]
     count = Counter(w for _, out, ws in held if not out for w in ws)
