@@ -186,21 +186,33 @@ def places(runs: list[Run]) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes. Distinct pre-tokens go to the tokenizer; a bounded cache keeps them."""
+    """Ids of texts as little-endian 32-bit bytes, as the tokenizer's plain call gives them without special tokens around.
+
+    Texts of added tokens, such as ``<|endoftext|>``, are cut out first and have their own ids. Distinct pre-tokens go to
+    the tokenizer's merges; a bounded cache keeps them.
+    """
 
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        # One pre-token at a time needs no splitting and no special tokens, only the tokenizer's merges.
-        self.merge = Tokenizer.from_file(path).model.tokenize
-        self.split = regex.compile(pattern).findall
-        self.held: dict[str, bytes] = {}
+        # One pre-token at a time needs no splitting, only the tokenizer's merges.
+        tokenizer = Tokenizer.from_file(path)
+        self.merge = tokenizer.model.tokenize
+        self.words = regex.compile(pattern).findall
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split if self.added else None
+        self.held = dict(self.added)
+
+    def split(self, text: str) -> list[str]:
+        if not any(token in text for token in self.added):
+            return self.words(text)
+        return [w for piece in self.cut(text) for w in ([piece] if piece in self.added else self.words(piece))]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
         if len(self.held) > CACHED_WORDS:
-            self.held.clear()
+            self.held = dict(self.added)
         fresh = {w for ws in split for w in ws}.difference(self.held)
         for word in fresh:
             spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)

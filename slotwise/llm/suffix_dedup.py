@@ -170,7 +170,7 @@ def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
     contents = stored(contents.where("mixed or copies > 1"), "contents")
     copied = runs.join(contents.where("copies > 1").select("anchor", "content", "rep"), ["anchor", "content"])
     if keep == "first":
-        copied = copied.where((F.col("doc_id") != F.col("rep.doc_id")) | (F.col("a") != F.col("rep.a")))
+        copied = copied.where((F.col("doc_id") != F.col("rep.doc_id")) | (F.col("tag") != F.col("rep.tag")) | (F.col("a") != F.col("rep.a")))
     copied = copied.select("doc_id", "tag", "a", "n")
 
     mixed = contents.where("mixed").select("anchor", "content", "copies", "rep.*")

@@ -184,7 +184,6 @@ def test_reduction_keeps_the_optimum():
 def test_packing(docs, none, rows):
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     got = fit_packing.pack_documents(docs, path, public_tokenizers.PATTERN, 64).collect()
     want = Counter()
     for i, t, _ in rows:
