@@ -18,6 +18,10 @@ def event_stream(t: Tables) -> DataFrame:
     return t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
 
 
+def merged(t: Tables, name: str, schema: str, merge) -> S.MergedTable:
+    return S.MergedTable(t.spark, scratch_path(t.spark, name), schema, merge)
+
+
 def metric_stream(t: Tables) -> DataFrame:
     return event_stream(t).select(
         F.col("user_id").cast("string").alias("session_id"), F.col("event_id").alias("sequence"),
@@ -35,15 +39,15 @@ def metric_stream(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "rollup")
     rollup = M.stream_resource_rollup(metric_stream(t), "1 hour", "1 hour")
     flat = rollup.select(
         (F.unix_seconds("window.start") / 3600).cast("bigint").alias("hour"), "session_id", "run_state", "peak_cpu_percent",
         "peak_rss_bytes", "latest_cpu_percent", "samples",
     )
-    S.update_to_table(flat, path, scratch_path(t.spark, "rollup-state"))
     schema = "hour bigint, session_id string, run_state string, peak_cpu_percent double, peak_rss_bytes bigint, latest_cpu_percent double, samples bigint"
-    return S.latest(S.read_table(t.spark, path, schema), ["hour", "session_id", "run_state"])
+    table = merged(t, "rollup", schema, S.newest(["hour", "session_id", "run_state"]))
+    S.update_to_table(flat, table, scratch_path(t.spark, "rollup-state"))
+    return table.read().drop(S.BATCH)
 
 
 @query(
@@ -57,9 +61,10 @@ def _(t: Tables) -> DataFrame:
     """Every third reading is delivered twice."""
     twice = F.explode(F.when(F.col("sequence") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
     delivered = metric_stream(t).withColumn("delivery", twice).drop("delivery")
-    path = scratch_path(t.spark, "deduped")
-    S.append_to_table(M.stream_dedupe(delivered, "1 hour"), path, scratch_path(t.spark, "deduped-state"))
-    return M.sequence_gaps(t.spark.read.parquet(path))
+    gaps = merged(t, "gaps", "session_id string, low bigint, high bigint", lambda rows: rows)
+    totals = merged(t, "gap-totals", "session_id string, samples bigint, missing bigint", S.newest(["session_id"]))
+    M.stream_gaps(delivered, gaps, totals, scratch_path(t.spark, "gaps-state"), "1 hour")
+    return totals.read().drop(S.BATCH)
 
 
 @query(
@@ -72,13 +77,13 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "pauses")
     state = F.when(F.col("event_type") == "error", "paused").otherwise("running")
     events = event_stream(t).where(F.col("event_type").isin("error", "signup", "purchase")).select(
         F.col("user_id").alias("run"), F.col("event_id").alias("seq"), B.epoch_micros("ts").alias("us"), state.alias("state")
     )
-    M.stream_pause_state(events, path, scratch_path(t.spark, "pauses-state"), F.floor(F.col("seq") / 1000))
-    return M.paused_totals(S.read_table(t.spark, path, M.PAUSE_SCHEMA))
+    table = merged(t, "pauses", M.PAUSE_SCHEMA, S.newest(["run", "first_seq"]))
+    M.stream_pause_state(events, table, scratch_path(t.spark, "pauses-state"), "1 hour")
+    return M.paused_totals(table.read())
 
 
 @query(
@@ -90,14 +95,13 @@ def _(t: Tables) -> DataFrame:
            greatest(1e-9::double, (max(epoch_us(ts)) filter (ts >= timestamp '2024-01-10') - min(epoch_us(ts)) filter (ts >= timestamp '2024-01-10')) / 1e6::double) as active from events group by 1)""",
 )
 def _(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "progress")
     events = event_stream(t).select(
         F.col("user_id").alias("run"), B.epoch_micros("ts").alias("us"), F.col("event_type").isin("view", "click").alias("accepted"),
         (F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")).alias("replayed"),
     )
-    S.update_to_table(M.stream_progress(events), path, scratch_path(t.spark, "progress-state"))
-    schema = "run bigint, accepted bigint, session_accepted bigint, session_attempts bigint, session_start_us bigint, session_end_us bigint"
-    totals = S.latest(S.read_table(t.spark, path, schema), ["run"])
+    table = merged(t, "progress", M.PROGRESS_SCHEMA, S.combined(["run"], M.PROGRESS_RULES))
+    M.stream_progress(events, table, scratch_path(t.spark, "progress-state"))
+    totals = table.read()
     out = M.progress_report(totals, 60)
     return out.withColumn("throughput", F.round("throughput", 9)).withColumn("eta_seconds", F.round("eta_seconds", 3))
 
@@ -109,20 +113,20 @@ def _(t: Tables) -> DataFrame:
        where a >= 10 and r / a > 0.25 group by pool""",
 )
 def _(t: Tables) -> DataFrame:
-    """The commits arrive in three deliveries, one micro-batch each."""
+    """The commits arrive in three deliveries; the stream goes on where it stopped after each."""
     commits = t.events.select(
         (F.col("user_id") % 4).cast("int").alias("pool"), "event_id", (F.col("event_type") == "error").alias("rejected"), "ts"
     )
-    source = scratch_path(t.spark, "commits")
+    source, state = scratch_path(t.spark, "commits"), scratch_path(t.spark, "breach-state")
+    totals = merged(t, "totals", "pool int, attempts bigint, rejections bigint", S.combined(["pool"], {"attempts": F.sum, "rejections": F.sum}))
+    alerts = merged(t, "alerts", "pool int, event_id bigint", S.combined(["pool"], {"event_id": F.min}))
     days = [("2024-01-01", "2024-01-02"), ("2024-01-02", "2024-01-12"), ("2024-01-12", "2100-01-01")]
     for start, end in days:
         part = commits.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
-        part.drop("ts").coalesce(1).write.mode("append").parquet(source)
-    stream = t.spark.readStream.schema("pool int, event_id bigint, rejected boolean").option("maxFilesPerTrigger", 1).parquet(source)
-    totals, alerts = scratch_path(t.spark, "totals"), scratch_path(t.spark, "alerts")
-    M.stream_breach(stream, totals, alerts, scratch_path(t.spark, "breach-state"), F.floor(F.col("event_id") / 1000), ["event_id"], 0.25)
-    found = S.read_table(t.spark, alerts, "pool int, event_id bigint, attempts bigint, rejections bigint")
-    return found.groupBy("pool").agg(F.min("event_id").alias("event_id"))
+        part.drop("ts").write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema("pool int, event_id bigint, rejected boolean").parquet(source)
+        M.stream_breach(stream, totals, alerts, state, F.floor(F.col("event_id") / 1000), ["event_id"], 0.25)
+    return alerts.read().select("pool", "event_id")
 
 
 @query(
@@ -134,3 +138,23 @@ def _(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", "event_id", B.epoch_micros("ts").alias("us"))
     out = M.session_split(rows, "user_id", "us", "event_id", 4 * 3600 * 1000000, F.floor(F.col("us") / (24 * 3600 * 1000000)))
     return out.select("user_id", "event_id", "session")
+
+
+@query(
+    "stream_sessions",
+    """select user_id, min(us) as first_us, max(us) as last_us, count(*) as events from (
+         select *, sum(new) over (partition by user_id order by us, event_id) as session
+         from (select *, case when us - lag(us) over (partition by user_id order by us, event_id) <= 14400000000 then 0 else 1 end as new from (select user_id, event_id, epoch_us(ts) as us from events)))
+       group by user_id, session""",
+)
+def _(t: Tables) -> DataFrame:
+    """The events arrive, then an end marker from far ahead, which lets the watermark pass the last sessions."""
+    source, state, path = (scratch_path(t.spark, name) for name in ("visits", "visits-state", "visits-out"))
+    rows = t.events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    marker = t.spark.createDataFrame([(None, "2200-01-01 00:00:00")], "user_id bigint, ts string").select("user_id", F.to_timestamp("ts").alias("ts"))
+    for delivery in (rows, marker):
+        delivery.write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema(rows.schema).parquet(source)
+        S.append_to_table(M.stream_sessions(stream, "user_id", "ts", "1 hour", "4 hours"), path, state)
+    done = t.spark.read.parquet(path).where("user_id is not null")
+    return done.select("user_id", B.epoch_micros("first_at").alias("first_us"), B.epoch_micros("last_at").alias("last_us"), "events")

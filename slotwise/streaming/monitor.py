@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from slotwise.operators.scale import neighbour, running
-from slotwise.streaming.tables import BATCH, each_batch, read_table, store_batch
+from slotwise.streaming.tables import MergedTable, each_batch, finish
 
-PAUSE_SCHEMA = "run bigint, seq bigint, us bigint, state string, paused_us bigint"
+PAUSE_SCHEMA = "run bigint, first_seq bigint, paused_us bigint, open_since_us bigint, closed boolean"
+GAP_SCHEMA = "session_id string, kind string, low bigint, high bigint, samples bigint, missing bigint"
+PROGRESS_SCHEMA = "run bigint, accepted bigint, session_accepted bigint, session_attempts bigint, session_start_us bigint, session_end_us bigint"
+PROGRESS_RULES = {"accepted": F.sum, "session_accepted": F.sum, "session_attempts": F.sum, "session_start_us": F.min, "session_end_us": F.max}
 
 
 def stream_resource_rollup(metrics: DataFrame, watermark: str, window: str) -> DataFrame:
@@ -29,52 +35,175 @@ def stream_resource_rollup(metrics: DataFrame, watermark: str, window: str) -> D
     )
 
 
-def stream_dedupe(metrics: DataFrame, watermark: str) -> DataFrame:
-    """Drop readings that were delivered more than once."""
-    return metrics.withWatermark("ingested_at", watermark).dropDuplicatesWithinWatermark(["session_id", "sequence"])
+class Gaps(StatefulProcessor):
+    """Received sequence numbers of a session as merged intervals.
 
+    Settled: the first number, the end of the part that can no longer change, and how many of it came. Waiting: intervals
+    behind it whose gap may still be filled. When the watermark passes the first reading behind a gap, the gap comes out
+    as final and the interval joins the settled part, so the state is as long as the allowed delay, not as the session.
+    A number that is already in an interval is a repetition; one in the settled part is a repetition or too late.
+    """
 
-def sequence_gaps(metrics: DataFrame) -> DataFrame:
-    """Missing sequence numbers per session of deduplicated readings."""
-    return metrics.groupBy("session_id").agg(
-        F.count(F.lit(1)).alias("samples"), (F.max("sequence") - F.min("sequence") + 1 - F.count(F.lit(1))).alias("missing")
-    )
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.settled = handle.getValueState("settled", "first long, upto long, received long")
+        self.waiting = handle.getMapState("waiting", "low long", "high long, ms long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        first, upto, received = self.settled.get() or (None, None, 0)
+        spans = [(low[0], high, ms) for low, (high, ms) in self.waiting.iterator()]
+        for frame in rows:
+            fresh = [(int(n), int(n), int(ms)) for n, ms in zip(frame["sequence"], frame["ms"], strict=True) if upto is None or n > upto]
+            spans = merge_spans(spans + fresh)
+        yield pd.DataFrame(self._settle(key[0], first, upto, received, spans, timerValues.getCurrentWatermarkInMs()))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        """The watermark has passed the first waiting interval of a session that had no new reading."""
+        first, upto, received = self.settled.get() or (None, None, 0)
+        spans = sorted((low[0], high, ms) for low, (high, ms) in self.waiting.iterator())
+        if spans:
+            yield pd.DataFrame(self._settle(key[0], first, upto, received, spans, timerValues.getCurrentWatermarkInMs()))
+
+    def _settle(self, session: str, first: int | None, upto: int | None, received: int, spans: list[tuple[int, int, int]], watermark: int) -> list[dict]:
+        out = []
+        while spans and spans[0][2] <= watermark:
+            low, high, _ = spans.pop(0)
+            if upto is None:
+                first = low
+            elif low > upto + 1:
+                out.append({"kind": "gap", "low": upto + 1, "high": low - 1, "samples": 0, "missing": low - 1 - upto})
+            upto, received = high, received + high - low + 1
+        if upto is not None:
+            self.settled.update((first, upto, received))
+        self.waiting.clear()
+        for low, high, ms in spans:
+            self.waiting.updateValue((low,), (high, ms))
+        if spans:
+            self.handle.registerTimer(spans[0][2])
+        samples = received + sum(high - low + 1 for low, high, _ in spans)
+        start, end = first if first is not None else spans[0][0], spans[-1][1] if spans else upto
+        out.append({"kind": "total", "low": start, "high": end, "samples": samples, "missing": end - start + 1 - samples})
+        return [{"session_id": session} | row for row in out]
+
+    def close(self) -> None:
+        pass
+
+
+def merge_spans(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Intervals (low, high, time of the first) without overlaps or touching neighbours."""
+    out: list[tuple[int, int, int]] = []
+    for low, high, ms in sorted(spans):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], high), out[-1][2])
+        else:
+            out.append((low, high, ms))
+    return out
+
+
+def stream_gaps(metrics: DataFrame, gaps: MergedTable, totals: MergedTable, checkpoint: str, watermark: str) -> None:
+    """Final gaps in the sequence numbers of every session, and how many readings it has had and misses.
+
+    metrics[session_id, sequence, ingested_at]; readings without a session or number are not counted. A session is one key:
+    its readings of a micro-batch pass through one task in chunks and are merged chunk by chunk.
+    """
+    timed = metrics.withWatermark("ingested_at", watermark)
+    readings = timed.where("session_id is not null and sequence is not null").select("session_id", "sequence", "ingested_at", F.unix_millis("ingested_at").alias("ms"))
+    found = readings.groupBy("session_id").transformWithStateInPandas(Gaps(), GAP_SCHEMA, "append", "eventTime")
 
+    def step(rows: DataFrame, batch: int) -> None:
+        rows = rows.persist()
+        gaps.add(rows.where("kind = 'gap'").select("session_id", "low", "high"), batch)
+        totals.add(rows.where("kind = 'total'").select("session_id", "samples", "missing"), batch)
+        rows.unpersist()
 
-def stream_pause_state(events: DataFrame, table: str, checkpoint: str, bucket: Column) -> None:
-    """Paused time per run from a stream of state changes [run, seq, us, state].
+    finish(found.writeStream.outputMode("append").foreachBatch(step), checkpoint, metrics.sparkSession)
 
-    Every micro-batch starts from the last event of each run, adds the closed intervals
-    and stores its own last events, so runs are never gathered in one task and a replayed
-    batch gives the same rows.
-    """
 
-    def step(batch: DataFrame, number: int) -> None:
-        known = read_table(batch.sparkSession, table, PAUSE_SCHEMA).where(F.col(BATCH) < number)
-        carried = known.groupBy("run").agg(F.max_by(F.struct("seq", "us", "state"), "seq").alias("c")).select("run", "c.*")
-        both = batch.select("run", "seq", "us", "state").unionByName(carried)
-        stepped = neighbour(both, ["run"], bucket, ["seq"], F.col("us"), "next_us", following=True)
-        spent = F.when((F.col("state") == "paused") & F.col("next_us").isNotNull(), F.col("next_us") - F.col("us")).otherwise(0)
-        ended = stepped.groupBy("run").agg(
-            F.max_by(F.struct("seq", "us", "state"), "seq").alias("c"), F.sum(spent).cast("bigint").alias("paused_us")
-        )
-        store_batch(ended.select("run", "c.*", "paused_us"), number, table)
+class Pauses(StatefulProcessor):
+    """Paused time of a run from its state changes, in the order of their numbers.
+
+    The state is the last change that can no longer be preceded and the paused time up to it; changes behind the
+    watermark's delay wait beside it. Repeated numbers count once; a change older than the settled one is too late. With
+    ``silence_ms`` a timer closes a run that has been silent for so long; what comes later is a new part of the run.
+    """
 
-    each_batch(events, step, checkpoint)
+    def __init__(self, silence_ms: int | None):
+        self.silence_ms = silence_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.settled = handle.getValueState("settled", "first_seq long, seq long, us long, state string, paused_us long")
+        self.waiting = handle.getMapState("waiting", "seq long", "us long, state string")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        held = self.settled.get()
+        changes = {seq[0]: change for seq, change in self.waiting.iterator()}
+        for frame in rows:
+            for seq, us, state in zip(frame["seq"], frame["us"], frame["state"], strict=True):
+                if held is None or seq > held[1]:
+                    changes.setdefault(int(seq), (int(us), state))
+        ordered = sorted(changes.items())
+        watermark = timerValues.getCurrentWatermarkInMs()
+        while ordered and ordered[0][1][0] // 1000 <= watermark:
+            held = self._after(held, ordered.pop(0))
+            self.settled.update(held)
+        self.waiting.clear()
+        for seq, change in ordered:
+            self.waiting.updateValue((seq,), change)
+        for change in ordered:
+            held = self._after(held, change)
+        if held is None:
+            return
+        if self.silence_ms is not None:
+            self.handle.registerTimer(held[2] // 1000 + self.silence_ms)
+        yield self._row(key[0], held, False)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        held = self.settled.get()
+        for change in sorted((seq[0], change) for seq, change in self.waiting.iterator()):
+            held = self._after(held, change)
+        if held is not None and held[2] // 1000 + self.silence_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.settled.clear()
+            self.waiting.clear()
+            yield self._row(key[0], held, True)
+
+    @staticmethod
+    def _after(held: tuple | None, change: tuple[int, tuple[int, str]]) -> tuple:
+        seq, (us, state) = change
+        if held is None:
+            return seq, seq, us, state, 0
+        return held[0], seq, us, state, held[4] + (us - held[2] if held[3] == "paused" else 0)
+
+    @staticmethod
+    def _row(run: int, held: tuple, closed: bool) -> pd.DataFrame:
+        since = held[2] if held[3] == "paused" else None
+        row = {"run": [run], "first_seq": [held[0]], "paused_us": [held[4]], "open_since_us": pd.array([since], "Int64"), "closed": [closed]}
+        return pd.DataFrame(row)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_pause_state(events: DataFrame, table: MergedTable, checkpoint: str, watermark: str, silence_ms: int | None = None) -> None:
+    """Paused time per run from a stream of state changes [run, seq, us, state], one row a run (or part of a run) in ``table``.
+
+    State changes of a run are few (someone pauses and resumes it), so one key's changes fit into one task.
+    """
+    timed = events.withColumn("at", F.timestamp_micros("us")).withWatermark("at", watermark)
+    found = timed.groupBy("run").transformWithStateInPandas(Pauses(silence_ms), PAUSE_SCHEMA, "update", "eventTime")
+    finish(found.writeStream.outputMode("update").foreachBatch(table.add), checkpoint, events.sparkSession)
 
 
 def paused_totals(table: DataFrame) -> DataFrame:
-    """Closed paused time of each run and the start of a pause that is still open."""
-    last = F.max_by(F.struct("us", "state"), "seq")
-    return table.groupBy("run").agg(F.sum("paused_us").alias("paused_us"), last.alias("l")).select(
-        "run", "paused_us", F.when(F.col("l.state") == "paused", F.col("l.us")).alias("open_since_us")
-    )
+    """Paused time of each run and the start of a pause that is still open."""
+    last = F.max_by(F.struct("open_since_us"), "first_seq")
+    return table.groupBy("run").agg(F.sum("paused_us").alias("paused_us"), last.alias("l")).select("run", "paused_us", "l.open_since_us")
 
 
-def stream_progress(events: DataFrame) -> DataFrame:
-    """Running totals per run; replayed events count as baseline only.
+def batch_progress(events: DataFrame) -> DataFrame:
+    """Totals per run of some events; replayed ones count as baseline only. Totals of parts add up to those of the whole.
 
-    events[run, us, accepted, replayed]; the output is an updating aggregate.
+    events[run, us, accepted, replayed].
     """
     fresh = ~F.col("replayed")
     return events.groupBy("run").agg(
@@ -86,6 +215,11 @@ def stream_progress(events: DataFrame) -> DataFrame:
     )
 
 
+def stream_progress(events: DataFrame, table: MergedTable, checkpoint: str) -> None:
+    """Running totals per run. A micro-batch adds its own totals, so no state is held between batches and no run is a hot key."""
+    each_batch(events, lambda rows, batch: table.add(batch_progress(rows), batch), checkpoint)
+
+
 def progress_report(totals: DataFrame, target: int) -> DataFrame:
     """Throughput of the session and the remaining time it implies."""
     active = F.greatest(F.lit(1e-9), (F.col("session_end_us") - F.col("session_start_us")) / 1e6)
@@ -98,20 +232,16 @@ def progress_report(totals: DataFrame, target: int) -> DataFrame:
 
 
 def stream_breach(
-    commits: DataFrame, totals: str, alerts: str, checkpoint: str, bucket: Column, order: Sequence[str],
+    commits: DataFrame, totals: MergedTable, alerts: MergedTable, checkpoint: str, bucket: Column, order: Sequence[str],
     max_rate: float, min_attempts: int = 10,
 ) -> None:
     """Alert rows for the commits of a stream [pool, *order, rejected] whose running rate is over the limit.
 
-    Each micro-batch continues from the totals of the batches before it.
+    Each micro-batch continues from the totals (pool, attempts, rejections) of the batches before it.
     """
-    schema = "pool int, attempts bigint, rejections bigint"
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = read_table(spark, totals, schema).where(F.col(BATCH) < number).groupBy("pool").agg(
-            F.sum("attempts").alias("a0"), F.sum("rejections").alias("r0")
-        )
+        before = totals.read(number).select("pool", F.col("attempts").alias("a0"), F.col("rejections").alias("r0"))
         one, bad = F.lit(1).cast("bigint"), F.col("rejected").cast("bigint")
         walked = running(batch, ["pool"], bucket, list(order), {"attempts": one, "rejections": bad})
         summed = walked.join(before, "pool", "left").na.fill(0, ["a0", "r0"])
@@ -120,8 +250,8 @@ def stream_breach(
         )
         over = summed.where((F.col("attempts") >= min_attempts) & (F.col("rejections") / F.col("attempts") > max_rate))
         first = over.groupBy("pool").agg(F.min(F.struct(*order, "attempts", "rejections")).alias("f")).select("pool", "f.*")
-        store_batch(first, number, alerts)
-        store_batch(batch.groupBy("pool").agg(F.count(F.lit(1)).alias("attempts"), F.sum(bad).alias("rejections")), number, totals)
+        alerts.add(first, number)
+        totals.add(batch.groupBy("pool").agg(F.count(F.lit(1)).alias("attempts"), F.sum(bad).alias("rejections")), number)
 
     each_batch(commits, step, checkpoint)
 
@@ -134,7 +264,11 @@ def session_split(events: DataFrame, key: str, us: str, order: str, gap_us: int,
 
 
 def stream_sessions(events: DataFrame, key: str, time: str, watermark: str, gap: str) -> DataFrame:
-    """Streaming form of the split: built-in session windows."""
-    return events.withWatermark(time, watermark).groupBy(F.session_window(time, gap).alias("session"), key).agg(
-        F.count(F.lit(1)).alias("events")
-    )
+    """Streaming form of the split: built-in session windows, final when the watermark has passed them.
+
+    Events exactly ``gap`` apart belong to one session, as in the split.
+    """
+    window = F.session_window(time, f"{gap} 1 microsecond").alias("session")
+    return events.withWatermark(time, watermark).groupBy(window, key).agg(
+        F.min(time).alias("first_at"), F.max(time).alias("last_at"), F.count(F.lit(1)).alias("events")
+    ).drop("session")

@@ -11,8 +11,6 @@ from slotwise.functions import geometry as G
 from slotwise.functions import text as X
 from slotwise.operators import audit, catalog, compare, coverage, experiments, export, placement, preflight, telemetry
 from slotwise.sources import images, pools, sinks
-from slotwise.streaming import monitor as M
-from slotwise.streaming import tables as S
 
 
 def test_two_attempts_one_rejection(spark):
@@ -266,38 +264,6 @@ def test_manifests_and_label_files(spark, tmp_path):
     assert (tmp_path / "out/labels/train/a.txt").read_text() == "0 1\n" and (tmp_path / "out/labels/val/b.txt").read_text() == ""
 
 
-def test_pause_stream_equals_batch_over_many_deliveries(spark, tmp_path):
-    rows = [(r, i, i * 1000 + r, "paused" if (i * 7 + r) % 3 == 0 else "running") for r in range(5) for i in range(60)]
-    for part in range(4):
-        chunk = [r for r in rows if r[1] // 15 == part]
-        spark.createDataFrame(chunk, "run bigint, seq bigint, us bigint, state string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema("run bigint, seq bigint, us bigint, state string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    table = str(tmp_path / "table")
-    M.stream_pause_state(stream, table, str(tmp_path / "state"), F.floor(F.col("seq") / 8))
-    stored = S.read_table(spark, table, M.PAUSE_SCHEMA)
-    assert stored.select("batch_id").distinct().count() == 4
-    got = {r["run"]: (r["paused_us"], r["open_since_us"]) for r in M.paused_totals(stored).collect()}
-    for run in range(5):
-        mine = sorted((r for r in rows if r[0] == run), key=lambda r: r[1])
-        closed = sum(b[2] - a[2] for a, b in zip(mine, mine[1:]) if a[3] == "paused")
-        assert got[run] == (closed, mine[-1][2] if mine[-1][3] == "paused" else None)
-
-
-def test_stream_session_windows_match_the_split(spark, tmp_path):
-    rows = [("u", 0), ("u", 5), ("u", 30), ("v", 2)]
-    frame = spark.createDataFrame(rows, "k string, s int").select("k", F.timestamp_seconds("s").alias("ts"), (F.col("s") * 1000000).cast("bigint").alias("us"))
-    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
-    batch = M.session_split(frame.withColumn("id", F.col("us")), "k", "us", "id", 10_000_000, F.floor(F.col("us") / 7_000_000))
-    assert sorted((r["k"], r["us"] // 1000000, r["session"]) for r in batch.collect()) == [("u", 0, 1), ("u", 5, 1), ("u", 30, 2), ("v", 2, 1)]
-    stream = spark.readStream.schema(frame.schema).parquet(str(tmp_path / "in"))
-    sessions = M.stream_sessions(stream, "k", "ts", "1 second", "10 seconds").select("k", F.col("session.start").alias("start"), "events")
-    S.append_to_table(sessions, str(tmp_path / "t"), str(tmp_path / "c"))
-    closed = spark.read.parquet(str(tmp_path / "t"))
-    assert closed.where("events > 2").count() == 0
-    windows = frame.groupBy(F.session_window("ts", "10 seconds"), "k").count()
-    assert windows.count() == batch.select("k", "session").distinct().count()
-
-
 def test_links_of_every_attribute_outside_comments(spark):
     html = (
         '<a href="x.html" src="y.png" title="a href=no.html"> <img src=z.png> <!-- <a href="c.html"> --> '
