@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.arrays import coverage_bbox
-from slotwise.operators.scale import neighbour
+from slotwise.operators.scale import neighbour, one_per_key
 
 # Artifacts every pool must have, control states and their legal successors.
 REQUIRED_ARTIFACTS = (
@@ -27,14 +27,66 @@ RESUMED_EVENT = "resumed"
 POOL_SCHEMA = 2
 
 
-def finding(frame: DataFrame, code: str, artifact) -> DataFrame:
-    artifact = artifact if isinstance(artifact, Column) else F.lit(artifact)
-    return frame.select("pool", F.lit(code).alias("code"), artifact.cast("string").alias("artifact"))
+#: What every finding says; {} stands for its detail.
+MESSAGES = {
+    "MISSING_ARTIFACT": "required artifact is missing: {}", "INVALID_JSON": "not a JSON document", "INVALID_JSONL": "not a JSON record: {}",
+    "SAMPLE_COUNT_DRIFT": "counts of manifest, summary and samples differ: {}", "CONTRACT_HASH_DRIFT": "contract hashes of manifest and summary differ",
+    "TERMINAL_STATE_DRIFT": "states of control and summary differ: {}", "IMAGE_DECODE_FAILED": "image cannot be decoded",
+    "IMAGE_DIMENSION_MISMATCH": "image size differs from the manifest: {}", "ANNOTATION_OUT_OF_BOUNDS": "invalid box {}",
+    "NORMALIZED_ANNOTATION_INVALID": "invalid normalized box {}", "MASK_EVIDENCE_MISSING": "sample lacks mask evidence",
+    "MASK_EVIDENCE_INVALID": "mask evidence cannot be read", "MASK_INSTANCE_DRIFT": "instances of masks and annotations differ",
+    "MASK_SEMANTICS_INVALID": "visible coverage exceeds full coverage", "MASK_EMPTY": "instance has no visible coverage",
+    "MASK_BBOX_MISMATCH": "box of the mask {}", "BROKEN_QA_LINK": "link leads nowhere: {}",
+}
+FINDING = ["pool", "code", "artifact", "message"]
+
+
+def message(code: str, detail: Column | None = None) -> Column:
+    """The text of a finding with its detail in place."""
+    before, _, after = MESSAGES[code].partition("{}")
+    return F.lit(before) if detail is None else F.concat(F.lit(before), F.coalesce(detail.cast("string"), F.lit("null")), F.lit(after))
+
+
+def found(code: str, artifact: Column, detail: Column | None = None) -> Column:
+    return F.struct(F.lit(code).alias("code"), artifact.cast("string").alias("artifact"), message(code, detail).alias("message"))
+
+
+def listed(*values: Column) -> Column:
+    """Values as [a, b, ...]."""
+    return F.concat(F.lit("["), F.concat_ws(", ", *[v.cast("string") for v in values]), F.lit("]"))
 
 
 def missing_artifacts(pools: DataFrame, files: DataFrame, required: Sequence[str] = REQUIRED_ARTIFACTS) -> DataFrame:
     wanted = pools.select("pool", F.explode(F.array(*[F.lit(n) for n in required])).alias("name"))
-    return finding(wanted.join(files, ["pool", "name"], "left_anti"), "MISSING_ARTIFACT", F.col("name"))
+    gone = wanted.join(files, ["pool", "name"], "left_anti")
+    return gone.select("pool", found("MISSING_ARTIFACT", F.col("name"), F.col("name")).alias("f")).select("pool", "f.*")
+
+
+def instance_findings() -> Column:
+    """Findings on one sample's annotations and masks, which lie side by side as arrays; both are few a sample."""
+    sample = F.col("sample_id")
+    boxed = lambda a: listed(a["x1"], a["y1"], a["x2"], a["y2"])
+    inside = lambda a: (a["x1"] >= 0) & (a["x1"] < a["x2"]) & (a["x2"] <= F.col("width")) & (a["y1"] >= 0) & (a["y1"] < a["y2"]) & (a["y2"] <= F.col("height"))
+    normal = lambda a: a["cx"].between(0, 1) & a["cy"].between(0, 1) & (a["w"] > 0) & (a["w"] <= 1) & (a["h"] > 0) & (a["h"] <= 1)
+    wrong = lambda rule: F.filter("annotations", lambda a: ~F.coalesce(rule(a), F.lit(False)))
+    outside = F.transform(wrong(inside), lambda a: found("ANNOTATION_OUT_OF_BOUNDS", sample, boxed(a)))
+    abnormal = F.transform(
+        wrong(normal), lambda a: found("NORMALIZED_ANNOTATION_INVALID", sample, listed(*[F.round(a[c], 6) for c in ("cx", "cy", "w", "h")]))
+    )
+    ids = lambda name: F.array_distinct(F.transform(name, lambda a: a["instance_id"]))
+    differ = (F.size(F.array_except(ids("annotations"), ids("masks"))) > 0) | (F.size(F.array_except(ids("masks"), ids("annotations"))) > 0)
+    nothing = F.filter(F.array(found("MASK_EMPTY", sample)), lambda f: F.lit(False))
+    drift = F.when(differ, F.array(found("MASK_INSTANCE_DRIFT", sample))).otherwise(nothing)
+
+    def of_pair(a: Column, m: Column) -> Column:
+        same_box = m["box"].eqNullSafe(F.struct(*[a[c].cast("int").alias(c) for c in ("x1", "y1", "x2", "y2")]))
+        derived = F.concat(boxed(m["box"]), F.lit(" differs from "), boxed(a))
+        of_box = F.when(m["box"].isNull(), found("MASK_EMPTY", a["instance_id"])).when(~same_box, found("MASK_BBOX_MISMATCH", a["instance_id"], derived))
+        return F.array_compact(F.array(F.when(m["exceeds"], found("MASK_SEMANTICS_INVALID", a["instance_id"])), of_box))
+
+    own = lambda a: F.filter("masks", lambda m: m["instance_id"] == a["instance_id"])
+    pairs = F.flatten(F.transform("annotations", lambda a: F.flatten(F.transform(own(a), lambda m: of_pair(a, m)))))
+    return F.concat(outside, abnormal, F.when(F.col("masked_sample"), F.concat(drift, pairs)).otherwise(nothing))
 
 
 def pool_audit(
@@ -49,29 +101,29 @@ def pool_audit(
     required: Sequence[str] = REQUIRED_ARTIFACTS,
     read_findings: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per violation.
+    """One row per violation: pool, code, artifact, message.
 
     runs[pool, schema_version, contract_hash, target, width, height], summary[pool,
     status, accepted, contract_hash], control[pool, actual_state], samples[pool,
     sample_id, image_width, image_height, evidence_path, evidence_ok], annotations[pool,
     sample_id, instance_id, x1, y1, x2, y2, cx, cy, w, h], masks[pool, sample_id,
-    instance_id, mask_width, full, visible, threshold], files[pool, name], links[pool, link].
+    instance_id, mask_width, full, visible, threshold], files[pool, name], links[pool, link],
+    read_findings[pool, code, artifact, detail]: lines and documents that the readers refused.
     A pool that lacks an artifact reports only that. An image size of NULL means the
     image could not be decoded; such a sample is not checked further.
+
+    Annotations and masks are dealt once, together, by sample; masks are reduced to a box and a
+    flag where they are read. A sample's rules run on its row.
     """
     gone = missing_artifacts(runs, files, required)
     whole = runs.join(gone.select("pool").distinct(), "pool", "left_anti")
     base = whole.select("pool", "schema_version", "target", "contract_hash", "width", "height")
 
-    def coded(frame: DataFrame, checks: list[tuple[Column, str, Column]]) -> DataFrame:
-        """All findings of one level in one pass over its rows."""
-        items = [
-            F.when(test, F.struct(F.lit(code).alias("code"), artifact.cast("string").alias("artifact")))
-            for test, code, artifact in checks
-        ]
-        return frame.withColumn("__f", F.explode(F.array_compact(F.array(*items)))).withColumns(
-            {"code": F.col("__f.code"), "artifact": F.col("__f.artifact")}
-        )
+    def coded(frame: DataFrame, findings: Column) -> DataFrame:
+        return frame.select("pool", F.explode(findings).alias("f")).select("pool", "f.*")
+
+    def of_rules(*rules: tuple[Column, Column]) -> Column:
+        return F.array_compact(F.array(*[F.when(test, item) for test, item in rules]))
 
     counted = samples.groupBy("pool").agg(F.count(F.lit(1)).alias("n"))
     state = (
@@ -80,100 +132,58 @@ def pool_audit(
     )
     none = F.lit("")
     drift = (F.col("accepted") != F.col("n")) | ((F.col("status") == "complete") & (F.col("target") != F.col("n")))
-    of_pools = coded(
-        state,
-        [
-            (drift, "SAMPLE_COUNT_DRIFT", none),
-            (~F.col("summary_hash").eqNullSafe(F.col("contract_hash")), "CONTRACT_HASH_DRIFT", none),
-            (~F.col("actual_state").eqNullSafe(F.col("status")), "TERMINAL_STATE_DRIFT", none),
-        ],
+    of_pools = of_rules(
+        (drift, found("SAMPLE_COUNT_DRIFT", none, listed(F.col("target"), F.col("accepted"), F.col("n")))),
+        (~F.col("summary_hash").eqNullSafe(F.col("contract_hash")), found("CONTRACT_HASH_DRIFT", none)),
+        (~F.col("actual_state").eqNullSafe(F.col("status")), found("TERMINAL_STATE_DRIFT", none, listed(F.col("actual_state"), F.col("status")))),
     )
 
-    keys = ["pool", "sample_id"]
     shot = samples.join(base.select("pool", "schema_version", "width", "height"), "pool")
     decoded = F.col("image_width").isNotNull()
     with_masks = decoded & (F.col("schema_version") == POOL_SCHEMA)
     has_path, evidence = F.col("evidence_path").isNotNull(), F.coalesce("evidence_ok", F.lit(False))
-    of_samples = coded(
-        shot,
-        [
-            (~decoded, "IMAGE_DECODE_FAILED", F.col("sample_id")),
-            (
-                decoded & ((F.col("image_width") != F.col("width")) | (F.col("image_height") != F.col("height"))),
-                "IMAGE_DIMENSION_MISMATCH", F.col("sample_id"),
-            ),
-            (with_masks & ~has_path, "MASK_EVIDENCE_MISSING", F.col("sample_id")),
-            (with_masks & has_path & ~evidence, "MASK_EVIDENCE_INVALID", F.col("evidence_path")),
-        ],
+    misfit = decoded & ((F.col("image_width") != F.col("width")) | (F.col("image_height") != F.col("height")))
+    sizes = listed(*[F.col(c) for c in ("width", "height", "image_width", "image_height")])
+    of_samples = of_rules(
+        (~decoded, found("IMAGE_DECODE_FAILED", F.col("sample_id"))),
+        (misfit, found("IMAGE_DIMENSION_MISMATCH", F.col("sample_id"), sizes)),
+        (with_masks & ~has_path, found("MASK_EVIDENCE_MISSING", F.col("sample_id"))),
+        (with_masks & has_path & ~evidence, found("MASK_EVIDENCE_INVALID", F.col("evidence_path"))),
     )
 
-    frames = shot.where(decoded).select(*keys, "width", "height", (with_masks & has_path & evidence).alias("masked_sample"))
-    box_type = "struct<x1:int,y1:int,x2:int,y2:int>"
+    keys = ["pool", "sample_id"]
     exceeds = F.exists(F.arrays_zip(F.col("visible").alias("v"), F.col("full").alias("f")), lambda p: p["v"] > p["f"])
-    # The arrays are reduced to two facts where they are read, so that no mask is shuffled.
-    facts = masks.select(
-        *keys, "instance_id", exceeds.alias("exceeds"), F.lit(True).alias("masked"),
-        coverage_bbox(F.col("visible"), F.col("mask_width"), F.col("threshold")).alias("box"),
-    )
-    inside = F.expr("0 <= x1 and x1 < x2 and x2 <= width and 0 <= y1 and y1 < y2 and y2 <= height")
-    normal = F.expr("cx between 0 and 1 and cy between 0 and 1 and w > 0 and w <= 1 and h > 0 and h <= 1")
-    # Annotations and masks of an instance meet first, then the sample decides which checks apply.
-    both = annotations.withColumn("annotated", F.lit(True)).join(facts, [*keys, "instance_id"], "full_outer").join(frames, keys)
-    annotated, masked = F.col("annotated").isNotNull(), F.col("masked").isNotNull()
-    pair = F.col("masked_sample") & annotated & masked
-    empty = F.col("box").isNull()
-    of_instances = coded(
-        both,
-        [
-            (annotated & ~F.coalesce(inside, F.lit(False)), "ANNOTATION_OUT_OF_BOUNDS", F.col("sample_id")),
-            (annotated & ~F.coalesce(normal, F.lit(False)), "NORMALIZED_ANNOTATION_INVALID", F.col("sample_id")),
-            (F.col("masked_sample") & ~(annotated & masked), "MASK_INSTANCE_DRIFT", F.col("sample_id")),
-            (pair & F.col("exceeds"), "MASK_SEMANTICS_INVALID", F.col("instance_id")),
-            (pair & empty, "MASK_EMPTY", F.col("instance_id")),
-            (
-                pair & ~empty & ~F.col("box").eqNullSafe(F.struct("x1", "y1", "x2", "y2").cast(box_type)),
-                "MASK_BBOX_MISMATCH", F.col("instance_id"),
-            ),
-        ],
-    )
-    # A sample with several drifting instances is one finding; all others keep their number.
-    drift_row = F.col("code") == "MASK_INSTANCE_DRIFT"
-    merged = of_instances.groupBy(*keys, F.when(~drift_row, F.col("instance_id")).alias("__i"), "code", "artifact").agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    times = F.when(drift_row, F.lit(1).cast("bigint")).otherwise(F.col("__n"))
-    of_instances = merged.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
+    box = coverage_bbox(F.col("visible"), F.col("mask_width"), F.col("threshold"))
+    marked = annotations.select(*keys, F.struct("instance_id", "x1", "y1", "x2", "y2", "cx", "cy", "w", "h").alias("a"))
+    covered = masks.select(*keys, F.struct("instance_id", exceeds.alias("exceeds"), box.alias("box")).alias("m"))
+    sides = marked.unionByName(covered, allowMissingColumns=True).groupBy(*keys)
+    sides = sides.agg(F.collect_list("a").alias("annotations"), F.collect_list("m").alias("masks"))
+    frames = shot.where(decoded).select(*keys, "width", "height", (with_masks & has_path & evidence).alias("masked_sample"))
 
     broken = links.join(base.select("pool"), "pool", "left_semi").join(
         files.withColumnRenamed("name", "link"), ["pool", "link"], "left_anti"
     )
-    columns = ["pool", "code", "artifact"]
     parts = [
-        gone,
-        of_pools.select(*columns),
-        of_samples.select(*columns),
-        of_instances.select(*columns),
-        finding(broken, "BROKEN_QA_LINK", F.col("link")),
+        coded(state, of_pools),
+        coded(shot, of_samples),
+        coded(sides.join(frames, keys), instance_findings()),
+        coded(broken, F.array(found("BROKEN_QA_LINK", F.col("link"), F.col("link")))),
     ]
     if read_findings is not None:
-        parts.append(read_findings.select("pool", "code", "artifact"))
-    result = parts[0]
-    for part in parts[1:]:
+        text = F.lit(None).cast("string")
+        for code in ("INVALID_JSON", "INVALID_JSONL"):
+            text = F.when(F.col("code") == code, message(code, F.col("detail") if "{}" in MESSAGES[code] else None)).otherwise(text)
+        parts.append(read_findings.join(base.select("pool"), "pool", "left_semi").select("pool", "code", "artifact", text.alias("message")))
+    result = gone
+    for part in parts:
         result = result.unionByName(part)
     return result
 
 
-def audit_status(pools: DataFrame, findings: DataFrame) -> DataFrame:
-    """``valid`` for pools without findings."""
-    counted = findings.groupBy("pool").agg(F.count(F.lit(1)).alias("findings"))
-    joined = pools.select("pool").join(counted, "pool", "left").na.fill(0, ["findings"])
-    return joined.withColumn("status", F.when(F.col("findings") == 0, "valid").otherwise("invalid"))
-
-
-def journal_reconcile(log: DataFrame, journal: DataFrame, pool: str, keys: Sequence[str]) -> DataFrame:
-    """Journal rows replace the readable log of every pool that has a journal; one row per key."""
+def journal_reconcile(log: DataFrame, journal: DataFrame, pool: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Journal rows replace the readable log of every pool that has a journal; one row per key, the first in ``order``."""
     pools = journal.select(pool).distinct()
-    return log.join(pools, pool, "left_anti").unionByName(journal).dropDuplicates([pool, *keys])
+    return one_per_key(log.join(pools, pool, "left_anti").unionByName(journal), [pool, *keys], order)
 
 
 def pending_slots(runs: DataFrame, committed: DataFrame, chunk: int = 65_536) -> DataFrame:

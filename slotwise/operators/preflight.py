@@ -46,15 +46,17 @@ def cost_fingerprint(jobs: DataFrame, columns: Sequence[str]) -> DataFrame:
 def match_observations(jobs: DataFrame, observations: DataFrame) -> DataFrame:
     """Statistics of the observations that fit each job.
 
-    jobs[job, fingerprint, workers, ...], observations[fingerprint, workers, kind,
-    seconds]. Rows with the job's worker count are used if there are any, otherwise all
-    rows of the fingerprint. Observations are summarised per fingerprint and worker
-    count, and per fingerprint, before they meet the jobs: one row per job.
+    jobs[job, fingerprint, environment, workers, ...], observations[fingerprint,
+    environment, workers, kind, seconds]. Only rows of the job's environment count. Rows with
+    the job's worker count are used if there are any, otherwise all rows of the fingerprint.
+    Observations are summarised per fingerprint, environment and worker count, and without
+    the latter, before they meet the jobs: one row per job.
     """
+    keys = ["fingerprint", "environment"]
     scoped = observations.select(
-        "fingerprint", "kind", "seconds", F.explode(F.array(F.col("workers"), F.lit(None).cast("int"))).alias("scope")
+        *keys, "kind", "seconds", F.explode(F.array(F.col("workers"), F.lit(None).cast("int"))).alias("scope")
     )
-    counts = scoped.groupBy("fingerprint", "scope").agg(
+    counts = scoped.groupBy(*keys, "scope").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum((F.col("kind") == "production").cast("bigint")).alias("production"),
         F.sum((F.col("kind") == "probe").cast("bigint")).alias("probes"),
@@ -63,15 +65,15 @@ def match_observations(jobs: DataFrame, observations: DataFrame) -> DataFrame:
         F.max(F.when(F.col("kind") == "production", F.col("seconds"))).alias("production_max"),
     )
     medians = exact_quantiles(
-        scoped.where("kind = 'production'"), ["fingerprint", "scope"], "seconds", {"production_median": (0.5, "linear")}
+        scoped.where("kind = 'production'"), [*keys, "scope"], "seconds", {"production_median": (0.5, "linear")}
     )
-    stats = join_null_safe(counts, medians, ["fingerprint", "scope"], "left")
-    values = [c for c in stats.columns if c not in ("fingerprint", "scope")]
+    stats = join_null_safe(counts, medians, [*keys, "scope"], "left")
+    values = [c for c in stats.columns if c not in (*keys, "scope")]
     exact = stats.where("scope is not null").select(
-        "fingerprint", F.col("scope").alias("workers"), F.struct(*values).alias("__exact")
+        *keys, F.col("scope").alias("workers"), F.struct(*values).alias("__exact")
     )
-    cross = stats.where("scope is null").select("fingerprint", F.struct(*values).alias("__cross"))
-    joined = jobs.join(exact, ["fingerprint", "workers"], "left").join(cross, "fingerprint", "left")
+    cross = stats.where("scope is null").select(*keys, F.struct(*values).alias("__cross"))
+    joined = jobs.join(exact, [*keys, "workers"], "left").join(cross, keys, "left")
     tier = F.when(F.col("__exact").isNotNull(), "exact").when(F.col("__cross").isNotNull(), "cross-worker").otherwise("none")
     chosen = F.coalesce("__exact", "__cross")
     return joined.withColumn("tier", tier).withColumn("__s", chosen).select(

@@ -7,7 +7,7 @@ millionths, which makes cumulative sums exact in any order of addition.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.hashing import derive_seed, hash_uniform
 from slotwise.operators.scale import hash_prefix_bucket, interval_lookup, join_null_safe, running
+from slotwise.session import settle
 
 WEIGHT_UNITS = 1_000_000
 
@@ -283,6 +284,30 @@ def first_accepted(attempts: DataFrame, start: int, max_attempts: int) -> tuple[
     return winners, rejections, exhausted
 
 
+def first_accepted_waves(
+    slots: DataFrame, plan: Callable[[DataFrame], DataFrame], start: int, max_attempts: int, wave: int = 1
+) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """The same in waves: attempts are planned only for slots that are still open.
+
+    ``plan`` takes [slot, attempt] and adds ``ok``; an attempt it does not return counts as not made. Every wave plans
+    ``wave`` more attempts for each open slot, settles them, and keeps the slots without a passing one, so the attempts
+    planned are those accepted, those rejected and at most ``wave`` - 1 a slot beyond. The last value is their number.
+    """
+    open_slots, settled, planned, at = slots.select("slot").distinct(), [], 0, start
+    while at < start + max_attempts and (left := open_slots.count()):
+        width = min(wave, start + max_attempts - at)
+        asked = open_slots.select("slot", F.explode(F.sequence(F.lit(at), F.lit(at + width - 1))).alias("attempt"))
+        tried = settle(plan(asked).select("slot", "attempt", "ok"))
+        settled.append(tried)
+        open_slots = settle(open_slots.join(tried.where("ok").select("slot"), "slot", "left_anti"))
+        planned, at = planned + left * width, at + width
+    tried = slots.select("slot", F.lit(start).alias("attempt"), F.lit(None).cast("boolean").alias("ok")).limit(0)
+    for part in settled:
+        tried = tried.unionByName(part)
+    winners, rejections, _ = first_accepted(tried, start, max_attempts)
+    return winners, rejections, slots.select("slot").distinct().join(winners, "slot", "left_anti"), planned
+
+
 @dataclass(frozen=True)
 class Effect:
     stage: str

@@ -27,6 +27,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"__r_{key}" for key in keys])
 
 
+def one_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = False) -> DataFrame:
+    """One row of every key, the first (or last) in ``order``; rows equal there go by their content, so the winner is always the same."""
+    content = F.to_json(F.struct(*[c for c in frame.columns if c not in keys] or [F.lit(1)]))
+    pick = F.max_by if last else F.min_by
+    values = F.struct(*frame.columns)
+    return frame.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(pick(values, F.struct(*order, content)).alias("__v")).select("__v.*")
+
+
 def running(
     frame: DataFrame,
     keys: Sequence[str],

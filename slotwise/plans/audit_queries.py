@@ -9,6 +9,8 @@ from slotwise.operators import audit as O
 from slotwise.plans import bindings as B
 from slotwise.plans.bindings import Tables, with_sql
 from slotwise.plans.registry import query
+from slotwise.session import scratch_path
+from slotwise.sources import pools, sinks
 
 POOLS = 25
 
@@ -71,9 +73,33 @@ def audit_inputs(t: Tables) -> dict[str, DataFrame]:
         "runs": runs, "summary": summary, "control": control, "samples": samples, "annotations": annotations, "masks": masks,
         "files": required.unionByName(pictures.where("s_suppkey % 9 <> 0").select("pool", "name")),
         "links": pictures.select("pool", F.col("name").alias("link")),
+        "read_findings": refused_lines(t).unionByName(refused_documents(t)),
     }
 
 
+def refused_lines(t: Tables) -> DataFrame:
+    """Order lines of a log per pool as JSON; every 997th is torn and comes back as a finding of the reader."""
+    key = F.col("o_orderkey")
+    text = F.to_json(F.struct(key.alias("slot")))
+    rows = t.orders.select((F.col("o_custkey") % POOLS).cast("int").alias("pool"), F.when(key % 997 == 0, F.concat(F.lit("{torn "), key.cast("string"))).otherwise(text).alias("value"))
+    root = scratch_path(t.spark, "audit-logs")
+    rows.write.partitionBy("pool").text(root)
+    _, findings = pools.read_jsonl_permissive(t.spark, [root], "slot bigint")
+    pool = F.regexp_extract("file", r"pool=(\d+)", 1).cast("int")
+    return findings.select(pool.alias("pool"), "code", F.lit("samples.jsonl").alias("artifact"), F.col("raw").alias("detail"))
+
+
+def refused_documents(t: Tables) -> DataFrame:
+    """A manifest per nation; that of nation 17 is cut short."""
+    body = F.when(F.col("n_nationkey") == 17, F.lit('{"contract_hash"')).otherwise(F.to_json(F.struct(F.col("n_name").alias("contract_hash"))))
+    rows = t.nation.select(F.concat(F.col("n_nationkey").cast("string"), F.lit("/run.json")).alias("path"), body.alias("content"))
+    root = scratch_path(t.spark, "audit-manifests")
+    sinks.write_files(rows, root, f"{root}-index")
+    listed = t.nation.select(F.col("n_nationkey").cast("string").alias("pool"))
+    _, findings = pools.read_manifests(t.spark, root, "run.json", "contract_hash string", listed)
+    return findings.select(F.col("pool").cast("int").alias("pool"), "code", "artifact", F.lit(None).cast("string").alias("detail"))
+
+
 SQL_AUDIT = (
     B.SQL_ANNOTATIONS
     + """,
@@ -81,7 +107,8 @@ o as (select cast(o_custkey % 25 as integer) as pool, o_orderkey as id from orde
 dec as (select *, pool % 5 <> 0 and id % 101 <> 0 and id % 103 <> 0 as masked from o where id % 501 <> 0),
 a as (select dec.pool, dec.masked, cast(sample_id as varchar) as sample_id, 'instance-' || instance_pos as instance_id, cast(round(quantity) as integer) as q, cast(round(discount * 100) as integer) as d,
     cast(x1 % 5 as integer) as x1, cast(y1 % 5 as integer) as y1,
-    cast(x1 % 5 as integer) + 1 + cast(round(quantity) as integer) % 4 as x2, cast(y1 % 5 as integer) + 1 + instance_pos % 3 as y2
+    cast(x1 % 5 as integer) + 1 + cast(round(quantity) as integer) % 4 as x2, cast(y1 % 5 as integer) + 1 + instance_pos % 3 as y2,
+    '[' || x1 % 5 || ', ' || y1 % 5 || ', ' || x1 % 5 + 1 + cast(round(quantity) as integer) % 4 || ', ' || y1 % 5 + 1 + instance_pos % 3 || ']' as box
   from v_annotations join dec on dec.id = sample_id)"""
 )
 
@@ -89,20 +116,24 @@ a as (select dec.pool, dec.masked, cast(sample_id as varchar) as sample_id, 'ins
 @query(
     "pool_audit",
     with_sql(
-        """select 13 as pool, 'MISSING_ARTIFACT' as code, 'metrics.jsonl' as artifact
-           union all select * from (values (3, 'SAMPLE_COUNT_DRIFT', ''), (7, 'CONTRACT_HASH_DRIFT', ''), (11, 'TERMINAL_STATE_DRIFT', '')) v
-           union all select 9, 'SAMPLE_COUNT_DRIFT', '' where 9 % 4 <> 1
-           union all select pool, 'IMAGE_DECODE_FAILED', cast(id as varchar) from o where id % 501 = 0
-           union all select pool, 'IMAGE_DIMENSION_MISMATCH', cast(id as varchar) from dec where id % 503 = 0
-           union all select pool, 'ANNOTATION_OUT_OF_BOUNDS', sample_id from a where x2 > 8 or y2 > 8
-           union all select pool, 'NORMALIZED_ANNOTATION_INVALID', sample_id from a where q = 49
-           union all select pool, 'MASK_EVIDENCE_MISSING', cast(id as varchar) from dec where pool % 5 <> 0 and id % 101 = 0
-           union all select pool, 'MASK_EVIDENCE_INVALID', 'masks/' || id from dec where pool % 5 <> 0 and id % 101 <> 0 and id % 103 = 0
-           union all select distinct pool, 'MASK_INSTANCE_DRIFT', sample_id from a where masked and q = 13
-           union all select pool, 'MASK_SEMANTICS_INVALID', instance_id from a where masked and q <> 13 and d = 7 and q <> 50
-           union all select pool, 'MASK_EMPTY', instance_id from a where masked and q = 50
-           union all select pool, 'MASK_BBOX_MISMATCH', instance_id from a where masked and q not in (13, 50) and (x2 > 8 or y2 > 8)
-           union all select s_nationkey, 'BROKEN_QA_LINK', 'qa/' || s_name from supplier where s_suppkey % 9 = 0 and s_nationkey <> 13""",
+        """select 13 as pool, 'MISSING_ARTIFACT' as code, 'metrics.jsonl' as artifact, 'required artifact is missing: metrics.jsonl' as message
+           union all select pool, 'SAMPLE_COUNT_DRIFT', '', 'counts of manifest, summary and samples differ: [' || n + (pool = 9)::int || ', ' || n + (pool = 3)::int || ', ' || n || ']'
+             from (select pool, count(*) as n from o group by pool) where pool = 3 or pool = 9 and 9 % 4 <> 1
+           union all select 7, 'CONTRACT_HASH_DRIFT', '', 'contract hashes of manifest and summary differ'
+           union all select 11, 'TERMINAL_STATE_DRIFT', '', 'states of control and summary differ: [failed, complete]'
+           union all select pool, 'IMAGE_DECODE_FAILED', cast(id as varchar), 'image cannot be decoded' from o where id % 501 = 0
+           union all select pool, 'IMAGE_DIMENSION_MISMATCH', cast(id as varchar), 'image size differs from the manifest: [8, 8, 7, 8]' from dec where id % 503 = 0
+           union all select pool, 'ANNOTATION_OUT_OF_BOUNDS', sample_id, 'invalid box ' || box from a where x2 > 8 or y2 > 8
+           union all select pool, 'NORMALIZED_ANNOTATION_INVALID', sample_id, 'invalid normalized box [' || array_to_string([round(v, 6) for v in [(x1 + x2) / 16.0::double, (y1 + y2) / 16.0::double, (x2 - x1) / 8.0::double, 0.0::double]], ', ') || ']' from a where q = 49
+           union all select pool, 'MASK_EVIDENCE_MISSING', cast(id as varchar), 'sample lacks mask evidence' from dec where pool % 5 <> 0 and id % 101 = 0
+           union all select pool, 'MASK_EVIDENCE_INVALID', 'masks/' || id, 'mask evidence cannot be read' from dec where pool % 5 <> 0 and id % 101 <> 0 and id % 103 = 0
+           union all select distinct pool, 'MASK_INSTANCE_DRIFT', sample_id, 'instances of masks and annotations differ' from a where masked and q = 13
+           union all select pool, 'MASK_SEMANTICS_INVALID', instance_id, 'visible coverage exceeds full coverage' from a where masked and q <> 13 and d = 7 and q <> 50
+           union all select pool, 'MASK_EMPTY', instance_id, 'instance has no visible coverage' from a where masked and q = 50
+           union all select pool, 'MASK_BBOX_MISMATCH', instance_id, 'box of the mask [' || x1 || ', ' || y1 || ', ' || least(x2, 8) || ', ' || least(y2, 8) || '] differs from ' || box from a where masked and q not in (13, 50) and (x2 > 8 or y2 > 8)
+           union all select s_nationkey, 'BROKEN_QA_LINK', 'qa/' || s_name, 'link leads nowhere: qa/' || s_name from supplier where s_suppkey % 9 = 0 and s_nationkey <> 13
+           union all select pool, 'INVALID_JSONL', 'samples.jsonl', 'not a JSON record: {torn ' || id from o where id % 997 = 0
+           union all select 17, 'INVALID_JSON', 'run.json', 'not a JSON document'""",
         SQL_AUDIT,
     ),
 )
@@ -120,7 +151,7 @@ def _(t: Tables) -> DataFrame:
     torn = rows.where("slot % 7 <> 0")
     log = torn.unionByName(torn.where("slot % 5 = 0")).withColumn("origin", F.lit("log"))
     journal = rows.where("pool % 2 = 0").withColumn("origin", F.lit("journal"))
-    return O.journal_reconcile(log, journal, "pool", ["slot"])
+    return O.journal_reconcile(log, journal, "pool", ["slot"], ["origin"])
 
 
 @query(

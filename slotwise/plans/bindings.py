@@ -346,6 +346,7 @@ def jobs(t: Tables) -> DataFrame:
     return t.customer.select(
         F.col("c_custkey").alias("job"),
         F.col("c_mktsegment").alias("fingerprint"),
+        F.when(F.col("c_custkey") % 5 < 2, "linux-8").otherwise("windows-8").alias("environment"),
         (F.col("c_custkey") % 6 + 1).cast("int").alias("workers"),
         (F.lit(1) + F.col("c_custkey") % 50).alias("num_images"),
         (F.lit(320) + (F.col("c_nationkey") * 64)).cast("int").alias("width"),
@@ -358,7 +359,7 @@ def jobs(t: Tables) -> DataFrame:
 
 SQL_JOBS = """
 v_jobs as (
-  select c_custkey as job, c_mktsegment as fingerprint, cast(c_custkey % 6 + 1 as integer) as workers,
+  select c_custkey as job, c_mktsegment as fingerprint, case when c_custkey % 5 < 2 then 'linux-8' else 'windows-8' end as environment, cast(c_custkey % 6 + 1 as integer) as workers,
     1 + c_custkey % 50 as num_images, cast(320 + c_nationkey * 64 as integer) as width,
     cast(320 + (c_custkey % 10) * 96 as integer) as height,
     case when c_nationkey % 2 = 0 then 'png' else 'jpg' end as image_format,
@@ -372,6 +373,7 @@ def observations(t: Tables) -> DataFrame:
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return o.select(
         F.when(F.col("c_mktsegment") == "BUILDING", "BUILDING-2").otherwise(F.col("c_mktsegment")).alias("fingerprint"),
+        F.element_at(F.array(F.lit("linux-8"), F.lit("windows-8"), F.lit("mac-8")), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("environment"),
         (F.col("o_custkey") % 4 + 1).cast("int").alias("workers"),
         F.when((F.col("o_orderstatus") == "F") & (F.col("c_mktsegment") != "MACHINERY"), "production")
         .otherwise("probe").alias("kind"),
@@ -381,7 +383,7 @@ def observations(t: Tables) -> DataFrame:
 
 SQL_OBSERVATIONS = """
 v_observations as (
-  select case c_mktsegment when 'BUILDING' then 'BUILDING-2' else c_mktsegment end as fingerprint, cast(o_custkey % 4 + 1 as integer) as workers,
+  select case c_mktsegment when 'BUILDING' then 'BUILDING-2' else c_mktsegment end as fingerprint, ['linux-8', 'windows-8', 'mac-8'][o_orderkey % 3 + 1] as environment, cast(o_custkey % 4 + 1 as integer) as workers,
     case when o_orderstatus = 'F' and c_mktsegment <> 'MACHINERY' then 'production' else 'probe' end as kind,
     o_totalprice / 100000 as seconds
   from orders join customer on o_custkey = c_custkey)"""

@@ -39,15 +39,15 @@ SQL_MATCHED = (
     + ","
     + B.SQL_OBSERVATIONS
     + """,
-x as (select fingerprint, workers, count(*) as rows, count(*) filter (kind = 'production') as production, count(*) filter (kind = 'probe') as probes, median(seconds) filter (kind = 'production') as pm,
+x as (select fingerprint, environment, workers, count(*) as rows, count(*) filter (kind = 'production') as production, count(*) filter (kind = 'probe') as probes, median(seconds) filter (kind = 'production') as pm,
     avg(seconds) filter (kind = 'probe') as bm, min(seconds) filter (kind = 'production') as lo, max(seconds) filter (kind = 'production') as hi from v_observations group by all),
-y as (select fingerprint, count(*) as rows, count(*) filter (kind = 'production') as production, count(*) filter (kind = 'probe') as probes, median(seconds) filter (kind = 'production') as pm,
+y as (select fingerprint, environment, count(*) as rows, count(*) filter (kind = 'production') as production, count(*) filter (kind = 'probe') as probes, median(seconds) filter (kind = 'production') as pm,
     avg(seconds) filter (kind = 'probe') as bm, min(seconds) filter (kind = 'production') as lo, max(seconds) filter (kind = 'production') as hi from v_observations group by all),
 v_matched as (select j.*, case when x.rows is not null then 'exact' when y.rows is not null then 'cross-worker' else 'none' end as tier,
     coalesce(x.rows, y.rows, 0) as rows, case when x.rows is not null then x.production else coalesce(y.production, 0) end as production,
     case when x.rows is not null then x.probes else coalesce(y.probes, 0) end as probes, case when x.rows is not null then x.pm else y.pm end as pm,
     case when x.rows is not null then x.bm else y.bm end as bm, case when x.rows is not null then x.lo else y.lo end as lo, case when x.rows is not null then x.hi else y.hi end as hi
-  from v_jobs j left join x on x.fingerprint = j.fingerprint and x.workers = j.workers left join y on y.fingerprint = j.fingerprint)"""
+  from v_jobs j left join x on x.fingerprint = j.fingerprint and x.environment = j.environment and x.workers = j.workers left join y on y.fingerprint = j.fingerprint and y.environment = j.environment)"""
 )
 
 

@@ -308,6 +308,29 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "first_accepted_waves",
+    with_sql(
+        """select slot, attempt, 'winner' as kind from (select slot, min(attempt) as attempt from v_slots where ok and attempt < 8 group by slot)
+           union all select s.slot, s.attempt, 'rejection' from v_slots s left join (select slot, min(attempt) as w from v_slots where ok and attempt < 8 group by slot) w on w.slot = s.slot
+             where s.attempt < 8 and (w is null or s.attempt < w)
+           union all select distinct slot, null::bigint, 'exhausted' from v_slots where slot not in (select slot from v_slots where ok and attempt < 8)""",
+        B.SQL_SLOTS,
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    """Attempts are looked up only while their slot is open."""
+    known = B.slots(t)
+    plan = lambda asked: asked.join(known, ["slot", "attempt"])
+    winners, rejections, exhausted, _ = O.first_accepted_waves(known.select("slot"), plan, 0, 8)
+    return (
+        winners.withColumn("kind", F.lit("winner"))
+        .unionByName(rejections.withColumn("kind", F.lit("rejection")))
+        .unionByName(exhausted.withColumn("kind", F.lit("exhausted")), allowMissingColumns=True)
+        .withColumn("attempt", F.col("attempt").cast("bigint"))
+    )
+
+
 EFFECTS = (
     O.Effect("background", "GaussNoise", 0.3),
     O.Effect("background", "RandomGamma", 0.5),

@@ -104,17 +104,21 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "write_pool",
-    "select cast(o_custkey % 5 as integer) as pool_id, count(*) as n, cast(sum(o_orderkey) as bigint) as slots from orders group by 1",
+    """select cast(o_custkey % 5 as integer) as pool_id, count(*) as n, cast(sum(o_orderkey) as bigint) as slots,
+         cast(sum(case when o_orderkey % 3 <> 0 then 1 else 2 end) as bigint) as first_commits, cast(sum(case when o_orderkey % 3 <> 0 and o_custkey % 5 <> 2 and o_orderkey % 2 <> 0 then 1 else 2 end) as bigint) as last_commits from orders group by 1""",
 )
 def _(t: Tables) -> DataFrame:
-    """Two overlapping commits store every slot once."""
+    """Overlapping commits store every slot once: the first, or the last, that brought it."""
     rows = t.orders.select((F.col("o_custkey") % 5).cast("int").alias("pool_id"), F.col("o_orderkey").alias("slot"))
-    path = scratch_path(t.spark, "pool-table")
-    sinks.write_pool(rows.where("slot % 3 <> 0"), path, ["pool_id", "slot"])
-    sinks.write_pool(rows.where("slot % 2 = 0 or slot % 3 = 0"), path, ["pool_id", "slot"])
-    sinks.write_pool(rows, path, ["pool_id", "slot"])
-    stored = t.spark.read.parquet(path)
-    return stored.groupBy("pool_id").agg(F.count(F.lit(1)).alias("n"), F.sum("slot").alias("slots"))
+    keys, out = ["pool_id", "slot"], []
+    for last in (False, True):
+        path = scratch_path(t.spark, "pool-table")
+        again = rows.where("slot % 2 = 0 or slot % 3 = 0 or pool_id = 2").withColumn("brought_by", F.lit(2))
+        for part in (rows.where("slot % 3 <> 0").withColumn("brought_by", F.lit(1)), again, again.where("pool_id = 2")):
+            sinks.write_pool(part, path, keys, last=last)
+        out.append(sinks.read_pool_table(t.spark, path, keys, last))
+    first, second = (frame.groupBy("pool_id").agg(F.count(F.lit(1)).alias("n"), F.sum("slot").alias("slots"), F.sum("brought_by").alias("commits")) for frame in out)
+    return first.withColumnRenamed("commits", "first_commits").join(second.select("pool_id", F.col("commits").alias("last_commits")), "pool_id")
 
 
 def png_bytes(batches):
@@ -158,6 +162,24 @@ def _(t: Tables) -> DataFrame:
     return good.withColumn("code", F.lit("ok")).unionByName(bad, allowMissingColumns=True)
 
 
+@query(
+    "catalog_rescan",
+    """select 'root0/' || (s_suppkey % 10) || '/' || s_suppkey || '.png' as logical_path, sha256(body) as content_hash, strlen(body) as length, read_in from (
+         select s_suppkey, case when s_suppkey % 11 = 0 then s_name || ' changed' else s_name end as body, case when s_suppkey % 11 = 0 or s_suppkey % 7 = 0 then 2 else 1 end as read_in from supplier)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Files are hashed, then some change and some come new; the second scan reads these only."""
+    key = F.col("s_suppkey")
+    path = F.concat((key % 10).cast("string"), F.lit("/"), key.cast("string"), F.lit(".png"))
+    files = t.supplier.select(path.alias("path"), key, F.col("s_name").alias("content"))
+    root, memo = scratch_path(t.spark, "rescan"), scratch_path(t.spark, "memo")
+    sinks.write_files(files.where("s_suppkey % 7 <> 0"), root, f"{root}-index")
+    images.hash_images(t.spark, [root], memo)
+    changed = files.where("s_suppkey % 11 = 0").withColumn("content", F.concat("content", F.lit(" changed")))
+    sinks.write_files(files.where("s_suppkey % 7 = 0 and s_suppkey % 11 <> 0").unionByName(changed), root, f"{root}-index2")
+    return images.hash_images(t.spark, [root], memo).select("logical_path", "content_hash", "length", F.col("scan").alias("read_in"))
+
+
 def split_labels(t: Tables) -> DataFrame:
     rows = label_rows(t).withColumn("key", F.col("sample").cast("string"))
     return split_random(rows, "key", SPLITS, SEED)
@@ -165,20 +187,33 @@ def split_labels(t: Tables) -> DataFrame:
 
 @query(
     "write_label_files",
-    f"""select split, count(*) as files, cast(sum(len) as bigint) as bytes, count(*) filter (len = 0) as empty_files from (
-             select {sql_split(sql_u("'7'", 's_name'))} as split, coalesce(sum(l), 0) as len from (select s_name from supplier) left join
-               (select s_name, strlen(c_name) + 1 as l from supplier join customer on s_suppkey = c_custkey % 1000 and s_suppkey % 6 <> 0) using (s_name) group by s_name) group by split""",
+    with_sql(
+        f"""select split, count(*) as files, cast(sum(strlen(text)) as bigint) as bytes, count(*) filter (text = '') as empty_files,
+              md5(string_agg(md5(text), '' order by o_orderkey::varchar)) as content from (
+            select o_orderkey, {sql_split(sql_u("'7'", 'cast(o_orderkey as varchar)'))} as split, coalesce(text || chr(10), '') as text from orders left join (
+             select sample_id, string_agg(printf('%d %.6f %.6f %.6f %.6f', class_id, (x1 + x2) / 2.0 / 1000, (y1 + y2) / 2.0 / 1000, (x2 - x1) / 1000.0, (y2 - y1) / 1000.0), chr(10) order by instance_pos) as text
+             from v_annotations join v_class_ids using (class_name) group by sample_id) on sample_id = o_orderkey) group by split""",
+        B.SQL_ANNOTATIONS,
+        SQL_CLASS_IDS,
+    ),
 )
 def _(t: Tables) -> DataFrame:
-    """One label document per supplier, listing its customers."""
-    lines = t.supplier.join(t.customer, (F.col("s_suppkey") == F.col("c_custkey") % 1000) & (F.col("s_suppkey") % 6 != 0), "left")
-    text = lines.groupBy("s_name").agg(F.array_join(F.sort_array(F.collect_list(F.concat("c_name", F.lit("\n")))), "").alias("text"))
-    rows = split_random(text, "s_name", SPLITS, SEED).select("split", F.concat("s_name", F.lit(".png")).alias("filename"), "text")
+    """One label document per exported sample, read back from its file."""
+    rows = split_labels(t).select("split", F.concat("key", F.lit(".png")).alias("filename"), "text")
     root = scratch_path(t.spark, "labels")
     written = sinks.write_label_files(rows, root, f"{root}-index")
-    return written.groupBy(F.split("path", "/")[1].alias("split")).agg(
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    digests = files.select(F.concat(F.lit("labels/"), F.regexp_replace("path", "^.*/labels/", "")).alias("path"), F.md5("content").alias("digest"))
+    name = F.split("path", "[/.]")
+    # The reader skips empty files.
+    digest = F.when(F.col("bytes") == 0, F.md5(F.lit(""))).otherwise(F.col("digest"))
+    stored = written.join(digests, "path", "left").select(name[1].alias("split"), name[2].alias("key"), digest.alias("digest"))
+    listed = F.sort_array(F.collect_list(F.struct("key", "digest")))
+    content = stored.groupBy("split").agg(F.md5(F.array_join(F.transform(listed, lambda f: f["digest"]), "")).alias("content"))
+    counts = written.groupBy(F.split("path", "/")[1].alias("split")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum((F.col("bytes") == 0).cast("bigint")).alias("empty_files")
     )
+    return counts.join(content, "split")
 
 
 @query(

@@ -235,27 +235,46 @@ def _(t: Tables) -> DataFrame:
     return O.split_greedy_class(table, classes, SPLITS).select("component_id", "split")
 
 
+def sql_greedy_class_walk() -> str:
+    """The class-aware walk under names of its own, beside the plain one."""
+    out = sql_greedy_class()
+    for name, other in (("ordered", "class_ordered"), ("walk", "class_walk"), ("tot as (", "class_tot as ("), (", tot t)", ", class_tot t)"), ("from tot\n", "from class_tot\n")):
+        out = out.replace(name, other)
+    return out
+
+
 @query(
     "split_comparison",
     with_sql(
         f"""select policy, split, cast(coalesce(n, 0) as bigint) as sample_count, round(total * fraction, 6) as requested, round(coalesce(n, 0) - total * fraction, 6) as deviation,
              round(sum(abs(coalesce(n, 0) - total * fraction)) over (partition by policy) / total, 9) as l1_fraction_deviation,
-             round(max(abs(coalesce(n, 0) - total * fraction)) over (partition by policy) / total, 9) as maximum_fraction_deviation
+             round(max(abs(coalesce(n, 0) - total * fraction)) over (partition by policy) / total, 9) as maximum_fraction_deviation, coalesce(class_counts, '') as class_counts
            from (values ('train', {FRACTIONS[0]!r}::double), ('val', {FRACTIONS[1]!r}::double), ('test', {FRACTIONS[2]!r}::double)) s(split, fraction)
-           cross join (values ('hash'), ('greedy-sample')) p(policy) cross join tot
-           left join (select 'hash' as policy, {sql_split('u')} as split, sum(size) as n from comp group by 2
-             union all select 'greedy-sample', split, sum(size) from walk join comp using (component_id) group by 2) a using (policy, split)""",
+           cross join (values ('hash'), ('greedy-sample'), ('greedy-class')) p(policy) cross join tot
+           left join (select policy, split, sum(size) as n from assigned group by all) a using (policy, split)
+           left join (select policy, split, string_agg(class_name || '=' || n, ',' order by class_name) as class_counts from (
+             select policy, split, class_name, sum(n)::bigint as n from assigned join per using (component) group by all) group by all) c using (policy, split)""",
         SQL_DOC,
         sql_greedy(),
+        sql_greedy_class_walk(),
+        f"""assigned as (select 'hash' as policy, component, {sql_split('u')} as split, size from comp
+             union all select 'greedy-sample', component, split, size from walk join comp using (component_id)
+             union all select 'greedy-class', component, split, size from class_walk join comp using (component_id))""",
         recursive=True,
     ),
 )
 def _(t: Tables) -> DataFrame:
-    table = K.settle(K.component_table(doc_members(t)[0], SEED))
-    hashed = O.split_asset_disjoint(table, SPLITS).select(F.lit("hash").alias("policy"), "split", "size")
-    greedy = O.split_greedy_sample(table, SPLITS).select(F.lit("greedy-sample").alias("policy"), "split", "size")
-    detail, summary = O.split_comparison(hashed.unionByName(greedy), SPLITS)
-    out = detail.join(summary, "policy")
+    members, edges = doc_members(t)
+    table = K.settle(K.component_table(members, SEED))
+    classes = K.settle(K.component_stats(members, edges, doc_labels(t), table)[1])
+    policies = {
+        "hash": O.split_asset_disjoint(table, SPLITS), "greedy-sample": O.split_greedy_sample(table, SPLITS),
+        "greedy-class": O.split_greedy_class(table, classes, SPLITS),
+    }
+    parts = [frame.select(F.lit(name).alias("policy"), "split", "size", "component") for name, frame in policies.items()]
+    detail, summary = O.split_comparison(parts[0].unionByName(parts[1]).unionByName(parts[2]), SPLITS, classes)
+    counts = F.array_join(F.transform(F.map_entries("class_counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    out = detail.join(summary, "policy").withColumn("class_counts", counts)
     digits = {"requested": 6, "deviation": 6, "l1_fraction_deviation": 9, "maximum_fraction_deviation": 9}
     for name, d in digits.items():
         out = out.withColumn(name, F.round(name, d))
@@ -265,10 +284,13 @@ def _(t: Tables) -> DataFrame:
 @query(
     "split_feasibility",
     with_sql(
-        f"""select 'support' as kind, class_name as key, count(*) as sample_support, count(distinct component) as component_support from doc_labels join members using (sample) group by class_name
-           union all select 'CLASS_PARTITION_FRAGILE', class_name, null, null from doc_labels join members using (sample) group by class_name having count(distinct component) < 3
-           union all select 'ASSET_DISJOINT_SPLITS_IMPOSSIBLE', cast(count(*) as varchar), null, null from comp having count(*) < 3
-           union all select 'HASH_ASSIGNMENT_IMBALANCED', split, null, null from (values ('train', {FRACTIONS[0]!r}::double), ('val', {FRACTIONS[1]!r}::double), ('test', {FRACTIONS[2]!r}::double)) s(split, fraction)
+        f"""select 'support' as kind, class_name as key, count(*) as sample_support, count(distinct component) as component_support, null::double as value from doc_labels join members using (sample) group by class_name
+           union all select 'CLASS_PARTITION_FRAGILE', class_name, null, null, null from doc_labels join members using (sample) group by class_name having count(distinct component) < 3
+           union all select 'ASSET_DISJOINT_SPLITS_IMPOSSIBLE', cast(count(*) as varchar), null, null, null from comp having count(*) < 3
+           union all select 'component_size', size::varchar, null, null, count(*)::double from comp group by size
+           union all select 'largest_component_fraction', '', null, null, round(max(size)::double / (select count(*) from documents), 9) from comp
+           union all select 'all_splits_populatable', '', null, null, case when count(*) >= 3 then 1 else 0 end from comp
+           union all select 'HASH_ASSIGNMENT_IMBALANCED', split, null, null, null from (values ('train', {FRACTIONS[0]!r}::double), ('val', {FRACTIONS[1]!r}::double), ('test', {FRACTIONS[2]!r}::double)) s(split, fraction)
              left join (select {sql_split('u')} as split, sum(size) as n from comp group by 1) a using (split) where abs(coalesce(n, 0) - fraction * (select count(*) from documents)) >= 1""",
         SQL_DOC,
         recursive=True,
@@ -278,6 +300,7 @@ def _(t: Tables) -> DataFrame:
     members, edges = doc_members(t)
     table = K.settle(K.component_table(members, SEED))
     _, classes = K.component_stats(members, edges, doc_labels(t), table)
-    support, findings = O.split_feasibility(table, classes, O.split_asset_disjoint(table, SPLITS), SPLITS)
+    support, findings, shape = O.split_feasibility(table, classes, O.split_asset_disjoint(table, SPLITS), SPLITS)
     rows = support.select(F.lit("support").alias("kind"), F.col("class_name").alias("key"), "sample_support", "component_support")
-    return rows.unionByName(findings.withColumnRenamed("code", "kind"), allowMissingColumns=True)
+    shape = shape.select(F.col("fact").alias("kind"), "key", F.round("value", 9).alias("value"))
+    return rows.unionByName(findings.withColumnRenamed("code", "kind"), allowMissingColumns=True).unionByName(shape, allowMissingColumns=True)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 # Fixed value: file extensions that count as images.
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "webp")
@@ -28,6 +29,40 @@ def list_images(spark: SparkSession, roots: Sequence[str], recursive: bool = Tru
     return rows.where(F.lower("path").rlike(r"\.(" + "|".join(IMAGE_EXTENSIONS) + r")$"))
 
 
+#: Files that one read names one by one.
+NAMED_FILES = 20_000
+MEMO = "path string, length bigint, modificationTime timestamp, content_hash string, scan int"
+FILE_KEY = ["path", "length", "modificationTime"]
+
+
+def hash_images(spark: SparkSession, roots: Sequence[str], memo: str, recursive: bool = True) -> DataFrame:
+    """Content hash of every image below ``roots``; a file is read again only when its length or time has changed.
+
+    The memo is a table of path, length, time and hash with the number of the scan that read the file. The listing is joined
+    with it before any content is read; new files are read by name in blocks, all files at once where there are very many.
+    """
+    listed = list_images(spark, roots, recursive).dropDuplicates(["path"])
+    try:
+        known = spark.read.schema(MEMO).parquet(memo)
+        scan = 1 + (known.agg(F.max("scan")).first()[0] or 0)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        known, scan = spark.createDataFrame([], MEMO), 1
+    fresh = listed.join(known.select(*FILE_KEY), FILE_KEY, "left_anti").select(*FILE_KEY)
+    names = [row.path for row in fresh.select("path").limit(5 * NAMED_FILES + 1).collect()]
+    if len(names) > 5 * NAMED_FILES:
+        blocks = [list(roots)]
+    else:
+        blocks = [names[at : at + NAMED_FILES] for at in range(0, len(names), NAMED_FILES)]
+    for block in blocks:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(block)
+        rows = files.select(*FILE_KEY, F.sha2("content", 256).alias("content_hash")).join(fresh, FILE_KEY, "left_semi")
+        rows.withColumn("scan", F.lit(scan)).write.mode("append").parquet(memo)
+    hashed = spark.read.schema(MEMO).parquet(memo) if blocks or scan > 1 else known
+    return listed.join(hashed, FILE_KEY).drop("modificationTime")
+
+
 def area_mean_hash(batches):
     """16-hex average hash of decoded images: 8x8 area means of the luma, first cell most significant."""
     import numpy as np

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from slotwise.operators.scale import join_null_safe, one_per_key
+from slotwise.session import settle
+
 
 def existing_table(frame: DataFrame, path: str) -> DataFrame | None:
     """The table already stored under ``path``, or None."""
@@ -20,13 +23,42 @@ def existing_table(frame: DataFrame, path: str) -> DataFrame | None:
         raise
 
 
-def write_pool(rows: DataFrame, path: str, keys: Sequence[str], partition: str = "pool_id") -> None:
-    """Append only rows whose key is not stored yet; repeating a write changes nothing."""
-    fresh = rows.dropDuplicates(list(keys))
-    stored = existing_table(rows, path)
+#: Pools of one commit that are looked up by name, so that only their folders are read.
+NAMED_POOLS = 1000
+COMMIT = "commit"
+
+
+def write_pool(rows: DataFrame, path: str, keys: Sequence[str], partition: str = "pool_id", order: Sequence[str] = (), last: bool = False) -> None:
+    """Commit rows to a table with one folder a pool; repeating a commit changes nothing.
+
+    Within a commit the first row of a key in ``order`` wins. Between commits the first one wins: only keys that are not
+    stored yet are appended. With ``last`` the last commit wins: rows that differ from the stored winner are appended with
+    a higher commit number, and ``read_pool_table`` returns the newest. Only the folders of the commit's pools are read.
+    """
+    fresh = settle(one_per_key(rows, keys, order))
+    stored = existing_table(fresh.withColumn(COMMIT, F.lit(0).cast("bigint")), path)
+    number = 1
     if stored is not None:
-        fresh = fresh.join(stored.select(*keys), list(keys), "left_anti")
-    fresh.write.partitionBy(partition).mode("append").parquet(path)
+        named = [r[0] for r in fresh.select(partition).distinct().limit(NAMED_POOLS + 1).collect()]
+        if len(named) <= NAMED_POOLS:
+            known = [name for name in named if name is not None]
+            stored = stored.where(F.col(partition).isin(known) | (F.col(partition).isNull() if len(known) < len(named) else F.lit(False)))
+        number += stored.agg(F.max(COMMIT)).first()[0] or 0
+        if last:
+            fresh = fresh.subtract(winners(stored, keys, True).select(*fresh.columns))
+        else:
+            fresh = join_null_safe(fresh, stored.select(*keys), list(keys), "left_anti")
+    fresh.withColumn(COMMIT, F.lit(number).cast("bigint")).write.partitionBy(partition).mode("append").parquet(path)
+
+
+def winners(stored: DataFrame, keys: Sequence[str], last: bool) -> DataFrame:
+    """One stored row a key: of the newest commit, or of the oldest."""
+    return one_per_key(stored, keys, [COMMIT], last)
+
+
+def read_pool_table(spark: SparkSession, path: str, keys: Sequence[str], last: bool = False) -> DataFrame:
+    """The winning row of every key without its commit number."""
+    return winners(spark.read.parquet(path), keys, last).drop(COMMIT)
 
 
 def write_files(rows: DataFrame, root: str, index: str) -> DataFrame:

@@ -192,15 +192,17 @@ def test_name_collisions_and_class_remap(spark):
 
 def test_observation_tiers(spark):
     jobs = spark.createDataFrame(
-        [(1, "f", 2, 10, 1280, 1280, "p", "landing"), (2, "f", 3, 10, 1280, 1280, "p", "landing"), (3, "none", 1, 10, 1280, 1280, "builtin:appearance/current-fast", "landing")],
-        "job int, fingerprint string, workers int, num_images int, width int, height int, profile string, family string",
+        [(1, "f", "e", 2, 10, 1280, 1280, "p", "landing"), (2, "f", "e", 3, 10, 1280, 1280, "p", "landing"), (3, "none", "e", 1, 10, 1280, 1280, "builtin:appearance/current-fast", "landing"), (4, "f", "elsewhere", 2, 10, 1280, 1280, "p", "landing")],
+        "job int, fingerprint string, environment string, workers int, num_images int, width int, height int, profile string, family string",
     )
-    seen = spark.createDataFrame([("f", 2, "production", s) for s in (1.0, 2.0, 9.0)], "fingerprint string, workers int, kind string, seconds double")
+    rows = [("f", "e", 2, "production", s) for s in (1.0, 2.0, 9.0)] + [("f", "other", 2, "production", 500.0), (None, "e", 2, "production", 1.0)]
+    seen = spark.createDataFrame(rows, "fingerprint string, environment string, workers int, kind string, seconds double")
     matched = preflight.match_observations(jobs, seen)
     rows = {r["job"]: r for r in preflight.runtime_estimate(matched).collect()}
     assert [rows[i]["confidence"] for i in (1, 2, 3)] == ["local-production", "local-production-cross-worker", "medium"]
     assert rows[1]["seconds_per_candidate"] == 2.0 and rows[3]["seconds_per_candidate"] == 1.006
     assert rows[1]["expected_seconds"] == round(2.0 * 10 / (2 * 0.82), 3)
+    assert {r["job"]: r["tier"] for r in matched.collect()} == {1: "exact", 2: "cross-worker", 3: "none", 4: "none"}
     codes = {(r["job"], r["code"]) for r in preflight.observation_warnings(matched).collect()}
     assert codes == {(1, "LOCAL_OBSERVATION_OUT_OF_RANGE"), (2, "LOCAL_OBSERVATION_OUT_OF_RANGE"), (2, "LOCAL_OBSERVATION_CROSS_WORKER")}
 
