@@ -35,7 +35,7 @@ MIN_BYTES = 200
 GRAM = 50
 STARTS = MIN_BYTES - GRAM + 1
 BUCKET = 1024
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 PLACE_BITS = np.uint64(31)
 
 RUN = "doc_id long, tag int, a long, n int"

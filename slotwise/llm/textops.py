@@ -1,6 +1,6 @@
 """Vectorised byte, word and hash work on Arrow text columns, shared by the operators.
 
-Everything here runs inside Spark tasks on slices of a few megabytes, so a batch of long texts never multiplies
+Everything here runs inside Spark tasks on slices of a quarter of a megabyte, so a batch of long texts never multiplies
 into gigabytes of intermediate arrays. A null text is an empty text. One text longer than a slice is a slice of its own.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 #: Bytes that separate words: space and \x09-\x0D.
 SPACE = np.zeros(256, bool)
