@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -185,6 +186,32 @@ def places(runs: list[Run]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
+#: Letters and numbers below U+0250; texts of such characters need no Unicode properties, which halves the splitting.
+LATIN_RANGES = {"L": "A-Za-zªµºÀ-ÖØ-öø-ɏ", "N": "0-9²³¹¼½¾"}
+LATIN = re.compile("[\x00-\x1b\x20-ɏ]*").fullmatch
+
+
+def latin_pattern(pattern: str) -> re.Pattern:
+    r"""The pattern with the properties \p{L} and \p{N} written as ranges, in and outside of classes."""
+    parts = re.split(r"(\[[^\]]*\])", pattern)
+    for k, part in enumerate(parts):
+        parts[k] = re.sub(r"\\p\{([LN])\}", lambda m: LATIN_RANGES[m[1]] if k % 2 else f"[{LATIN_RANGES[m[1]]}]", part)
+    return re.compile("".join(parts))
+
+
+class _Merged(dict):
+    """Ids of pre-tokens as bytes, merged when first asked for."""
+
+    def __init__(self, merge, added: dict[str, bytes]):
+        super().__init__(added)
+        self.merge = merge
+
+    def __missing__(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        self[word] = out = array("I", [t.id for t in self.merge(spelled)]).tobytes()
+        return out
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes, as the tokenizer's plain call gives them without special tokens around.
 
@@ -199,26 +226,26 @@ class Encoder:
         # One pre-token at a time needs no splitting, only the tokenizer's merges.
         tokenizer = Tokenizer.from_file(path)
         self.merge = tokenizer.model.tokenize
-        self.words = regex.compile(pattern).findall
+        self.any_words = regex.compile(pattern).findall
+        self.latin_words = latin_pattern(pattern).findall
         self.added = {t.content: array("I", [i]).tobytes() for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split if self.added else None
-        self.held = dict(self.added)
+        self.held = _Merged(self.merge, self.added)
 
     def split(self, text: str) -> list[str]:
-        if not any(token in text for token in self.added):
-            return self.words(text)
-        return [w for piece in self.cut(text) for w in ([piece] if piece in self.added else self.words(piece))]
+        for token in self.added:
+            if token in text:
+                return [w for piece in self.cut(text) for w in ([piece] if piece in self.added else self.words(piece))]
+        return self.words(text)
+
+    def words(self, text: str) -> list[str]:
+        return self.latin_words(text) if LATIN(text) else self.any_words(text)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(t) for t in texts]
         if len(self.held) > CACHED_WORDS:
-            self.held = dict(self.added)
-        fresh = {w for ws in split for w in ws}.difference(self.held)
-        for word in fresh:
-            spelled = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            self.held[word] = array("I", [t.id for t in self.merge(spelled)]).tobytes()
+            self.held = _Merged(self.merge, self.added)
         get = self.held.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        return [b"".join(map(get, self.split(t))) for t in texts]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}

@@ -181,6 +181,19 @@ def test_reduction_keeps_the_optimum():
         assert sum(n for _, n in fixed) + best(left, 12) == best(counts, 12)
 
 
+def test_latin_splitting_equals_the_pattern():
+    import regex
+
+    fast, plain = fit_packing.latin_pattern(public_tokenizers.PATTERN), regex.compile(public_tokenizers.PATTERN)
+    rng = random.Random(8)
+    letters = [chr(c) for c in range(0x250) if not 0x1C <= c < 0x20]
+    assert all(fit_packing.LATIN(c) and fast.findall(c * 2) == plain.findall(c * 2) for c in letters)
+    for _ in range(300):
+        text = "".join(rng.choice(rng.choice([letters, "ab 's12 \n.,²é  ", "'ll 've\t\x85\xa0"])) for _ in range(80))
+        assert fit_packing.LATIN(text) and fast.findall(text) == plain.findall(text)
+    assert not fit_packing.LATIN("a漢") and not fit_packing.LATIN("a\x1c")
+
+
 def test_packing(docs, none, rows):
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
