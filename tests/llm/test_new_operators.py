@@ -202,7 +202,7 @@ def test_best_split_is_that_of_trying_all(spark):
     rng = np.random.default_rng(7)
     matrix = rng.integers(0, boosted_quality.BINS, (400, len(boosted_quality.SCALES))).astype(np.uint8)
     target = ((matrix[:, 4] > 20) ^ (rng.random(400) < 0.1)).astype(float)
-    rows = spark.createDataFrame([(m.tobytes(), t) for m, t in zip(matrix, target, strict=True)], "bins binary, target double").repartition(5)
+    rows = spark.createDataFrame([(m.tobytes(), float(t)) for m, t in zip(matrix, target, strict=True)], "bins binary, target double").repartition(5)
     prior = float(np.log(target.mean() / (1 - target.mean())))
     forest = boosted_quality.Forest.empty(prior).planted()
     sums = boosted_quality.summed(rows, forest, 0)
