@@ -243,7 +243,7 @@ class Tree:
         good[some] = (100 + threshold) * both >= threshold * (low[x] + low[y])
         return good
 
-    def pairs(self, limit: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, limit: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Dual traversal from every root with itself; yields pairs of members."""
         top = len(self.levels) - 1
         roots = np.arange(len(self.levels[top]["low"]))
