@@ -6,7 +6,8 @@ shingles in common at least, which bounds k), so candidates are the classes belo
 of the prefixes; any order is right.
 
 1. Leaders: every key points at its smallest class; a class is compared with the leader that shares most keys with it, two
-   at least. Groups of near copies, however large, become stars in linear work.
+   at least. Keys of more than 32 classes that still join different components point at four more, drawn by hash, again
+   and again while one asked class in eight is linked. Groups of near copies, however large, become stars in linear work.
 2. Signature trees: for keys that still join different components, the members' sets form a tree whose nodes hold the
    OR of the members' bitmaps, their size range and component range. A dual traversal drops pairs of nodes whose largest
    possible overlap is too small, or which lie in one component already, and yields pairs to compare. Groups above 512
@@ -41,6 +42,10 @@ COUNT_BUCKETS = 256
 FANOUT = 4
 BLOCK = 512
 SHARED_WITH_LEADER = 2
+#: Classes below a key that is worth more leaders, leaders a round, and one in how many asked classes must be linked to go on.
+CROWD = 32
+LEADERS = 4
+GAIN = 8
 #: Keys that a linked pair shares at least, where the threshold allows it; prefixes are that much longer.
 SHARED_KEYS = 4
 
@@ -203,6 +208,23 @@ def _components(links: DataFrame) -> DataFrame:
     return members.select(F.col("sample").alias("cid"), F.col("component").alias("comp"))
 
 
+def _located(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """Classes below their keys, with the component that each is in so far."""
+    return rows.select("key", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+
+def _more_leaders(rows: DataFrame, comps: DataFrame, seeds: range) -> DataFrame:
+    """Pairs (a, b) of a class and, for each seed, the leader outside its component that shares most keys with it."""
+    located = _located(rows, comps)
+    drawn = [F.min(F.struct(F.xxhash64("cid", F.lit(s)).alias("h"), F.col("cid").alias("b"), F.col("comp").alias("there"))).alias(f"lead{s}") for s in seeds]
+    heads = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *drawn).where("low < high")
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("seed"), F.col(f"lead{s}.b"), F.col(f"lead{s}.there")) for s in seeds]))
+    leads = heads.select("key", each.alias("lead")).select("key", "lead.*")
+    shared = located.join(leads, "key").where("comp <> there").groupBy(F.col("cid").alias("a"), "seed", "b").count()
+    best = shared.where(F.col("count") >= SHARED_WITH_LEADER).groupBy("a", "seed").agg(F.max(F.struct("count", "b")).getField("b").alias("b"))
+    return best.select("a", "b").distinct()
+
+
 class Tree:
     """Signature trees of many groups at once, level by level; nodes of a level are ordered by group."""
 
@@ -332,7 +354,23 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     links = _links(docs, classes, near, width, threshold)
     comps = stored(_components(links), "components")
 
-    located = rows.select("key", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    crowds = rows.groupBy("key").count().where(F.col("count") > CROWD).select("key")
+    crowded = stored(rows.select("key", "cid").join(crowds, "key"), "crowded")
+    asked = 0 if crowded.isEmpty() else 1
+    turn = 0
+    while asked:
+        near = stored(_more_leaders(crowded, comps, range(turn * LEADERS, (turn + 1) * LEADERS)), "leaders")
+        asked = near.select("a").distinct().count()
+        more = _links(docs, classes, near, width, threshold) if asked else near
+        found = more.select("a").distinct().count()
+        if found:
+            links = links.unionByName(more)
+            comps = stored(_components(links), "components")
+        if GAIN * found < asked:
+            break
+        turn += 1
+
+    located = _located(rows, comps)
     open_keys = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"))
     open_keys = open_keys.where("low < high").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     members = located.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
