@@ -17,10 +17,10 @@ from slotwise.session import scratch_path
 NULL_ID = -(2**63)
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """A frame written to the shared scratch folder and read again: its lineage ends there."""
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.parquet(path)
 
 

@@ -1,7 +1,8 @@
 """Netpbm and BMP columns: decoded to arrays, area-resized by integral images, stored as NPY tiles with difference hashes.
 
 ``media_table`` decodes a binary column; ``text_media`` stores texts losslessly as 64-pixel-wide RGB Netpbm images (one
-byte a sample, 192 bytes a row), reads the stored bytes back and computes the features from what it read. Images may be
+byte a sample, 192 bytes a row) in a table of the shared folder, reads that back, and writes tiles and hashes of what it read
+to a second table, from which the features come. Images may be
 P1 to P6 with up to 8 bits a sample, or uncompressed BMP with 8, 24 or 32 bits a pixel.
 
 Cases: a null text is an empty one (one row of blanks); equal texts get equal values; a null or unreadable image gives a
@@ -22,15 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.textops import Slice, documents, map_slices
+from slotwise.llm.frames import stored
+from slotwise.llm.textops import Slice, documents, map_slices, slices
 
 WIDTH = 64
 ROW_BYTES = 3 * WIDTH
 TILE = 16
 
-TEXT_SCHEMA = (
+IMAGE_SCHEMA = "doc_id long, n_bytes long, media binary"
+TILE_SCHEMA = (
     "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
-    "media_sha256 string, feature string"
+    "media_sha256 string, dhash string, tile binary"
 )
 MEDIA_SCHEMA = "id long, width int, height int, channels int, dhash string, tile binary, error string"
 
@@ -148,21 +151,40 @@ def store_text(raw: bytes) -> bytes:
     return encode_ppm(np.frombuffer(payload, np.uint8).reshape(-1, WIDTH, 3))
 
 
-def text_media(docs: DataFrame) -> DataFrame:
-    """Every text stored as an image, read back and described."""
+def text_images(docs: DataFrame) -> DataFrame:
+    """Every text as an image."""
 
     def work(part: Slice) -> pa.RecordBatch:
-        out = []
-        for i, size in enumerate(part.sizes.tolist()):
-            media = store_text(part.raw(i))
-            samples = decode(media)
-            payload = samples.tobytes()
-            feature = f"{difference_hash(samples)}-{zlib.crc32(npy_tile(samples)):08x}"
-            out.append((size, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature))
-        names = [c.split()[0] for c in TEXT_SCHEMA.split(", ")]
-        return pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, zip(*out, strict=True))], names)
-
-    return map_slices(documents(docs, "doc_id", "text"), work, TEXT_SCHEMA)
+        media = [store_text(part.raw(i)) for i in range(len(part))]
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(part.sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+
+    return map_slices(documents(docs, "doc_id", "text"), work, IMAGE_SCHEMA)
+
+
+def image_tiles(images: DataFrame) -> DataFrame:
+    """Digests, difference hash and NPY tile of every image of ``text_images``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "media"):
+                out = []
+                for i in range(len(part)):
+                    media = part.raw(i)
+                    samples = decode(media)
+                    payload = samples.tobytes()
+                    out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(samples), npy_tile(samples)))
+                names = [c.split()[0] for c in TILE_SCHEMA.split(", ")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), *map(pa.array, zip(*out, strict=True))], names)
+
+    return images.mapInArrow(run, TILE_SCHEMA)
+
+
+def text_media(docs: DataFrame) -> DataFrame:
+    """Every text stored as an image; the table of images is read back, tiled and described, the table of tiles as well."""
+    images = stored(text_images(docs), "media", compression="zstd")
+    tiles = stored(image_tiles(images), "tiles", compression="zstd")
+    tile = F.lpad(F.lower(F.hex(F.crc32("tile"))), 8, "0")
+    return tiles.withColumn("feature", F.concat("dhash", F.lit("-"), tile)).drop("dhash", "tile")
 
 
 def media_table(images: DataFrame, id_column: str = "id", image_column: str = "image", side: int = TILE) -> DataFrame:

@@ -2,12 +2,14 @@
 
 import base64
 import hashlib
+import io
 import math
 import random
 import re
 import struct
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -476,6 +478,25 @@ def test_mixed_texts_by_chunks():
         assert mixed(4096, 7000, words)[1:] == (2, 3, "incompressible chunks")
 
 
+def plain_feature(text):
+    """Hash and tile checksum of a text's image: every target pixel sums its share of every source pixel."""
+    payload = text + b" " * (-len(text) % 192 or (0 if text else 192))
+    pixels = np.frombuffer(payload, np.uint8).reshape(-1, 64, 3).astype(int)
+
+    def share(source, target):
+        return [[max(0, min((i + 1) * source, (j + 1) * target) - max(i * source, j * target)) for j in range(source)] for i in range(target)]
+
+    def sums(height, width):
+        return np.einsum("ij,kl,jlc->ikc", np.array(share(len(pixels), height)), np.array(share(64, width)), pixels)
+
+    grey = sums(8, 9).sum(axis=2)
+    bits = "".join("01"[int(grey[y, x + 1] > grey[y, x])] for y in range(8) for x in range(8))
+    tile = np.array([[[round(Fraction(int(v), len(pixels) * 64)) for v in p] for p in line] for line in sums(16, 16)], np.uint8)
+    out = io.BytesIO()
+    np.save(out, tile)
+    return f"{int(bits, 2):016x}-{zlib.crc32(out.getvalue()):08x}"
+
+
 def test_media(docs, none, rows):
     want = Counter()
     for i, t, _ in rows:
@@ -483,6 +504,9 @@ def test_media(docs, none, rows):
         media = b"P6\n64 %d\n255\n" % (len(payload) // 192) + payload
         want[i, len(raw(t)), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest()] += 1
     assert Counter(tuple(r)[:7] for r in media_columns.text_media(docs).collect()) == want
+    assert {(r.doc_id, r.media_sha256): r.feature for r in media_columns.text_media(docs).collect()} == {
+        (i, hashlib.sha256(media_columns.store_text(raw(t))).hexdigest()): plain_feature(raw(t)) for i, t, _ in rows
+    }
     assert media_columns.text_media(none).count() == 0
 
 
@@ -531,6 +555,7 @@ def brute_groups(sets, threshold):
 @pytest.mark.parametrize("width,threshold,block", [(4, 85, 512), (5, 80, 4)])
 def test_signature_join(spark, docs, none, rows, width, threshold, block, monkeypatch):
     monkeypatch.setattr(signature_join, "BLOCK", block)
+    monkeypatch.setattr(signature_join, "CROWD", 2 if block == 4 else 32)
     rng = random.Random(width)
     words = [f"w{k}" for k in range(400)]
     base, own = [rng.choice(words) for _ in range(100)], list(rows)
