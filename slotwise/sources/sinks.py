@@ -61,13 +61,17 @@ def read_pool_table(spark: SparkSession, path: str, keys: Sequence[str], last: b
     return winners(spark.read.parquet(path), keys, last).drop(COMMIT)
 
 
+def file_uri(root: str) -> str:
+    return re.sub(r"^file:/+", "file:///", root) if ":" in root else f"file://{root}"
+
+
 def write_files(rows: DataFrame, root: str, index: str) -> DataFrame:
     """Write one file per row [path, content] below ``root`` from the executors.
 
     Contents are a function of the row and names are final, so a repeated task writes the
     same file again. The list of written files is stored as a table under ``index``.
     """
-    base = re.sub(r"^file:/+", "file:///", root) if ":" in root else f"file://{root}"
+    base = file_uri(root)
 
     def write(batches):
         import pandas as pd
@@ -98,11 +102,143 @@ def write_label_files(rows: DataFrame, root: str, index: str) -> DataFrame:
 
     rows[split, filename, text].
     """
+    return write_files(label_paths(rows), root, index)
+
+
+def label_paths(rows: DataFrame) -> DataFrame:
     stem = F.regexp_replace("filename", r"\.[^.]*$", "")
-    return write_files(
-        rows.select(F.concat(F.lit("labels/"), "split", F.lit("/"), stem, F.lit(".txt")).alias("path"), F.col("text").alias("content")),
-        root, index,
-    )
+    path = F.concat(F.lit("labels/"), "split", F.lit("/"), stem, F.lit(".txt"))
+    return rows.select("split", path.alias("path"), F.col("text").alias("content"))
+
+
+#: Members and bytes of text of one archive.
+ARCHIVE_MEMBERS, ARCHIVE_BYTES = 10_000, 8 << 20
+
+
+def write_label_archives(rows: DataFrame, root: str, index: str) -> DataFrame:
+    """The label files of ``write_label_files`` as members of archives: labels/<split>/part-<task>-<number>.zip.
+
+    rows[split, filename, text]. A file system keeps a block for every small file; an archive keeps the text. Unpacked in one
+    folder the archives give the same tree, negatives as empty files. An archive holds at most ``ARCHIVE_MEMBERS`` files, so
+    neither writer nor reader holds more. A repeated task writes its archives again; each gets its name when it is whole.
+    The table under ``index`` lists path, bytes and archive of every member.
+    """
+    base = file_uri(root)
+
+    def write(batches):
+        import io
+        import uuid
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        system, folder = fs.FileSystem.from_uri(base)
+        task, made, held = TaskContext.get().partitionId(), {}, {}
+
+        def close(split):
+            members, _ = held.pop(split)
+            made[split] = made.get(split, -1) + 1
+            name = f"labels/{split}/part-{task:05d}-{made[split]:05d}.zip"
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w") as archive:
+                for path, content in members:
+                    archive.writestr(zipfile.ZipInfo(path), content)
+            if not made[split]:
+                system.create_dir(f"{folder}/labels/{split}", recursive=True)
+            hidden = f"{folder}/labels/{split}/_{uuid.uuid4().hex}"
+            with system.open_output_stream(hidden) as stream:
+                stream.write(buffer.getvalue())
+            system.move(hidden, f"{folder}/{name}")
+            return pd.DataFrame({"path": [p for p, _ in members], "bytes": [len(c) for _, c in members], "archive": name})
+
+        for pdf in batches:
+            for split, path, content in zip(pdf["split"], pdf["path"], pdf["content"]):
+                members, size = held.get(split, ([], 0))
+                members.append((path, bytes(content)))
+                held[split] = members, size + len(content)
+                if len(members) >= ARCHIVE_MEMBERS or held[split][1] >= ARCHIVE_BYTES:
+                    yield close(split)
+        for split in list(held):
+            yield close(split)
+
+    contents = label_paths(rows).select("split", "path", F.col("content").cast("binary").alias("content"))
+    contents.mapInPandas(write, "path string, bytes bigint, archive string").write.mode("overwrite").parquet(index)
+    return rows.sparkSession.read.parquet(index)
+
+
+def archive_digests(spark: SparkSession, root: str) -> DataFrame:
+    """Path, bytes and MD5 (16 bytes) of every member of the archives below ``root``, read from the archives."""
+
+    def read(batches):
+        import hashlib
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for pdf in batches:
+            for content in pdf["content"]:
+                found = []
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for info in archive.infolist():
+                        found.append((info.filename, info.file_size, hashlib.md5(archive.read(info)).digest()))
+                yield pd.DataFrame(found, columns=["path", "bytes", "digest"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(root)
+    return files.select("content").mapInPandas(read, "path string, bytes bigint, digest binary")
+
+
+#: Digests that one row of ``md5_of_list`` holds.
+DIGEST_RUN = 4096
+
+
+def md5_of_list(rows: DataFrame, by: str, key: str, digest: str) -> DataFrame:
+    """MD5 of the hex digests of every group, one after the other in the order of ``key``; rows must be cheap to read twice.
+
+    The digests are packed to runs in ranges of the order. MD5 has no parts that could be joined, so a group's runs go
+    through one task, which reads them in order and holds one at a time.
+    """
+
+    def pack(batches):
+        import pandas as pd
+
+        def run():
+            return pd.DataFrame({by: [group], key: [first], "run": [b"".join(held)]})
+
+        group, first, held = None, None, []
+        for pdf in batches:
+            for g, k, d in zip(pdf[by], pdf[key], pdf[digest]):
+                if held and (g != group or len(held) == DIGEST_RUN):
+                    yield run()
+                    held = []
+                if not held:
+                    group, first = g, k
+                held.append(bytes(d))
+        if held:
+            yield run()
+
+    def fold(batches):
+        import hashlib
+
+        import pandas as pd
+
+        group, state = None, None
+        for pdf in batches:
+            for g, run in zip(pdf[by], pdf["run"]):
+                if state is not None and g != group:
+                    yield pd.DataFrame({by: [group], "md5": [state.hexdigest()]})
+                    state = None
+                if state is None:
+                    group, state = g, hashlib.md5()
+                state.update(bytes(run).hex().encode())
+        if state is not None:
+            yield pd.DataFrame({by: [group], "md5": [state.hexdigest()]})
+
+    ordered = rows.select(by, key, digest).repartitionByRange(by, key).sortWithinPartitions(by, key)
+    runs = ordered.mapInPandas(pack, f"{by} string, {key} string, run binary")
+    return runs.repartition(by).sortWithinPartitions(by, key).mapInPandas(fold, f"{by} string, md5 string")
 
 
 def write_split_manifest(samples: DataFrame, classes: DataFrame, root: str) -> None:

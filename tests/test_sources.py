@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import zipfile
 
 from pyspark.sql import functions as F
 
@@ -128,3 +129,25 @@ def test_audit_of_one_sample_with_every_fault(spark):
         ("p", "MASK_EMPTY", "j", "instance has no visible coverage"), ("p", "BROKEN_QA_LINK", "gone.png", "link leads nowhere: gone.png"),
         ("p", "INVALID_JSONL", "samples.jsonl", "not a JSON record: {x"),
     ])
+
+
+def test_label_archives_hold_the_files_of_all_samples(spark, tmp_path, monkeypatch):
+    """Files on disk follow the text, not the number of samples; unpacked they are the same tree."""
+    monkeypatch.setattr(sinks, "ARCHIVE_MEMBERS", 40)
+    monkeypatch.setattr(sinks, "DIGEST_RUN", 7)
+    texts = {f"{k}": "" if k % 3 == 0 else f"{k} 0.5\n" * (k % 5) for k in range(300)}
+    split = lambda k: "val" if int(k) % 4 == 0 else "train"
+    labels = spark.createDataFrame([(split(k), f"{k}.png", v) for k, v in texts.items()], "split string, filename string, text string").repartition(2)
+    index = sinks.write_label_archives(labels, str(tmp_path / "out"), str(tmp_path / "index"))
+    files = [p for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert len(files) <= 12 and {r.archive for r in index.collect()} == {str(p.relative_to(tmp_path / "out")) for p in files}
+    for p in files:
+        with zipfile.ZipFile(p) as archive:
+            archive.extractall(tmp_path / "tree")
+    tree = {str(p.relative_to(tmp_path / "tree")): p.read_text() for p in (tmp_path / "tree").rglob("*.txt")}
+    assert tree == {f"labels/{split(k)}/{k}.txt": v for k, v in texts.items()}
+    digests = sinks.archive_digests(spark, str(tmp_path / "out")).select(F.split("path", "[/.]")[1].alias("split"), F.split("path", "[/.]")[2].alias("key"), "digest")
+    got = {r["split"]: r.md5 for r in sinks.md5_of_list(digests, "split", "key", "digest").collect()}
+    for name in ("train", "val"):
+        own = "".join(hashlib.md5(texts[k].encode()).hexdigest() for k in sorted(texts) if split(k) == name)
+        assert got[name] == hashlib.md5(own.encode()).hexdigest()
