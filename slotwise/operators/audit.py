@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.arrays import coverage_bbox
-from slotwise.operators.scale import neighbour, one_per_key
+from slotwise.operators.scale import neighbour, numbered_rows, one_per_key
 
 # Artifacts every pool must have, control states and their legal successors.
 REQUIRED_ARTIFACTS = (
@@ -186,17 +186,13 @@ def journal_reconcile(log: DataFrame, journal: DataFrame, pool: str, keys: Seque
     return one_per_key(log.join(pools, pool, "left_anti").unionByName(journal), [pool, *keys], order)
 
 
-def pending_slots(runs: DataFrame, committed: DataFrame, chunk: int = 65_536) -> DataFrame:
+def pending_slots(runs: DataFrame, committed: DataFrame) -> DataFrame:
     """Slots below each run's target that are not committed. runs[pool, target], committed[pool, slot].
 
-    A run is expanded to chunks first; these are spread over the tasks before their slots
-    are listed, so one very large run is no single task.
+    A run is cut to chunks of slots that are spread over the tasks before they are listed, so one very large run is no
+    single task.
     """
-    target = F.col("target").cast("bigint")
-    starts = F.sequence(F.lit(0).cast("bigint"), target - 1, F.lit(chunk).cast("bigint"))
-    chunks = runs.where("target > 0").select("pool", target.alias("target"), F.explode(starts).alias("start"))
-    slots = F.sequence(F.col("start"), F.least(F.col("start") + chunk, F.col("target")) - 1)
-    wanted = chunks.repartition("pool", "start").select("pool", F.explode(slots).alias("slot"))
+    wanted = numbered_rows(runs.select("pool", "target"), "target", "slot").select("pool", "slot")
     return wanted.join(committed.select("pool", "slot"), ["pool", "slot"], "left_anti")
 
 

@@ -161,3 +161,17 @@ def test_whole_quantiles_at_every_count(spark):
     for n in range(2, 401):
         low, rest = divmod((n - 1) * 95, 100)
         assert got[n] == 100 * low * low + 7 + (2 * low + 1) * rest
+
+
+def test_numbers_are_dealt_before_they_are_listed(spark, monkeypatch):
+    """One input partition that stands for many rows becomes many tasks of bounded size; grouping them needs no shuffle."""
+    monkeypatch.setattr(S, "TASK_ROWS", 2000)
+    monkeypatch.setattr(S, "NUMBER_CHUNK", 400)
+    counts = {k: k % 40 for k in range(300)} | {1000: 5000, 1001: 0, 1002: -3}
+    frame = spark.createDataFrame(list(counts.items()), "k int, n int").coalesce(1)
+    rows = S.numbered_rows(frame, "n", "i", 4)
+    assert sorted((r.k, r.i) for r in rows.collect()) == [(k, i) for k, n in sorted(counts.items()) for i in range(n)]
+    most = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most * 4 <= 4 * 2000
+    grouped = rows.groupBy("k", "n", S.CHUNK, "i").count()
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
