@@ -46,12 +46,15 @@ class Gaps(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.settled = handle.getValueState("settled", "first long, upto long, received long")
-        self.waiting = handle.getMapState("waiting", "low long", "high long, ms long")
+        self.state = handle.getValueState("gaps", "first long, upto long, received long, " + ", ".join(f"{c} array<long>" for c in ("low", "high", "ms")))
+
+    def _load(self) -> tuple[int | None, int | None, int, list[tuple[int, int, int]]]:
+        """Settled part and waiting intervals. They are one value, as each access to a state is a call to another process."""
+        held = self.state.get()
+        return (*held[:3], list(zip(*held[3:], strict=True))) if held else (None, None, 0, [])
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        first, upto, received = self.settled.get() or (None, None, 0)
-        spans = [(low[0], high, ms) for low, (high, ms) in self.waiting.iterator()]
+        first, upto, received, spans = self._load()
         for frame in rows:
             fresh = [(int(n), int(n), int(ms)) for n, ms in zip(frame["sequence"], frame["ms"], strict=True) if upto is None or n > upto]
             spans = merge_spans(spans + fresh)
@@ -59,25 +62,21 @@ class Gaps(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         """The watermark has passed the first waiting interval of a session that had no new reading."""
-        first, upto, received = self.settled.get() or (None, None, 0)
-        spans = sorted((low[0], high, ms) for low, (high, ms) in self.waiting.iterator())
+        first, upto, received, spans = self._load()
         if spans:
             yield pd.DataFrame(self._settle(key[0], first, upto, received, spans, timerValues.getCurrentWatermarkInMs()))
 
     def _settle(self, session: str, first: int | None, upto: int | None, received: int, spans: list[tuple[int, int, int]], watermark: int) -> list[dict]:
         out = []
-        while spans and spans[0][2] <= watermark:
-            low, high, _ = spans.pop(0)
+        final = next((i for i, span in enumerate(spans) if span[2] > watermark), len(spans))
+        for low, high, _ in spans[:final]:
             if upto is None:
                 first = low
             elif low > upto + 1:
                 out.append({"kind": "gap", "low": upto + 1, "high": low - 1, "samples": 0, "missing": low - 1 - upto})
             upto, received = high, received + high - low + 1
-        if upto is not None:
-            self.settled.update((first, upto, received))
-        self.waiting.clear()
-        for low, high, ms in spans:
-            self.waiting.updateValue((low,), (high, ms))
+        spans = spans[final:]
+        self.state.update((first, upto, received, *([span[c] for span in spans] for c in range(3))))
         if spans:
             self.handle.registerTimer(spans[0][2])
         samples = received + sum(high - low + 1 for low, high, _ in spans)
@@ -132,25 +131,34 @@ class Pauses(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.settled = handle.getValueState("settled", "first_seq long, seq long, us long, state string, paused_us long")
-        self.waiting = handle.getMapState("waiting", "seq long", "us long, state string")
+        self.state = handle.getValueState(
+            "pauses", "first_seq long, seq long, us long, state string, paused_us long, waiting_seq array<long>, waiting_us array<long>, waiting_state array<string>"
+        )
+
+    def _load(self) -> tuple[tuple | None, dict[int, tuple[int, str]]]:
+        """Settled change and waiting ones. They are one value, as each access to a state is a call to another process."""
+        value = self.state.get()
+        if value is None:
+            return None, {}
+        waiting = {seq: (us, state) for seq, us, state in zip(*value[5:], strict=True)}
+        return (tuple(value[:5]) if value[0] is not None else None), waiting
+
+    def _keep(self, held: tuple | None, waiting: list[tuple[int, tuple[int, str]]]) -> None:
+        self.state.update((*(held or (None,) * 5), [seq for seq, _ in waiting], [us for _, (us, _) in waiting], [state for _, (_, state) in waiting]))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = self.settled.get()
-        changes = {seq[0]: change for seq, change in self.waiting.iterator()}
+        held, changes = self._load()
         for frame in rows:
             for seq, us, state in zip(frame["seq"], frame["us"], frame["state"], strict=True):
                 if held is None or seq > held[1]:
                     changes.setdefault(int(seq), (int(us), state))
         ordered = sorted(changes.items())
         watermark = timerValues.getCurrentWatermarkInMs()
-        while ordered and ordered[0][1][0] // 1000 <= watermark:
-            held = self._after(held, ordered.pop(0))
-            self.settled.update(held)
-        self.waiting.clear()
-        for seq, change in ordered:
-            self.waiting.updateValue((seq,), change)
-        for change in ordered:
+        final = next((i for i, (_, (us, _)) in enumerate(ordered) if us // 1000 > watermark), len(ordered))
+        for change in ordered[:final]:
+            held = self._after(held, change)
+        self._keep(held, ordered[final:])
+        for change in ordered[final:]:
             held = self._after(held, change)
         if held is None:
             return
@@ -159,12 +167,11 @@ class Pauses(StatefulProcessor):
         yield self._row(key[0], held, False)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        held = self.settled.get()
-        for change in sorted((seq[0], change) for seq, change in self.waiting.iterator()):
+        held, waiting = self._load()
+        for change in sorted(waiting.items()):
             held = self._after(held, change)
         if held is not None and held[2] // 1000 + self.silence_ms <= expiredTimerInfo.getExpiryTimeInMs():
-            self.settled.clear()
-            self.waiting.clear()
+            self.state.clear()
             yield self._row(key[0], held, True)
 
     @staticmethod

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,49 @@ def test_session_windows_match_the_split_and_count_late_rows(spark, tmp_path):
     assert dropped == [0, 0, 1]
     closed = spark.read.parquet(str(tmp_path / "t")).select("k", F.unix_seconds("first_at"), F.unix_seconds("last_at"), "events")
     assert sorted(map(tuple, closed.collect())) == [("u", 0, 15, 3), ("u", 30, 30, 1), ("v", 2, 2, 1), ("w", 1000, 1001, 2)]
+
+
+class CountedState:
+    """Stands in for the states of one key; each access would be a call to another process."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def getMapState(self, *args):  # noqa: N802
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+
+    def iterator(self):
+        return iter(())
+
+    def clear(self):
+        self.value = None
+
+    registerTimer = getCurrentWatermarkInMs = lambda self, *args: 0
+
+
+def test_state_is_accessed_once_however_much_waits():
+    n = range(0, 4000, 2)
+    for processor, frame in (
+        (M.Gaps(), pd.DataFrame({"sequence": n, "ms": [k + 1 for k in n]})),
+        (M.Pauses(None), pd.DataFrame({"seq": n, "us": [k * 1000 + 1000 for k in n], "state": ["paused", "running"] * 1000})),
+    ):
+        state = CountedState()
+        processor.init(state)
+        out = pd.concat(processor.handleInputRows(("k",), iter([frame]), state))
+        assert state.calls <= 2 and len(out) == 1
+        again = pd.concat(processor.handleInputRows(("k",), iter([frame]), state))
+        assert state.calls <= 4 and again.equals(out)
