@@ -68,32 +68,35 @@ def placement_rejections(placed: DataFrame) -> DataFrame:
 def overlap_pairs(boxes: DataFrame, slot: str, ident: Sequence[str], cell: int = 128) -> DataFrame:
     """Blockers of every box within its slot: the other boxes that it meets.
 
-    Slots are cut into grid cells and joined cell by cell; each meeting pair is counted
+    Slots are cut into grid cells and boxes meet cell by cell; each meeting pair is counted
     only in the cell that holds the lower corner of its intersection, so the count stays
-    exact and the work follows the real overlaps. A box without area meets nothing.
+    exact and the work follows the real overlaps. A box without area meets nothing. Boxes
+    that are already dealt by slot are not shuffled again.
     """
     ident = list(ident)
-    names = [*ident, "x1", "y1", "x2", "y2"]
+    solid = F.coalesce((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")), F.lit(False))
 
     def cells(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor((F.col(high) - 1e-9) / cell)))
-
-    solid = boxes.select(slot, *names).where((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")))
-    tiled = solid.withColumn("__cx", cells("x1", "x2")).withColumn("__cy", cells("y1", "y2"))
-    other = tiled.select(slot, "__cx", "__cy", *[F.col(c).alias(f"o_{c}") for c in names])
-    same = F.lit(True)
-    for c in ident:
-        same = same & F.col(c).eqNullSafe(F.col(f"o_{c}"))
-    met = tiled.join(other, [slot, "__cx", "__cy"]).where(
-        (F.col("x2") > F.col("o_x1")) & (F.col("o_x2") > F.col("x1"))
-        & (F.col("y2") > F.col("o_y1")) & (F.col("o_y2") > F.col("y1"))
-        & (F.floor(F.greatest("x1", "o_x1") / cell) == F.col("__cx"))
-        & (F.floor(F.greatest("y1", "o_y1") / cell) == F.col("__cy"))
-        & ~same
-    )
-    every = boxes.select(slot, *ident, F.lit(0).cast("bigint").alias("n"))
-    counted = met.groupBy(slot, *ident).agg(F.count(F.lit(1)).alias("n"))
-    return every.unionByName(counted).groupBy(slot, *ident).agg(F.sum("n").alias("blockers"))
+        listed = F.sequence(F.floor(F.col(low) / cell), F.floor((F.col(high) - 1e-9) / cell))
+        return F.explode(F.when(solid, listed).otherwise(F.array(F.lit(None).cast("bigint"))))
+
+    def blocks(a: Column, b: Column) -> Column:
+        same = F.lit(True)
+        for c in ident:
+            same = same & a[c].eqNullSafe(b[c])
+        return (
+            G.intersects(a, b) & ~same
+            & (F.floor(F.greatest(a["x1"], b["x1"]) / cell) == F.col("__cx"))
+            & (F.floor(F.greatest(a["y1"], b["y1"]) / cell) == F.col("__cy"))
+        )
+
+    tiled = boxes.select(slot, *ident, "x1", "y1", "x2", "y2").withColumn("__cx", cells("x1", "x2")).withColumn("__cy", cells("y1", "y2"))
+    box = F.struct(*ident, "x1", "y1", "x2", "y2")
+    tiles = tiled.groupBy(slot, "__cx", "__cy").agg(F.collect_list(box).alias("__boxes"))
+    # Boxes without area share the cell without a number.
+    met = lambda a: F.when(F.col("__cx").isNull(), 0).otherwise(F.size(F.filter("__boxes", lambda b: blocks(a, b))))
+    counted = F.transform("__boxes", lambda a: F.struct(*[a[c].alias(c) for c in ident], met(a).cast("bigint").alias("n")))
+    return tiles.select(slot, F.explode(counted).alias("__b")).select(slot, "__b.*").groupBy(slot, *ident).agg(F.sum("n").alias("blockers"))
 
 
 def spatial_histogram(points: DataFrame, x: Column, y: Column, bins: int, by: Sequence[str] = ()) -> DataFrame:

@@ -119,3 +119,14 @@ def test_first_accepted_keeps_failures_and_exhausted_slots(spark):
     assert sorted(map(tuple, winners.collect())) == [(1, 1), (3, 0)]
     assert sorted(map(tuple, rejections.collect())) == [(1, 0), (2, 0)]
     assert [r["slot"] for r in exhausted.collect()] == [2]
+
+
+def test_overlaps_of_dealt_boxes_need_no_further_shuffle(spark):
+    """Boxes dealt by slot stay where they are; boxes without area and with missing sides are counted with none."""
+    rows = [(s, i, i * 3, i * 2, i * 3 + 40, i * 2 + 30) for s in range(4) for i in range(12)] + [(0, 90, 5, 5, 5, 9), (0, 91, None, 0, 9, 9)]
+    frame = spark.createDataFrame(rows, "slot int, id int, x1 int, y1 int, x2 int, y2 int")
+    plan = P.overlap_pairs(frame.repartition(8, "slot"), "slot", ["id"], cell=32)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    meets = lambda a, b: None not in a + b and a[2] < a[4] and b[2] < b[4] and a[4] > b[2] and b[4] > a[2] and a[5] > b[3] and b[5] > a[3]
+    want = [(a[0], a[1], sum(a[0] == b[0] and a[1] != b[1] and meets(a, b) for b in rows)) for a in rows]
+    assert sorted(map(tuple, plan.collect())) == sorted(want)
