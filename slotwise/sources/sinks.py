@@ -65,6 +65,15 @@ def file_uri(root: str) -> str:
     return re.sub(r"^file:/+", "file:///", root) if ":" in root else f"file://{root}"
 
 
+#: Tasks a core that files are dealt to.
+FILE_TASKS = 4
+
+
+def dealt(files: DataFrame) -> DataFrame:
+    """Files spread by path: their number decides the work, while their rows are few bytes that Spark would put in one task."""
+    return files.repartition(FILE_TASKS * files.sparkSession.sparkContext.defaultParallelism, "path")
+
+
 def write_files(rows: DataFrame, root: str, index: str) -> DataFrame:
     """Write one file per row [path, content] below ``root`` from the executors.
 
@@ -92,7 +101,7 @@ def write_files(rows: DataFrame, root: str, index: str) -> DataFrame:
                 sizes.append(len(content))
             yield pd.DataFrame({"path": pdf["path"], "bytes": sizes})
 
-    listed = rows.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(write, "path string, bytes bigint")
+    listed = dealt(rows).select("path", F.col("content").cast("binary").alias("content")).mapInPandas(write, "path string, bytes bigint")
     listed.write.mode("overwrite").parquet(index)
     return rows.sparkSession.read.parquet(index)
 

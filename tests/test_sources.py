@@ -7,6 +7,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from slotwise import session
 from slotwise.operators import audit, sampling, scale
 from slotwise.sources import images, sinks
 
@@ -151,3 +152,32 @@ def test_label_archives_hold_the_files_of_all_samples(spark, tmp_path, monkeypat
     for name in ("train", "val"):
         own = "".join(hashlib.md5(texts[k].encode()).hexdigest() for k in sorted(texts) if split(k) == name)
         assert got[name] == hashlib.md5(own.encode()).hexdigest()
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for k in range(600):
+        (tmp_path / f"{k}.png").write_bytes(b"%d" % k)
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    before = files.rdd.getNumPartitions()
+    with session.small_files(spark):
+        assert files.select("path").rdd.getNumPartitions() < before
+    assert images.hash_images(spark, [str(tmp_path)], str(tmp_path / "memo")).count() == 600
+
+
+def test_every_image_is_read_once(spark, tmp_path):
+    """Both results of a scan come from one stored table; names with blanks and signs are found by their hashes."""
+    (tmp_path / "a b").mkdir()
+    for name in ("a b/x%20y.png", "a b/c+d.png", "e.png"):
+        (tmp_path / name).write_bytes(b"no image " + name.encode())
+    good, bad = images.scan_images(spark, [str(tmp_path)])
+    plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in (good, bad)]
+    assert not any("Format: image" in plan or "binaryFile" in plan or "Python" in plan for plan in plans)
+    assert good.count() == 0 and bad.count() == 3
+    hashes = {r.content_hash for r in images.hash_images(spark, [str(tmp_path)], str(tmp_path / "memo")).collect()}
+    assert hashes == {hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.rglob("*.png")}
+
+
+def test_files_are_dealt_to_all_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{k}.txt", b"x") for k in range(400)], "path string, content binary").coalesce(1)
+    assert sinks.dealt(rows).rdd.getNumPartitions() > 8
+    assert sinks.write_files(rows, str(tmp_path / "out"), str(tmp_path / "index")).count() == 400
