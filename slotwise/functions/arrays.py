@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,6 +109,49 @@ def coverage_bbox(values: Column, width: Column, threshold) -> Column:
     return F.aggregate(cells, start, grow, lambda b: F.when(b["x1"].isNotNull(), b))
 
 
+def coverage_facts(visible: Column, full: Column, width: Column, threshold: Column) -> Column:
+    """``exceeds``: some visible value is above its full one; ``box``: ``coverage_bbox`` of the visible values.
+
+    Whole batches at once: a fold of lambdas looks at every value by itself. Missing values exceed nothing.
+    """
+    kind = pa.struct([("exceeds", pa.bool_()), ("box", pa.struct([(c, pa.int32()) for c in ("x1", "y1", "x2", "y2")]))])
+
+    def values(lists, missing: float):
+        """Values as doubles, lengths and first places of the lists."""
+        length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten()
+        out = pc.fill_null(pc.cast(flat, pa.float64(), safe=False), 0.0).to_numpy(zero_copy_only=False).copy()
+        out[np.isnan(out)] = np.inf
+        out[flat.is_null().to_numpy(zero_copy_only=False)] = missing
+        return out, length, np.cumsum(length) - length
+
+    @F.arrow_udf("struct<exceeds:boolean,box:struct<x1:int,y1:int,x2:int,y2:int>>")
+    def facts(visible: pa.Array, full: pa.Array, width: pa.Array, threshold: pa.Array) -> pa.Array:
+        v, v_length, v_first = values(visible, -np.inf)
+        f, f_length, f_first = values(full, np.inf)
+        n = len(v_length)
+        row = np.repeat(np.arange(n), v_length)
+        place = np.arange(len(v)) - v_first[row]
+        both = np.flatnonzero(place < f_length[row])
+        above = both[v[both] > f[f_first[row[both]] + place[both]]]
+        exceeds = np.zeros(n, bool)
+        exceeds[row[above]] = True
+        limit = pc.fill_null(pc.cast(threshold, pa.float64()), np.inf).to_numpy(zero_copy_only=False)
+        wide = pc.fill_null(pc.cast(width, pa.int64()), 0).to_numpy(zero_copy_only=False)
+        hit = np.flatnonzero((v > limit[row]) & (wide[row] > 0))
+        own, x, y = row[hit], place[hit] % wide[row[hit]], place[hit] // wide[row[hit]]
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        box, some = np.zeros((4, n), np.int32), np.zeros(n, bool)
+        if len(first):
+            some[own[first]] = True
+            for c, (least, at) in enumerate(((np.minimum, x), (np.minimum, y), (np.maximum, x + 1), (np.maximum, y + 1))):
+                box[c, own[first]] = least.reduceat(at, first)
+        boxes = pa.StructArray.from_arrays([pa.array(c) for c in box], fields=list(kind.field("box").type), mask=pa.array(~some))
+        return pa.StructArray.from_arrays([pa.array(exceeds), boxes], fields=list(kind))
+
+    return facts(visible, full, width, threshold)
+
+
 def array_digest(values: Column) -> Column:
     """SHA-256 of the values written as comma separated text."""
     return F.sha2(F.array_join(F.transform(values, lambda v: v.cast("string")), ","), 256)

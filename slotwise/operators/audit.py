@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.arrays import coverage_bbox
+from slotwise.functions.arrays import coverage_facts
 from slotwise.operators.scale import neighbour, numbered_rows, one_per_key
 
 # Artifacts every pool must have, control states and their legal successors.
@@ -152,10 +152,9 @@ def pool_audit(
     )
 
     keys = ["pool", "sample_id"]
-    exceeds = F.exists(F.arrays_zip(F.col("visible").alias("v"), F.col("full").alias("f")), lambda p: p["v"] > p["f"])
-    box = coverage_bbox(F.col("visible"), F.col("mask_width"), F.col("threshold"))
+    facts = coverage_facts(F.col("visible"), F.col("full"), F.col("mask_width"), F.col("threshold"))
     marked = annotations.select(*keys, F.struct("instance_id", "x1", "y1", "x2", "y2", "cx", "cy", "w", "h").alias("a"))
-    covered = masks.select(*keys, F.struct("instance_id", exceeds.alias("exceeds"), box.alias("box")).alias("m"))
+    covered = masks.select(*keys, "instance_id", facts.alias("f")).select(*keys, F.struct("instance_id", "f.exceeds", "f.box").alias("m"))
     sides = marked.unionByName(covered, allowMissingColumns=True).groupBy(*keys)
     sides = sides.agg(F.collect_list("a").alias("annotations"), F.collect_list("m").alias("masks"))
     frames = shot.where(decoded).select(*keys, "width", "height", (with_masks & has_path & evidence).alias("masked_sample"))

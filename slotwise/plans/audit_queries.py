@@ -53,13 +53,11 @@ def audit_inputs(t: Tables) -> dict[str, DataFrame]:
     )
 
     def cells(value):
-        px = F.sequence(F.lit(0), F.lit(63))
-        return F.transform(
-            px,
-            lambda p: F.when(
-                (p % 8 >= F.col("x1")) & (p % 8 < F.col("x2")) & (F.floor(p / 8) >= F.col("y1")) & (F.floor(p / 8) < F.col("y2")), value
-            ).otherwise(0),
-        )
+        """The box's value on 8 x 8 cells of 0, put together from rows."""
+        zeros = lambda n: F.array_repeat(F.lit(0), n)
+        left, top, right, bottom = F.col("x1"), F.col("y1"), F.least("x2", F.lit(8)), F.least("y2", F.lit(8))
+        row = F.concat(zeros(left), F.array_repeat(value, right - left), zeros(8 - right))
+        return F.concat(zeros(8 * top), F.flatten(F.array_repeat(row, bottom - top)), zeros(8 * (8 - bottom)))
 
     masks = items.where("q <> 13").select(
         "pool", "sample_id", "instance_id", F.lit(8).alias("mask_width"), F.lit(8).alias("threshold"),

@@ -280,3 +280,16 @@ def test_torn_lines_are_findings_not_rows(spark, tmp_path):
     rows = pools.read_pool(spark, [str(tmp_path)])
     assert sorted((r.slot, r.key) for r in rows.collect()) == [(1, "0:a"), (3, "0:b")]
     assert [r.raw for r in pools.pool_findings(spark, [str(tmp_path)]).collect()] == ['{"slot": 2, "sam']
+
+
+def test_coverage_facts_equal_the_folds(spark):
+    """Whole batches give what the folds give, also for missing, short and empty arrays; the plan has no fold."""
+    rows = [([0, 9, 0, 9], [0, 9, 0, 8], 2, 5), ([0, 0], [1], 2, 5), ([], [], 2, 0), (None, [1], 2, 0), ([7, None, 7], [9, 0, 9], 3, 1), ([1, 2, 3, 4, 5, 6], [9, 1], 3, 4)]
+    frame = spark.createDataFrame(rows, "v array<int>, f array<int>, w int, t int").coalesce(1)
+    facts = frame.select(A.coverage_facts(F.col("v"), F.col("f"), F.col("w"), F.col("t")).alias("r"))
+    folds = frame.select(
+        F.coalesce(F.exists(F.arrays_zip(F.col("v"), F.col("f")), lambda p: p["v"] > p["f"]), F.lit(False)).alias("exceeds"),
+        A.coverage_bbox(F.col("v"), F.col("w"), F.col("t")).alias("box"),
+    )
+    assert facts.select("r.*").collect() == folds.collect()
+    assert "aggregate" not in facts._jdf.queryExecution().executedPlan().toString()
