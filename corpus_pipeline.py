@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go."""
+    """Documents without a language go, and those of which no language holds half."""
     return language_mixture.keep_known(docs)
 
 

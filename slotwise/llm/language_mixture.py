@@ -205,8 +205,12 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, *train(docs))
 
 
-def keep_known(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
-    """The documents whose language is known with at least this score, with all their columns."""
+#: Share of a text that its language must hold in a corpus.
+MAIN_SHARE = 0.5
+
+
+def keep_known(docs: DataFrame, least_score: float = MAIN_SHARE) -> DataFrame:
+    """The documents whose language is known and holds at least this share of the text, with all their columns."""
     names, model = train(docs)
 
     def work(part: Slice) -> pa.RecordBatch:

@@ -79,3 +79,14 @@ def test_run_equals_the_stages(spark, rows, tmp_path):  # noqa: F811
         frame = stage(spark, frame, str(tmp_path))
     kind = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Counter(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).select(kind).collect())) == Counter(map(tuple, frame.select(kind).collect()))
+
+
+def test_the_language_stage_looks_at_shares(spark, tmp_path):
+    """A text in equal parts of three languages goes, one with a quoted sentence stays, one without letters goes."""
+    words = {"aa": "mozo lina paro dimo sano", "bb": "xenk tirg wuld krenst vurg", "cc": "qiqu yoyu huhi yaqi uyhu"}
+    texts = {lang: f"{w} " * 40 for lang, w in words.items()}
+    rows = [(k, texts[lang], lang) for k, lang in enumerate(list(words) * 20)]
+    rows += [(900, "".join(texts.values()), None), (901, texts["aa"] * 4 + words["bb"], None), (902, "12 34 56", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, frame, str(tmp_path)).collect()}
+    assert kept == set(range(60)) | {901}
