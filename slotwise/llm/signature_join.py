@@ -2,12 +2,12 @@
 
 A text's set holds the 64-bit hashes of its distinct 4-word shingles; equal sets are one class. Linked classes share k
 shingles among the first |x| - ceil(t |x|) + k of each in one global order (different sets that link have t / (1 - t)
-shingles in common at least, which bounds k), so candidates are the classes below k shared prefix keys. The order puts shingles that stand out in a table of 65,536 hashed counts last, which keeps boilerplate out
-of the prefixes; any order is right.
+shingles in common at least, which bounds k), so candidates are the classes below k shared prefix keys. The order puts shingles that stand out in a table of 4,194,304 hashed counts last, which keeps boilerplate out
+of the prefixes; any order is right. Tasks hand in their counts by blocks of the table, so what they write follows the input.
 
 1. Leaders: every key points at its smallest class; a class is compared with the leader that shares most keys with it, two
    at least. Keys of more than 32 classes that still join different components point at four more, drawn by hash, again
-   and again while one asked class in eight is linked. Groups of near copies, however large, become stars in linear work.
+   and again while one asked class in four is linked. Groups of near copies, however large, become stars in linear work.
 2. Signature trees: for keys that still join different components, the members' sets form a tree whose nodes hold the
    OR of the members' bitmaps, their size range and component range. A dual traversal drops pairs of nodes whose largest
    possible overlap is too small, or which lie in one component already, and yields pairs to compare. Groups above 512
@@ -32,11 +32,15 @@ from pyspark.sql import functions as F
 from slotwise.llm.frames import stored, text_tag, touching
 from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, sequence_hash, slices, words
 from slotwise.operators.components import asset_components
+from slotwise.session import bounded_batches
 
 WIDTH = 4
 #: Similarity as a fraction in hundredths.
 THRESHOLD = 85
-RARITY_BITS = 16
+RARITY_BITS = 22
+#: Hashed counts that travel together, and steps of an octave in which their sums are kept.
+RARITY_BLOCK = 1 << 16
+RARITY_STEPS = 8
 SIGNATURE_BITS = 512
 COUNT_BUCKETS = 256
 FANOUT = 4
@@ -45,7 +49,7 @@ SHARED_WITH_LEADER = 2
 #: Classes below a key that is worth more leaders, leaders a round, and one in how many asked classes must be linked to go on.
 CROWD = 32
 LEADERS = 4
-GAIN = 8
+GAIN = 4
 #: Keys that a linked pair shares at least, where the threshold allows it; prefixes are that much longer.
 SHARED_KEYS = 4
 
@@ -92,35 +96,57 @@ def bucket_counts(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarra
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """Scratch table: a row per document, and per task the counts of hashed shingles (where ``bucket`` is set)."""
+    """Scratch table: a row per document, and per task the packed counts of blocks of hashed shingles (where ``block`` is set)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << RARITY_BITS, np.int64)
+        total = np.zeros(1 << RARITY_BITS, np.int32)
         for batch in batches:
             for part in slices(batch):
                 n = len(part)
                 rows, values = shingle_sets(part, width)
-                total += np.bincount((values >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(total))
+                np.add.at(total, _rarity_bucket(values), 1)
                 begin = np.searchsorted(rows, np.arange(n + 1))
                 nothing = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tag"), pa.array(np.diff(begin), pa.int64()), pa.array(class_ids(rows, values, begin)),
                      pa.array([s.tobytes() for s in signatures(rows, values, n)], pa.binary()),
-                     pa.array([c.tobytes() for c in bucket_counts(rows, values, n)], pa.binary()), nothing, nothing],
-                    ["doc_id", "tag", "n_shingles", "cid", "signature", "counts", "bucket", "n"],
+                     pa.array([c.tobytes() for c in bucket_counts(rows, values, n)], pa.binary()), nothing],
+                    ["doc_id", "tag", "n_shingles", "cid", "signature", "counts", "block"],
                 )
-        some = np.flatnonzero(total)
+        blocks, squeeze = total.reshape(-1, RARITY_BLOCK), zstandard.ZstdCompressor(level=3)
+        some = np.flatnonzero(blocks.any(axis=1))
         nothing = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [nothing, pa.nulls(len(some), pa.int32()), nothing, nothing, pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.binary()), pa.array(some, pa.int64()), pa.array(total[some])],
-            ["doc_id", "tag", "n_shingles", "cid", "signature", "counts", "bucket", "n"],
+            [nothing, pa.nulls(len(some), pa.int32()), nothing, nothing, pa.nulls(len(some), pa.binary()), pa.array([squeeze.compress(blocks[i].tobytes()) for i in some.tolist()], pa.binary()), pa.array(some, pa.int64())],
+            ["doc_id", "tag", "n_shingles", "cid", "signature", "counts", "block"],
         )
 
     return documents(docs, "doc_id", "text").withColumn("tag", text_tag()).mapInArrow(
-        run, "doc_id long, tag int, n_shingles long, cid long, signature binary, counts binary, bucket long, n long"
+        run, "doc_id long, tag int, n_shingles long, cid long, signature binary, counts binary, block long"
     )
 
 
+def _rarity_bucket(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _levels(described: DataFrame) -> np.ndarray:
+    """Octaves by which each hashed count exceeds the usual one; only one byte a bucket comes to the driver."""
+
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        plain, total = zstandard.ZstdDecompressor(), np.zeros(RARITY_BLOCK, np.int64)
+        for packed in table.column("counts"):
+            total += np.frombuffer(plain.decompress(packed.as_py()), np.int32)
+        steps = np.minimum(np.rint(RARITY_STEPS * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "steps": pa.array([steps.tobytes()], pa.binary())})
+
+    summed = described.where("block is not null").select("block", "counts").groupBy("block").applyInArrow(add, "block long, steps binary")
+    steps = np.zeros(1 << RARITY_BITS, np.uint8)
+    for row in summed.collect():
+        steps[row.block * RARITY_BLOCK : (row.block + 1) * RARITY_BLOCK] = np.frombuffer(row.steps, np.uint8)
+    return np.maximum(steps.astype(np.int16) - int(np.median(steps)), 0).astype(np.uint8) // RARITY_STEPS
+
+
 def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int, shared: int) -> DataFrame:
     """Prefix keys of every set."""
 
@@ -128,7 +154,7 @@ def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int, sh
         rows, values = shingle_sets(part, width)
         begin = np.searchsorted(rows, np.arange(len(part) + 1))
         cid, size = class_ids(rows, values, begin), np.diff(begin)
-        order = np.lexsort((values, level[(values >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], rows))
+        order = np.lexsort((values, level[_rarity_bucket(values)], rows))
         place = np.arange(len(rows)) - begin[rows]
         length = size - -(-threshold * size // 100) + shared
         taken = place < length[rows]
@@ -334,13 +360,10 @@ def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
 
 def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     """doc_id, tag, n_shingles and comp (a class id; null for empty sets) of every row."""
+    bounded_batches(docs.sparkSession)
     described = stored(_described(docs, width), "described")
-    own = described.where("bucket is null").select("doc_id", "tag", "n_shingles", "cid", "signature", "counts")
-    counted = described.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    total = np.zeros(1 << RARITY_BITS)
-    total[[r.bucket for r in counted]] = [r.n for r in counted]
-    usual = max(float(np.median(total)), 1.0)
-    level = np.maximum(np.floor(np.log2(np.maximum(total, 1) / usual)), 0).astype(np.int64)
+    own = described.where("block is null").select("doc_id", "tag", "n_shingles", "cid", "signature", "counts")
+    level = _levels(described)
 
     shared = max(1, min(SHARED_KEYS, threshold // max(100 - threshold, 1)))
     keys = stored(_prefixes(docs, level, width, threshold, shared), "prefixes")
