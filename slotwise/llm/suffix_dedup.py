@@ -10,8 +10,9 @@ and offset) and removes later copies only; ``keep="none"`` removes all of them.
 3. What is left, runs that share an anchor but differ, meets in buckets of at most about a thousand runs. Each task builds
    a suffix array of its buckets by prefix doubling, down to the window length. In suffix order, previous and next smaller
    text positions inside a stretch of common prefixes of window length tell whether the longest previous factor reaches it.
-   An anchor with more runs than a bucket is dealt over several; one of each equal windows of a bucket is then also
-   matched by its hashes with those of the others.
+   Runs of an anchor with more than a bucket are split where the smallest 50-byte strings under four other orders change;
+   they refine the key, which windows with an edit rarely share. Where a key still has more than a bucket, it is
+   dealt over several; one of each equal windows of a bucket is then also matched by its hashes with those of the others.
 
 Cases: null and short texts lose nothing; rows with one doc_id and one text are one document for ``keep="first"`` and
 two for ``keep="none"``; rows with one doc_id and different texts are told apart by a hash of the text; an empty table
@@ -30,11 +31,14 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.frames import known_id, stored, text_tag, touching
 from slotwise.llm.textops import PrefixHash, Slice, documents, map_slices, mix, slices
+from slotwise.session import bounded_batches
 
 MIN_BYTES = 200
 GRAM = 50
 STARTS = MIN_BYTES - GRAM + 1
 BUCKET = 1024
+#: Orders of 50-byte strings whose smallest ones refine an anchor with more runs than a bucket.
+FINER = 4
 CHUNK_BYTES = 1 << 18
 PLACE_BITS = np.uint64(31)
 
@@ -158,48 +162,85 @@ def _search(table: pa.Table, keep: str) -> pa.RecordBatch:
     )
 
 
-def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
-    """Runs of windows to remove: doc_id (``NULL_ID`` for null), tag (hash of the text), a (first start), n (starts)."""
-    docs = docs.select(known_id("doc_id").alias("doc_id"), F.col("text"), text_tag().alias("tag"))
-    runs = _runs(docs)
-    anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), (F.min("content") < F.max("content")).alias("mixed"))
-    runs = stored(runs.join(anchors.where("m > 1").select("anchor", "mixed"), "anchor"), "runs")
-
-    place = F.struct("doc_id", "tag", "a", "n")
-    contents = runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("rep"), F.first("mixed").alias("mixed"))
-    contents = stored(contents.where("mixed or copies > 1"), "contents")
-    copied = runs.join(contents.where("copies > 1").select("anchor", "content", "rep"), ["anchor", "content"])
-    if keep == "first":
-        copied = copied.where((F.col("doc_id") != F.col("rep.doc_id")) | (F.col("tag") != F.col("rep.tag")) | (F.col("a") != F.col("rep.a")))
-    copied = copied.select("doc_id", "tag", "a", "n")
-
-    mixed = contents.where("mixed").select("anchor", "content", "copies", "rep.*")
-    sizes = mixed.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("buckets"))
-    mixed = mixed.join(sizes, "anchor").withColumn("bucket", F.pmod(F.hash("content"), "buckets"))
+def finer_keys(data: np.ndarray) -> np.ndarray:
+    """For each window of a buffer, the smallest of its 50-byte strings under each of ``FINER`` other orders, as one hash."""
+    prefix = PrefixHash(data, 1)
+    grams = (prefix.sums[GRAM:] - prefix.sums[:-GRAM]) * prefix.back[: len(data) - GRAM + 1]
+    out = np.zeros(len(grams) - STARTS + 1, np.uint64)
+    for k in range(FINER):
+        least = mix(grams + np.uint64(k))
+        width = 1
+        while width < STARTS:
+            step = min(width, STARTS - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        out = mix(out ^ least)
+    return out
+
+
+def _contexts(docs: DataFrame, mixed: DataFrame, split: bool) -> DataFrame:
+    """The runs with their bytes; ``split``: cut where the finer key changes, which then is part of the anchor."""
     packed = mixed.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("anchor", "bucket", "buckets", "copies", "a", "n")).alias("runs"))
     wanted, _ = touching(mixed)
     source = docs.mapInArrow(wanted, "doc_id long, text string, tag int").join(packed, ["doc_id", "tag"])
+    names = ["anchor", "bucket", "buckets", "copies", "a", "n"]
 
     def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "bucket", "buckets", "copies", "a", "n"]
         for batch in batches:
             for part in slices(batch):
                 lists = part.column("runs")
                 own = np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy())
                 flat = lists.flatten()
-                fields = {c: flat.field(c) for c in names}
-                first = part.bounds[own] + fields["a"].to_numpy()
-                last = first + fields["n"].to_numpy() + MIN_BYTES - 1
+                fields = {c: flat.field(c).to_numpy() for c in names}
+                if split:
+                    count = fields["n"].astype(np.int64)
+                    run = np.repeat(np.arange(len(own)), count)
+                    offset = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+                    key = finer_keys(part.data)[part.bounds[own[run]] + fields["a"][run] + offset]
+                    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (run[1:] != run[:-1])]))
+                    own, fields = own[run[first]], {c: v[run[first]] for c, v in fields.items()}
+                    fields["anchor"] = mix(fields["anchor"].view(np.uint64) ^ mix(key[first])).view(np.int64)
+                    fields["a"] = fields["a"] + offset[first]
+                    fields["n"] = np.diff(np.append(first, len(run))).astype(np.int32)
+                first = part.bounds[own] + fields["a"]
+                last = first + fields["n"] + MIN_BYTES - 1
                 view = part.data.tobytes()
                 context = [view[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
                 at = pa.array(own)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(at), part.column("tag").take(at), *fields.values(), pa.array(context, pa.binary())],
+                    [part.column("doc_id").take(at), part.column("tag").take(at), *map(pa.array, fields.values()), pa.array(context, pa.binary())],
                     ["doc_id", "tag", *names, "context"],
                 )
 
     kind = "doc_id long, tag int, anchor long, bucket int, buckets int, copies long, a long, n int, context binary"
-    source = source.select("doc_id", "tag", "runs", "text").mapInArrow(contexts, kind).dropDuplicates(["doc_id", "tag", "a"])
+    return source.select("doc_id", "tag", "runs", "text").mapInArrow(contexts, kind).dropDuplicates(["doc_id", "tag", "a"])
+
+
+def repeated_windows(docs: DataFrame, keep: str = "first") -> DataFrame:
+    """Runs of windows to remove: doc_id (``NULL_ID`` for null), tag (hash of the text), a (first start), n (starts)."""
+    bounded_batches(docs.sparkSession)
+    docs = docs.select(known_id("doc_id").alias("doc_id"), F.col("text"), text_tag().alias("tag"))
+    runs = _runs(docs)
+    anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), (F.min("content") < F.max("content")).alias("mixed"))
+    runs = stored(runs.join(anchors.where("m > 1").select("anchor", "mixed"), "anchor"), "runs")
+
+    place = F.struct("doc_id", "tag", "a", "n")
+    contents = runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("rep"), F.first("mixed").alias("mixed"))
+    contents = stored(contents.where("mixed or copies > 1"), "contents")
+    copied = runs.join(contents.where("copies > 1").select("anchor", "content", "rep"), ["anchor", "content"])
+    if keep == "first":
+        copied = copied.where((F.col("doc_id") != F.col("rep.doc_id")) | (F.col("tag") != F.col("rep.tag")) | (F.col("a") != F.col("rep.a")))
+    copied = copied.select("doc_id", "tag", "a", "n")
+
+    mixed = contents.where("mixed").select("anchor", "content", "copies", "rep.*")
+    sizes = mixed.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("buckets"))
+    mixed = mixed.join(sizes, "anchor").withColumn("bucket", F.pmod(F.hash("content"), "buckets"))
+    plain = _contexts(docs, mixed.where("buckets = 1"), False)
+    pieces = stored(_contexts(docs, mixed.where("buckets > 1"), True), "pieces")
+    crowds = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    crowds = crowds.select("anchor", F.ceil(F.col("m") / BUCKET).cast("int").alias("buckets"))
+    pieces = pieces.drop("bucket", "buckets").join(crowds, "anchor").withColumn("bucket", F.pmod(F.hash("doc_id", "tag", "a"), "buckets"))
+    source = plain.unionByName(pieces)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -249,7 +290,6 @@ def _with_windows(docs: DataFrame, keep: str, finish: Callable[[pa.RecordBatch,
     same = (known_id("doc_id") == F.col("__id")) & (text_tag() == F.col("__tag"))
     hit = docs.mapInArrow(yes, docs.schema).join(listed, same, "left").drop("__id", "__tag")
     nothing = {"__starts": F.lit(None).cast("array<bigint>"), "__counts": F.lit(None).cast("array<int>")}
-    missed = docs.mapInArrow(no, docs.schema).withColumns(nothing)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,7 +303,11 @@ def _with_windows(docs: DataFrame, keep: str, finish: Callable[[pa.RecordBatch,
 
                 yield finish(part.batch, part, cover)
 
-    return hit.unionByName(missed).mapInArrow(run, schema)
+    def missed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(no(batches))
+
+    # Filtered and finished by one worker: two in a row would double an executor's Python processes.
+    return hit.mapInArrow(run, schema).unionByName(docs.withColumns(nothing).mapInArrow(missed, schema))
 
 
 def digests(docs: DataFrame, keep: str = "none") -> DataFrame:
