@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, most_frequent, per_row, slices, words
 from slotwise.operators.scale import heavy_lookup
-from slotwise.session import scratch_path
+from slotwise.session import bounded_batches, scratch_path
 
 #: Tokens looked up without a join (16 bytes each on every worker).
 COMMON_TOKENS = 1 << 17
@@ -259,6 +259,7 @@ def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS) -> LogBloom:
 def score(docs: DataFrame) -> DataFrame:
     """Train on the rows outside the held-out fifth and score every row."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = documents(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
     training = docs.where(~F.col("held_out")).select("text")
 

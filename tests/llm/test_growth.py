@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from slotwise.llm import signature_join, suffix_dedup
+from slotwise.llm import bloom_lm, signature_join, suffix_dedup
 
 
 @pytest.fixture
@@ -47,7 +47,8 @@ def test_crowded_anchor_is_refined(spark, tables):
     assert tables["windows"].where("h1 is not null").count() < 60_000
 
 
-def test_batches_for_python_are_bounded_by_bytes(spark):
+@pytest.mark.parametrize("use", [suffix_dedup.digests, bloom_lm.score])
+def test_batches_for_python_are_bounded_by_bytes(spark, use):
     frame = spark.createDataFrame([(i, "x" * 4000) for i in range(3000)], "doc_id long, text string").coalesce(1)
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
 
@@ -55,5 +56,5 @@ def test_batches_for_python_are_bounded_by_bytes(spark):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
 
-    suffix_dedup.digests(frame)
+    use(frame)
     assert frame.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 3 << 20
