@@ -8,10 +8,11 @@ of the prefixes; any order is right. Tasks hand in their counts by blocks of the
 1. Leaders: every key points at its smallest class; a class is compared with the leader that shares most keys with it, two
    at least. Keys of more than 32 classes that still join different components point at four more, drawn by hash, again
    and again while one asked class in eight is linked. Groups of near copies, however large, become stars in linear work.
-2. Signature trees: for keys that still join different components, the members' sets form a tree whose nodes hold the
-   OR of the members' bitmaps, their size range and component range. A dual traversal drops pairs of nodes whose largest
-   possible overlap is too small, or which lie in one component already, and yields pairs to compare. Groups above 512
-   members are dealt in blocks, one task for each pair of blocks.
+2. Signature trees: of the keys that still join different components, those with the same members count as one, with their
+   number as its weight. The members' sets of each form a tree whose nodes hold the OR of the members' bitmaps, their
+   size range and component range. A dual traversal drops pairs of nodes whose largest possible overlap is too small, or
+   which lie in one component already, and yields pairs to compare; a pair leaves its task only if the members' bucket
+   counts allow a link too. Groups above 512 members are dealt in blocks, one task for each pair of blocks.
 3. All pairs are compared exactly on their texts, and the links give the components.
 
 Cases: null or empty texts have an empty set, link with nothing and are their own component; texts of fewer than four
@@ -26,7 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.llm.frames import stored, text_tag, touching
@@ -95,6 +96,12 @@ def bucket_counts(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarra
     return np.minimum(held, 255).astype(np.uint8)
 
 
+def enough_in_common(x: np.ndarray, y: np.ndarray, sizes: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether sets with these bucket counts and this sum of sizes may link: the overlap is at most the sum of the lesser counts."""
+    least = np.minimum(x, y)
+    return (least == 255).any(axis=1) | ((100 + threshold) * least.sum(axis=1, dtype=np.int64) >= threshold * sizes)
+
+
 def _described(docs: DataFrame, width: int) -> DataFrame:
     """Scratch table: a row per document, and per task the packed counts of blocks of hashed shingles (where ``block`` is set)."""
 
@@ -164,16 +171,13 @@ def _prefixes(docs: DataFrame, level: np.ndarray, width: int, threshold: int, sh
 
 
 def _possible(frame: DataFrame, threshold: int) -> DataFrame:
-    """Keep pairs whose sizes and bucket counts allow a link: the overlap is at most the sum of the lesser counts."""
+    """Keep pairs whose sizes and bucket counts allow a link."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(c).to_numpy() for c in ("a_size", "b_size"))
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COUNT_BUCKETS) for c in ("a_counts", "b_counts"))
-            least = np.minimum(x, y)
-            open_ = (least == 255).any(axis=1)
-            good = open_ | ((100 + threshold) * least.sum(axis=1, dtype=np.int64) >= threshold * (a + b))
-            good &= 100 * np.minimum(a, b) >= threshold * np.maximum(a, b)
+            good = enough_in_common(x, y, a + b, threshold) & (100 * np.minimum(a, b) >= threshold * np.maximum(a, b))
             yield batch.select(["a", "b", "a_doc", "b_doc"]).filter(pa.array(good))
 
     return frame.mapInArrow(run, "a long, b long, a_doc long, b_doc long")
@@ -236,7 +240,17 @@ def _components(links: DataFrame) -> DataFrame:
 
 def _located(rows: DataFrame, comps: DataFrame) -> DataFrame:
     """Classes below their keys, with the component that each is in so far."""
-    return rows.select("key", "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    return rows.drop("lead").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+
+def _one_of_alike(keys: DataFrame) -> DataFrame:
+    """keys[key, m, one, two] by the members' number and digests: one key for each set of members, and how many have it."""
+    return keys.groupBy("one", "two", "m").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("weight")).select("key", "m", "weight")
+
+
+def _member_digests() -> list[Column]:
+    """Number and 128-bit digest of the classes below a key."""
+    return [F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("cid")).alias("one"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("two")]
 
 
 def _more_leaders(rows: DataFrame, comps: DataFrame, seeds: range) -> DataFrame:
@@ -246,7 +260,7 @@ def _more_leaders(rows: DataFrame, comps: DataFrame, seeds: range) -> DataFrame:
     heads = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *drawn).where("low < high")
     each = F.explode(F.array(*[F.struct(F.lit(s).alias("seed"), F.col(f"lead{s}.b"), F.col(f"lead{s}.there")) for s in seeds]))
     leads = heads.select("key", each.alias("lead")).select("key", "lead.*")
-    shared = located.join(leads, "key").where("comp <> there").groupBy(F.col("cid").alias("a"), "seed", "b").count()
+    shared = located.join(leads, "key").where("comp <> there").groupBy(F.col("cid").alias("a"), "seed", "b").agg(F.sum("weight").alias("count"))
     best = shared.where(F.col("count") >= SHARED_WITH_LEADER).groupBy("a", "seed").agg(F.max(F.struct("count", "b")).getField("b").alias("b"))
     return best.select("a", "b").distinct()
 
@@ -317,23 +331,29 @@ class Tree:
 
 
 def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
-    """Pairs of classes by signature trees; members[key, left, right, side, cid, comp, n_shingles, signature]."""
+    """Pairs of classes by signature trees; members[key, weight, left, right, side, cid, comp, n_shingles, signature, counts].
+
+    A pair of members leaves a tree only if their bucket counts allow a link as well.
+    """
 
     def search(batch: pa.Table) -> Iterator[pa.RecordBatch]:
-        columns = {c: batch.column(c).to_numpy() for c in ("key", "left", "right", "side", "cid", "comp", "n_shingles")}
+        columns = {c: batch.column(c).to_numpy() for c in ("key", "weight", "left", "right", "side", "cid", "comp", "n_shingles")}
         order = np.lexsort((columns["n_shingles"], columns["right"], columns["left"], columns["key"]))
         columns = {c: v[order] for c, v in columns.items()}
-        raw = np.array(batch.column("signature").to_pylist(), f"S{SIGNATURE_BITS // 8}")[order]
-        bits = raw.view(np.uint8).reshape(-1, SIGNATURE_BITS // 8).view(np.uint64)
+        packed = lambda c, size: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, size)[order]
+        bits, counts = packed("signature", SIGNATURE_BITS // 8).view(np.uint64), packed("counts", COUNT_BUCKETS)
         change = np.zeros(len(order), bool)
         for c in ("key", "left", "right"):
             change[1:] |= columns[c][1:] != columns[c][:-1]
         # In a task of two different blocks, pairs of one block are left to that block's own task.
         side = np.where(columns["left"] == columns["right"], np.arange(len(order)) + 2, columns["side"])
         tree = Tree(np.cumsum(change), columns["n_shingles"], bits, np.stack([columns["comp"], side], axis=1), threshold)
+        sizes = columns["n_shingles"]
         for a, b in tree.pairs():
+            good = enough_in_common(counts[a], counts[b], sizes[a] + sizes[b], threshold)
+            a, b = a[good], b[good]
             x, y = columns["cid"][a], columns["cid"][b]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(columns["weight"][a])], ["a", "b", "weight"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -354,8 +374,8 @@ def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
             yield from search(pa.Table.from_batches(held))
 
     dealt = members.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    found = dealt.mapInArrow(run, "a long, b long").groupBy("a", "b").count()
-    return found.where(F.col("count") >= shared).select("a", "b")
+    found = dealt.mapInArrow(run, "a long, b long, weight long").groupBy("a", "b").agg(F.sum("weight").alias("weight"))
+    return found.where(F.col("weight") >= shared).select("a", "b")
 
 
 def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -377,7 +397,7 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
     links = _links(docs, classes, near, width, threshold)
     comps = stored(_components(links), "components")
 
-    crowds = rows.groupBy("key").count().where(F.col("count") > CROWD).select("key")
+    crowds = _one_of_alike(rows.groupBy("key").agg(*_member_digests()).where(F.col("m") > CROWD)).select("key", "weight")
     crowded = stored(rows.select("key", "cid").join(crowds, "key"), "crowded")
     asked = 0 if crowded.isEmpty() else 1
     turn = 0
@@ -394,15 +414,15 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
         turn += 1
 
     located = _located(rows, comps)
-    open_keys = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"))
-    open_keys = open_keys.where("low < high").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    open_keys = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *_member_digests()).where("low < high")
+    open_keys = _one_of_alike(open_keys).select("key", "weight", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     members = located.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select(
-        "key", "cid", "comp", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        "key", "weight", "cid", "comp", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
         (F.col("block") > F.col("other")).cast("int").alias("side"),
     )
-    members = members.join(classes.select("cid", "n_shingles", "signature"), "cid")
+    members = members.join(classes.select("cid", "n_shingles", "signature", "counts"), "cid")
     more = _links(docs, classes, _tree_pairs(members, threshold, shared), width, threshold)
     if not more.isEmpty():
         comps = stored(_components(links.unionByName(more)), "components")

@@ -35,6 +35,27 @@ def test_rare_keys_first_in_a_large_vocabulary(spark, tables):
     assert tables["candidates"].count() < 100
 
 
+def test_equal_keys_are_one_and_pairs_are_judged_in_the_tree(spark, monkeypatch):
+    """Two texts of 600 shingles with 520 in common share 14 keys and no link; their 512 bits are too full to tell."""
+    draw, seen = random.Random(7), {}
+    words = lambda n: [f"w{draw.getrandbits(40):x}" for _ in range(n)]
+    rows = []
+    for i in range(30):
+        shared = words(523)
+        rows += [(2 * i + k, " ".join(shared + words(80))) for k in range(2)]
+    find = signature_join._tree_pairs
+
+    def keep(members, *rest):
+        pairs = find(members, *rest)
+        seen.update(members=members.count(), pairs=pairs.count())
+        return pairs
+
+    monkeypatch.setattr(signature_join, "_tree_pairs", keep)
+    out = signature_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.where("component_id = doc_id").count() == 60
+    assert seen["members"] <= 120 and seen["pairs"] == 0
+
+
 def test_crowded_anchor_is_refined(spark, tables):
     """Most windows of 1,500 different runs around one anchor are settled in their buckets."""
     draw = random.Random(5)
