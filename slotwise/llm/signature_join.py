@@ -12,7 +12,9 @@ of the prefixes; any order is right. Tasks hand in their counts by blocks of the
    number as its weight. The members' sets of each form a tree whose nodes hold the OR of the members' bitmaps, their
    size range and component range. A dual traversal drops pairs of nodes whose largest possible overlap is too small, or
    which lie in one component already, and yields pairs to compare; a pair leaves its task only if the members' bucket
-   counts allow a link too. Groups above 512 members are dealt in blocks, one task for each pair of blocks.
+   counts allow a link too, and only below the smallest key that both have. Groups above 512 members are dealt in blocks,
+   one task for each pair of blocks. If there are many pairs, one in sixteen, drawn by hash, is compared first: what these
+   links join needs no other pair, and links between components of such a draw are at most some sixteen a class.
 3. All pairs are compared exactly on their texts, and the links give the components.
 
 Cases: null or empty texts have an empty set, link with nothing and are their own component; texts of fewer than four
@@ -26,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,6 +54,9 @@ SHARED_WITH_LEADER = 2
 CROWD = 32
 LEADERS = 4
 GAIN = 8
+#: One pair of the trees in how many is compared before the others, and steps of a test for common keys at a time.
+DRAW = 16
+KEY_STEPS = 1 << 20
 #: Keys that a linked pair shares at least, where the threshold allows it; prefixes are that much longer.
 SHARED_KEYS = 4
 
@@ -330,18 +336,54 @@ class Tree:
             stack.append((depth - 1, i[there], j[there]))
 
 
-def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
-    """Pairs of classes by signature trees; members[key, weight, left, right, side, cid, comp, n_shingles, signature, counts].
+def _drawn(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether a pair of classes (the smaller first) is among those that are compared first."""
+    return mix(mix(a.view(np.uint64)) + b.view(np.uint64)) % np.uint64(DRAW) == 0
+
+
+class KeyLists:
+    """The ascending keys of every member, with their weights."""
+
+    def __init__(self, bounds: np.ndarray, keys: np.ndarray, weights: np.ndarray):
+        self.bounds, self.weights = bounds, weights
+        self.known, self.rank = np.unique(keys, return_inverse=True)
+        self.places = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) * len(self.known) + self.rank
+
+    def meet_first(self, a: np.ndarray, b: np.ndarray, key: np.ndarray, shared: int) -> np.ndarray:
+        """Whether ``key`` is the smallest that members a and b have in common, and all of these weigh ``shared`` at least."""
+        sizes = np.diff(self.bounds)
+        a, b = np.where(sizes[a] <= sizes[b], a, b), np.where(sizes[a] <= sizes[b], b, a)
+        good, steps = np.zeros(len(a), bool), np.cumsum(sizes[a])
+        cuts = np.searchsorted(steps, np.arange(KEY_STEPS, steps[-1], KEY_STEPS)) if len(a) else []
+        for part in np.split(np.arange(len(a)), np.unique(cuts)):
+            n = sizes[a[part]]
+            pair = np.repeat(np.arange(len(part)), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.bounds[a[part]], n)
+            wanted = b[part][pair] * len(self.known) + self.rank[at]
+            found = self.places[np.minimum(np.searchsorted(self.places, wanted), len(self.places) - 1)] == wanted
+            weight = np.bincount(pair[found], self.weights[at[found]], len(part))
+            some, first = np.unique(pair[found], return_index=True)
+            smallest = np.zeros(len(part), bool)
+            smallest[some] = self.known[self.rank[at[found][first]]] == key[part][some]
+            good[part] = smallest & (weight >= shared)
+        return good
+
+
+def _tree_pairs(members: DataFrame, threshold: int, shared: int, draw: bool | None = None) -> DataFrame:
+    """Pairs of classes by signature trees; members[key, left, right, side, cid, comp, n_shingles, signature, counts, keys, weights].
 
-    A pair of members leaves a tree only if their bucket counts allow a link as well.
+    A pair leaves a tree only if its bucket counts allow a link as well, only below the first of its common keys, and only
+    if these weigh ``shared`` together. ``draw``: only the pairs that are compared first, or only the others.
     """
 
     def search(batch: pa.Table) -> Iterator[pa.RecordBatch]:
-        columns = {c: batch.column(c).to_numpy() for c in ("key", "weight", "left", "right", "side", "cid", "comp", "n_shingles")}
+        columns = {c: batch.column(c).to_numpy() for c in ("key", "left", "right", "side", "cid", "comp", "n_shingles")}
         order = np.lexsort((columns["n_shingles"], columns["right"], columns["left"], columns["key"]))
         columns = {c: v[order] for c, v in columns.items()}
         packed = lambda c, size: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, size)[order]
         bits, counts = packed("signature", SIGNATURE_BITS // 8).view(np.uint64), packed("counts", COUNT_BUCKETS)
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("keys")).to_numpy())]).astype(np.int64)
+        lists = KeyLists(bounds, *[pc.list_flatten(batch.column(c)).to_numpy() for c in ("keys", "weights")])
         change = np.zeros(len(order), bool)
         for c in ("key", "left", "right"):
             change[1:] |= columns[c][1:] != columns[c][:-1]
@@ -350,10 +392,15 @@ def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
         tree = Tree(np.cumsum(change), columns["n_shingles"], bits, np.stack([columns["comp"], side], axis=1), threshold)
         sizes = columns["n_shingles"]
         for a, b in tree.pairs():
+            if draw is not None:
+                x, y = columns["cid"][a], columns["cid"][b]
+                own = _drawn(np.minimum(x, y), np.maximum(x, y)) == draw
+                a, b = a[own], b[own]
             good = enough_in_common(counts[a], counts[b], sizes[a] + sizes[b], threshold)
             a, b = a[good], b[good]
-            x, y = columns["cid"][a], columns["cid"][b]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(columns["weight"][a])], ["a", "b", "weight"])
+            good = lists.meet_first(order[a], order[b], columns["key"][a], shared)
+            x, y = columns["cid"][a[good]], columns["cid"][b[good]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -374,8 +421,25 @@ def _tree_pairs(members: DataFrame, threshold: int, shared: int) -> DataFrame:
             yield from search(pa.Table.from_batches(held))
 
     dealt = members.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    found = dealt.mapInArrow(run, "a long, b long, weight long").groupBy("a", "b").agg(F.sum("weight").alias("weight"))
-    return found.where(F.col("weight") >= shared).select("a", "b")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _open_members(rows: DataFrame, comps: DataFrame, classes: DataFrame, shared: int) -> DataFrame:
+    """Classes below the keys that still join different components, a row for each task of the trees."""
+    located = _located(rows, comps)
+    open_keys = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *_member_digests()).where("low < high")
+    open_keys = _one_of_alike(open_keys).select("key", "weight", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    opened = stored(located.join(open_keys, "key"), "opened")
+    lists = F.sort_array(F.collect_list(F.struct("key", "weight"))).alias("l")
+    lists = opened.groupBy("cid").agg(lists, F.sum("weight").alias("weight")).where(F.col("weight") >= shared)
+    lists = lists.select("cid", F.col("l.key").alias("keys"), F.col("l.weight").alias("weights"))
+    members = opened.withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select(
+        "key", "cid", "comp", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    )
+    return members.join(lists, "cid").join(classes.select("cid", "n_shingles", "signature", "counts"), "cid")
 
 
 def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -413,17 +477,17 @@ def _classes(docs: DataFrame, width: int, threshold: int) -> DataFrame:
             break
         turn += 1
 
-    located = _located(rows, comps)
-    open_keys = located.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *_member_digests()).where("low < high")
-    open_keys = _one_of_alike(open_keys).select("key", "weight", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    members = located.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select(
-        "key", "weight", "cid", "comp", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-    )
-    members = members.join(classes.select("cid", "n_shingles", "signature", "counts"), "cid")
-    more = _links(docs, classes, _tree_pairs(members, threshold, shared), width, threshold)
+    members = _open_members(rows, comps, classes, shared)
+    first = stored(_tree_pairs(members, threshold, shared, True), "drawn")
+    rest = None
+    if DRAW * first.count() > members.select("cid").distinct().count():
+        more = _links(docs, classes, first, width, threshold)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            comps = stored(_components(links), "components")
+            members = _open_members(rows, comps, classes, shared)
+        rest = False
+    more = _links(docs, classes, _tree_pairs(members, threshold, shared, rest), width, threshold)
     if not more.isEmpty():
         comps = stored(_components(links.unionByName(more)), "components")
 

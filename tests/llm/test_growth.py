@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,37 @@ def test_equal_keys_are_one_and_pairs_are_judged_in_the_tree(spark, monkeypatch)
     assert seen["members"] <= 120 and seen["pairs"] == 0
 
 
+def test_pairs_leave_the_trees_once_and_in_two_parts(spark):
+    """Forty classes below three keys: each pair is one row, either of the draw or of the rest; one pair weighs too little."""
+    bits, counts = bytearray(b"\xff" * 64), bytearray(b"\x01" * 256)
+    below = {1: [*range(40)], 2: [*range(40)], 3: [*range(39)], 4: [39, 40], 5: [40]}
+    rows = []
+    for key, classes in below.items():
+        for c in classes:
+            own = [k for k, v in below.items() if c in v]
+            rows.append((key, c, c, 0, 0, 0, 256, bits, counts, own, [1] * len(own)))
+    schema = "key long, cid long, comp long, left int, right int, side int, n_shingles long, signature binary, counts binary, keys array<long>, weights array<long>"
+    members = spark.createDataFrame(rows, schema)
+    first, rest, both = ([(r.a, r.b) for r in signature_join._tree_pairs(members, 85, 2, draw).collect()] for draw in (True, False, None))
+    assert sorted(both) == [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    assert sorted(first + rest) == sorted(both) and 0 < len(first) < 120
+
+
+@pytest.mark.parametrize("steps", [3, 1 << 20])
+def test_a_pair_leaves_below_its_first_common_key(monkeypatch, steps):
+    monkeypatch.setattr(signature_join, "KEY_STEPS", steps)
+    rng = np.random.default_rng(2)
+    keys = [np.sort(rng.choice(np.arange(-9, 9), rng.integers(1, 7), replace=False)) for _ in range(40)]
+    weight = {k: int(rng.integers(1, 4)) for k in range(-9, 9)}
+    flat = np.concatenate(keys)
+    lists = signature_join.KeyLists(np.cumsum([0, *map(len, keys)]), flat, np.array([weight[k] for k in flat.tolist()]))
+    asked = [(i, j, k) for i in range(40) for j in range(i) for k in {*keys[i].tolist()} & {*keys[j].tolist()}]
+    got = lists.meet_first(*(np.array(c) for c in zip(*asked, strict=True)), 4)
+    for (i, j, k), good in zip(asked, got.tolist(), strict=True):
+        common = {*keys[i].tolist()} & {*keys[j].tolist()}
+        assert good == (k == min(common) and sum(weight[c] for c in common) >= 4)
+
+
 def test_crowded_anchor_is_refined(spark, tables):
     """Most windows of 1,500 different runs around one anchor are settled in their buckets."""
     draw = random.Random(5)
