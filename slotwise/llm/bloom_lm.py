@@ -41,6 +41,8 @@ FILTER_BITS = 1 << 30
 BITS_PER_ENTRY = 12
 PROBES = 4
 SEGMENT_TOKENS = 1 << 17
+#: Segments of a file: what the driver fetches at a time is a few files of some hundred kilobytes.
+SEGMENTS_A_FILE = 4
 #: Weight of the unigram probability, in observations of the left neighbour.
 PRIOR = 2000.0
 
@@ -252,7 +254,8 @@ def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS) -> LogBloom:
             yield from _by_segment(batch.column("key").to_numpy().view(np.uint64), batch.column("n").cast(pa.int64()).to_numpy(), segments)
 
     path = scratch_path(ngrams.sparkSession, "filter")
-    fill_segments(ngrams.select("key", "n").mapInArrow(run, "segment long, keys binary, counts binary"), 2**62, per_entry).write.parquet(path)
+    filled = fill_segments(ngrams.select("key", "n").mapInArrow(run, "segment long, keys binary, counts binary"), 2**62, per_entry)
+    filled.write.option("maxRecordsPerFile", SEGMENTS_A_FILE).parquet(path)
     return LogBloom(*load_filter(ngrams.sparkSession.read.parquet(path), segments))
 
 
@@ -268,15 +271,15 @@ def score(docs: DataFrame) -> DataFrame:
     unigrams = spark.read.parquet(path)
     whole = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     end = unigrams.where(F.col("key") == int(END.view(np.int64))).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    common = most_frequent(unigrams, "n", COMMON_TOKENS).toPandas()
+    common = most_frequent(unigrams, "n", COMMON_TOKENS).toArrow().to_pandas()
     vocabulary = Vocabulary(common, whole.total, whole.distinct, end.n)
 
     segments = max(1, -(-whole.total // SEGMENT_TOKENS))
     least = max(2, -(-whole.total // COMMON_NGRAMS))
     path = scratch_path(spark, "segments")
-    fill_segments(deal(training, lambda part: _bigrams(*tokens(part)), segments), least).write.parquet(path)
+    fill_segments(deal(training, lambda part: _bigrams(*tokens(part)), segments), least).write.option("maxRecordsPerFile", SEGMENTS_A_FILE).parquet(path)
     filled = spark.read.parquet(path)
-    frequent = filled.select(F.explode(F.arrays_zip("often", "often_n")).alias("f")).select("f.*").toPandas().sort_values("often")
+    frequent = filled.select(F.explode(F.arrays_zip("often", "often_n")).alias("f")).select("f.*").toArrow().to_pandas().sort_values("often")
     often, often_level = frequent["often"].to_numpy(np.int64), level_of(frequent["often_n"].to_numpy(np.int64))
     bits = filled.agg(F.coalesce(F.sum(F.octet_length("bits").cast("long") * 8), F.lit(0)).alias("n")).first().n
     shared = spark.sparkContext.broadcast(load_filter(filled, segments)) if bits <= FILTER_BITS else None

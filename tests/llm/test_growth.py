@@ -111,3 +111,17 @@ def test_batches_for_python_are_bounded_by_bytes(spark, use):
 
     use(frame)
     assert frame.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 3 << 20
+
+
+def test_the_filter_comes_to_the_driver_in_small_files(spark, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "SEGMENT_TOKENS", 200)
+    seen, load = [], bloom_lm.load_filter
+
+    def keep(filled, segments):
+        seen.append(filled.groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first())
+        return load(filled, segments)
+
+    monkeypatch.setattr(bloom_lm, "load_filter", keep)
+    bloom = bloom_lm.build_filter(spark.range(20_000).select(F.col("id").alias("key"), F.lit(1).alias("n")))
+    assert (bloom.level(np.arange(20_000).astype(np.uint64)) > 0).all()
+    assert seen[0][0] <= 4 and seen[0][1] == 100
