@@ -1,17 +1,18 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counts of n-grams are quantised to levels and the filter holds (n-gram, 1) ... (n-gram, level), so that a lookup probes
-level after level until one is missing. The filter is cut into segments, as many as the training tokens need; tasks deal
-their partial counts to the segments in one shuffle, and each segment is counted and filled where it arrives, with as many
-bits as its own entries need. A filter of at most FILTER_BITS goes to every worker; a larger one stays a table, and the
-distinct n-grams that are asked for are joined with it by segment. Both give the same answers. N-grams with more than
-1/COMMON_NGRAMS of all tokens (so at most COMMON_NGRAMS of them) are looked up in a table beside the filter. What many
-texts ask for is counted before any join: frequent keys are joined by broadcast (fewer than 1024), the rest by shuffle.
+level after level until one is missing. The filter is cut into segments, as many as the training tokens need, with as many
+bits as the entries of each need. N-grams with more than 1/COMMON_NGRAMS of all tokens keep their count beside the filter.
+
+A filter grows with the corpus, so it goes nowhere: questions come to it. Texts are read once and kept as chunks of numbered
+tokens. A chunk deals its distinct n-grams with their training counts to the segments, in one shuffle; where they arrive a
+segment is counted, filled and asked, and the chunk gets one level for each of its n-grams back, in the order in which it
+sent them. No n-gram travels twice, nothing on the driver or on a worker grows with the input, and any size goes the same
+way. Counts of tokens go and come like that too; they are exact.
 
 The model: every token has its smoothed unigram probability, which is exact, and the bigrams of all tokens pull it towards
 what the filter remembers of the left neighbour: p(w | v) = (c(v, w) + m * p(w)) / (c(v) + m). So the score is the unigram
-sum plus one gain a token, log10(1 + c(v, w) / (m * p(w))) + log10(m) - log10(c(v) + m). Unigrams: the most frequent tokens
-are looked up in a bounded table, all others are joined with the full table of counts, so each document's sum is exact.
+sum plus one gain a token, log10(1 + c(v, w) / (m * p(w))) + log10(m) - log10(c(v) + m).
 
 Tokens are words between \\x20 and \\x09-\\x0D with A-Z lower-cased, then one end. Tokens and texts are compared by 64-bit
 hashes. Cases: a null text is an empty one (just its end); no training rows: all counts are 0 and N = 0, where the base
@@ -20,29 +21,35 @@ formula is log10(1) and the gain 0; repeated rows are scored one by one; extra c
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, map_slices, mix, most_frequent, per_row, slices, words
-from slotwise.operators.scale import heavy_lookup
+from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, mix, per_row, slices, words
 from slotwise.session import bounded_batches, scratch_path
 
-#: Tokens looked up without a join (16 bytes each on every worker).
+#: Tokens that are added up together, each as often as chunks have it.
 COMMON_TOKENS = 1 << 17
-#: N-grams looked up without the filter (9 bytes each on every worker).
+#: N-grams with a larger share of all tokens have their exact level.
 COMMON_NGRAMS = 1 << 17
-#: Largest filter that goes to every worker, in bits (128 MB); room for an entry; probes of an entry; tokens of a segment.
+#: Largest filter of ``build_filter`` in bits (128 MB); room for an entry; probes of an entry; training tokens of a segment.
 FILTER_BITS = 1 << 30
 BITS_PER_ENTRY = 12
 PROBES = 4
 SEGMENT_TOKENS = 1 << 17
 #: Segments of a file: what the driver fetches at a time is a few files of some hundred kilobytes.
 SEGMENTS_A_FILE = 4
+#: A chunk ends with the slice that brings it to so many tokens; chunks of a file.
+CHUNK_TOKENS = 1 << 21
+CHUNKS_A_FILE = 4
+#: Neighbouring segments that are dealt together, at most; they are dealt one by one up to so many.
+PART_SEGMENTS = 16
+SINGLE_SEGMENTS = 256
 #: Weight of the unigram probability, in observations of the left neighbour.
 PRIOR = 2000.0
 
@@ -85,56 +92,6 @@ def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[begin], np.add.reduceat(counts, begin)
 
 
-def _partial_counts(batches: Iterable[pa.RecordBatch], keys_of, merge_at: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted distinct keys of a task and their counts, handed out whenever ``merge_at`` keys are held."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        for part in slices(batch):
-            held.append(np.unique(keys_of(part), return_counts=True))
-            if len(held) > 16:
-                held[:] = [_counted(held)]
-            if sum(len(k) for k, _ in held) > merge_at:
-                yield _counted(held)
-                held.clear()
-    if held:
-        yield _counted(held)
-
-
-def counts(texts: DataFrame, keys_of, merge_at: int = 1 << 21) -> DataFrame:
-    """How often each 64-bit key of ``keys_of(slice)`` occurs; tasks add up before the shuffle."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in _partial_counts(batches, keys_of, merge_at):
-            for at in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_pydict({"key": pa.array(keys[at : at + 100_000].view(np.int64)), "n": pa.array(n[at : at + 100_000])})
-
-    return texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-class Vocabulary:
-    """The most frequent tokens with their counts."""
-
-    def __init__(self, common: pd.DataFrame, total: int, distinct: int, texts: int):
-        common = common[common["key"] != END.view(np.int64)]
-        keys = np.append(END, common["key"].to_numpy(np.int64).view(np.uint64))
-        n = np.append(texts, common["n"].to_numpy(np.int64))
-        self.total, self.distinct, self.texts = total, distinct, texts
-        by_key = np.argsort(keys)
-        self.keys, self.n = keys[by_key], n[by_key]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each key and whether it is there."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-    def log_p(self, n: np.ndarray) -> np.ndarray:
-        return np.log10((n + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
-
-    def pull(self, level: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """What a remembered bigram adds to the gain of its token, which occurs n times."""
-        return np.log10(1 + MEANS[level] / (PRIOR * 10.0 ** self.log_p(n)))
-
-
 def _bigrams(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Hash of every token with its left neighbour."""
     left = np.full(len(keys), BEGIN)
@@ -203,16 +160,6 @@ def fill_segments(dealt: DataFrame, least: int, per_entry: float = BITS_PER_ENTR
     return dealt.groupBy("segment").applyInArrow(fill, "segment long, bits binary, often array<long>, often_n array<long>")
 
 
-def deal(texts: DataFrame, keys_of, segments: int, merge_at: int = 1 << 21) -> DataFrame:
-    """Partial counts of n-grams, one row for each segment and flush of a task."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, n in _partial_counts(batches, keys_of, merge_at):
-            yield from _by_segment(keys, n, segments)
-
-    return texts.mapInArrow(run, "segment long, keys binary, counts binary")
-
-
 def _by_segment(keys: np.ndarray, n: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
     segment = _segment(mix(keys), segments)
     order = np.argsort(segment, kind="stable")
@@ -259,121 +206,188 @@ def build_filter(ngrams: DataFrame, most_bits: int = FILTER_BITS) -> LogBloom:
     return LogBloom(*load_filter(ngrams.sparkSession.read.parquet(path), segments))
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 as bytes of equal weight side by side, as many as the largest needs, compressed."""
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    planes = np.ascontiguousarray(values.astype("<u8", copy=False)).view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+CHUNK = "doc_id array<long>, held_out array<boolean>, n_tokens array<long>, keys binary, counts binary, places binary, train_texts long, train_tokens long, n_keys long"
+
+
+def _chunk(held: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Texts as places in the list of their distinct tokens, frequent ones first, which have their training counts."""
+    doc_id, out = (pa.concat_arrays([h[i] for h in held]) for i in (0, 1))
+    n_tokens, tokens_ = (np.concatenate([h[i] for h in held]) for i in (2, 3))
+    held.clear()
+    keys, places, counts = np.unique(tokens_, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    places = rank[places]
+    training = ~out.to_numpy(zero_copy_only=False)
+    train = np.bincount(places[np.repeat(training, n_tokens)], minlength=len(keys))
+    values = [[doc_id.cast(pa.int64())], [out], [pa.array(n_tokens)], [keys[order].tobytes()], [pack(train)], [pack(places)], [training.sum()], [train.sum()], [len(keys)]]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(v[0])], pa.int32()), v[0]) for v in values[:3]]
+    rest = [pa.array(v, pa.binary()) for v in values[3:6]] + [pa.array([int(v[0])], pa.int64()) for v in values[6:]]
+    return pa.RecordBatch.from_arrays([*lists, *rest], [c.split()[0] for c in CHUNK.split(", ")])
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """The documents (doc_id, held_out, text) as numbered chunks of tokens, written once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch):
+                keys, rows = tokens(part)
+                held.append((part.column("doc_id"), part.column("held_out"), per_row(rows, len(part)), keys))
+                size += len(keys)
+                if size >= CHUNK_TOKENS:
+                    yield _chunk(held)
+                    held, size = [], 0
+        if held:
+            yield _chunk(held)
+
+    path = scratch_path(docs.sparkSession, "chunks")
+    made = docs.mapInArrow(run, CHUNK).withColumn("chunk", F.monotonically_increasing_id())
+    made.write.option("maxRecordsPerFile", CHUNKS_A_FILE).parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def _of(rows: pa.Table | pa.RecordBatch, name: str, i: int = 0) -> np.ndarray:
+    """A list of a chunk."""
+    value = rows.column(name)[i]
+    if name == "keys":
+        return np.frombuffer(value.as_py(), np.uint64)
+    return unpack(value.as_py()).astype(np.int64) if name in ("counts", "places") else value.values.to_numpy(zero_copy_only=False)
+
+
+def _pairs(rows: pa.Table | pa.RecordBatch, i: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct bigrams of a chunk, ascending, and the place of each token's bigram there."""
+    n_tokens = _of(rows, "n_tokens", i)
+    own = _bigrams(_of(rows, "keys", i)[_of(rows, "places", i)], np.repeat(np.arange(len(n_tokens)), n_tokens))
+    return np.unique(own, return_inverse=True)
+
+
+def _dealt(keys: np.ndarray, segments: int, together: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which a chunk deals its distinct keys, by part and key, and the part of each in that order."""
+    part = _segment(mix(keys), segments) // together
+    order = np.argsort(keys, kind="stable")
+    order = order[np.argsort(part[order].astype(np.uint16 if segments // together < 1 << 16 else np.int64), kind="stable")]
+    return order, part[order]
+
+
+def deal(chunked: DataFrame, counted: Callable, segments: int, together: int = 1) -> DataFrame:
+    """Distinct keys of every chunk and their training counts, as ``counted(rows, i)`` finds them, by ``together`` segments."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, n = counted(batch, i)
+                order, part = _dealt(keys, segments, together)
+                keys, n = keys[order], n[order]
+                firsts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                steps = np.diff(keys, prepend=np.uint64(0))
+                steps[firsts] = keys[firsts]
+                spans = list(zip(firsts, np.append(firsts[1:], len(part)), strict=True))
+                for at in range(0, len(spans), 512):
+                    own = spans[at : at + 512]
+                    columns = [pa.array([pack(v[a:b]) for a, b in own], pa.binary()) for v in (steps, n)]
+                    chunk = pa.array(np.full(len(own), batch.column("chunk")[i].as_py()))
+                    yield pa.RecordBatch.from_arrays([chunk, pa.array(part[firsts[at : at + 512]]), *columns], ["chunk", "part", "steps", "counts"])
+
+    return chunked.mapInArrow(run, "chunk long, part long, steps binary, counts binary")
+
+
+def answers(dealt: DataFrame, answer: Callable) -> DataFrame:
+    """What ``answer(keys, counts)`` says of the distinct keys of a part, given back to each chunk in the order of its own.
+
+    ``found`` counts the keys of a part that the training rows have.
+    """
+
+    def run(own: pa.Table) -> pa.Table:
+        steps = [unpack(x) for x in own.column("steps").to_pylist()]
+        ends = np.cumsum([len(x) for x in steps])
+        keys, places = np.unique(np.concatenate([np.cumsum(x, dtype=np.uint64) for x in steps]), return_inverse=True)
+        n = np.zeros(len(keys), np.int64)
+        np.add.at(n, places, np.concatenate([unpack(x) for x in own.column("counts").to_pylist()]).astype(np.int64))
+        said = [pack(x) for x in np.split(answer(keys, n)[places], ends[:-1])]
+        found = np.zeros(len(steps), np.int64)
+        found[0] = np.count_nonzero(n)
+        return pa.table([own.column("chunk"), own.column("part"), pa.array(said, pa.binary()), pa.array(found)], ["chunk", "part", "said", "found"])
+
+    return dealt.groupBy("part").applyInArrow(run, "chunk long, part long, said binary, found long")
+
+
+def filter_levels(keys: np.ndarray, n: np.ndarray, segments: int, least: int) -> np.ndarray:
+    """Levels of n-grams from the filled segments that they lie in; from ``least`` occurrences on, exact ones."""
+    segment = _segment(mix(keys), segments)
+    out = np.zeros(len(keys), np.int64)
+    for one in np.unique(segment):
+        own = np.flatnonzero(segment == one)
+        filled = np.frombuffer(_filled(keys[own], n[own], BITS_PER_ENTRY), np.uint8)
+        out[own] = LogBloom(filled, np.array([0, 8 * len(filled)])).level(keys[own])
+    return np.where(n >= least, level_of(n), out)
+
+
 def score(docs: DataFrame) -> DataFrame:
     """Train on the rows outside the held-out fifth and score every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = documents(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id")))
-    training = docs.where(~F.col("held_out")).select("text")
+    chunked = chunks(documents(docs, "doc_id", "text").withColumn("held_out", held_out(F.col("doc_id"))))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train_texts", "train_tokens", "n_keys")]
+    texts, total, n_keys = chunked.agg(*sums).first()
 
+    parts = max(1, -(-n_keys // COMMON_TOKENS))
     path = scratch_path(spark, "unigrams")
-    counts(training, lambda part: tokens(part)[0]).write.parquet(path)
+    dealt = deal(chunked.select("chunk", "keys", "counts"), lambda rows, i: (_of(rows, "keys", i), _of(rows, "counts", i)), parts)
+    answers(dealt, lambda keys, n: n).write.parquet(path)
     unigrams = spark.read.parquet(path)
-    whole = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    end = unigrams.where(F.col("key") == int(END.view(np.int64))).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    common = most_frequent(unigrams, "n", COMMON_TOKENS).toArrow().to_pandas()
-    vocabulary = Vocabulary(common, whole.total, whole.distinct, end.n)
-
-    segments = max(1, -(-whole.total // SEGMENT_TOKENS))
-    least = max(2, -(-whole.total // COMMON_NGRAMS))
-    path = scratch_path(spark, "segments")
-    fill_segments(deal(training, lambda part: _bigrams(*tokens(part)), segments), least).write.option("maxRecordsPerFile", SEGMENTS_A_FILE).parquet(path)
-    filled = spark.read.parquet(path)
-    frequent = filled.select(F.explode(F.arrays_zip("often", "often_n")).alias("f")).select("f.*").toArrow().to_pandas().sort_values("often")
-    often, often_level = frequent["often"].to_numpy(np.int64), level_of(frequent["often_n"].to_numpy(np.int64))
-    bits = filled.agg(F.coalesce(F.sum(F.octet_length("bits").cast("long") * 8), F.lit(0)).alias("n")).first().n
-    shared = spark.sparkContext.broadcast(load_filter(filled, segments)) if bits <= FILTER_BITS else None
-
-    def work(part: Slice) -> pa.RecordBatch:
-        n = len(part)
-        keys, rows = tokens(part)
-        at, there = vocabulary.find(keys)
-        own = vocabulary.n[at]
-        pairs = _bigrams(keys, rows)
-        gain = np.full(len(keys), np.log10(PRIOR))
-        context = there & (keys != END)
-        gain[context] -= np.log10(own[context] + PRIOR)
-        ask = there.copy()
-        if len(often):
-            place = np.minimum(np.searchsorted(often, pairs.view(np.int64)), len(often) - 1)
-            known = there & (often[place] == pairs.view(np.int64))
-            gain[known] += vocabulary.pull(often_level[place[known]], own[known])
-            ask &= ~known
-        if shared is not None:
-            gain[ask] += vocabulary.pull(LogBloom(*shared.value).level(pairs[ask]), own[ask])
-            ask[:] = False
-        known = there & (own > 0)
-        # Tokens without a count here, and n-grams that only the table of segments can answer.
-        rest = np.flatnonzero(~there | ask)
-        edges = np.searchsorted(rows[rest], np.arange(n + 1))
-        asked = [pa.array(keys[rest].view(np.int64)), pa.array(pairs[rest].view(np.int64)), pa.array(np.where(there, own, 0)[rest], mask=~there[rest])]
-        return pa.RecordBatch.from_pydict(
-            {
-                "doc_id": part.column("doc_id"),
-                "held_out": part.column("held_out"),
-                "n_tokens": pa.array(per_row(rows, n)),
-                "n_known": pa.array(per_row(rows[known], n)),
-                "base": pa.array(np.bincount(rows[there], vocabulary.log_p(own[there]), n)),
-                "gain": pa.array(np.bincount(rows, gain, n) - np.log10(vocabulary.texts + PRIOR)),
-                "rest": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(asked, ["key", "pair", "n"])),
-            }
-        )
-
-    path = scratch_path(spark, "scores")
-    held = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double, rest array<struct<key:long,pair:long,n:long>>"
-    map_slices(docs, work, held).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
-    scored = spark.read.parquet(path)
-
-    asked = scored.select("row", F.explode("rest").alias("r")).select("row", "r.key", "r.pair", "r.n")
-    asks = scored.agg(F.coalesce(F.sum(F.size("rest").cast("long")), F.lit(0)).alias("n")).first().n
-    unknown = asked.where("n is null").drop("n")
-    wanted = unknown.groupBy("key").agg(F.count(F.lit(1)).alias("weight"))
-    wanted = wanted.join(unigrams, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    seen = heavy_lookup(unknown, wanted, "key", "weight", asks)
-    floor = float(whole.total + 0.5 * (whole.distinct + 1))
-    rare = seen.groupBy("row").agg(
-        F.sum(F.log10((F.col("n") + 0.5) / F.lit(floor))).alias("rare"),
-        F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("rare_known"),
-        F.sum(-F.log10(F.col("n") + F.lit(PRIOR))).alias("rare_gain"),
-    )
-    probes = asked.where("n is not null").select("row", "pair", "n").unionByName(seen.select("row", "pair", "n"))
-
-    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs, own = batch.column("pair").to_numpy().view(np.uint64), batch.column("n").to_numpy()
-            added = vocabulary.pull(LogBloom(*shared.value).level(pairs), own)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(added)], ["row", "added"])
-
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            segment = _segment(mix(batch.column("pair").to_numpy().view(np.uint64)), segments)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), *batch.columns], ["segment", "pair", "weight"])
-
-    def answer_segment(own: pa.Table, asking: pa.Table) -> pa.Table:
-        level = np.zeros(asking.num_rows, np.int64)
-        if own.num_rows:
-            filled = np.frombuffer(own.column("bits")[0].as_py(), np.uint8)
-            level = LogBloom(filled, np.array([0, 8 * len(filled)])).level(asking.column("pair").to_numpy().view(np.uint64))
-        return pa.table([asking.column("pair"), asking.column("weight"), pa.array(level)], ["pair", "weight", "level"])
-
-    if shared is not None:
-        added = probes.mapInArrow(answer, "row long, added double")
-    else:
-        distinct = probes.groupBy("pair").agg(F.count(F.lit(1)).alias("weight"))
-        placed = distinct.mapInArrow(place, "segment long, pair long, weight long")
-        levels = filled.select("segment", "bits").groupBy("segment").cogroup(placed.groupBy("segment"))
-        levels = levels.applyInArrow(answer_segment, "pair long, weight long, level long")
-        mean = F.element_at(F.array(*[F.lit(float(m)) for m in MEANS]), (F.col("level") + 1).cast("int"))
-        pull = F.log10(1 + mean / (PRIOR * (F.col("n") + 0.5) / F.lit(floor)))
-        added = heavy_lookup(probes, levels, "pair", "weight", asks).select("row", pull.alias("added"))
-    added = added.groupBy("row").agg(F.sum("added").alias("added"))
-    base = F.col("base") + F.coalesce("rare", F.lit(0.0))
-    return scored.drop("rest").join(rare, "row", "left").join(added, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(whole.total).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (base + F.col("gain") + F.coalesce("rare_gain", F.lit(0.0)) + F.coalesce("added", F.lit(0.0))).alias("score"),
-    )
+    distinct = unigrams.agg(F.coalesce(F.sum("found"), F.lit(0))).first()[0]
+
+    segments = max(1, -(-total // SEGMENT_TOKENS))
+    together = min(PART_SEGMENTS, -(-segments // SINGLE_SEGMENTS))
+    least = max(2, -(-total // COMMON_NGRAMS))
+
+    def bigrams(rows: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+        keys, places = _pairs(rows, i)
+        training = np.repeat(~_of(rows, "held_out", i), _of(rows, "n_tokens", i))
+        return keys, np.bincount(places[training], minlength=len(keys))
+
+    dealt = deal(chunked.select("chunk", "held_out", "n_tokens", "keys", "places"), bigrams, segments, together)
+    levels = answers(dealt, lambda keys, n: filter_levels(keys, n, segments, least))
+
+    def work(own: pa.Table, said: pa.Table) -> pa.Table:
+        def given(kind: int, order: np.ndarray) -> np.ndarray:
+            some = said.filter(pc.equal(said.column("kind"), kind)).sort_by("part").column("said").to_pylist()
+            out = np.empty(len(order), np.int64)
+            out[order] = np.concatenate([unpack(x) for x in some])
+            return out
+
+        keys, places, n_tokens = (_of(own, c) for c in ("keys", "places", "n_tokens"))
+        rows = np.repeat(np.arange(len(n_tokens)), n_tokens)
+        n = given(0, _dealt(keys, parts, 1)[0])
+        log_p = np.log10((n + 0.5) / (total + 0.5 * (distinct + 1)))
+        context = np.where(keys == END, 0.0, np.log10(n + PRIOR))
+        base = np.bincount(rows, log_p[places], len(n_tokens))
+        gain = n_tokens * np.log10(PRIOR) - np.bincount(rows, context[places], len(n_tokens)) - np.log10(texts + PRIOR)
+        known = per_row(rows[n[places] > 0], len(n_tokens))
+        pairs, which = _pairs(own)
+        means = MEANS[given(1, _dealt(pairs, segments, together)[0])][which]
+        gain += np.bincount(rows, np.log10(1 + means / (PRIOR * 10.0 ** log_p)[places]), len(n_tokens))
+        columns = [own.column("doc_id")[0].values, own.column("held_out")[0].values, n_tokens, known, np.full(len(n_tokens), total), base, base + gain]
+        return pa.table([pa.array(c) for c in columns], [c.split()[0] for c in SCHEMA.split(", ")])
+
+    said = unigrams.select("chunk", F.lit(0).alias("kind"), "part", "said").unionByName(levels.select("chunk", F.lit(1).alias("kind"), "part", "said"))
+    asked = chunked.select("chunk", "doc_id", "held_out", "n_tokens", "keys", "places")
+    return asked.groupBy("chunk").cogroup(said.groupBy("chunk")).applyInArrow(work, SCHEMA)

@@ -1,6 +1,7 @@
 """What the text operators hand from step to step on tables that once made them grow."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -125,3 +126,38 @@ def test_the_filter_comes_to_the_driver_in_small_files(spark, monkeypatch):
     bloom = bloom_lm.build_filter(spark.range(20_000).select(F.col("id").alias("key"), F.lit(1).alias("n")))
     assert (bloom.level(np.arange(20_000).astype(np.uint64)) > 0).all()
     assert seen[0][0] <= 4 and seen[0][1] == 100
+
+
+def invented(rng, texts, words):
+    return [(i, " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) if rng.random() < 0.2 else rng.choice("the of and to in is it was".split()) for _ in range(words))) for i in range(texts)]
+
+
+def test_a_large_filter_moves_no_more_than_a_small_one(spark, tmp_path, monkeypatch):
+    """Shuffled and scratch bytes of the language model stay below four times the input where a filter is too large to send."""
+    monkeypatch.setattr(bloom_lm, "FILTER_BITS", 1)
+    paths, fresh = [], bloom_lm.scratch_path
+    monkeypatch.setattr(bloom_lm, "scratch_path", lambda *a: paths.append(fresh(*a)) or paths[-1])
+    path = str(tmp_path / "documents")
+    spark.createDataFrame(invented(random.Random(3), 600, 700), "doc_id long, text string").coalesce(1).write.parquet(path)
+    context = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorList(True).apply(0).totalShuffleWrite()
+
+    before = shuffled()
+    bloom_lm.score(spark.read.parquet(path)).write.format("noop").mode("overwrite").save()
+    size = {x: sum(f.stat().st_size for f in Path(x.removeprefix("file:")).rglob("*.parquet")) for x in [path, *paths]}
+    assert len(size) > 1 and min(size.values()) > 0
+    assert shuffled() - before + sum(size[x] for x in paths) < 4 * size[path]
+
+
+def test_chunks_and_parts_of_any_size_give_the_same_scores(spark, monkeypatch):
+    frame = spark.createDataFrame([*invented(random.Random(9), 80, 60), (None, None), (7, "")], "doc_id long, text string").repartition(3)
+    scores = []
+    for sizes in ((1 << 21, 1 << 17, 16, 256), (500, 200, 3, 4), (1, 50, 1, 1)):
+        for name, value in zip(("CHUNK_TOKENS", "SEGMENT_TOKENS", "PART_SEGMENTS", "SINGLE_SEGMENTS"), sizes, strict=True):
+            monkeypatch.setattr(bloom_lm, name, value)
+        scores.append(sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, round(r.base_score, 6), r.score) for r in bloom_lm.score(frame).collect()))
+    for rows in zip(*scores, strict=True):
+        assert len({r[:-1] for r in rows}) == 1 and max(r[-1] for r in rows) - min(r[-1] for r in rows) < 0.02 * abs(rows[0][-1])
