@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from slotwise.llm.textops import LOWER, SPACE, PrefixHash, Slice, documents, mix, per_row, slices, words
 from slotwise.session import bounded_batches, scratch_path
 
-#: Tokens that are added up together, each as often as chunks have it.
+#: Tokens of a segment of their counts, each as often as chunks have it.
 COMMON_TOKENS = 1 << 17
 #: N-grams with a larger share of all tokens have their exact level.
 COMMON_NGRAMS = 1 << 17
@@ -47,7 +47,7 @@ SEGMENTS_A_FILE = 4
 #: A chunk ends with the slice that brings it to so many tokens; chunks of a file.
 CHUNK_TOKENS = 1 << 21
 CHUNKS_A_FILE = 4
-#: Neighbouring segments that are dealt together, at most; they are dealt one by one up to so many.
+#: Neighbouring segments, of n-grams or of tokens, that are dealt together, at most; they are dealt one by one up to so many.
 PART_SEGMENTS = 16
 SINGLE_SEGMENTS = 256
 #: Weight of the unigram probability, in observations of the left neighbour.
@@ -279,22 +279,26 @@ def _pairs(rows: pa.Table | pa.RecordBatch, i: int = 0) -> tuple[np.ndarray, np.
     return np.unique(own, return_inverse=True)
 
 
-def _dealt(keys: np.ndarray, segments: int, together: int) -> tuple[np.ndarray, np.ndarray]:
+def _dealt(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """The order in which a chunk deals its distinct keys, by part and key, and the part of each in that order."""
-    part = _segment(mix(keys), segments) // together
+    part = _segment(mix(keys), segments) // _together(segments)
     order = np.argsort(keys, kind="stable")
-    order = order[np.argsort(part[order].astype(np.uint16 if segments // together < 1 << 16 else np.int64), kind="stable")]
+    order = order[np.argsort(part[order].astype(np.uint16 if segments < 1 << 16 else np.int64), kind="stable")]
     return order, part[order]
 
 
-def deal(chunked: DataFrame, counted: Callable, segments: int, together: int = 1) -> DataFrame:
-    """Distinct keys of every chunk and their training counts, as ``counted(rows, i)`` finds them, by ``together`` segments."""
+def _together(segments: int) -> int:
+    return min(PART_SEGMENTS, -(-segments // SINGLE_SEGMENTS))
+
+
+def deal(chunked: DataFrame, counted: Callable, segments: int) -> DataFrame:
+    """Distinct keys of every chunk and their training counts, as ``counted(rows, i)`` finds them, by parts of some segments."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 keys, n = counted(batch, i)
-                order, part = _dealt(keys, segments, together)
+                order, part = _dealt(keys, segments)
                 keys, n = keys[order], n[order]
                 firsts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
                 steps = np.diff(keys, prepend=np.uint64(0))
@@ -348,15 +352,14 @@ def score(docs: DataFrame) -> DataFrame:
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train_texts", "train_tokens", "n_keys")]
     texts, total, n_keys = chunked.agg(*sums).first()
 
-    parts = max(1, -(-n_keys // COMMON_TOKENS))
+    token_segments = max(1, -(-n_keys // COMMON_TOKENS))
     path = scratch_path(spark, "unigrams")
-    dealt = deal(chunked.select("chunk", "keys", "counts"), lambda rows, i: (_of(rows, "keys", i), _of(rows, "counts", i)), parts)
+    dealt = deal(chunked.select("chunk", "keys", "counts"), lambda rows, i: (_of(rows, "keys", i), _of(rows, "counts", i)), token_segments)
     answers(dealt, lambda keys, n: n).write.parquet(path)
     unigrams = spark.read.parquet(path)
     distinct = unigrams.agg(F.coalesce(F.sum("found"), F.lit(0))).first()[0]
 
     segments = max(1, -(-total // SEGMENT_TOKENS))
-    together = min(PART_SEGMENTS, -(-segments // SINGLE_SEGMENTS))
     least = max(2, -(-total // COMMON_NGRAMS))
 
     def bigrams(rows: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -364,7 +367,7 @@ def score(docs: DataFrame) -> DataFrame:
         training = np.repeat(~_of(rows, "held_out", i), _of(rows, "n_tokens", i))
         return keys, np.bincount(places[training], minlength=len(keys))
 
-    dealt = deal(chunked.select("chunk", "held_out", "n_tokens", "keys", "places"), bigrams, segments, together)
+    dealt = deal(chunked.select("chunk", "held_out", "n_tokens", "keys", "places"), bigrams, segments)
     levels = answers(dealt, lambda keys, n: filter_levels(keys, n, segments, least))
 
     def work(own: pa.Table, said: pa.Table) -> pa.Table:
@@ -376,14 +379,14 @@ def score(docs: DataFrame) -> DataFrame:
 
         keys, places, n_tokens = (_of(own, c) for c in ("keys", "places", "n_tokens"))
         rows = np.repeat(np.arange(len(n_tokens)), n_tokens)
-        n = given(0, _dealt(keys, parts, 1)[0])
+        n = given(0, _dealt(keys, token_segments)[0])
         log_p = np.log10((n + 0.5) / (total + 0.5 * (distinct + 1)))
         context = np.where(keys == END, 0.0, np.log10(n + PRIOR))
         base = np.bincount(rows, log_p[places], len(n_tokens))
         gain = n_tokens * np.log10(PRIOR) - np.bincount(rows, context[places], len(n_tokens)) - np.log10(texts + PRIOR)
         known = per_row(rows[n[places] > 0], len(n_tokens))
         pairs, which = _pairs(own)
-        means = MEANS[given(1, _dealt(pairs, segments, together)[0])][which]
+        means = MEANS[given(1, _dealt(pairs, segments)[0])][which]
         gain += np.bincount(rows, np.log10(1 + means / (PRIOR * 10.0 ** log_p)[places]), len(n_tokens))
         columns = [own.column("doc_id")[0].values, own.column("held_out")[0].values, n_tokens, known, np.full(len(n_tokens), total), base, base + gain]
         return pa.table([pa.array(c) for c in columns], [c.split()[0] for c in SCHEMA.split(", ")])

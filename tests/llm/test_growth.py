@@ -155,8 +155,8 @@ def test_a_large_filter_moves_no_more_than_a_small_one(spark, tmp_path, monkeypa
 def test_chunks_and_parts_of_any_size_give_the_same_scores(spark, monkeypatch):
     frame = spark.createDataFrame([*invented(random.Random(9), 80, 60), (None, None), (7, "")], "doc_id long, text string").repartition(3)
     scores = []
-    for sizes in ((1 << 21, 1 << 17, 16, 256), (500, 200, 3, 4), (1, 50, 1, 1)):
-        for name, value in zip(("CHUNK_TOKENS", "SEGMENT_TOKENS", "PART_SEGMENTS", "SINGLE_SEGMENTS"), sizes, strict=True):
+    for sizes in ((1 << 21, 1 << 17, 1 << 17, 16, 256), (500, 200, 100, 3, 4), (1, 50, 1, 1, 1)):
+        for name, value in zip(("CHUNK_TOKENS", "SEGMENT_TOKENS", "COMMON_TOKENS", "PART_SEGMENTS", "SINGLE_SEGMENTS"), sizes, strict=True):
             monkeypatch.setattr(bloom_lm, name, value)
         scores.append(sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, round(r.base_score, 6), r.score) for r in bloom_lm.score(frame).collect()))
     for rows in zip(*scores, strict=True):
